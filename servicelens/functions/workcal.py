@@ -78,6 +78,36 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(y, F.floor(n / 31).cast("int"), (n % 31 + 1).cast("int"))
 
 
+def _easter_date(y: int) -> _dt.date:
+    """Gregorian Easter Sunday (anonymous algorithm) for one year."""
+    a, b, c = y % 19, y // 100, y % 100
+    d, e = b // 4, b % 4
+    f = (b + 8) // 25
+    g = (b - f + 1) // 3
+    h = (19 * a + b - d - g + 15) % 30
+    i, k = c // 4, c % 4
+    ll = (32 + 2 * e + 2 * i - h - k) % 7
+    m = (a + 11 * h + 22 * ll) // 451
+    n = h + ll - 7 * m + 114
+    return _dt.date(y, n // 31, n % 31 + 1)
+
+
+def rhineland_palatinate_dates(first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR):
+    """Holiday dates of the rules for a year range (a calendar dimension,
+    independent of the data)."""
+    for y in range(first_year, last_year + 1):
+        for m, d in RLP_FIXED_HOLIDAYS:
+            yield _dt.date(y, m, d)
+        e = _easter_date(y)
+        for off in RLP_EASTER_OFFSETS:
+            h = e + _dt.timedelta(days=off)
+            if h.year == y:
+                yield h
+    for h in RLP_ONE_OFF_HOLIDAYS:
+        if first_year <= h.year <= last_year:
+            yield h
+
+
 def rhineland_palatinate_holidays(
     spark: SparkSession, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR
 ) -> DataFrame:
@@ -100,39 +130,62 @@ def weekday_index(d: Column) -> Column:
     return 5 * F.floor(n / 7) + F.least(n % 7 + 1, F.lit(5))
 
 
+# A holiday table larger than this is not a calendar; refuse to collect it.
+MAX_HOLIDAYS = 400_000
+
+_YEAR_TABLE_SCHEMA = "year int, holidays array<date>, holidays_before long"
+
+
+def _year_rows(holiday_dates, first_year: int, last_year: int):
+    per_year: dict[int, set] = {}
+    for h in holiday_dates:
+        if h is not None and h.weekday() < 5 and first_year <= h.year <= last_year:
+            per_year.setdefault(h.year, set()).add(h)
+    rows, before = [], 0
+    for y in range(first_year, last_year + 1):
+        hs = sorted(per_year.get(y, ()))
+        rows.append((y, hs, before))
+        before += len(hs)
+    return rows
+
+
 def year_table(holidays: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
     """One row per year: sorted weekday holidays of the year, and the count of
     weekday holidays in all earlier years.
 
     Columns: ``year`` INT, ``holidays`` ARRAY<DATE>, ``holidays_before`` BIGINT.
-    Size is bounded by the year range (<= 9,999 rows), never by the data.
+    The holiday table is a calendar (tens of dates per year), checked against
+    ``MAX_HOLIDAYS`` before it is collected; the result is a local relation of
+    at most 9,999 rows, whatever the size of the fact data.
     """
     spark = holidays.sparkSession
-    per_year = (
-        holidays.select(F.col("holiday").cast("date").alias("h"))
-        .where(F.col("h").isNotNull() & (F.weekday("h") < 5))
-        .distinct()
-        .groupBy(F.year("h").alias("year"))
-        .agg(F.array_sort(F.collect_list("h")).alias("holidays"))
-    )
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
-    # Unpartitioned window over at most 9,999 rows (one per calendar year).
-    w = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        years.join(per_year, "year", "left")
-        .select(
-            "year",
-            F.coalesce("holidays", F.array().cast("array<date>")).alias("holidays"),
-        )
-        .withColumn(
-            "holidays_before",
-            F.coalesce(F.sum(F.size("holidays")).over(w), F.lit(0)).cast("long"),
-        )
-    )
+    distinct = holidays.select(F.col("holiday").cast("date").alias("h")).where(
+        F.col("h").isNotNull() & (F.weekday("h") < 5)
+    ).distinct()
+    sample = distinct.limit(MAX_HOLIDAYS + 1).collect()
+    if len(sample) > MAX_HOLIDAYS:
+        raise ValueError(f"holiday table has more than {MAX_HOLIDAYS} weekday dates")
+    rows = _year_rows((r.h for r in sample), first_year, last_year)
+    return _cached(spark.createDataFrame(rows, _YEAR_TABLE_SCHEMA))
+
+
+def _cached(df: DataFrame) -> DataFrame:
+    """Keep the (small) year table in memory: every stage date joins it."""
+    df = df.cache()
+    df.count()
+    return df
+
+
+_DEFAULT_YEAR_TABLES: dict[int, DataFrame] = {}
 
 
 def default_year_table(spark: SparkSession) -> DataFrame:
-    return year_table(rhineland_palatinate_holidays(spark))
+    """Year table of the Rhineland-Palatinate calendar (one per session)."""
+    key = id(spark)
+    if key not in _DEFAULT_YEAR_TABLES:
+        rows = _year_rows(rhineland_palatinate_dates(), FIRST_YEAR, LAST_YEAR)
+        _DEFAULT_YEAR_TABLES[key] = _cached(spark.createDataFrame(rows, _YEAR_TABLE_SCHEMA))
+    return _DEFAULT_YEAR_TABLES[key]
 
 
 def with_workday_index(df: DataFrame, date_col: str, out_col: str, years: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from servicelens import schema as S
 from servicelens.functions import dates, scalar, workcal
+from servicelens.plans import physical
 
 
 # --------------------------------------------------------------------------
@@ -130,6 +131,18 @@ def header_features(headers: DataFrame, years: DataFrame) -> DataFrame:
     return workcal.with_stage_durations(split_address(headers), years)
 
 
+def order_flags(positions: DataFrame, prefix: str = S.PART_PREFIX, codes=S.LABOUR_CODES) -> DataFrame:
+    """Per order: labour units (F6, A1; NULL without labour lines) and whether
+    the order has at least one repair-part line (the F2 survivors).
+
+    One hash aggregate over all positions, partial sums map-side.
+    """
+    return positions.groupBy("order_id").agg(
+        F.sum(F.when(F.col("part_no").isin(*codes), F.col("quantity"))).alias("labour_units"),
+        F.max(F.col("part_no").startswith(prefix)).alias("__has_part"),
+    )
+
+
 def prepare(
     headers: DataFrame,
     positions: DataFrame,
@@ -139,8 +152,21 @@ def prepare(
 ) -> DataFrame:
     """Featured part rows (L3 + L5): one row per surviving part position with
     the header columns, customer/contact, six stage durations, lead time and
-    labour units of the order (J2, left join)."""
-    featured_headers = header_features(headers, years).join(
-        labour_units(positions, labour_codes), "order_id", "left"
+    labour units of the order (J2, left join).
+
+    Plan: headers and the per-order aggregate of the positions are both
+    hash-partitioned by ``order_id`` and joined co-partitioned.  That
+    per-order table (one row per order, with the stage durations) is written
+    once to the checkpoint folder: the product-article set of F3 is read off
+    it (orders with a repair part), and it feeds the final join.  The article
+    set is broadcast to the part lines only after its row count is checked;
+    above the limit the anti join shuffles instead.  Part lines are shuffled
+    once, by ``order_id``, for the final join.
+    """
+    h = headers.repartition("order_id").join(order_flags(positions, prefix, labour_codes), "order_id", "left")
+    h = physical.materialize(header_features(h, years))
+    products = h.where(F.col("__has_part")).select(F.col("product_article").alias("part_no")).distinct()
+    part_lines = positions.where(F.col("part_no").startswith(prefix)).join(
+        physical.broadcast_if_small(products), "part_no", "left_anti"
     )
-    return keep_repair_parts(merge(featured_headers, positions), prefix)
+    return h.drop("__has_part").join(part_lines, "order_id", "inner")
