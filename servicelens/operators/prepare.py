@@ -146,13 +146,15 @@ def order_flags(positions: DataFrame, prefix: str = S.PART_PREFIX, codes=S.LABOU
 def prepare(
     headers: DataFrame,
     positions: DataFrame,
-    years: DataFrame,
+    years: DataFrame | None,
     prefix: str = S.PART_PREFIX,
     labour_codes=S.LABOUR_CODES,
 ) -> DataFrame:
     """Featured part rows (L3 + L5): one row per surviving part position with
     the header columns, customer/contact, six stage durations, lead time and
-    labour units of the order (J2, left join).
+    labour units of the order (J2, left join).  ``years=None`` skips the
+    address split and calendar features (parts with header columns and
+    labour units only).
 
     Plan: headers and the per-order aggregate of the positions are both
     hash-partitioned by ``order_id`` and joined co-partitioned.  That
@@ -164,7 +166,9 @@ def prepare(
     once, by ``order_id``, for the final join.
     """
     h = headers.repartition("order_id").join(order_flags(positions, prefix, labour_codes), "order_id", "left")
-    h = physical.materialize(header_features(h, years))
+    if years is not None:
+        h = header_features(h, years)
+    h = physical.materialize(h)
     products = h.where(F.col("__has_part")).select(F.col("product_article").alias("part_no")).distinct()
     part_lines = positions.where(F.col("part_no").startswith(prefix)).join(
         physical.broadcast_if_small(products), "part_no", "left_anti"

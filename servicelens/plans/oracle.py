@@ -293,3 +293,182 @@ FROM process""",
         for i, c in enumerate(_KEY_FIGURES)
     ),
 }
+
+
+# ---------------------------------------------------------------------------
+# Rules: itemsets by self-joins over the whole item vocabulary (six part
+# types), rules by joining disjoint itemset pairs to their union.
+# ---------------------------------------------------------------------------
+
+RULE_SUPPORT = repr(W.RULE_MIN_SUPPORT)
+RULE_CONFIDENCE = repr(W.RULE_MIN_CONFIDENCE)
+WATCH = ", ".join(f"'{x}'" for x in W.RULE_WATCH)
+
+
+def _combo(k: int) -> str:
+    alias = [f"x{i}" for i in range(k)]
+    frm = " JOIN ".join(
+        f"b {a}" + ("" if i == 0 else f" ON {a}.order_id = x0.order_id AND {alias[i - 1]}.item < {a}.item")
+        for i, a in enumerate(alias)
+    )
+    items = ", ".join(f"{a}.item" for a in alias)
+    return f"SELECT [{items}] AS items, count(*) AS freq FROM {frm} GROUP BY {items}"
+
+
+RULE_BASE = (
+    with_(VIEWS, PARTS)[:-1]
+    + f""",
+rsel AS (
+  SELECT * FROM parts WHERE d_goods_out >= {START} AND d_goods_out <= {END} AND product_type = {TYPE}
+),
+b AS (SELECT DISTINCT order_id, part_type AS item FROM rsel WHERE part_type IS NOT NULL),
+nb AS (SELECT count(DISTINCT order_id) AS n FROM b),
+allsets AS (
+  {" UNION ALL ".join(_combo(k) for k in range(1, 7))}
+),
+fi AS (
+  SELECT items, len(items) AS size, freq, CAST(freq AS DOUBLE) / CAST(n AS DOUBLE) AS support
+  FROM allsets CROSS JOIN nb
+  WHERE CAST(freq AS DOUBLE) / CAST(n AS DOUBLE) >= {RULE_SUPPORT}
+),
+ru0 AS (
+  SELECT a.items AS antecedents, c.items AS consequents, a.support AS antecedent_support,
+    c.support AS consequent_support, u.support AS support
+  FROM fi a JOIN fi c ON len(list_intersect(a.items, c.items)) = 0
+  JOIN fi u ON u.items = list_sort(list_concat(a.items, c.items))
+),
+ru AS (
+  SELECT antecedents, consequents, array_to_string(antecedents, '_und_') AS antecedent,
+    array_to_string(consequents, '_und_') AS consequent, antecedent_support, consequent_support, support,
+    support / antecedent_support AS confidence,
+    (support / antecedent_support) / consequent_support AS lift,
+    support - antecedent_support * consequent_support AS leverage,
+    CASE WHEN support / antecedent_support = 1.0 THEN 'inf'::DOUBLE
+      ELSE (1.0 - consequent_support) / (1.0 - support / antecedent_support) END AS conviction,
+    CASE WHEN greatest(support * (1.0 - antecedent_support), antecedent_support * (consequent_support - support)) = 0.0 THEN 0.0
+      ELSE (support - antecedent_support * consequent_support)
+        / greatest(support * (1.0 - antecedent_support), antecedent_support * (consequent_support - support)) END AS zhang
+  FROM ru0
+  WHERE support / antecedent_support >= {RULE_CONFIDENCE}
+),
+wr AS (
+  SELECT * FROM ru WHERE list_has_any(antecedents, [{WATCH}]) AND list_has_any(consequents, [{WATCH}])
+),
+na AS (SELECT count(DISTINCT antecedent) AS n FROM wr),
+nodes AS (
+  SELECT CAST(row_number() OVER (ORDER BY antecedent) - 1 AS BIGINT) AS node_id, antecedent AS label, 'antecedent' AS side
+  FROM (SELECT DISTINCT antecedent FROM wr)
+  UNION ALL
+  SELECT CAST(row_number() OVER (ORDER BY consequent) - 1 + (SELECT n FROM na) AS BIGINT), consequent, 'consequent'
+  FROM (SELECT DISTINCT consequent FROM wr)
+)
+"""
+)
+
+_RULE_OUT = "antecedent, consequent, antecedent_support, consequent_support, support, confidence, lift, leverage, conviction, zhang"
+
+ORACLE.update(
+    {
+        "baskets": RULE_BASE
+        + "SELECT order_id, array_to_string(list_sort(list(item)), '_und_') AS items, CAST(count(*) AS BIGINT) AS n_items FROM b GROUP BY order_id",
+        "frequent_itemsets": RULE_BASE
+        + "SELECT array_to_string(items, '_und_') AS items, CAST(size AS BIGINT) AS size, CAST(freq AS BIGINT) AS freq, support FROM fi",
+        "association_rules": RULE_BASE + f"SELECT {_RULE_OUT} FROM ru",
+        "watched_rules": RULE_BASE + f"SELECT {_RULE_OUT} FROM wr",
+        "rule_edges": RULE_BASE + "SELECT antecedent AS source, consequent AS target, confidence FROM wr",
+        "sankey_nodes": RULE_BASE + "SELECT * FROM nodes",
+        "sankey_links": RULE_BASE
+        + """SELECT s.node_id AS source_id, t.node_id AS target_id, wr.confidence * 100.0 AS value, wr.antecedent, wr.consequent
+FROM wr JOIN nodes s ON s.side = 'antecedent' AND s.label = wr.antecedent
+JOIN nodes t ON t.side = 'consequent' AND t.label = wr.consequent""",
+    }
+)
+
+
+# ---------------------------------------------------------------------------
+# Demand series and part features.
+# ---------------------------------------------------------------------------
+
+_LAGS = ", ".join(f"lag(qty, {k}) OVER w AS lag_{k:02d}" for k in range(1, 13))
+
+DEMAND_BASE = (
+    with_(VIEWS, PARTS)[:-1]
+    + f""",
+dsel AS (
+  SELECT * FROM parts WHERE d_goods_out >= {FULL_START} AND d_goods_out <= {FULL_END} AND product_type = {TYPE}
+),
+mon AS (
+  SELECT CAST(date_trunc('month', d_goods_out) AS DATE) AS month, part_no, CAST(sum(quantity) AS DOUBLE) AS qty
+  FROM dsel GROUP BY 1, 2
+),
+tot AS (SELECT part_no, sum(qty) AS total_qty FROM mon GROUP BY part_no),
+shr AS (SELECT part_no, total_qty, total_qty / (SELECT sum(total_qty) FROM tot) AS share FROM tot),
+thr AS (SELECT quantile_cont(share, 0.9) AS threshold FROM shr),
+top AS (SELECT shr.* FROM shr, thr WHERE share >= threshold),
+smon AS (SELECT * FROM mon WHERE part_no IN (SELECT part_no FROM top)),
+months AS (
+  SELECT CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM smon
+),
+filled AS (
+  SELECT m.month, p.part_no, coalesce(s.qty, 0.0) AS qty
+  FROM months m CROSS JOIN (SELECT DISTINCT part_no FROM smon) p
+  LEFT JOIN smon s ON s.month = m.month AND s.part_no = p.part_no
+),
+nm AS (SELECT count(*) AS n FROM months),
+seq AS (
+  SELECT part_no, month, qty, {_LAGS}, row_number() OVER w AS rn FROM filled
+  WINDOW w AS (PARTITION BY part_no ORDER BY month)
+)
+"""
+)
+
+_SEQ_OUT = ", ".join(f"lag_{k:02d}" for k in range(12, 0, -1))
+
+CLUSTER_BASE = (
+    with_(VIEWS, PARTS)[:-1]
+    + f""",
+csel AS (
+  SELECT * FROM parts WHERE d_goods_out >= {START} AND d_goods_out <= {END} AND product_type = {TYPE}
+),
+pf AS (
+  SELECT part_no, first(part_name ORDER BY order_id, "position") AS part_name, CAST(sum(quantity) AS DOUBLE) AS quantity,
+    CAST(count(DISTINCT order_id) AS BIGINT) AS frequency
+  FROM csel GROUP BY part_no
+),
+top5 AS (SELECT part_name FROM pf ORDER BY quantity DESC, frequency DESC, part_no LIMIT 5),
+crit AS (SELECT * FROM pf WHERE part_name IN (SELECT part_name FROM top5))
+"""
+)
+
+
+def _translations() -> str:
+    rows = ", ".join(
+        "('{}', '{}')".format(k.replace("'", "''"), v.replace("'", "''")) for k, v in S.PART_NAME_TRANSLATIONS.items()
+    )
+    return f"(VALUES {rows}) AS t(part_name, en)"
+
+
+ORACLE.update(
+    {
+        "monthly_demand": DEMAND_BASE + "SELECT strftime(month, '%Y-%m') AS month, part_no, qty FROM mon",
+        "part_share": DEMAND_BASE + "SELECT part_no, total_qty, share FROM shr",
+        "top_contributors": DEMAND_BASE + "SELECT part_no, total_qty, share FROM top",
+        "demand_filled": DEMAND_BASE + "SELECT strftime(month, '%Y-%m') AS month, part_no, qty FROM filled",
+        "demand_sequences": DEMAND_BASE
+        + f"""SELECT part_no, strftime(month, '%Y-%m') AS target_month, CAST(rn - 13 AS BIGINT) AS sample_idx,
+  CASE WHEN rn - 13 < floor(0.8 * ((SELECT n FROM nm) - 12)) THEN 'train' ELSE 'validation' END AS split,
+  {_SEQ_OUT}, qty AS target
+FROM seq WHERE rn > 12""",
+        "part_features": CLUSTER_BASE + "SELECT * FROM pf",
+        "critical_parts": CLUSTER_BASE + "SELECT part_name, part_no, quantity, frequency FROM crit",
+        "translated_parts": CLUSTER_BASE
+        + f"""SELECT c.part_name, c.part_no, c.quantity, c.frequency, coalesce(t.en, c.part_name) AS english_name
+FROM crit c LEFT JOIN {_translations()} ON c.part_name = t.part_name""",
+    }
+)
+
+ORACLE["demand_pivot"] = (
+    DEMAND_BASE
+    + "SELECT * FROM (PIVOT (SELECT strftime(month, '%Y-%m') AS month, part_no, qty FROM filled) ON part_no USING first(qty))"
+)

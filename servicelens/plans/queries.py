@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from servicelens import schema as S
 from servicelens.functions import workcal
-from servicelens.operators import descriptive, prepare
+from servicelens.functions.scalar import itemset_label
+from servicelens.operators import clusters, demand, descriptive, prepare, rules
+from servicelens.plans import workload as WL
 from servicelens.plans.workload import END, START, TYPE, Workload
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +100,161 @@ def key_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return descriptive.key_figures(process_analysis(spark, sf_dir))
 
 
+# ---------------------------------------------------------------------------
+# Rules (M1-M6, R5, F7, P10, J7)
+# ---------------------------------------------------------------------------
+
+def _rule_rows(w: Workload) -> DataFrame:
+    return descriptive.select_rows(w.parts, TYPE, START, END)
+
+
+def _itemsets(w: Workload) -> DataFrame:
+    return rules.frequent_itemsets(rules.baskets(_rule_rows(w), WL.RULE_ITEM), WL.RULE_MIN_SUPPORT)
+
+
+def _rules(w: Workload) -> DataFrame:
+    return rules.association_rules(_itemsets(w), "confidence", WL.RULE_MIN_CONFIDENCE)
+
+
+_RULE_COLUMNS = ["antecedent", "consequent", "antecedent_support", "consequent_support", *rules.METRICS]
+
+
+def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One basket of distinct items per order."""
+    b = rules.baskets(_rule_rows(Workload(spark, sf_dir)), WL.RULE_ITEM)
+    return b.select("order_id", itemset_label(F.col("items")).alias("items"), F.size("items").cast("long").alias("n_items"))
+
+
+def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: FP-growth itemsets with support."""
+    fi = _itemsets(Workload(spark, sf_dir))
+    return fi.select(itemset_label(F.col("items")).alias("items"), F.col("size").cast("long").alias("size"), "freq", "support")
+
+
+def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3, M4: every split of every itemset, confidence threshold."""
+    return rules.with_labels(_rules(Workload(spark, sf_dir))).select(*_RULE_COLUMNS)
+
+
+def _watched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.watched_rules(_rules(Workload(spark, sf_dir)), WL.RULE_WATCH)
+
+
+def watched_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rules with a watched item on both sides."""
+    return rules.with_labels(_watched(spark, sf_dir)).select(*_RULE_COLUMNS)
+
+
+def rule_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5, P10: rule graph edges."""
+    return rules.rule_edges(_watched(spark, sf_dir))
+
+
+def sankey_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: Sankey nodes."""
+    return rules.sankey_nodes(_watched(spark, sf_dir))
+
+
+def sankey_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sankey links."""
+    return rules.sankey_links(_watched(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Demand series (M15: A10-A12, F8, F9, R3, R4, T6, T8, W3, W4)
+# ---------------------------------------------------------------------------
+
+def _monthly(w: Workload) -> DataFrame:
+    rows = descriptive.select_rows(w.parts, TYPE, WL.FULL_START, WL.FULL_END)
+    return demand.monthly_demand(rows)
+
+
+def _filled(w: Workload) -> DataFrame:
+    monthly = _monthly(w)
+    top = demand.top_contributors(demand.part_share(monthly))
+    return demand.fill_months(demand.selected_monthly(monthly, top))
+
+
+def _month_label(c: str = "month"):
+    return F.date_format(F.col(c), "yyyy-MM")
+
+
+def monthly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity per month and part."""
+    return _monthly(Workload(spark, sf_dir)).select(_month_label().alias("month"), "part_no", "qty")
+
+
+def part_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part totals and share of the grand total."""
+    return demand.part_share(_monthly(Workload(spark, sf_dir)))
+
+
+def top_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with share >= the exact 0.9 quantile."""
+    top = demand.top_contributors(demand.part_share(_monthly(Workload(spark, sf_dir))))
+    return top.select("part_no", "total_qty", "share")
+
+
+def demand_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap-free monthly series of the top contributors."""
+    return _filled(Workload(spark, sf_dir)).select(_month_label().alias("month"), "part_no", "qty")
+
+
+def demand_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month x part matrix of the gap-free series."""
+    wide = demand.demand_pivot(_filled(Workload(spark, sf_dir)))
+    return wide.withColumn("month", _month_label())
+
+
+def demand_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """12-month samples with their target and split."""
+    seq = demand.sequences(_filled(Workload(spark, sf_dir)))
+    return seq.select(
+        "part_no", _month_label("target_month").alias("target_month"), "sample_idx", "split",
+        *demand.lag_columns(F.col("inputs")), "target",
+    )
+
+
+# ---------------------------------------------------------------------------
+# Part clusters
+# ---------------------------------------------------------------------------
+
+def _features(w: Workload) -> DataFrame:
+    return clusters.part_features(descriptive.select_rows(w.parts, TYPE, START, END))
+
+
+def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: quantity, frequency and name per part."""
+    return _features(Workload(spark, sf_dir))
+
+
+def critical_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13 (O3, F10, P12): parts named like the top five."""
+    return clusters.critical_parts(_features(Workload(spark, sf_dir)))
+
+
+def translated_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English names of the critical parts."""
+    return clusters.translate_names(clusters.critical_parts(_features(Workload(spark, sf_dir))))
+
+
+def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouette per k (k-means is seeded; rows-only check)."""
+    return clusters.k_sweep(_features(Workload(spark, sf_dir)))
+
+
+def part_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with cluster, critical flag, English name."""
+    labelled, _, _ = clusters.cluster_parts(_features(Workload(spark, sf_dir)))
+    return clusters.scatter_table(labelled)
+
+
+def cluster_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centres of the chosen clustering."""
+    _, centres, _ = clusters.cluster_parts(_features(Workload(spark, sf_dir)))
+    return centres
+
+
 QUERIES: dict[str, Query] = {
     "working_days_delta": working_days_delta,
     "stage_durations": stage_durations,
@@ -110,4 +267,23 @@ QUERIES: dict[str, Query] = {
     "process_analysis": process_analysis,
     "part_ranking": part_ranking,
     "key_figures": key_figures,
+    "baskets": baskets,
+    "frequent_itemsets": frequent_itemsets,
+    "association_rules": association_rules,
+    "watched_rules": watched_rules,
+    "rule_edges": rule_edges,
+    "sankey_nodes": sankey_nodes,
+    "sankey_links": sankey_links,
+    "monthly_demand": monthly_demand,
+    "part_share": part_share,
+    "top_contributors": top_contributors,
+    "demand_filled": demand_filled,
+    "demand_pivot": demand_pivot,
+    "demand_sequences": demand_sequences,
+    "part_features": part_features,
+    "critical_parts": critical_parts,
+    "translated_parts": translated_parts,
+    "k_sweep": k_sweep,
+    "part_clusters": part_clusters,
+    "cluster_centers": cluster_centers,
 }

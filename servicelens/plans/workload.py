@@ -48,5 +48,10 @@ class Workload:
     def featured(self) -> DataFrame:
         return prepare.prepare(self.headers, self.positions, self.years)
 
+    @cached_property
+    def parts(self) -> DataFrame:
+        """Part rows with header columns, without the calendar features."""
+        return prepare.prepare(self.headers, self.positions, None)
+
     def table(self, name: str) -> DataFrame:
         return dt.read_table(self.spark, self.sf_dir, name)
