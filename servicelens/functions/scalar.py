@@ -20,7 +20,7 @@ def drop_third_char(c: Column) -> Column:
 def decimal_comma(c: Column) -> Column:
     """Decimal-comma text to DOUBLE; NULL for anything else."""
     s = c.cast("string")
-    return F.when(s.rlike(_DECIMAL_RE), F.try_cast(F.trim(F.replace(s, F.lit(","), F.lit("."))), "double"))
+    return F.when(s.rlike(_DECIMAL_RE), F.trim(F.replace(s, F.lit(","), F.lit("."))).try_cast("double"))
 
 
 def address_parts(c: Column) -> Column:

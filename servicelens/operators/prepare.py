@@ -60,7 +60,7 @@ def clean_positions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     typed = renamed.withColumns(
         {
-            "position": F.try_cast(F.trim("position"), "int"),
+            "position": F.trim("position").try_cast("int"),
             "quantity": scalar.decimal_comma(F.col("quantity_raw")),
         }
     )

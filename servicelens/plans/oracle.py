@@ -472,3 +472,158 @@ ORACLE["demand_pivot"] = (
     DEMAND_BASE
     + "SELECT * FROM (PIVOT (SELECT strftime(month, '%Y-%m') AS month, part_no, qty FROM filled) ON part_no USING first(qty))"
 )
+
+
+# ---------------------------------------------------------------------------
+# Raw text: the exports rebuilt as strings, then cleaned.
+# ---------------------------------------------------------------------------
+
+from servicelens.functions.dates import spark_pattern  # noqa: E402
+from servicelens.sources import driver_tables as _dt  # noqa: E402
+
+_MARKERS = "[" + ", ".join("'" + m.replace("'", "''") + "'" for m in S.NA_MARKERS) + "]"
+_RAW_ADDR = (
+    "printf('%02d', o.o_custkey % 100) || '.' || CAST(o.o_custkey AS VARCHAR) || '.' || CAST(o.o_custkey % 10 AS VARCHAR)"
+)
+
+
+def _p2(x: str) -> str:
+    return f"lpad(CAST({x} AS VARCHAR), 2, '0')"
+
+
+def _render(d: str, key: str, shift: int) -> str:
+    y = f"CAST(year({d}) AS VARCHAR)"
+    m, dd = f"month({d})", f"day({d})"
+    hh, mi, ss = _p2(f"{key} % 24"), _p2(f"{key} % 60"), _p2(f"({key} // 7) % 60")
+    frac = f"lpad(CAST({key} % 1000000 AS VARCHAR), 6, '0')"
+    ymd = lambda sep: f"{y} || '{sep}' || {_p2(m)} || '{sep}' || {_p2(dd)}"
+    dmy = lambda sep: f"{_p2(dd)} || '{sep}' || {_p2(m)} || '{sep}' || {y}"
+    k = f"(({key} + {shift}) % {_dt.DATE_RENDER_CYCLE})"
+    cases = [
+        dmy("-"),
+        f"CAST({dd} AS VARCHAR) || '.' || CAST({m} AS VARCHAR) || '.' || {y}",
+        dmy("/"),
+        ymd("-"),
+        ymd("."),
+        ymd("/"),
+        f"{ymd('-')} || ' ' || {hh} || ':' || {mi} || ':' || {ss} || '.' || {frac}",
+        f"{ymd('-')} || ' ' || {hh} || ':' || {mi} || ':' || {ss}",
+        f"{ymd('-')} || ' ' || {hh} || ':' || {mi}",
+        f"{dmy('.')} || ' ' || {hh} || ':' || {mi}",
+        f"{_p2(dd)} || '.' || {_p2(m)} || '.' || substr({y}, 3, 2)",
+    ]
+    whens = " ".join(f"WHEN {k} = {i} THEN {c}" for i, c in enumerate(cases))
+    return f"CASE {whens} ELSE '31.02.' || {y} END"
+
+
+def _raw_header() -> str:
+    src = list(S.HEADER_SOURCE_COLUMNS)
+    acc, dcols = [], [("CAST(o.o_orderdate AS DATE)", src[4])]
+    for m, name in zip(_MODULI, src[5:]):
+        acc.append(f"o.o_orderkey % {m}")
+        dcols.append((f"CAST(o.o_orderdate AS DATE) + CAST({' + '.join(acc)} AS INTEGER)", name))
+    dates_sql = ",\n    ".join(f"{_render(d, 'o.o_orderkey', j)} AS {name}" for j, (d, name) in enumerate(dcols))
+    return f"""
+rawk AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS serviceauftrag,
+    CASE WHEN o.o_orderkey % {_dt.NA_EVERY} = 0 THEN {_MARKERS}[(o.o_orderkey // {_dt.NA_EVERY}) % {len(S.NA_MARKERS)} + 1]
+      WHEN o.o_orderkey % {_dt.KEPT_TEXT_EVERY} = 0 THEN ' NA'
+      WHEN o.o_custkey % {_dt.EXTRA_PART_EVERY} = 0 THEN {_RAW_ADDR} || '.7'
+      ELSE {_RAW_ADDR} END AS adresse,
+    'K0' || printf('%06d', o.o_custkey % 19) AS artikel,
+    c.c_mktsegment AS typ,
+    {dates_sql}
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+)"""
+
+
+RAW_POS = """
+rawp AS (
+  SELECT CAST(order_id AS VARCHAR) AS "SERVICEAUFTRAG", CAST("position" AS VARCHAR) AS "POSITION", part_no AS "ARTIKEL",
+    part_name AS "NAME",
+    CASE WHEN "position" = 7 THEN replace(CAST(quantity AS VARCHAR), '.', ',') || ',5'
+      WHEN "position" = 6 THEN '1.' || replace(CAST(quantity AS VARCHAR), '.', ',')
+      ELSE replace(CAST(quantity AS VARCHAR), '.', ',') END AS "MENGE"
+  FROM pos
+)"""
+
+_DEC_RE = r"^\s*[+-]?([0-9]+([.,][0-9]*)?|[.,][0-9]+)\s*$"
+
+
+def _parse(x: str) -> str:
+    tries = []
+    for fmt in S.DATE_FORMATS:
+        _, regex = spark_pattern(fmt)
+        tries.append(f"CASE WHEN regexp_full_match(trim({x}), '{regex}') THEN try_strptime(trim({x}), '{fmt}') END")
+    return "coalesce(" + ", ".join(tries) + ")"
+
+
+RAW_BASE = with_(VIEWS, _raw_header(), RAW_POS)
+_STAGE_SRC = list(S.HEADER_SOURCE_COLUMNS)[4:]
+_CHARS = [(";", "';'"), (",", "','"), ("\t", "chr(9)"), ("|", "'|'")]
+
+
+def _profile() -> str:
+    parts = []
+    for i, (_, lit) in enumerate(_CHARS):
+        n = f"(length(line) - length(replace(line, {lit}, '')))"
+        parts.append(
+            f"SELECT {lit} AS delimiter, {i} AS candidate_ord, CAST(count(*) AS BIGINT) AS lines, "
+            f"CAST(min({n}) AS BIGINT) AS min_count, CAST(max({n}) AS BIGINT) AS max_count, "
+            f"CAST(sum({n}) AS BIGINT) AS total_count FROM lines"
+        )
+    return "\n  UNION ALL ".join(parts)
+
+
+ORACLE.update(
+    {
+        "address_split": RAW_BASE
+        + """, a AS (SELECT serviceauftrag AS order_id, substr(adresse, 1, 2) || substr(adresse, 4) AS address_code FROM rawk)
+SELECT order_id, address_code,
+  CASE WHEN len(string_split(address_code, '.')) <= 2 THEN string_split(address_code, '.')[1] END AS customer_no,
+  CASE WHEN len(string_split(address_code, '.')) <= 2 THEN string_split(address_code, '.')[2] END AS contact_no,
+  len(string_split(address_code, '.')) <= 2 AS address_ok
+FROM a""",
+        "decimal_comma": RAW_BASE
+        + f"""SELECT "SERVICEAUFTRAG" AS order_id, "POSITION" AS position, "ARTIKEL" AS part_no, "MENGE" AS quantity_raw,
+  CASE WHEN regexp_full_match("MENGE", '{_DEC_RE}') THEN TRY_CAST(trim(replace("MENGE", ',', '.')) AS DOUBLE) END AS quantity
+FROM rawp""",
+        "quantity_quarantine": RAW_BASE
+        + f"""SELECT "SERVICEAUFTRAG" AS order_id, CAST(TRY_CAST(trim("POSITION") AS INTEGER) AS INTEGER) AS position,
+  "ARTIKEL" AS part_no, "MENGE" AS quantity_raw, 'bad_quantity' AS reject_reason
+FROM rawp
+WHERE "MENGE" NOT IN (SELECT unnest({_MARKERS})) AND "SERVICEAUFTRAG" NOT IN (SELECT unnest({_MARKERS}))
+  AND "POSITION" NOT IN (SELECT unnest({_MARKERS})) AND "ARTIKEL" NOT IN (SELECT unnest({_MARKERS}))
+  AND "NAME" NOT IN (SELECT unnest({_MARKERS}))
+  AND (CASE WHEN regexp_full_match("MENGE", '{_DEC_RE}') THEN TRY_CAST(trim(replace("MENGE", ',', '.')) AS DOUBLE) END) IS NULL""",
+        "parse_dates": RAW_BASE
+        + "SELECT order_id, stage, raw, "
+        + _parse("raw")
+        + " AS parsed FROM (\n"
+        + "\n  UNION ALL ".join(f"SELECT serviceauftrag AS order_id, '{c}' AS stage, {c} AS raw FROM rawk" for c in _STAGE_SRC)
+        + "\n)",
+        "na_drop": RAW_BASE
+        + f"""SELECT serviceauftrag AS order_id, substr(adresse, 1, 2) || substr(adresse, 4) AS address_code, typ AS product_type,
+  {_parse('datum_waein')} AS d_goods_in, {_parse('datum_wausgang')} AS d_goods_out
+FROM rawk
+WHERE {" AND ".join(f"{c} NOT IN (SELECT unnest({_MARKERS}))" for c in S.HEADER_SOURCE_COLUMNS)}""",
+        "delimiter_profile": RAW_BASE
+        + f""", lines AS (
+  SELECT concat_ws(';', "SERVICEAUFTRAG", "POSITION", "ARTIKEL", "NAME", "MENGE") AS line FROM rawp
+),
+prof AS (
+  {_profile()}
+),
+best AS (
+  SELECT delimiter FROM (SELECT *, (min_count = max_count AND min_count > 0) AS consistent FROM prof)
+  ORDER BY consistent DESC, max_count DESC, total_count DESC, candidate_ord LIMIT 1
+)
+SELECT p.delimiter, p.candidate_ord, p.lines, p.min_count, p.max_count, p.total_count,
+  (p.min_count = p.max_count AND p.min_count > 0) AS consistent, p.delimiter IN (SELECT delimiter FROM best) AS chosen
+FROM prof p""",
+        "coverage_check": with_(VIEWS, PARTS)
+        + f"""SELECT product_type, {START} AS start_date, {END} AS end_date, min(d_goods_out) AS min_date, max(d_goods_out) AS max_date,
+  min(d_goods_out) <= {START} AS start_covered, max(d_goods_out) >= {END} AS end_covered
+FROM parts GROUP BY product_type""",
+    }
+)

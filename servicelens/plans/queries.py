@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servicelens import schema as S
-from servicelens.functions import workcal
+from servicelens.functions import dates, scalar, workcal
 from servicelens.functions.scalar import itemset_label
 from servicelens.operators import clusters, demand, descriptive, prepare, rules
 from servicelens.plans import workload as WL
 from servicelens.plans.workload import END, START, TYPE, Workload
+from servicelens.sources import csv as csvio
+from servicelens.sources import driver_tables as dt
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -255,6 +257,65 @@ def cluster_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centres
 
 
+# ---------------------------------------------------------------------------
+# Ingest and cleaning over raw text
+# ---------------------------------------------------------------------------
+
+def address_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop the third character, split on the literal dot."""
+    raw = dt.raw_header_view(spark, sf_dir)
+    h = raw.select(
+        F.col("serviceauftrag").alias("order_id"), scalar.drop_third_char(F.col("adresse")).alias("address_code")
+    )
+    return prepare.split_address(h)
+
+
+def decimal_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimal-comma quantities, malformed ones NULL."""
+    raw = dt.raw_position_view(spark, sf_dir)
+    return raw.select(
+        F.col("SERVICEAUFTRAG").alias("order_id"),
+        F.col("POSITION").alias("position"),
+        F.col("ARTIKEL").alias("part_no"),
+        F.col("MENGE").alias("quantity_raw"),
+        scalar.decimal_comma(F.col("MENGE")).alias("quantity"),
+    )
+
+
+def quantity_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position rows whose quantity is not a number, with the reason."""
+    _, bad = prepare.clean_positions(dt.raw_position_view(spark, sf_dir))
+    return bad.select("order_id", "position", "part_no", "quantity_raw", "reject_reason")
+
+
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven stage dates of every header, parsed from mixed formats."""
+    raw = dt.raw_header_view(spark, sf_dir)
+    src = list(S.HEADER_SOURCE_COLUMNS)[4:]
+    long = raw.unpivot(["serviceauftrag"], src, "stage", "raw")
+    return long.select(
+        F.col("serviceauftrag").alias("order_id"), "stage", "raw", dates.parse_timestamp(F.col("raw")).alias("parsed")
+    )
+
+
+def na_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned headers (rows with a missing marker dropped)."""
+    typed, _ = prepare.clean_headers(dt.raw_header_view(spark, sf_dir))
+    return typed.select("order_id", "address_code", "product_type", "d_goods_in", "d_goods_out")
+
+
+def delimiter_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimiter profile of the position export rendered with ';'."""
+    raw = dt.raw_position_view(spark, sf_dir)
+    lines = raw.select(F.concat_ws(";", *[F.col(c) for c in raw.columns]).alias("value"))
+    return csvio.delimiter_profile(lines)
+
+
+def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Does each type's goods-out range cover the report period?"""
+    return dates.coverage(Workload(spark, sf_dir).parts, "d_goods_out", START, END, by="product_type")
+
+
 QUERIES: dict[str, Query] = {
     "working_days_delta": working_days_delta,
     "stage_durations": stage_durations,
@@ -286,4 +347,11 @@ QUERIES: dict[str, Query] = {
     "k_sweep": k_sweep,
     "part_clusters": part_clusters,
     "cluster_centers": cluster_centers,
+    "address_split": address_split,
+    "decimal_comma": decimal_comma,
+    "quantity_quarantine": quantity_quarantine,
+    "parse_dates": parse_dates,
+    "na_drop": na_drop,
+    "delimiter_profile": delimiter_profile,
+    "coverage_check": coverage_check,
 }

@@ -92,3 +92,89 @@ def position_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_quantity(c: Column) -> Column:
     """Quantity rendered as decimal-comma text, as in the raw exports."""
     return F.replace(c.cast("string"), F.lit("."), F.lit(","))
+
+
+# ---------------------------------------------------------------------------
+# Raw-text forms (as exported, German column names, everything a string)
+# ---------------------------------------------------------------------------
+
+DATE_RENDER_CYCLE = 12  # ten valid formats, a two-digit year, an impossible day
+NA_EVERY = 37           # every 37th order's address is a missing-value marker
+KEPT_TEXT_EVERY = 41    # every 41st order's address is " NA" (stays text)
+EXTRA_PART_EVERY = 50   # customers whose address has a third dot-part
+
+
+def _p2(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def render_date(d: Column, key: Column, shift: int = 0) -> Column:
+    """A date as text in one of the row-level formats, chosen by the key."""
+    y, m, dd = F.year(d).cast("string"), F.month(d), F.dayofmonth(d)
+    hh, mi, ss = _p2(key % 24), _p2(key % 60), _p2(F.floor(key / 7) % 60)
+    frac = F.lpad((key % 1000000).cast("string"), 6, "0")
+    k = (key + shift) % DATE_RENDER_CYCLE
+    ymd = lambda sep: F.concat(y, F.lit(sep), _p2(m), F.lit(sep), _p2(dd))
+    dmy = lambda sep: F.concat(_p2(dd), F.lit(sep), _p2(m), F.lit(sep), y)
+    return (
+        F.when(k == 0, dmy("-"))
+        .when(k == 1, F.concat(dd.cast("string"), F.lit("."), m.cast("string"), F.lit("."), y))
+        .when(k == 2, dmy("/"))
+        .when(k == 3, ymd("-"))
+        .when(k == 4, ymd("."))
+        .when(k == 5, ymd("/"))
+        .when(k == 6, F.concat(ymd("-"), F.lit(" "), hh, F.lit(":"), mi, F.lit(":"), ss, F.lit("."), frac))
+        .when(k == 7, F.concat(ymd("-"), F.lit(" "), hh, F.lit(":"), mi, F.lit(":"), ss))
+        .when(k == 8, F.concat(ymd("-"), F.lit(" "), hh, F.lit(":"), mi))
+        .when(k == 9, F.concat(dmy("."), F.lit(" "), hh, F.lit(":"), mi))
+        .when(k == 10, F.concat(_p2(dd), F.lit("."), _p2(m), F.lit("."), F.substring(y, 3, 2)))
+        .otherwise(F.concat(F.lit("31.02."), y))
+    )
+
+
+def raw_header_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header export as text: German names, dates in mixed formats, some
+    addresses replaced by missing-value markers or given a third part."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    d = F.col("o_orderdate").cast("date")
+    markers = F.array(*[F.lit(x) for x in S.NA_MARKERS])
+    addr = raw_address(ck)
+    addr = F.when(ck % EXTRA_PART_EVERY == 0, F.concat(addr, F.lit(".7"))).otherwise(addr)
+    addr = (
+        F.when(k % NA_EVERY == 0, F.get(markers, (F.floor(k / NA_EVERY) % len(S.NA_MARKERS)).cast("int")))
+        .when(k % KEPT_TEXT_EVERY == 0, F.lit(" NA"))
+        .otherwise(addr)
+    )
+    acc, dates = F.lit(0), [d]
+    for m in STAGE_OFFSET_MODULI:
+        acc = acc + (k % m)
+        dates.append(F.date_add(d, acc.cast("int")))
+    src = list(S.HEADER_SOURCE_COLUMNS)  # serviceauftrag, adresse, artikel, typ, 7 dates
+    return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
+        k.cast("string").alias(src[0]),
+        addr.alias(src[1]),
+        F.concat(F.lit(S.PART_PREFIX), _pad6(ck % 19)).alias(src[2]),
+        F.col("c_mktsegment").alias(src[3]),
+        *[render_date(dd, k, j).alias(name) for j, (dd, name) in enumerate(zip(dates, src[4:]))],
+    )
+
+
+def raw_position_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position export as text: decimal-comma quantities, a few malformed."""
+    pos = position_view(spark, sf_dir)
+    q = raw_quantity(F.col("quantity"))
+    q = (
+        F.when(F.col("position") == 7, F.concat(q, F.lit(",5")))
+        .when(F.col("position") == 6, F.concat(F.lit("1."), q))
+        .otherwise(q)
+    )
+    src = list(S.POSITION_SOURCE_COLUMNS)  # SERVICEAUFTRAG, POSITION, ARTIKEL, NAME, MENGE
+    return pos.select(
+        F.col("order_id").cast("string").alias(src[0]),
+        F.col("position").cast("string").alias(src[1]),
+        F.col("part_no").alias(src[2]),
+        F.col("part_name").alias(src[3]),
+        q.alias(src[4]),
+    )
