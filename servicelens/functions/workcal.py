@@ -166,12 +166,16 @@ def year_table(holidays: DataFrame, first_year: int = FIRST_YEAR, last_year: int
     if len(sample) > MAX_HOLIDAYS:
         raise ValueError(f"holiday table has more than {MAX_HOLIDAYS} weekday dates")
     rows = _year_rows((r.h for r in sample), first_year, last_year)
-    return _cached(spark.createDataFrame(rows, _YEAR_TABLE_SCHEMA))
+    return _local_table(spark, rows)
 
 
-def _cached(df: DataFrame) -> DataFrame:
-    """Keep the (small) year table in memory: every stage date joins it."""
-    df = df.cache()
+def _local_table(spark: SparkSession, rows) -> DataFrame:
+    """The year table as a local relation (built from Arrow batches on the
+    driver; no Python worker), cached because every stage date joins it."""
+    import pandas as pd
+
+    pdf = pd.DataFrame(rows, columns=["year", "holidays", "holidays_before"])
+    df = spark.createDataFrame(pdf, _YEAR_TABLE_SCHEMA).cache()
     df.count()
     return df
 
@@ -184,16 +188,13 @@ def default_year_table(spark: SparkSession) -> DataFrame:
     key = id(spark)
     if key not in _DEFAULT_YEAR_TABLES:
         rows = _year_rows(rhineland_palatinate_dates(), FIRST_YEAR, LAST_YEAR)
-        _DEFAULT_YEAR_TABLES[key] = _cached(spark.createDataFrame(rows, _YEAR_TABLE_SCHEMA))
+        _DEFAULT_YEAR_TABLES[key] = _local_table(spark, rows)
     return _DEFAULT_YEAR_TABLES[key]
 
 
-def with_workday_index(df: DataFrame, date_col: str, out_col: str, years: DataFrame) -> DataFrame:
-    """Add ``out_col`` = working-day index ``P(date_col)`` (NULL for NULL dates).
-
-    Broadcast hash join against the year table (bounded, see ``year_table``).
-    """
-    tag = f"__wc_{out_col}"
+def _join_year(df: DataFrame, d: Column, tag: str, years: DataFrame) -> tuple[DataFrame, Column]:
+    """Broadcast-join the year table on ``year(d)``; return the frame and
+    the working-day index expression of ``d`` over the joined columns."""
     yt = F.broadcast(
         years.select(
             F.col("year").alias(f"{tag}_y"),
@@ -201,22 +202,37 @@ def with_workday_index(df: DataFrame, date_col: str, out_col: str, years: DataFr
             F.col("holidays_before").alias(f"{tag}_b"),
         )
     )
-    d = F.col(date_col).cast("date")
     joined = df.join(yt, F.year(d) == F.col(f"{tag}_y"), "left")
     hol_upto = F.col(f"{tag}_b") + F.size(F.filter(F.col(f"{tag}_h"), lambda h: h <= d))
-    return joined.withColumn(out_col, (weekday_index(d) - hol_upto).cast("long")).drop(
-        f"{tag}_y", f"{tag}_h", f"{tag}_b"
-    )
+    return joined, (weekday_index(d) - hol_upto).cast("long")
+
+
+def _with_indexes(df: DataFrame, date_cols, years: DataFrame):
+    """Join the year table once per date column (broadcast hash joins, no
+    shuffle) and return (frame, index expressions, helper columns)."""
+    idx, helpers = [], []
+    for i, c in enumerate(date_cols):
+        tag = f"__wc{i}"
+        df, expr = _join_year(df, F.col(c).cast("date"), tag, years)
+        idx.append(expr)
+        helpers += [f"{tag}_y", f"{tag}_h", f"{tag}_b"]
+    return df, idx, helpers
+
+
+def with_workday_index(df: DataFrame, date_col: str, out_col: str, years: DataFrame) -> DataFrame:
+    """Add ``out_col`` = working-day index ``P(date_col)`` (NULL for NULL dates)."""
+    cols = df.columns
+    joined, idx, _ = _with_indexes(df, [date_col], years)
+    return joined.select(*cols, idx[0].alias(out_col))
 
 
 def with_working_days(
     df: DataFrame, start_col: str, end_col: str, out_col: str, years: DataFrame
 ) -> DataFrame:
     """Add ``out_col`` = working days between two date columns."""
-    a, b = f"__p_{out_col}_a", f"__p_{out_col}_b"
-    df = with_workday_index(df, start_col, a, years)
-    df = with_workday_index(df, end_col, b, years)
-    return df.withColumn(out_col, F.abs(F.col(b) - F.col(a)).cast("long")).drop(a, b)
+    cols = df.columns
+    joined, (a, b), _ = _with_indexes(df, [start_col, end_col], years)
+    return joined.select(*cols, F.abs(b - a).alias(out_col))
 
 
 def with_stage_durations(df: DataFrame, years: DataFrame, dates=None) -> DataFrame:
@@ -228,16 +244,12 @@ def with_stage_durations(df: DataFrame, years: DataFrame, dates=None) -> DataFra
     the unsigned stage counts do.
     """
     dates = list(dates or S.STAGE_DATES)
-    idx = [f"__p_{c}" for c in dates]
-    for c, p in zip(dates, idx):
-        df = with_workday_index(df, c, p, years)
+    cols = df.columns
+    joined, idx, _ = _with_indexes(df, dates, years)
     names = [f"wd_{S.STAGE_SHORT.get(a, a)}_{S.STAGE_SHORT.get(b, b)}" for a, b in zip(dates, dates[1:])]
-    durations = [
-        F.abs(F.col(q) - F.col(p)).cast("long").alias(n) for p, q, n in zip(idx, idx[1:], names)
-    ]
-    df = df.select("*", *durations).drop(*idx)
-    lead = sum((F.coalesce(F.col(n), F.lit(0)) for n in names), F.lit(0))
-    return df.withColumn(S.LEAD_TIME, lead.cast("long"))
+    durations = [F.abs(q - p) for p, q in zip(idx, idx[1:])]
+    lead = sum((F.coalesce(x, F.lit(0)) for x in durations), F.lit(0)).cast("long")
+    return joined.select(*cols, *[x.alias(n) for x, n in zip(durations, names)], lead.alias(S.LEAD_TIME))
 
 
 def working_days_between(spark: SparkSession, start: _dt.date, end: _dt.date, years: DataFrame) -> DataFrame:

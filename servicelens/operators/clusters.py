@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from servicelens import schema as S
+from servicelens.plans import physical
 
 FEATURES = ("quantity", "frequency")
 SEED = 42
@@ -38,16 +39,29 @@ def _vectors(features: DataFrame) -> DataFrame:
     )
 
 
+ROWS_PER_PARTITION = 200_000
+
+
+def _partitions(n: int) -> int:
+    return max(1, -(-n // ROWS_PER_PARTITION))
+
+
 def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED) -> DataFrame:
     """Silhouette per k (M10, M11) with a ``chosen`` flag on the first k of
     the best score (O4).  k is clipped to parts - 1; fewer than 3 parts is an
     error (no k >= 2 can be scored)."""
     spark = features.sparkSession
-    vec = _vectors(features).select("part_no", "features").cache()
+    base = _vectors(features).select("part_no", "features").cache()
+    n = base.count()
+    if n < 3:
+        base.unpersist()
+        raise ValueError("clustering needs at least 3 parts")
+    # k-means runs one job per iteration: size the partitions to the part
+    # count (rows per partition), not to the shuffle default.
+    vec = base.coalesce(_partitions(n)).cache()
+    vec.count()
+    base.unpersist()
     try:
-        n = vec.count()
-        if n < 3:
-            raise ValueError("clustering needs at least 3 parts")
         lo, hi = k_range[0], min(k_range[1], n - 1)
         evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
         scores = []
@@ -75,7 +89,11 @@ def fit_clusters(features: DataFrame, k: int, seed: int = SEED) -> tuple[DataFra
 
 
 def cluster_parts(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED):
-    """Sweep, pick k, refit (M11, M12): (labelled parts, centres, scores)."""
+    """Sweep, pick k, refit (M11, M12): (labelled parts, centres, scores).
+
+    The part table is written to the checkpoint folder once and shared by
+    the sweep, the refit and the labelling."""
+    features = physical.materialize(features)
     scores = k_sweep(features, k_range, seed)
     best = scores.where("chosen").first()["k"]
     labelled, centres = fit_clusters(features, best, seed)

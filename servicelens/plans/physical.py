@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.session import checkpoint_dir
+from servicelens.session import scratch_path
 
 # Broadcast a side only when it has at most this many rows (checked at runtime).
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in a fresh folder under the shared
+    checkpoint folder (``spark.checkpoint.dir``) and read it back.
 
-    Reliable checkpoint (never a local one): a lost executor costs a re-read,
-    not a recomputation of everything upstream.
+    Cuts the lineage (a lost executor costs a re-read, not a recomputation
+    of everything upstream) with one write; the re-read gets column pruning,
+    filter pushdown and real size statistics for the planner.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from servicelens.functions import workcal
 from servicelens.operators import prepare
+from servicelens.plans import physical
 from servicelens.sources import driver_tables as dt
 
 TYPE = "BUILDING"
@@ -27,10 +28,29 @@ RULE_MIN_CONFIDENCE = 0.4
 RULE_WATCH = ("ECONOMY", "PROMO")
 
 
+_SESSION_WORKLOADS: dict[tuple[int, str], "Workload"] = {}
+
+
 class Workload:
+    """Views and stage tables of one input folder.
+
+    Like the original's write-once stage files, the featured part table is
+    written once per session and input folder (Parquet, in the checkpoint
+    folder) and every analysis reads that stage; construct through
+    ``Workload.of(spark, sf_dir)`` to share it.
+    """
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), sf_dir)
+        inst = _SESSION_WORKLOADS.get(key)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir = spark, sf_dir
+            _SESSION_WORKLOADS[key] = inst
+        return inst
+
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
+        pass
 
     @cached_property
     def headers(self) -> DataFrame:
@@ -46,12 +66,14 @@ class Workload:
 
     @cached_property
     def featured(self) -> DataFrame:
-        return prepare.prepare(self.headers, self.positions, self.years)
+        """Featured part rows (L5), materialised once as a stage table."""
+        return physical.materialize(prepare.prepare(self.headers, self.positions, self.years), "featured")
 
-    @cached_property
+    @property
     def parts(self) -> DataFrame:
-        """Part rows with header columns, without the calendar features."""
-        return prepare.prepare(self.headers, self.positions, None)
+        """Part rows with header columns (same rows as ``featured``; column
+        pruning on the stage read drops the unused feature columns)."""
+        return self.featured
 
     def table(self, name: str) -> DataFrame:
         return dt.read_table(self.spark, self.sf_dir, name)
