@@ -46,12 +46,7 @@ def spark_pattern(fmt: str) -> tuple[str, str]:
     return "".join(pattern), "".join(regex)
 
 
-def parse_timestamp(c: Column, formats=S.DATE_FORMATS) -> Column:
-    """First format that matches wins; NULL when none does.
-
-    Result type is TIMESTAMP_NTZ (wall-clock, no zone).
-    """
-    s = F.trim(c.cast("string"))
+def _parse_one(s: Column, formats) -> Column:
     tries = []
     for fmt in formats:
         pattern, regex = spark_pattern(fmt)
@@ -59,6 +54,19 @@ def parse_timestamp(c: Column, formats=S.DATE_FORMATS) -> Column:
     return F.coalesce(*tries).cast(T.TimestampNTZType())
 
 
+def parse_timestamp(c: Column, formats=S.DATE_FORMATS) -> Column:
+    """First format that matches wins; NULL when none does.
+
+    Result type is TIMESTAMP_NTZ (wall-clock, no zone).  The per-value parse
+    runs inside a one-element ``transform``: ten guarded parsers per column
+    would otherwise be inlined into the generated code of the whole stage,
+    and several date columns push it past the JVM's 64 KB method limit
+    (slow compile, then fallback for the whole stage).
+    """
+    s = F.trim(c.cast("string"))
+    return F.get(F.transform(F.array(s), lambda x: _parse_one(x, formats)), 0)
+
+
 def parse_arg_date(value: str, formats=S.ARG_DATE_FORMATS) -> _dt.date:
     """Validate and parse a period argument (T10).  Driver-side, one value."""
     if isinstance(value, _dt.datetime):

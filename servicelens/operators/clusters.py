@@ -9,6 +9,9 @@ best score wins and is refitted.  The part table is cached for the sweep.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -46,7 +49,7 @@ def _partitions(n: int) -> int:
     return max(1, -(-n // ROWS_PER_PARTITION))
 
 
-def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED) -> DataFrame:
+def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, parallelism: int = 4) -> DataFrame:
     """Silhouette per k (M10, M11) with a ``chosen`` flag on the first k of
     the best score (O4).  k is clipped to parts - 1; fewer than 3 parts is an
     error (no k >= 2 can be scored)."""
@@ -64,10 +67,15 @@ def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED) ->
     try:
         lo, hi = k_range[0], min(k_range[1], n - 1)
         evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
-        scores = []
-        for k in range(lo, hi + 1):
+
+        def score(k: int) -> tuple[int, float]:
             model = KMeans(k=k, seed=seed, featuresCol="features").fit(vec)
-            scores.append((k, float(evaluator.evaluate(model.transform(vec)))))
+            return k, float(evaluator.evaluate(model.transform(vec)))
+
+        # Independent fits run as concurrent Spark jobs (like CrossValidator's
+        # ``parallelism``); each is small, so the cluster is otherwise idle.
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, hi - lo + 1))) as pool:
+            scores = list(pool.map(inheritable_thread_target(score), range(lo, hi + 1)))
     finally:
         vec.unpersist()
     best = max(scores, key=lambda t: (t[1], -t[0]))[0]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from servicelens import schema as S
 from servicelens.functions.dates import month_start
 from servicelens.operators.ordinal import with_ordinal
+from servicelens.plans import physical
 
 # A pivot wider than this is not a table; refuse instead of collecting.
 MAX_PIVOT_COLUMNS = 10_000
@@ -136,9 +137,11 @@ def sequences(
 
 def demand_dataset(rows: DataFrame, q: float = S.DEFAULT_QUANTILE, length: int = S.DEFAULT_SEQUENCE_LENGTH) -> DataFrame:
     """The whole forecasting dataset from already type/period-filtered part
-    rows (M15)."""
-    monthly = monthly_demand(rows)
-    top = top_contributors(part_share(monthly), q)
+    rows (M15).  The monthly aggregate (parts x months, small next to the
+    order lines) and the selected parts are written once each, so the share,
+    quantile, selection and grid branches do not recompute their inputs."""
+    monthly = physical.materialize(monthly_demand(rows), "monthly")
+    top = physical.materialize(top_contributors(part_share(monthly), q), "top")
     return sequences(fill_months(selected_monthly(monthly, top)), length)
 
 

@@ -15,6 +15,7 @@ from servicelens import schema as S
 from servicelens.functions import dates, scalar, workcal
 from servicelens.functions.scalar import itemset_label
 from servicelens.operators import clusters, demand, descriptive, prepare, rules
+from servicelens.plans import physical
 from servicelens.plans import workload as WL
 from servicelens.plans.workload import END, START, TYPE, Workload
 from servicelens.sources import csv as csvio
@@ -168,13 +169,13 @@ def sankey_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _monthly(w: Workload) -> DataFrame:
     rows = descriptive.select_rows(w.parts, TYPE, WL.FULL_START, WL.FULL_END)
-    return demand.monthly_demand(rows)
+    return physical.materialize(demand.monthly_demand(rows), "monthly")
 
 
 def _filled(w: Workload) -> DataFrame:
     monthly = _monthly(w)
-    top = demand.top_contributors(demand.part_share(monthly))
-    return demand.fill_months(demand.selected_monthly(monthly, top))
+    top = physical.materialize(demand.top_contributors(demand.part_share(monthly)), "top")
+    return physical.materialize(demand.fill_months(demand.selected_monthly(monthly, top)), "filled")
 
 
 def _month_label(c: str = "month"):

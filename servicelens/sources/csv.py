@@ -8,7 +8,7 @@ instead of failing the job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,28 +31,26 @@ def delimiter_profile(lines: DataFrame, candidates=CANDIDATE_DELIMITERS, col: st
     for i, ch in enumerate(candidates):
         n = _occurrences(F.col("line"), ch)
         aggs += [F.min(n).alias(f"mn{i}"), F.max(n).alias(f"mx{i}"), F.sum(n).alias(f"sm{i}")]
-    stats = text.agg(F.count(F.lit(1)).alias("lines"), *aggs)
-    rows = [
-        stats.select(
-            F.lit(ch).alias("delimiter"),
-            F.lit(i).alias("candidate_ord"),
-            F.col("lines").cast("long").alias("lines"),
-            F.col(f"mn{i}").cast("long").alias("min_count"),
-            F.col(f"mx{i}").cast("long").alias("max_count"),
-            F.col(f"sm{i}").cast("long").alias("total_count"),
-        )
-        for i, ch in enumerate(candidates)
-    ]
-    prof = rows[0]
-    for r in rows[1:]:
-        prof = prof.unionByName(r)
-    prof = prof.withColumn("consistent", (F.col("min_count") == F.col("max_count")) & (F.col("min_count") > 0))
-    # Rank: consistent first, then per-line count, then candidate order.  At
-    # most len(candidates) rows, so a plain sort is fine.
-    best = prof.orderBy(F.col("consistent").desc(), F.col("max_count").desc(), F.col("total_count").desc(), "candidate_ord").limit(1)
-    return prof.join(best.select("delimiter", F.lit(True).alias("chosen")), "delimiter", "left").withColumn(
-        "chosen", F.coalesce("chosen", F.lit(False))
+    stats = text.agg(F.count(F.lit(1)).alias("lines"), *aggs)  # one row, one pass
+    per_candidate = F.array(
+        *[
+            F.struct(
+                F.lit(ch).alias("delimiter"),
+                F.lit(i).alias("candidate_ord"),
+                F.col("lines").cast("long").alias("lines"),
+                F.col(f"mn{i}").cast("long").alias("min_count"),
+                F.col(f"mx{i}").cast("long").alias("max_count"),
+                F.col(f"sm{i}").cast("long").alias("total_count"),
+            )
+            for i, ch in enumerate(candidates)
+        ]
     )
+    prof = stats.select(F.explode(per_candidate).alias("c")).select("c.*")
+    prof = prof.withColumn("consistent", (F.col("min_count") == F.col("max_count")) & (F.col("min_count") > 0))
+    # Rank: consistent first, then per-line count, then candidate order.  The
+    # window spans only the candidate rows (four by default).
+    w = Window.orderBy(F.col("consistent").desc(), F.col("max_count").desc(), F.col("total_count").desc(), "candidate_ord")
+    return prof.withColumn("chosen", F.row_number().over(w) == 1)
 
 
 def sniff_delimiter(spark: SparkSession, path: str, candidates=CANDIDATE_DELIMITERS, encoding: str = "UTF-8") -> str:
@@ -80,8 +78,8 @@ def read_csv(
         .option("sep", sep)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
     )
     if schema is not None:
         return reader.schema(schema).csv(path)
@@ -104,8 +102,18 @@ def render_for_csv(df: DataFrame, joiner: str = ",") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """Header CSV folder, overwritten by default."""
-    render_for_csv(df).write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """Header CSV folder, overwritten by default (S6, S9).  Cell text is
+    written as is (Spark trims surrounding blanks by default; " NA" must
+    stay " NA")."""
+    (
+        render_for_csv(df)
+        .write.mode(mode)
+        .option("header", True)
+        .option("sep", sep)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def stage_exists(spark: SparkSession, path: str) -> bool:

@@ -126,7 +126,14 @@ def _p2(c: Column) -> Column:
 
 
 def render_date(d: Column, key: Column, shift: int = 0) -> Column:
-    """A date as text in one of the row-level formats, chosen by the key."""
+    """A date as text in one of the row-level formats, chosen by the key.
+
+    Evaluated inside a one-element ``transform`` so seven rendered columns do
+    not inflate the generated code of the stage past the JVM method limit."""
+    return F.get(F.transform(F.array(d), lambda x: _render_date(x, key, shift)), 0)
+
+
+def _render_date(d: Column, key: Column, shift: int) -> Column:
     y, m, dd = F.year(d).cast("string"), F.month(d), F.dayofmonth(d)
     hh, mi, ss = _p2(key % 24), _p2(key % 60), _p2(F.floor(key / 7) % 60)
     frac = F.lpad((key % 1000000).cast("string"), 6, "0")
