@@ -75,7 +75,7 @@ def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, pa
         # Independent fits run as concurrent Spark jobs (like CrossValidator's
         # ``parallelism``); each is small, so the cluster is otherwise idle.
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, hi - lo + 1))) as pool:
-            scores = list(pool.map(inheritable_thread_target(score), range(lo, hi + 1)))
+            scores = list(pool.map(inheritable_thread_target(spark)(score), range(lo, hi + 1)))
     finally:
         vec.unpersist()
     best = max(scores, key=lambda t: (t[1], -t[0]))[0]
