@@ -186,7 +186,8 @@ _DEFAULT_YEAR_TABLES: dict[int, DataFrame] = {}
 def default_year_table(spark: SparkSession) -> DataFrame:
     """Year table of the Rhineland-Palatinate calendar (one per session)."""
     key = id(spark)
-    if key not in _DEFAULT_YEAR_TABLES:
+    cached = _DEFAULT_YEAR_TABLES.get(key)
+    if cached is None or cached.sparkSession is not spark:
         rows = _year_rows(rhineland_palatinate_dates(), FIRST_YEAR, LAST_YEAR)
         _DEFAULT_YEAR_TABLES[key] = _local_table(spark, rows)
     return _DEFAULT_YEAR_TABLES[key]

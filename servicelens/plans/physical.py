@@ -11,7 +11,7 @@ from servicelens.session import scratch_path
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in a fresh folder under the shared
     checkpoint folder (``spark.checkpoint.dir``) and read it back.
 
@@ -21,8 +21,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("error")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    out = spark.read.parquet(path)
+    return out.select(*df.columns) if partition_by else out
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

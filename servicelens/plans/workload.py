@@ -43,7 +43,7 @@ class Workload:
     def __new__(cls, spark: SparkSession, sf_dir: str):
         key = (id(spark), sf_dir)
         inst = _SESSION_WORKLOADS.get(key)
-        if inst is None:
+        if inst is None or inst.spark is not spark:
             inst = super().__new__(cls)
             inst.spark, inst.sf_dir = spark, sf_dir
             _SESSION_WORKLOADS[key] = inst
@@ -67,7 +67,9 @@ class Workload:
     @cached_property
     def featured(self) -> DataFrame:
         """Featured part rows (L5), materialised once as a stage table."""
-        return physical.materialize(prepare.prepare(self.headers, self.positions, self.years), "featured")
+        return physical.materialize(
+            prepare.prepare(self.headers, self.positions, self.years), "featured", partition_by=["product_type"]
+        )
 
     @property
     def parts(self) -> DataFrame:
