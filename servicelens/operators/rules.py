@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from servicelens import schema as S
 from servicelens.functions.scalar import itemset_label
 from servicelens.operators.ordinal import dense_ordinal
+from servicelens.plans import physical
 
 METRICS = ("support", "confidence", "lift", "leverage", "conviction", "zhang")
 
@@ -44,23 +45,27 @@ def frequent_itemsets(basket_df: DataFrame, min_support: float, num_partitions:
     """Itemsets with support >= ``min_support`` (M2).
 
     Columns: items (sorted array), size, freq, support, n_baskets.
+
+    The baskets are written once (FP-growth passes over them several times)
+    and so is the itemset table: MLlib returns it backed by an unpersisted
+    RDD, and rule generation reads it three times.
     """
+    items = physical.materialize(basket_df.select("items"), "baskets")
+    n = items.count()
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(basket_df.select("items"))
-    n = basket_df.agg(F.count(F.lit(1)).alias("n_baskets"))
-    sets = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq"))
-    out = sets.crossJoin(F.broadcast(n)).select(
-        "items",
+    model = fp.fit(items)
+    sets = model.freqItemsets.select(
+        F.array_sort("items").alias("items"),
         F.size("items").alias("size"),
-        "freq",
-        (F.col("freq").cast("double") / F.col("n_baskets").cast("double")).alias("support"),
-        "n_baskets",
+        F.col("freq").cast("long").alias("freq"),
+        (F.col("freq").cast("double") / F.lit(float(n))).alias("support"),
+        F.lit(n).cast("long").alias("n_baskets"),
     )
     # FP-growth's integer count threshold equals the support threshold; keep
     # the float comparison as the definition.
-    return out.where(F.col("support") >= F.lit(min_support))
+    return physical.materialize(sets.where(F.col("support") >= F.lit(min_support)), "itemsets")
 
 
 def _split(items: Column, mask: Column, bit: int) -> Column:

@@ -25,7 +25,7 @@ FULL_START, FULL_END = "01.01.1995", "31.12.2001"
 RULE_ITEM = "part_type"
 RULE_MIN_SUPPORT = 0.1
 RULE_MIN_CONFIDENCE = 0.4
-RULE_WATCH = ("ECONOMY", "PROMO")
+RULE_WATCH = ("ECONOMY", "PROMO", "STANDARD")
 
 
 _SESSION_WORKLOADS: dict[tuple[int, str], "Workload"] = {}
