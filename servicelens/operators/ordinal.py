@@ -4,9 +4,10 @@
 task.  Here the rows are range-partitioned and sorted by the ordering keys
 (a distributed sort), each partition counts its rows, the per-partition
 counts (one row per partition) become offsets, and a row's ordinal is its
-partition's offset plus its position inside the partition.  The counts and
-the ordinals read the same range-shuffle output (the plan reuses the
-exchange), so both see identical partitions.
+partition's offset plus its position inside the partition.  The sorted rows
+with their (partition, position) tags are written once before the counts
+are taken, so the counts and the ordinals see exactly the same partitions
+(adaptive execution may coalesce one shuffle differently for two readers).
 
 The ordering keys must form a total order (add a unique tie-breaker) for the
 ordinal to be deterministic.
@@ -17,13 +18,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from servicelens.plans import physical
+
 
 def with_ordinal(df: DataFrame, order_by: list[Column | str], name: str = "rank", base: int = 1) -> DataFrame:
     cols = df.columns
-    ordered = df.orderBy(*order_by).select(
-        *cols,
-        F.spark_partition_id().alias("__pid"),
-        F.monotonically_increasing_id().alias("__mid"),
+    ordered = physical.materialize(
+        df.orderBy(*order_by).select(
+            *cols,
+            F.spark_partition_id().alias("__pid"),
+            F.monotonically_increasing_id().alias("__mid"),
+        ),
+        "ordinal",
     )
     counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per shuffle partition: bounded by the partition count.
