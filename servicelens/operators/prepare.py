@@ -15,7 +15,7 @@ scan are each shuffled once and joined co-partitioned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from servicelens import schema as S
@@ -36,11 +36,17 @@ def clean_headers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     the quarantine frame with reason ``unparsed_date``.
     """
     normalised = raw.select(*[scalar.na_to_null(F.col(c)).alias(c) for c in raw.columns]).na.drop("any")
-    renamed = normalised.withColumnsRenamed(
-        {k: v for k, v in S.HEADER_SOURCE_COLUMNS.items() if k in raw.columns}
-    )
-    typed = renamed.withColumn("address_code", scalar.drop_third_char(F.col("address_code")))
-    typed = typed.withColumns({c: dates.parse_timestamp(F.col(c)) for c in S.STAGE_DATES})
+    names = {k: v for k, v in S.HEADER_SOURCE_COLUMNS.items() if k in raw.columns}
+
+    def typed_col(src: str) -> Column:
+        name = names.get(src, src)
+        if name == "address_code":
+            return scalar.drop_third_char(F.col(src)).alias(name)
+        if name in S.STAGE_DATES:
+            return dates.parse_timestamp(F.col(src)).alias(name)
+        return F.col(src).alias(name)
+
+    typed = normalised.select(*[typed_col(c) for c in raw.columns])
     bad = F.lit(False)
     for c in S.STAGE_DATES:
         bad = bad | F.col(c).isNull()
@@ -55,10 +61,8 @@ def clean_positions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     row moves to the quarantine frame with reason ``bad_quantity``.
     """
     normalised = raw.select(*[scalar.na_to_null(F.col(c)).alias(c) for c in raw.columns]).na.drop("any")
-    renamed = normalised.withColumnsRenamed(
-        {k: v for k, v in S.POSITION_SOURCE_COLUMNS.items() if k in raw.columns}
-    )
-    typed = renamed.withColumns(
+    names = {k: v for k, v in S.POSITION_SOURCE_COLUMNS.items() if k in raw.columns}
+    typed = normalised.select(*[F.col(c).alias(names.get(c, c)) for c in raw.columns]).withColumns(
         {
             "position": F.trim("position").try_cast("int"),
             "quantity": scalar.decimal_comma(F.col("quantity_raw")),

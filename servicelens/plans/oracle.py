@@ -627,3 +627,28 @@ FROM prof p""",
 FROM parts GROUP BY product_type""",
     }
 )
+
+
+def _not_marker(cols) -> str:
+    return " AND ".join(f"{c} NOT IN (SELECT unnest({_MARKERS}))" for c in cols)
+
+
+_QTY = f"""CASE WHEN regexp_full_match("MENGE", '{_DEC_RE}') THEN TRY_CAST(trim(replace("MENGE", ',', '.')) AS DOUBLE) END"""
+
+ORACLE["ingested_parts"] = (
+    RAW_BASE
+    + f""", hk AS (
+  SELECT serviceauftrag AS order_id, artikel AS product_article, typ AS product_type,
+    {_parse('datum_wausgang')} AS d_goods_out
+  FROM rawk WHERE {_not_marker(S.HEADER_SOURCE_COLUMNS)}
+),
+pk AS (
+  SELECT "SERVICEAUFTRAG" AS order_id, TRY_CAST(trim("POSITION") AS INTEGER) AS "position", "ARTIKEL" AS part_no,
+    {_QTY} AS quantity
+  FROM rawp
+  WHERE {_not_marker(['"' + c + '"' for c in S.POSITION_SOURCE_COLUMNS])} AND {_QTY} IS NOT NULL
+),
+mk AS (SELECT * FROM hk JOIN pk USING (order_id) WHERE part_no LIKE 'K0%')
+SELECT order_id, "position" AS position, part_no, quantity, product_type, d_goods_out
+FROM mk WHERE NOT EXISTS (SELECT 1 FROM mk m2 WHERE m2.product_article = mk.part_no)"""
+)

@@ -312,6 +312,14 @@ def delimiter_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvio.delimiter_profile(lines)
 
 
+def ingested_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L4 over raw text: clean both exports, merge, keep repair parts."""
+    headers, _ = prepare.clean_headers(dt.raw_header_view(spark, sf_dir))
+    positions, _ = prepare.clean_positions(dt.raw_position_view(spark, sf_dir))
+    parts = prepare.keep_repair_parts(prepare.merge(headers, positions))
+    return parts.select("order_id", "position", "part_no", "quantity", "product_type", "d_goods_out")
+
+
 def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Does each type's goods-out range cover the report period?"""
     return dates.coverage(Workload(spark, sf_dir).parts, "d_goods_out", START, END, by="product_type")
@@ -354,5 +362,6 @@ QUERIES: dict[str, Query] = {
     "parse_dates": parse_dates,
     "na_drop": na_drop,
     "delimiter_profile": delimiter_profile,
+    "ingested_parts": ingested_parts,
     "coverage_check": coverage_check,
 }

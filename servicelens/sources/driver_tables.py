@@ -121,39 +121,31 @@ KEPT_TEXT_EVERY = 41    # every 41st order's address is " NA" (stays text)
 EXTRA_PART_EVERY = 50   # customers whose address has a third dot-part
 
 
-def _p2(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
+# Rendering pattern of each cycle slot (Spark datetime syntax);
+# slot 11 is the impossible day "31.02.<year>".
+RENDER_PATTERNS = (
+    "dd-MM-yyyy", "d.M.yyyy", "dd/MM/yyyy", "yyyy-MM-dd", "yyyy.MM.dd", "yyyy/MM/dd",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "dd.MM.yyyy HH:mm",
+    "dd.MM.yy",
+)
 
 
 def render_date(d: Column, key: Column, shift: int = 0) -> Column:
-    """A date as text in one of the row-level formats, chosen by the key.
-
-    Evaluated inside a one-element ``transform`` so seven rendered columns do
-    not inflate the generated code of the stage past the JVM method limit."""
+    """A date as text in one of the row-level formats, chosen by the key;
+    time of day and fraction are derived from the key too.  Evaluated inside
+    a one-element ``transform``: seven rendered columns inlined into one stage
+    would pass the JVM's 64 KB method limit."""
     return F.get(F.transform(F.array(d), lambda x: _render_date(x, key, shift)), 0)
 
 
 def _render_date(d: Column, key: Column, shift: int) -> Column:
-    y, m, dd = F.year(d).cast("string"), F.month(d), F.dayofmonth(d)
-    hh, mi, ss = _p2(key % 24), _p2(key % 60), _p2(F.floor(key / 7) % 60)
-    frac = F.lpad((key % 1000000).cast("string"), 6, "0")
+    secs = ((F.floor(key / 7) % 60) * 1000000 + key % 1000000).cast("decimal(18,0)") / F.lit(1000000).cast("decimal(18,0)")
+    ts = d.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (key % 24).cast("int"), (key % 60).cast("int"), secs)
     k = (key + shift) % DATE_RENDER_CYCLE
-    ymd = lambda sep: F.concat(y, F.lit(sep), _p2(m), F.lit(sep), _p2(dd))
-    dmy = lambda sep: F.concat(_p2(dd), F.lit(sep), _p2(m), F.lit(sep), y)
-    return (
-        F.when(k == 0, dmy("-"))
-        .when(k == 1, F.concat(dd.cast("string"), F.lit("."), m.cast("string"), F.lit("."), y))
-        .when(k == 2, dmy("/"))
-        .when(k == 3, ymd("-"))
-        .when(k == 4, ymd("."))
-        .when(k == 5, ymd("/"))
-        .when(k == 6, F.concat(ymd("-"), F.lit(" "), hh, F.lit(":"), mi, F.lit(":"), ss, F.lit("."), frac))
-        .when(k == 7, F.concat(ymd("-"), F.lit(" "), hh, F.lit(":"), mi, F.lit(":"), ss))
-        .when(k == 8, F.concat(ymd("-"), F.lit(" "), hh, F.lit(":"), mi))
-        .when(k == 9, F.concat(dmy("."), F.lit(" "), hh, F.lit(":"), mi))
-        .when(k == 10, F.concat(_p2(dd), F.lit("."), _p2(m), F.lit("."), F.substring(y, 3, 2)))
-        .otherwise(F.concat(F.lit("31.02."), y))
-    )
+    out = F.when(k == len(RENDER_PATTERNS), F.concat(F.lit("31.02."), F.year(d).cast("string")))
+    for i, pattern in enumerate(RENDER_PATTERNS):
+        out = out.when(k == i, F.date_format(ts, pattern))
+    return out
 
 
 def raw_header_view(spark: SparkSession, sf_dir: str) -> DataFrame:
