@@ -49,7 +49,7 @@ def _partitions(n: int) -> int:
     return max(1, -(-n // ROWS_PER_PARTITION))
 
 
-def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, parallelism: int | None = None) -> DataFrame:
     """Silhouette per k (M10, M11) with a ``chosen`` flag on the first k of
     the best score (O4).  k is clipped to parts - 1; fewer than 3 parts is an
     error (no k >= 2 can be scored)."""
@@ -74,6 +74,7 @@ def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, pa
 
         # Independent fits run as concurrent Spark jobs (like CrossValidator's
         # ``parallelism``); each is small, so the cluster is otherwise idle.
+        parallelism = parallelism or spark.sparkContext.defaultParallelism
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, hi - lo + 1))) as pool:
             scores = list(pool.map(inheritable_thread_target(spark)(score), range(lo, hi + 1)))
     finally:

@@ -46,6 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        # Local runs and tests only: one JVM, so a scratch folder is shared.
         configured = tempfile.mkdtemp(prefix="servicelens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
