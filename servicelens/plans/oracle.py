@@ -9,11 +9,10 @@ tables from the driver tables with the same arithmetic as
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from servicelens import schema as S
-from servicelens.functions.dates import parse_arg_date
+from servicelens.functions.dates import parse_arg_date, spark_pattern
 from servicelens.plans import workload as W
+from servicelens.sources import driver_tables as _dt
 
 
 def _d(value: str) -> str:
@@ -478,8 +477,6 @@ ORACLE["demand_pivot"] = (
 # Raw text: the exports rebuilt as strings, then cleaned.
 # ---------------------------------------------------------------------------
 
-from servicelens.functions.dates import spark_pattern  # noqa: E402
-from servicelens.sources import driver_tables as _dt  # noqa: E402
 
 _MARKERS = "[" + ", ".join("'" + m.replace("'", "''") + "'" for m in S.NA_MARKERS) + "]"
 _RAW_ADDR = (
