@@ -97,7 +97,9 @@ def process_analysis(
     Order count, total labour units (one row per order) and the order cycle
     (working days of the period / orders) are computed once, as a one-row
     table joined to every part row; the per-part figures come from one hash
-    aggregate over the part rows.
+    aggregate over the part rows.  ``part_seq`` numbers the parts in
+    first-seen order (first order, then position), the row order of the
+    original table.
     """
     rows = select_rows(featured, product_type, start, end)
     group = ["product_type"] if product_type is None else []
@@ -114,7 +116,12 @@ def process_analysis(
     parts = rows.groupBy(*group, "part_no").agg(
         F.min_by("part_name", F.struct("order_id", "position")).alias("part_name"),
         F.sum("quantity").cast("double").alias("total_part_qty"),
+        F.min(F.struct("order_id", "position")).alias("__first"),
     )
+    # Parts numbered in first-seen order (by their first order line).
+    parts = with_ordinal(
+        parts, [*[F.col(g) for g in group], F.col("__first"), F.col("part_no")], "part_seq"
+    ).drop("__first")
     joined = (
         parts.join(F.broadcast(scalars), group, "inner") if group else parts.crossJoin(F.broadcast(scalars))
     )
@@ -125,6 +132,7 @@ def process_analysis(
         "total_labour_units",
         scalar.round2(F.try_divide(F.col("total_labour_units"), F.col("n_orders")), digits).alias("labour_units_per_order"),
         scalar.round2(F.try_divide(F.col("wd").cast("double"), F.col("n_orders")), digits).alias("order_cycle"),
+        "part_seq",
         "part_no",
         "part_name",
         "total_part_qty",

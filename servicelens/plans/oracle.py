@@ -201,16 +201,23 @@ sc AS (
 ),
 period AS (SELECT 0 AS pid, {START} AS a, {END} AS b),
 {brute_force_wd('period', 'period_n')},
-pp AS (
+pp0 AS (
   SELECT part_no, first(part_name ORDER BY order_id, "position") AS part_name,
-    CAST(sum(quantity) AS DOUBLE) AS total_part_qty
+    CAST(sum(quantity) AS DOUBLE) AS total_part_qty, min(order_id) AS first_order
   FROM sel GROUP BY part_no
 ),
+pp AS (
+  SELECT pp0.*, CAST(row_number() OVER (ORDER BY first_order, first_pos, part_no) AS BIGINT) AS part_seq
+  FROM pp0 JOIN (
+    SELECT s.part_no, min(s."position") AS first_pos FROM sel s JOIN pp0 p
+      ON s.part_no = p.part_no AND s.order_id = p.first_order GROUP BY s.part_no
+  ) fp USING (part_no)
+),
 process AS (
   SELECT {START} AS start_date, {END} AS end_date, {TYPE} AS product_type, sc.n_orders, sc.total_labour_units,
     sc.total_labour_units / CAST(sc.n_orders AS DOUBLE) AS labour_units_per_order,
     CAST(coalesce((SELECT n FROM period_n), 0) AS DOUBLE) / CAST(sc.n_orders AS DOUBLE) AS order_cycle,
-    pp.part_no, pp.part_name, pp.total_part_qty,
+    pp.part_seq, pp.part_no, pp.part_name, pp.total_part_qty,
     pp.total_part_qty / CAST(sc.n_orders AS DOUBLE) AS part_qty_per_order
   FROM pp CROSS JOIN sc
 )"""

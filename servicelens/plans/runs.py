@@ -44,10 +44,14 @@ def preprocessing(spark: SparkSession, kopf_path: str, pos_path: str, out: str,
         bad_h.select(*cols).unionByName(bad_p.select(*cols)).write.parquet(p["quarantine"])
     csvio.write_stage(headers, p["preprocessed"] + "_headers")
     csvio.write_stage(positions, p["preprocessed"] + "_positions")
-    return prepare.keep_repair_parts(
+    parts = prepare.keep_repair_parts(
         prepare.merge(csvio.read_stage(spark, p["preprocessed"] + "_headers"),
                       csvio.read_stage(spark, p["preprocessed"] + "_positions"))
     )
+    # O1: the export is sorted by order, position and goods-in date (a
+    # range-partitioned sort; only the export needs an order).
+    csvio.write_csv(parts.orderBy("order_id", "position", "d_goods_in"), os.path.join(p["results"], "preprocessed"))
+    return parts
 
 
 def feature_engineering(spark: SparkSession, out: str, holidays: DataFrame | None = None) -> DataFrame:

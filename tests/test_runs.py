@@ -16,7 +16,7 @@ def test_end_to_end_run(spark):
     runs.main(spark, f"{base}/raw/kopf", f"{base}/raw/pos", out, "BUILDING", "01.01.1995", "31.12.2001",
               min_support=0.1, min_threshold=0.4, watch=None, item_col="part_no")
     res = f"{out}/results"
-    for sub in ["descriptive/time_periods", "descriptive/process", "diagnostic/part_clusters",
+    for sub in ["preprocessed", "descriptive/time_periods", "descriptive/process", "diagnostic/part_clusters",
                 "diagnostic/component_rules", "predictive/sequences"]:
         assert os.path.isdir(f"{res}/{sub}"), sub
     time_row = spark.read.option("header", True).csv(f"{res}/descriptive/time_periods").first()
