@@ -87,12 +87,14 @@ def keep_repair_parts(merged: DataFrame, prefix: str = S.PART_PREFIX) -> DataFra
     """Keep part articles (F2), then drop parts that are also product
     articles of the surviving rows (F3, anti join).
 
-    The product-article set is tiny next to the fact table; AQE turns the
-    anti join into a broadcast at runtime once its measured size is known.
+    The product-article set is small next to the fact table (one partial
+    aggregate); it is broadcast to the part rows after its row count is
+    checked, so the merged rows are not shuffled by part number.  Above the
+    limit the anti join shuffles instead.
     """
     kept = merged.where(F.col("part_no").startswith(prefix))
     products = kept.select(F.col("product_article").alias("part_no")).distinct()
-    return kept.join(products, "part_no", "left_anti")
+    return kept.join(physical.broadcast_if_small(products), "part_no", "left_anti")
 
 
 # --------------------------------------------------------------------------
