@@ -49,8 +49,12 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
     The values are ranked with a distributed sort (no single-task collect);
     only the two neighbouring ranks are read back.
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    ranked = with_ordinal(vals, [F.col("v")], "r", base=0)
+    # A row hash breaks ties, so a value held by many rows still spreads over
+    # several range partitions of the sort (only values enter the result).
+    vals = df.select(F.col(col).cast("double").alias("v"), F.xxhash64(*df.columns).alias("t")).where(
+        F.col("v").isNotNull()
+    )
+    ranked = with_ordinal(vals, [F.col("v"), F.col("t")], "r", base=0)
     n = vals.agg(F.count(F.lit(1)).alias("n"))
     pos = n.select(((F.col("n") - 1) * F.lit(q)).alias("pos"))
     pos = pos.select("pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
