@@ -26,3 +26,17 @@ def test_incremental_ingest_equals_batch(spark):
     key = lambda df: sorted(tuple(str(x) for x in r) for r in df.select(*sorted(df.columns)).collect())
     assert key(got) == key(want)
     assert spark.read.parquet(f"{base}/stage/positions").select("batch_id").distinct().count() == 2
+
+
+def test_header_stream_quarantines_unparsed_dates(spark):
+    base = tempfile.mkdtemp(prefix="servicelens-stream-h-")
+    raw = dt.raw_header_view(spark, SF_SMALL)
+    csvio.write_csv(raw, f"{base}/landing/a", sep=";")
+    q = ingest.start_ingest(spark, f"{base}/landing/*", f"{base}/stage", f"{base}/ckpt", kind="headers")
+    q.awaitTermination()
+    got = ingest.read_ingested(spark, f"{base}/stage", "headers").drop("batch_id")
+    want, bad = prepare.clean_headers(raw)
+    assert got.count() == want.count() > 0
+    stream_bad = spark.read.parquet(f"{base}/stage/headers_quarantine")
+    assert stream_bad.count() == bad.count() > 0
+    assert {r.reject_reason for r in stream_bad.select("reject_reason").distinct().collect()} == {"unparsed_date"}
