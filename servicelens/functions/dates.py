@@ -46,12 +46,41 @@ def spark_pattern(fmt: str) -> tuple[str, str]:
     return "".join(pattern), "".join(regex)
 
 
+def _signature(fmt: str) -> tuple[str, bool]:
+    """Literal (non-directive) characters of a format, and whether it starts
+    with a four-digit year.  Every directive matches digits only, so a string
+    can match ``fmt`` only if its non-digit characters are exactly these."""
+    literals, i = [], 0
+    while i < len(fmt):
+        if fmt[i : i + 2] in _DIRECTIVES:
+            i += 2
+        else:
+            literals.append(fmt[i])
+            i += 1
+    return "".join(literals), fmt.startswith("%Y")
+
+
 def _parse_one(s: Column, formats) -> Column:
-    tries = []
+    """Dispatch on the string's separator signature (digits removed) and on a
+    leading four-digit year, then run only the candidate formats' guarded
+    parsers, in their original order.  Same result as trying every format in
+    order (shapes that cannot match are skipped), at one regex per value."""
+    sig = F.translate(s, "0123456789", "")
+    head = F.substring(s, 1, 4)
+    year_first = (F.length(head) == 4) & (F.translate(head, "0123456789", "") == "")
+    groups: dict[tuple[str, bool], list[str]] = {}
     for fmt in formats:
-        pattern, regex = spark_pattern(fmt)
-        tries.append(F.when(s.rlike(regex), F.try_to_timestamp(s, F.lit(pattern))))
-    return F.coalesce(*tries).cast(T.TimestampNTZType())
+        groups.setdefault(_signature(fmt), []).append(fmt)
+    out = None
+    for (literals, yf), fmts in groups.items():
+        tries = []
+        for fmt in fmts:
+            pattern, regex = spark_pattern(fmt)
+            tries.append(F.when(s.rlike(regex), F.try_to_timestamp(s, F.lit(pattern))))
+        cond = (sig == F.lit(literals)) & (year_first if yf else ~year_first)
+        branch = tries[0] if len(tries) == 1 else F.coalesce(*tries)
+        out = F.when(cond, branch) if out is None else out.when(cond, branch)
+    return out.cast(T.TimestampNTZType())
 
 
 def parse_timestamp(c: Column, formats=S.DATE_FORMATS) -> Column:

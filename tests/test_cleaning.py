@@ -70,3 +70,25 @@ def test_quantity_quarantine(spark):
     good, bad = prepare.clean_positions(raw)
     assert [r.quantity for r in good.collect()] == [1.5]
     assert [r.quantity_raw for r in bad.collect()] == ["1.234,5"]
+
+
+def _first_format(value: str):
+    from servicelens import schema as S
+
+    for fmt in S.DATE_FORMATS:
+        try:
+            return dt.datetime.strptime(value.strip(), fmt)
+        except ValueError:
+            continue
+    return None
+
+
+def test_parse_matches_formats_in_order(spark):
+    samples = [
+        "1-10-2017", "01-10-2017", "1.10.2017", "10/1/2017", "2017-1-10", "2017.01.10", "2017/1/1",
+        "2017-07-01 10:00:00.123456", "2017-07-01 9:05:07", "2017-07-01 9:5", "01.07.2017 10:00",
+        " 01.07.2017 ", "2017-07-01T10:00", "29.02.2019", "29.02.2020", "2017-13-01", "17-07-01",
+        "01.07.2017 10:00:00", "2017-07-01 10", "", "abc",
+    ]
+    got = col_values(spark, samples, dates.parse_timestamp)
+    assert got == [_first_format(v) for v in samples]
