@@ -159,3 +159,14 @@ def test_ordinal_is_global(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     got = with_ordinal(df, [F.col("v")], "r").collect()
     assert sorted((r.r, r.v) for r in got) == [(i + 1, i) for i in range(1000)]
+
+
+def test_rule_masks_across_chunks(spark, monkeypatch):
+    b = _baskets(spark, [["a", "b", "c", "d"]] * 3 + [["a"]])
+    sets = rules.frequent_itemsets(b, 0.5)
+    assert sets.count() == 15
+    whole = {(tuple(r.antecedents), tuple(r.consequents)) for r in rules.association_rules(sets, "confidence", 0.0).collect()}
+    monkeypatch.setattr(rules, "MASK_CHUNK", 3)
+    chunked = {(tuple(r.antecedents), tuple(r.consequents)) for r in rules.association_rules(sets, "confidence", 0.0).collect()}
+    assert len(whole) == 3 ** 4 - 2 ** 5 + 1 == 50
+    assert chunked == whole
