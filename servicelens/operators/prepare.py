@@ -8,9 +8,10 @@ typed forms have the columns of ``schema``:
 
 Plan shape: stage durations and labour units are per *order*, so they are
 computed on the header side (one row per order) before the header x position
-join instead of once per position row.  Every join here is keyed by
-``order_id``, so the header aggregate, the labour aggregate and the position
-scan are each shuffled once and joined co-partitioned.
+join instead of once per position row.  Headers and the per-order aggregate
+of the positions are joined co-partitioned by ``order_id``; that per-order
+table is written once (see ``prepare``), and the part lines are shuffled once,
+by ``order_id``, for the final join.
 """
 
 from __future__ import annotations
