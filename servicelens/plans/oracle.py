@@ -656,3 +656,37 @@ mk AS (SELECT * FROM hk JOIN pk USING (order_id) WHERE part_no LIKE 'K0%')
 SELECT order_id, "position" AS position, part_no, quantity, product_type, d_goods_out
 FROM mk WHERE NOT EXISTS (SELECT 1 FROM mk m2 WHERE m2.product_article = mk.part_no)"""
 )
+
+ORACLE["process_analysis_by_type"] = (
+    BASE[:-1]
+    + ","
+    + SEL_ALL.strip("\n")
+    + f""",
+po AS (SELECT DISTINCT order_id, product_type, labour_units FROM sel),
+sc AS (
+  SELECT product_type, CAST(count(*) AS BIGINT) AS n_orders,
+    CAST(coalesce(sum(labour_units), 0) AS DOUBLE) AS total_labour_units
+  FROM po GROUP BY product_type
+),
+period AS (SELECT 0 AS pid, {START} AS a, {END} AS b),
+{brute_force_wd('period', 'period_n')},
+pp0 AS (
+  SELECT product_type, part_no, first(part_name ORDER BY order_id, "position") AS part_name,
+    CAST(sum(quantity) AS DOUBLE) AS total_part_qty, min(order_id) AS first_order
+  FROM sel GROUP BY product_type, part_no
+),
+pp AS (
+  SELECT pp0.*, CAST(row_number() OVER (ORDER BY product_type, first_order, first_pos, part_no) AS BIGINT) AS part_seq
+  FROM pp0 JOIN (
+    SELECT s.product_type, s.part_no, min(s."position") AS first_pos FROM sel s JOIN pp0 p
+      ON s.product_type = p.product_type AND s.part_no = p.part_no AND s.order_id = p.first_order
+    GROUP BY s.product_type, s.part_no
+  ) fp USING (product_type, part_no)
+)
+SELECT {START} AS start_date, {END} AS end_date, pp.product_type, sc.n_orders, sc.total_labour_units,
+  sc.total_labour_units / CAST(sc.n_orders AS DOUBLE) AS labour_units_per_order,
+  CAST(coalesce((SELECT n FROM period_n), 0) AS DOUBLE) / CAST(sc.n_orders AS DOUBLE) AS order_cycle,
+  pp.part_seq, pp.part_no, pp.part_name, pp.total_part_qty,
+  pp.total_part_qty / CAST(sc.n_orders AS DOUBLE) AS part_qty_per_order
+FROM pp JOIN sc USING (product_type)"""
+)

@@ -93,6 +93,12 @@ def process_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return descriptive.process_analysis(w.featured, TYPE, START, END, w.years, digits=None)
 
 
+def process_analysis_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8 grouped form: every product type in one pass."""
+    w = Workload(spark, sf_dir)
+    return descriptive.process_analysis(w.featured, None, START, END, w.years, digits=None)
+
+
 def part_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L9 (O2): parts of the process analysis by quantity."""
     return descriptive.part_ranking(process_analysis(spark, sf_dir))
@@ -335,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "labour_units": labour_units,
     "featured_parts": featured_parts,
     "process_analysis": process_analysis,
+    "process_analysis_by_type": process_analysis_by_type,
     "part_ranking": part_ranking,
     "key_figures": key_figures,
     "baskets": baskets,
