@@ -43,3 +43,22 @@ def test_delimiter_profile_prefers_consistent(spark):
     lines = spark.createDataFrame([("a;b;1,5",), ("c;d;2",), ("e;f;3,0,1",)], "value string")
     prof = {r.delimiter: r for r in csvio.delimiter_profile(lines).collect()}
     assert prof[";"].chosen and prof[";"].consistent and not prof[","].consistent
+
+
+def test_broadcast_only_below_limit(spark):
+    from servicelens.plans import physical
+
+    small = spark.range(10)
+    assert physical.broadcast_if_small(small, 5) is small  # over the limit: left as is
+    hinted = physical.broadcast_if_small(small, 100)
+    assert hinted is not small
+    plan = spark.range(1000).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_materialize_keeps_columns_and_rows(spark):
+    from servicelens.plans import physical
+
+    df = spark.range(20).withColumn("g", F.col("id") % 3).select("g", "id")
+    out = physical.materialize(df, "t", partition_by=["g"])
+    assert out.columns == ["g", "id"] and out.count() == 20
