@@ -690,3 +690,15 @@ SELECT {START} AS start_date, {END} AS end_date, pp.product_type, sc.n_orders, s
   pp.total_part_qty / CAST(sc.n_orders AS DOUBLE) AS part_qty_per_order
 FROM pp JOIN sc USING (product_type)"""
 )
+
+ORACLE["key_figures_by_type"] = (
+    "WITH k AS (SELECT DISTINCT product_type, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _KEY_FIGURES)
+    + " FROM (\n"
+    + ORACLE["process_analysis_by_type"]
+    + "\n) p)\n"
+    + "\nUNION ALL ".join(
+        f"SELECT product_type, '{c}' AS figure, {c} AS value, {i} AS figure_ord FROM k"
+        for i, c in enumerate(_KEY_FIGURES)
+    )
+)

@@ -331,6 +331,11 @@ def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates.coverage(Workload(spark, sf_dir).parts, "d_goods_out", START, END, by="product_type")
 
 
+def key_figures_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L9 (R2) grouped form: the four figures of every product type."""
+    return descriptive.key_figures(process_analysis_by_type(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "working_days_delta": working_days_delta,
     "stage_durations": stage_durations,
@@ -344,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "process_analysis_by_type": process_analysis_by_type,
     "part_ranking": part_ranking,
     "key_figures": key_figures,
+    "key_figures_by_type": key_figures_by_type,
     "baskets": baskets,
     "frequent_itemsets": frequent_itemsets,
     "association_rules": association_rules,
