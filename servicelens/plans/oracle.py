@@ -702,3 +702,10 @@ ORACLE["key_figures_by_type"] = (
         for i, c in enumerate(_KEY_FIGURES)
     )
 )
+
+ORACLE["part_ranking_by_type"] = (
+    "SELECT product_type, part_no, part_name, total_part_qty,\n"
+    "  CAST(row_number() OVER (ORDER BY total_part_qty DESC, product_type, part_no) AS BIGINT) AS rank\nFROM (\n"
+    + ORACLE["process_analysis_by_type"]
+    + "\n) p"
+)

@@ -331,6 +331,11 @@ def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates.coverage(Workload(spark, sf_dir).parts, "d_goods_out", START, END, by="product_type")
 
 
+def part_ranking_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L9 (O2) grouped form: parts of every product type by quantity."""
+    return descriptive.part_ranking(process_analysis_by_type(spark, sf_dir))
+
+
 def key_figures_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L9 (R2) grouped form: the four figures of every product type."""
     return descriptive.key_figures(process_analysis_by_type(spark, sf_dir))
@@ -350,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "part_ranking": part_ranking,
     "key_figures": key_figures,
     "key_figures_by_type": key_figures_by_type,
+    "part_ranking_by_type": part_ranking_by_type,
     "baskets": baskets,
     "frequent_itemsets": frequent_itemsets,
     "association_rules": association_rules,
