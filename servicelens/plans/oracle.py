@@ -709,3 +709,8 @@ ORACLE["part_ranking_by_type"] = (
     + ORACLE["process_analysis_by_type"]
     + "\n) p"
 )
+
+ORACLE["coverage_total"] = with_(VIEWS, PARTS) + f"""SELECT {START} AS start_date, {END} AS end_date,
+  min(d_goods_out) AS min_date, max(d_goods_out) AS max_date,
+  min(d_goods_out) <= {START} AS start_covered, max(d_goods_out) >= {END} AS end_covered
+FROM parts"""

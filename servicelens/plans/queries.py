@@ -341,6 +341,11 @@ def key_figures_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return descriptive.key_figures(process_analysis_by_type(spark, sf_dir))
 
 
+def coverage_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T11, A13 over the whole table (the original's single check)."""
+    return dates.coverage(Workload(spark, sf_dir).parts, "d_goods_out", START, END)
+
+
 QUERIES: dict[str, Query] = {
     "working_days_delta": working_days_delta,
     "stage_durations": stage_durations,
@@ -383,4 +388,5 @@ QUERIES: dict[str, Query] = {
     "delimiter_profile": delimiter_profile,
     "ingested_parts": ingested_parts,
     "coverage_check": coverage_check,
+    "coverage_total": coverage_total,
 }
