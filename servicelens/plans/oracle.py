@@ -714,3 +714,23 @@ ORACLE["coverage_total"] = with_(VIEWS, PARTS) + f"""SELECT {START} AS start_dat
   min(d_goods_out) AS min_date, max(d_goods_out) AS max_date,
   min(d_goods_out) <= {START} AS start_covered, max(d_goods_out) >= {END} AS end_covered
 FROM parts"""
+
+_STAGE_BARS = "\n  UNION ALL ".join(
+    f"SELECT product_type, {i} AS stage_ord, '{c}' AS stage, {c}_avg AS days FROM times"
+    for i, c in enumerate(S.STAGE_DURATIONS)
+)
+
+ORACLE["time_stage_bars"] = (
+    BASE[:-1]
+    + ","
+    + SEL_ALL.strip("\n")
+    + ","
+    + TIME_BY_TYPE.strip("\n")
+    + f""",
+bars AS (
+  {_STAGE_BARS}
+)
+SELECT product_type, stage_ord, stage, days,
+  coalesce(sum(days) OVER (PARTITION BY product_type ORDER BY stage_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS bar_start
+FROM bars"""
+)

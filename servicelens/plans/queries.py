@@ -63,6 +63,11 @@ def time_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return descriptive.time_waterfall(time_analysis_by_type(spark, sf_dir))
 
 
+def time_stage_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L7 without the lead-time bar: the six stages stacked from zero."""
+    return descriptive.time_waterfall(time_analysis_by_type(spark, sf_dir), include_total=False)
+
+
 def prepared_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2, L3 (J1, F2, F3): merged rows that are repair parts."""
     w = Workload(spark, sf_dir)
@@ -352,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "time_analysis": time_analysis,
     "time_analysis_by_type": time_analysis_by_type,
     "time_waterfall": time_waterfall,
+    "time_stage_bars": time_stage_bars,
     "prepared_parts": prepared_parts,
     "labour_units": labour_units,
     "featured_parts": featured_parts,
