@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from servicelens.llm.bpe import op4_query
 from servicelens.llm.decontaminate import op9_query
 from servicelens.llm.license_scan import op3_query
+from servicelens.llm.near_dedup import op6_query
 from servicelens.llm.quality import op7_query
 
 QUERIES = {
     "op3_license_scan": op3_query,
+    "op4_bpe": op4_query,
+    "op6_near_duplicates": op6_query,
     "op7_quality_rules": op7_query,
     "op9_decontamination": op9_query,
 }

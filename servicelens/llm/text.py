@@ -26,7 +26,7 @@ def ascii_lower(text: Column) -> Column:
     """``lower`` for comparisons with ASCII words: A-Z fold, and no other
     character may become an ASCII letter.  The Kelvin sign is the only one
     whose lower case is a single ASCII letter, so it is swapped first."""
-    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("Å")))
+    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u212b")))
 
 
 def plain_words(text: Column) -> Column:
