@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.llm.text import blank_words
+from servicelens.llm.text import blank_words, fenced
 
 # Fixed values of the rules.
 SYMBOLS = "[#*$%&|<>]"
@@ -134,6 +134,7 @@ def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LO
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     df = df.withColumn("base_failed", failed)
     df = df.withColumn("kept", ~failed & (100 * F.col("words_lost") <= max_lost * F.col("n_words")))
+    df = fenced(df)
     return df.select("__row.*", F.struct(*[c for c in df.columns if c != "__row"]).alias("quality"))
 
 

@@ -39,3 +39,10 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     extra columns of any name cannot clash.  Null texts are empty."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     return docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(text).alias("__text_hash"), text.alias("__text"))
+
+
+def fenced(df: DataFrame) -> DataFrame:
+    """``df`` behind a filter that the optimizer cannot move.  A later filter on
+    a column computed from lists would otherwise be pushed below them, and
+    each list would be built anew for every element of another."""
+    return df.withColumn("__fence", F.spark_partition_id()).where("__fence >= 0").drop("__fence")
