@@ -64,18 +64,20 @@ MAX_SHIFT = 3  # words a diagonal may drift within one span
 WHOLE = "#document"
 
 
+def voting_pairs(template: str, passage: bool) -> list[tuple[str, str, int]]:
+    """(word, next word, position) of the pairs that vote for a template."""
+    words = template.split()
+    pairs = [(a, b, i) for i, (a, b) in enumerate(zip(words, words[1:]))]
+    return [p for p in pairs if not (passage and {p[0], p[1]} <= FUNCTION_WORDS)]
+
+
 def template_index(spark: SparkSession, phrases: dict[str, str], passages: dict[str, str]) -> DataFrame:
     """One row per voting pair: the two words, template, its position in it,
     voting pairs of the template, label, kind."""
     rows = [(" ", " ", WHOLE, 0, 1, None, False)]
     for kind, templates in ((False, phrases), (True, passages)):
         for template, label in templates.items():
-            words = template.split()
-            pairs = [
-                (a, b, i)
-                for i, (a, b) in enumerate(zip(words, words[1:]))
-                if not kind or not {a, b} <= FUNCTION_WORDS
-            ]
+            pairs = voting_pairs(template, kind)
             rows += [(a, b, template, i, len(pairs), label, kind) for a, b, i in pairs]
     schema = "w0 string, w1 string, template string, t_pos int, t_votes int, label string, passage boolean"
     return spark.createDataFrame(rows, schema).withColumn("gram", F.xxhash64("w0", "w1"))

@@ -1,3 +1,166 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from servicelens.llm import chat, license_scan, quality, warc
+
+# The same words as the operators': runs without ASCII blanks, lower case of A-Z alone.
+BLANK_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+QUALITY = rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, {BLANK_WORDS.format("coalesce(text, '')")} AS words FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + {quality.WINDOW - 1}], ' ') AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - {quality.WINDOW - 2})) AS i FROM d WHERE len(words) >= {quality.WINDOW})
+), twice AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS k FROM windows) WHERE k > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + {quality.WINDOW})) AS place FROM twice) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, line, {BLANK_WORDS.format("line")} AS lw FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+), judged AS (
+    SELECT *, len(lw) AS n,
+        len(list_filter(lw, lambda w: w IN ({", ".join(map(_quoted, quality.SEPARATORS))}))) AS seps,
+        len(regexp_extract_all(line, '{quality.SYMBOLS}')) + len(regexp_extract_all(line, '!!+'))
+            + len(list_filter(range(2, len(lw) + 1), lambda i: lw[i] = lw[i - 1])) AS noise
+    FROM lines
+), verdicts AS (
+    SELECT *, n > 0 AND (
+        (seps > 0 AND 4 * seps >= n)
+        OR 100 * noise > {quality.MAX_NOISE} * n
+        OR (n < {quality.SHORT_LINE} AND NOT regexp_matches(line, {_quoted(quality.END_MARKS)}))
+        OR regexp_matches(line, {_quoted("(?i)" + "|".join(quality.BOILERPLATE))})
+    ) AS removed
+    FROM judged
+), by_lines AS (
+    SELECT doc_id, count(*) FILTER (n > 0) - count(DISTINCT CASE WHEN n > 0 THEN line END) AS n_dup_lines,
+        count(*) FILTER (removed) AS lines_removed, coalesce(sum(n) FILTER (removed), 0) AS words_lost
+    FROM verdicts GROUP BY doc_id
+), counts AS (
+    SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '{quality.SYMBOLS}'))::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+        coalesce(r.n, 0)::BIGINT AS n_repeat_words, lines_removed::BIGINT AS lines_removed, words_lost::BIGINT AS words_lost
+    FROM d JOIN by_lines USING (doc_id) LEFT JOIN repeated r USING (doc_id)
+)
+SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT} * n_words AS base_failed,
+    NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT} * n_words)
+        AND 100 * words_lost <= {quality.MAX_LOST} * n_words AS kept
+FROM counts
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, {BLANK_WORDS.format(ASCII_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+), s AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS grams
+    FROM d
+), g AS (
+    SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k
+    FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs WHERE 100 * k >= 80 * (na + nb - k)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM s
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT doc_id, len(grams)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
+_BASE32 = " || ".join(
+    f"substr('{warc.BASE32}', ((CAST('0x' || substr(hex, {5 * i + 1}, 5) AS INT) >> {shift}) & 31) + 1, 1)"
+    for i in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+WARC = f"""
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), o AS (
+    SELECT *, max(page_id) OVER (PARTITION BY hex) AS original FROM p
+)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> original THEN original END AS refers_to
+FROM o
+"""
+
+
+def _escapes(text: str) -> str:
+    """Characters that escaping adds."""
+    return rf"(length({text}) - length(replace({text}, '\', '')) + len(regexp_extract_all({text}, '<\||</?s>|\[/?INST\]')))"
+
+
+CHAT = rf"""
+WITH m AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum({len(chat.TURN) + len(chat.END) + 1} + length(role) + {_escapes("role")} + length(role) - length(replace(role, chr(10), ''))
+        + length(text) + {_escapes("text")})::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+
+def _license_scan() -> str:
+    """The operator's rules over tables of words and template pairs."""
+    rows = []
+    for passage, templates in ((False, license_scan.PHRASES), (True, license_scan.PASSAGES)):
+        for template, label in templates.items():
+            pairs = license_scan.voting_pairs(template, passage)
+            rows += [f"({_quoted(a)}, {_quoted(b)}, {_quoted(template)}, {i}, {len(pairs)}, '{label}', {passage})" for a, b, i in pairs]
+    words = ASCII_LOWER.format("coalesce(text, '')")
+    return rf"""
+WITH t(w0, w1, template, t_pos, t_votes, label, passage) AS (VALUES {", ".join(rows)}),
+d AS (
+    SELECT doc_id, regexp_extract_all({words}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), p AS (
+    SELECT doc_id, w[i] AS w0, w[i + 1] AS w1, i - 1 AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)
+), diagonals AS (
+    SELECT doc_id, template, t_votes, label, passage, pos - t_pos AS diagonal, list(DISTINCT t_pos) AS voted, min(pos) AS first, max(pos) AS last
+    FROM p JOIN t USING (w0, w1) GROUP BY ALL
+), marked AS (
+    SELECT *, CASE WHEN coalesce(NOT passage OR abs(diagonal - lag(diagonal) OVER o) > {license_scan.MAX_SHIFT}
+        OR first - lag(last) OVER o > {license_scan.MAX_SHIFT + 1}, true) THEN 1 ELSE 0 END AS apart
+    FROM diagonals WINDOW o AS (PARTITION BY doc_id, template ORDER BY first, diagonal)
+), spanned AS (
+    SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY first, diagonal) AS span FROM marked
+), spans AS (
+    SELECT doc_id, t_votes, label, passage, template, span, min(diagonal) AS start,
+        len(list_distinct(flatten(list(voted)))) AS votes
+    FROM spanned GROUP BY ALL
+), found AS (
+    SELECT *, votes / t_votes AS cover FROM spans WHERE CASE WHEN passage THEN votes / t_votes >= {license_scan.MIN_COVER} ELSE votes = t_votes END
+)
+SELECT d.doc_id, any_value(len(w))::BIGINT AS n_words, count(*) FILTER (NOT passage) AS n_base,
+    min(start) FILTER (NOT passage)::BIGINT AS first_word, max(start) FILTER (NOT passage)::BIGINT AS last_word,
+    coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (NOT passage), '') AS base_labels,
+    coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(cover), 0)::DOUBLE AS score
+FROM d LEFT JOIN found f ON f.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op2_warc_revisits": WARC,
+    "op3_license_scan": _license_scan(),
+    "op6_near_duplicates": NEAR_DUPLICATES,
+    "op7_quality_rules": QUALITY,
+    "op10_chat_format": CHAT,
+}

@@ -26,8 +26,8 @@ from servicelens.llm.text import blank_words, fenced
 
 # Fixed values of the rules.
 SYMBOLS = "[#*$%&|<>]"
-END_MARKS = r"[.!?…:;\"'”’»)\]][\x20\x09-\x0D]*$"
-SEPARATOR = r"(?:^|[\x20\x09-\x0D])[|»›•·>](?=[\x20\x09-\x0D]|$)"
+END_MARKS = r"[.!?…:;\"'”’»)\]][\x20\x09-\x0D]*\z"
+SEPARATORS = ["|", "»", "›", "•", "·", ">"]
 BOILERPLATE = [
     "all rights reserved",
     "click here",
@@ -93,7 +93,7 @@ def line_verdict(line: Column, words: Column, n_words: Column) -> Column:
     stutter = F.filter(words, lambda w, i: (i > 0) & (w == F.get(words, F.greatest(i - 1, F.lit(0)))))
     noise = _matches(line, SYMBOLS) + _matches(line, "!!+") + F.size(stutter)
     unended = (n_words < SHORT_LINE) & ~line.rlike(END_MARKS)
-    separators = _matches(line, SEPARATOR)
+    separators = F.size(F.filter(words, lambda w: w.isin(SEPARATORS)))
     return (
         F.when(n_words == 0, "")
         .when((separators > 0) & (4 * separators >= n_words), "navigation")
