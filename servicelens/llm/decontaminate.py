@@ -112,9 +112,12 @@ def window_hits(docs: DataFrame, windows: DataFrame, small: bool, width: int) ->
     # outer: else the optimizer filters on the array's size first, below the
     # word list, and splits the text anew for every window
     df = df.select(*KEY, "words", "canon", F.posexplode_outer("grams").alias("pos", "gram"))
-    hits = df.join(F.broadcast(windows) if small else windows, "gram")
-    hits = hits.where(F.slice("canon", F.col("pos") + 1, width) == F.col("t_canon"))
-    hits = hits.withColumn("here", F.slice("words", F.col("pos") + 1, width))
+    here = [F.slice(c, F.col("pos") + 1, width).alias(alias) for c, alias in (("words", "here"), ("canon", "here_canon"))]
+    if small:  # the lists stand by for the few hits
+        hits = df.join(F.broadcast(windows), "gram").select("*", *here)
+    else:  # a window goes through the shuffle with its own words only
+        hits = df.where("gram is not null").select(*KEY, "pos", "gram", *here).join(windows, "gram")
+    hits = hits.where(F.col("here_canon") == F.col("t_canon"))
     paired = F.transform("t_canon", lambda c, j: F.struct(c.alias("kind"), F.get(F.col("t_words"), j).alias("theirs"), F.get(F.col("here"), j).alias("ours")))
     slots = F.filter(paired, lambda p: p["kind"].isin("<number>", "<unit>", "<name>"))
     return hits.select(*KEY, "item", "item_hash", "n_windows", "t_pos", "pos", slots.alias("slots"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from servicelens.llm import chat, license_scan, quality, warc
+from servicelens.llm import chat, decontaminate, license_scan, quality, warc
 
 # The same words as the operators': runs without ASCII blanks, lower case of A-Z alone.
 BLANK_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -157,10 +157,75 @@ FROM d LEFT JOIN found f ON f.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
 
+def _decontamination() -> str:
+    """The operator's rules with lists of words in place of hashes."""
+    d = decontaminate
+    values = lambda words: ", ".join(map(_quoted, words))
+    width = d.WINDOW
+    canon = f"""list_transform(words, lambda w, i: CASE
+        WHEN w >= '0' AND w < ':' THEN '<number>'
+        WHEN ((w >= 'A' AND w < '[') OR (w >= 'À' AND w < 'ß')) AND i > 1 AND right(raw[i - 1], 1) NOT IN ({values(d.SENTENCE_MARKS)}) THEN '<name>'
+        WHEN lower(w) IN ({values(d.NUMBER_WORDS)}) THEN '<number>'
+        WHEN lower(w) IN ({values(d.UNITS)}) THEN '<unit>'
+        ELSE lower(w) END)"""
+
+    def windows(table: str, key: str) -> str:
+        return f"""
+    SELECT id, n, i - 1 AS pos, words[i:i + {width - 1}] AS words, canon[i:i + {width - 1}] AS canon,
+        array_to_string(canon[i:i + {width - 1}], chr(1)) AS gram
+    FROM (
+        SELECT *, unnest(range(1, n + 1)) AS i FROM (
+            SELECT id, words, {canon} AS canon, CASE WHEN len(words) = 0 THEN 0 ELSE greatest(1, len(words) - {width - 1}) END AS n
+            FROM (
+                SELECT id, raw, list_transform(raw, lambda w: trim(w, {_quoted(d.OUTER_MARKS)})) AS words
+                FROM (SELECT {key} AS id, {BLANK_WORDS.format("coalesce(text, '')")} AS raw FROM {table})
+            )
+        )
+    )"""
+
+    return f"""
+WITH dw AS ({windows("documents", "doc_id")}), bw AS ({windows("benchmark", "item_id")}),
+hits AS (
+    SELECT dw.id AS doc_id, bw.id AS item_id, bw.n AS n_windows, dw.pos AS pos, bw.pos AS t_pos,
+        list_filter(
+            list_transform(bw.canon, lambda c, j: {{'kind': c, 'theirs': bw.words[j], 'ours': dw.words[j]}}),
+            lambda x: x.kind IN ('<number>', '<unit>', '<name>')
+        ) AS slots
+    FROM dw JOIN bw USING (gram)
+), diagonals AS (
+    SELECT doc_id, item_id, n_windows, pos - t_pos AS diagonal, list(DISTINCT t_pos) AS covered, flatten(list(slots)) AS slots,
+        min(pos) AS first, max(pos) AS last
+    FROM hits GROUP BY ALL
+), marked AS (
+    SELECT *, CASE WHEN coalesce(abs(diagonal - lag(diagonal) OVER o) > {d.MAX_SHIFT} OR first - lag(last) OVER o > n_windows, true)
+        THEN 1 ELSE 0 END AS apart
+    FROM diagonals WINDOW o AS (PARTITION BY doc_id, item_id ORDER BY first, diagonal)
+), spanned AS (
+    SELECT *, sum(apart) OVER (PARTITION BY doc_id, item_id ORDER BY first, diagonal) AS span FROM marked
+), spans AS (
+    SELECT doc_id, item_id, n_windows, span, len(list_distinct(flatten(list(covered)))) AS k,
+        list_distinct(flatten(list(slots))) AS slots, min(first) AS first, max(last) AS last
+    FROM spanned GROUP BY ALL
+), leaks AS (
+    SELECT doc_id, item_id, k / n_windows AS cover, first, last,
+        len(list_filter(slots, lambda x: x.theirs <> x.ours)) = 0 AS verbatim
+    FROM spans
+    WHERE k / n_windows >= {d.MIN_COVER}
+        AND len(list_distinct(list_transform(slots, lambda x: {{'kind': x.kind, 'theirs': x.theirs}}))) = len(slots)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY cover DESC, verbatim DESC, first, last DESC) AS place FROM leaks
+)
+SELECT doc_id, item_id, cover, first::BIGINT AS first_word, (last + {width - 1})::BIGINT AS last_word,
+    CASE WHEN verbatim THEN 'verbatim' ELSE 'reparameterised' END AS kind
+FROM ranked WHERE place = 1
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_warc_revisits": WARC,
     "op3_license_scan": _license_scan(),
     "op6_near_duplicates": NEAR_DUPLICATES,
     "op7_quality_rules": QUALITY,
+    "op9_decontamination": _decontamination(),
     "op10_chat_format": CHAT,
 }
