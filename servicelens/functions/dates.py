@@ -137,10 +137,6 @@ def month_start(c: Column) -> Column:
     return F.trunc(c.cast("date"), "month")
 
 
-def month_label(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM")
-
-
 def coverage(df: DataFrame, col: str, start, end, by: str | None = None) -> DataFrame:
     """Period coverage (T11, A13): does the data reach the requested bounds?
 

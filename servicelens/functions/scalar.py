@@ -41,8 +41,3 @@ def round2(c: Column, digits: int | None = 2) -> Column:
 def itemset_label(items: Column, joiner: str = S.ITEM_JOINER) -> Column:
     """Sorted items joined into one label (P10)."""
     return F.concat_ws(joiner, F.array_sort(items))
-
-
-def null_safe_sum(cols) -> Column:
-    """Row-wise sum with missing values skipped."""
-    return sum((F.coalesce(c, F.lit(0)) for c in cols), F.lit(0))

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from servicelens import schema as S
@@ -130,9 +130,6 @@ def weekday_index(d: Column) -> Column:
     return 5 * F.floor(n / 7) + F.least(n % 7 + 1, F.lit(5))
 
 
-# A holiday table larger than this is not a calendar; refuse to collect it.
-MAX_HOLIDAYS = 400_000
-
 _YEAR_TABLE_SCHEMA = "year int, holidays array<date>, holidays_before long"
 
 
@@ -154,19 +151,20 @@ def year_table(holidays: DataFrame, first_year: int = FIRST_YEAR, last_year: int
     weekday holidays in all earlier years.
 
     Columns: ``year`` INT, ``holidays`` ARRAY<DATE>, ``holidays_before`` BIGINT.
-    The holiday table is a calendar (tens of dates per year), checked against
-    ``MAX_HOLIDAYS`` before it is collected; the result is a local relation of
-    at most 9,999 rows, whatever the size of the fact data.
+    Built by Spark from any holiday table: distinct weekday dates grouped by
+    year, then a running count over the years (at most 9,999 rows).
     """
     spark = holidays.sparkSession
-    distinct = holidays.select(F.col("holiday").cast("date").alias("h")).where(
-        F.col("h").isNotNull() & (F.weekday("h") < 5)
+    day = F.col("holiday").cast("date")
+    distinct = holidays.select(day.alias("h"), F.year(day).alias("year")).where(
+        F.col("h").isNotNull() & (F.weekday("h") < 5) & F.col("year").between(first_year, last_year)
     ).distinct()
-    sample = distinct.limit(MAX_HOLIDAYS + 1).collect()
-    if len(sample) > MAX_HOLIDAYS:
-        raise ValueError(f"holiday table has more than {MAX_HOLIDAYS} weekday dates")
-    rows = _year_rows((r.h for r in sample), first_year, last_year)
-    return _local_table(spark, rows)
+    per_year = distinct.groupBy("year").agg(F.sort_array(F.collect_list("h")).alias("holidays"))
+    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
+    table = years.join(per_year, "year", "left").withColumn("holidays", F.coalesce("holidays", F.array().cast("array<date>")))
+    earlier = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.size("holidays")).over(earlier), F.lit(0)).cast("long")
+    return table.select("year", "holidays", before.alias("holidays_before")).cache()
 
 
 def _local_table(spark: SparkSession, rows) -> DataFrame:
@@ -220,13 +218,6 @@ def _with_indexes(df: DataFrame, date_cols, years: DataFrame):
     return df, idx, helpers
 
 
-def with_workday_index(df: DataFrame, date_col: str, out_col: str, years: DataFrame) -> DataFrame:
-    """Add ``out_col`` = working-day index ``P(date_col)`` (NULL for NULL dates)."""
-    cols = df.columns
-    joined, idx, _ = _with_indexes(df, [date_col], years)
-    return joined.select(*cols, idx[0].alias(out_col))
-
-
 def with_working_days(
     df: DataFrame, start_col: str, end_col: str, out_col: str, years: DataFrame
 ) -> DataFrame:

@@ -2,9 +2,10 @@
 
 Per part: total quantity and number of orders using it (one hash aggregate).
 k-means (MLlib) is fitted for k = 2..10 on the unscaled two features, each
-fit scored with MLlib's silhouette (squared Euclidean, linear cost: the
-original's Euclidean silhouette needs all point pairs); the first k with the
-best score wins and is refitted.  The part table is cached for the sweep.
+fit to its tolerance and scored with MLlib's silhouette (squared Euclidean,
+linear cost: the original's Euclidean silhouette needs all point pairs); the
+first k with the best score wins, and its model gives the labels.  All fits
+read one cached table of a fixed layout.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from servicelens import schema as S
+from servicelens.functions.dates import parse_arg_date
 from servicelens.plans import physical
 
 FEATURES = ("quantity", "frequency")
@@ -42,80 +44,135 @@ def _vectors(features: DataFrame) -> DataFrame:
     )
 
 
-ROWS_PER_PARTITION = 200_000
+# The fit's layout never depends on the row count or the input's layout: the
+# parts are hashed to so many partitions and sorted there.
+FIT_PARTITIONS = 16
+TOLERANCE = 1e-4
+FIRST_ITERATIONS = 20
 
 
-def _partitions(n: int) -> int:
-    return max(1, -(-n // ROWS_PER_PARTITION))
+def _fit_table(features: DataFrame) -> DataFrame:
+    vec = _vectors(features).select("part_no", "features")
+    return vec.repartition(FIT_PARTITIONS, "part_no").sortWithinPartitions("part_no")
 
 
-def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, parallelism: int | None = None) -> DataFrame:
-    """Silhouette per k (M10, M11) with a ``chosen`` flag on the first k of
-    the best score (O4).  k is clipped to parts - 1; fewer than 3 parts is an
-    error (no k >= 2 can be scored)."""
+def converged_fit(vec: DataFrame, k: int, seed: int = SEED, tolerance: float = TOLERANCE):
+    """A k-means model that stopped by its tolerance: the iteration limit is
+    doubled until it is not what ended the fit."""
+    limit = FIRST_ITERATIONS
+    while True:
+        model = KMeans(k=k, seed=seed, featuresCol="features", tol=tolerance, maxIter=limit).fit(vec)
+        if model.summary.numIter < limit:
+            return model
+        limit *= 2
+
+
+def _sweep(features: DataFrame, k_range, seed: int, tolerance: float, parallelism: int | None) -> list[tuple]:
+    """(k, silhouette, model) for every k; the models are fitted on one cached
+    table, as concurrent Spark jobs."""
     spark = features.sparkSession
-    base = _vectors(features).select("part_no", "features").cache()
-    n = base.count()
-    if n < 3:
-        base.unpersist()
-        raise ValueError("clustering needs at least 3 parts")
-    # k-means runs one job per iteration: size the partitions to the part
-    # count (rows per partition), not to the shuffle default.
-    vec = base.coalesce(_partitions(n)).cache()
-    vec.count()
-    base.unpersist()
+    vec = _fit_table(features).cache()
     try:
+        n = vec.count()
+        if n < 3:
+            raise ValueError("clustering needs at least 3 parts")
         lo, hi = k_range[0], min(k_range[1], n - 1)
         evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
 
-        def score(k: int) -> tuple[int, float]:
-            model = KMeans(k=k, seed=seed, featuresCol="features").fit(vec)
-            return k, float(evaluator.evaluate(model.transform(vec)))
+        def score(k: int) -> tuple:
+            model = converged_fit(vec, k, seed, tolerance)
+            return k, float(evaluator.evaluate(model.transform(vec))), model
 
-        # Independent fits run as concurrent Spark jobs (like CrossValidator's
-        # ``parallelism``); each is small, so the cluster is otherwise idle.
         parallelism = parallelism or spark.sparkContext.defaultParallelism
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, hi - lo + 1))) as pool:
-            scores = list(pool.map(inheritable_thread_target(spark)(score), range(lo, hi + 1)))
+            return list(pool.map(inheritable_thread_target(spark)(score), range(lo, hi + 1)))
     finally:
         vec.unpersist()
-    best = max(scores, key=lambda t: (t[1], -t[0]))[0]
-    return spark.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, chosen boolean")
 
 
-def fit_clusters(features: DataFrame, k: int, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Fit k-means with ``k`` clusters: (parts with ``cluster``, centres) (M9,
-    M12)."""
-    spark = features.sparkSession
-    vec = _vectors(features)
-    model = KMeans(k=k, seed=seed, featuresCol="features").fit(vec)
-    labelled = model.transform(vec).drop("features").withColumnRenamed("prediction", "cluster")
-    centres = spark.createDataFrame(
+def _best(scores: list[tuple]) -> tuple:
+    return max(scores, key=lambda t: (t[1], -t[0]))
+
+
+def _score_table(spark, scores: list[tuple]) -> DataFrame:
+    best = _best(scores)[0]
+    return spark.createDataFrame([(k, s, k == best) for k, s, _ in scores], "k int, silhouette double, chosen boolean")
+
+
+def k_sweep(
+    features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, tolerance: float = TOLERANCE, parallelism: int | None = None
+) -> DataFrame:
+    """Silhouette per k (M10, M11) with a ``chosen`` flag on the first k of
+    the best score (O4).  k ends at parts - 1, the largest that a silhouette is
+    defined for; fewer than 3 parts is an error (no k >= 2 can be scored)."""
+    return _score_table(features.sparkSession, _sweep(features, k_range, seed, tolerance, parallelism))
+
+
+def labelled_parts(features: DataFrame, model) -> tuple[DataFrame, DataFrame]:
+    """(parts with ``cluster``, centres) of a fitted model."""
+    labelled = model.transform(_vectors(features)).drop("features").withColumnRenamed("prediction", "cluster")
+    centres = features.sparkSession.createDataFrame(
         [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())],
         "cluster int, quantity double, frequency double",
     )
     return labelled, centres
 
 
-def cluster_parts(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED):
-    """Sweep, pick k, refit (M11, M12): (labelled parts, centres, scores).
+def fit_clusters(features: DataFrame, k: int, seed: int = SEED, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
+    """Fit k-means with ``k`` clusters: (parts with ``cluster``, centres)."""
+    return labelled_parts(features, converged_fit(_fit_table(features), k, seed, tolerance))
+
+
+def cluster_parts(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, tolerance: float = TOLERANCE):
+    """Sweep and pick k (M11, M12): (labelled parts, centres, scores).  The
+    labels are those of the very model that won the sweep.
 
-    The part table is written to the checkpoint folder once and shared by
-    the sweep, the refit and the labelling."""
+    The part table is written to the checkpoint folder once and shared by the
+    sweep and the labelling."""
     features = physical.materialize(features)
-    scores = k_sweep(features, k_range, seed)
-    best = scores.where("chosen").first()["k"]
-    labelled, centres = fit_clusters(features, best, seed)
-    return labelled, centres, scores
+    scores = _sweep(features, k_range, seed, tolerance, None)
+    labelled, centres = labelled_parts(features, _best(scores)[2])
+    return labelled, centres, _score_table(features.sparkSession, scores)
+
+
+def cluster_facts(labelled: DataFrame, centres: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """What must hold of any finished clustering, whatever its labels: per part
+    whether its own centre is the nearest one, and whether its own centre is
+    the mean of its members (up to ``tolerance`` of the spread of the values).
+
+    The centres (as many as k) are broadcast."""
+    means = labelled.groupBy("cluster").agg(*[F.avg(c).alias(f"mean_{c}") for c in FEATURES])
+    spread = labelled.agg(*[(F.max(c) - F.min(c) + 1).alias(f"spread_{c}") for c in FEATURES])
+    own = centres.join(means, "cluster").crossJoin(F.broadcast(spread))
+    close = [F.abs(F.col(c) - F.col(f"mean_{c}")) <= tolerance * F.col(f"spread_{c}") for c in FEATURES]
+    own = own.select("cluster", (close[0] & close[1]).alias("centre_is_mean"))
+    all_centres = centres.agg(F.collect_list(F.struct("cluster", *FEATURES)).alias("__centres"))
+    square = lambda x: x * x
+    distance = lambda c: square(c["quantity"] - F.col("quantity")) + square(c["frequency"] - F.col("frequency"))
+    least = F.array_min(F.transform("__centres", distance))
+    mine = F.element_at(F.transform(F.filter("__centres", lambda c: c["cluster"] == F.col("cluster")), distance), 1)
+    held = labelled.crossJoin(F.broadcast(all_centres)).withColumn("own_centre_nearest", mine <= least * (1 + tolerance) + tolerance)
+    return held.drop("__centres").join(F.broadcast(own), "cluster")
 
 
 def critical_parts(features: DataFrame, n: int = S.DEFAULT_TOP_N) -> DataFrame:
     """Parts whose *name* is among the names of the top ``n`` parts by
-    (quantity, frequency) (M13: O3, F10, P12); may return more than ``n``."""
+    (quantity, frequency) (M13: O3, F10); may return more than ``n``."""
     top = features.orderBy(F.col("quantity").desc(), F.col("frequency").desc(), F.col("part_no")).limit(n)
     return features.join(top.select("part_name").distinct(), "part_name", "left_semi")
 
 
+def critical_list(labelled: DataFrame, n: int = S.DEFAULT_TOP_N) -> DataFrame:
+    """Part number, name and cluster of the critical parts."""
+    return critical_parts(labelled, n).select("part_no", "part_name", "cluster")
+
+
+def with_period(df: DataFrame, product_type: str, start, end) -> DataFrame:
+    """The report's period and product type as first columns."""
+    day = lambda d: F.lit(parse_arg_date(d))
+    return df.select(day(start).alias("start_date"), day(end).alias("end_date"), F.lit(product_type).alias("product_type"), *df.columns)
+
+
 def translate_names(df: DataFrame, translations=None, name_col: str = "part_name") -> DataFrame:
     """English part names, falling back to the original (P11, J6).  The
     lookup is a literal table of a few entries (broadcast)."""

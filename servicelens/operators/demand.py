@@ -4,7 +4,7 @@ type/period filter -> month bucket (T6) -> monthly sum per part (A10) ->
 share of the grand total (A12) -> exact 0.9 quantile of the shares (A11) ->
 top contributors (F8) -> their monthly rows (F9) -> gap-free month grid (R4,
 T8) -> 12-months-in / next-month-out samples (W3) -> chronological 80/20
-split (W4).  The wide month x part matrix (R3) is only built on request.
+split (W4).  The wide part x month matrix (R3) is only built on request.
 
 Everything stays in long form (month, part, qty): the grid is generated per
 part from the global month bounds, samples come from a window per part
@@ -18,14 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from servicelens import schema as S
-from servicelens.functions.dates import month_start
+from servicelens.functions.dates import month_start, parse_arg_date
 from servicelens.operators.ordinal import with_ordinal
 from servicelens.plans import physical
 
-# A pivot wider than this is not a table; refuse instead of collecting.
-MAX_PIVOT_COLUMNS = 10_000
-
-
 def monthly_demand(rows: DataFrame, date_col: str = "d_goods_out", part_col: str = "part_no") -> DataFrame:
     """Quantity per (month, part) (T6, A10).  ``month`` is the first day."""
     return rows.groupBy(month_start(F.col(date_col)).alias("month"), F.col(part_col).alias("part_no")).agg(
@@ -58,7 +54,7 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
     n = vals.agg(F.count(F.lit(1)).alias("n"))
     pos = n.select(((F.col("n") - 1) * F.lit(q)).alias("pos"))
     pos = pos.select("pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
-    picks = ranked.join(F.broadcast(pos), (F.col("r") == F.col("lo")) | (F.col("r") == F.col("hi")))
+    picks = ranked.join(F.broadcast(pos), F.col("r").between(F.col("lo"), F.col("hi")))
     return picks.groupBy().agg(
         (
             F.max(F.when(F.col("r") == F.col("lo"), F.col("v")))
@@ -98,14 +94,19 @@ def fill_months(selected: DataFrame) -> DataFrame:
     )
 
 
-def demand_pivot(filled: DataFrame, max_columns: int = MAX_PIVOT_COLUMNS) -> DataFrame:
-    """Wide month x part matrix (R3), for export only.  The column list is
-    the selected parts, checked against ``max_columns`` before it is read."""
-    parts = filled.select("part_no").distinct().limit(max_columns + 1).collect()
-    if len(parts) > max_columns:
-        raise ValueError(f"pivot would have more than {max_columns} columns")
-    names = sorted(r.part_no for r in parts)
-    return filled.groupBy("month").pivot("part_no", names).agg(F.first("qty")).na.fill(0.0)
+def period_months(start, end) -> list[str]:
+    """The months (yyyy-MM) from ``start`` to ``end``, both included."""
+    a, b = parse_arg_date(start), parse_arg_date(end)
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(a.year * 12 + a.month - 1, b.year * 12 + b.month)]
+
+
+def demand_pivot(filled: DataFrame, start, end) -> DataFrame:
+    """Wide part x month matrix (R3): one row per part, one column per month
+    of the period, so the columns follow from the arguments and the parts
+    stay rows, however many they are."""
+    month = F.date_format("month", "yyyy-MM")
+    wide = filled.select("part_no", month.alias("month"), "qty").groupBy("part_no").pivot("month", period_months(start, end))
+    return wide.agg(F.first("qty")).na.fill(0.0)
 
 
 def sequences(

@@ -26,14 +26,16 @@ def select_rows(featured: DataFrame, product_type, start, end, date_col: str = P
 
 
 def first_row_per_order(df: DataFrame, cols, keep=("product_type",)) -> DataFrame:
-    """One row per order: the first by (position, goods-in date, part).
+    """One row per order and kept column: the first by (position, goods-in
+    date, part), ties by the values themselves (W1).  An order under two
+    product types has a row in each of them.
 
     A hash aggregate (``min_by`` over a struct) rather than a window sort: the
     map side keeps one candidate per order and task, so a hot order stays cheap.
     """
     keep = [c for c in keep if c in df.columns and c not in cols]
-    pick = F.min_by(F.struct(*keep, *cols), F.struct("position", "d_goods_in", "part_no"))
-    return df.groupBy("order_id").agg(pick.alias("__r")).select("order_id", "__r.*")
+    pick = F.min_by(F.struct(*cols), F.struct("position", "d_goods_in", "part_no", *cols))
+    return df.groupBy("order_id", *keep).agg(pick.alias("__r")).select("order_id", *keep, "__r.*")
 
 
 def _period_columns(start, end):
@@ -84,6 +86,39 @@ def time_waterfall(times: DataFrame, include_total: bool = True) -> DataFrame:
     )
 
 
+def order_figures(featured: DataFrame, product_type, start, end, years: DataFrame, digits: int | None = 2) -> DataFrame:
+    """The order-level figures, one row per product type: order count, total
+    labour units, labour units per order, and order cycle (working days of the
+    period / orders)."""
+    rows = select_rows(featured, product_type, start, end)
+    group = ["product_type"] if product_type is None else []
+    per_order = first_row_per_order(rows, ["labour_units"])
+    scalars = per_order.groupBy(*group).agg(
+        F.count(F.lit(1)).cast("long").alias("n_orders"),
+        F.coalesce(F.sum("labour_units"), F.lit(0.0)).cast("double").alias("total_labour_units"),
+    )
+    spark = featured.sparkSession
+    period_wd = workcal.working_days_between(
+        spark, dates.parse_arg_date(start), dates.parse_arg_date(end), years
+    )
+    return scalars.crossJoin(F.broadcast(period_wd)).select(
+        (F.col("product_type") if group else F.lit(product_type)).alias("product_type"),
+        "n_orders",
+        "total_labour_units",
+        scalar.round2(F.try_divide(F.col("total_labour_units"), F.col("n_orders")), digits).alias("labour_units_per_order"),
+        scalar.round2(F.try_divide(F.col("wd").cast("double"), F.col("n_orders")), digits).alias("order_cycle"),
+    )
+
+
+def part_totals(featured: DataFrame, product_type, start, end) -> DataFrame:
+    """Total quantity per part, without the first-seen numbering."""
+    rows = select_rows(featured, product_type, start, end)
+    return rows.groupBy("product_type", "part_no").agg(
+        F.min_by("part_name", F.struct("order_id", "position", "part_name")).alias("part_name"),
+        F.sum("quantity").cast("double").alias("total_part_qty"),
+    )
+
+
 def process_analysis(
     featured: DataFrame,
     product_type,
@@ -94,25 +129,16 @@ def process_analysis(
 ) -> DataFrame:
     """Labour and part consumption per part of a product type.
 
-    Order count, total labour units (one row per order) and the order cycle
-    (working days of the period / orders) are computed once, as a one-row
-    table joined to every part row; the per-part figures come from one hash
-    aggregate over the part rows.  ``part_seq`` numbers the parts in
-    first-seen order (first order, then position), the row order of the
-    original table.
+    The order-level figures are one row per type, joined to every part row;
+    the per-part figures come from one hash aggregate over the part rows.
+    ``part_seq`` numbers the parts in first-seen order (first order, then
+    position), the row order of the original table.
     """
     rows = select_rows(featured, product_type, start, end)
     group = ["product_type"] if product_type is None else []
-    per_order = first_row_per_order(rows, ["labour_units"])
-    scalars = per_order.groupBy(*group).agg(
-        F.count(F.lit(1)).cast("long").alias("n_orders"),
-        F.coalesce(F.sum("labour_units"), F.lit(0.0)).cast("double").alias("total_labour_units"),
-    )
-    spark = featured.sparkSession
-    period_wd = workcal.working_days_between(
-        spark, dates.parse_arg_date(start), dates.parse_arg_date(end), years
-    )
-    scalars = scalars.crossJoin(F.broadcast(period_wd))
+    scalars = order_figures(featured, product_type, start, end, years, digits)
+    if not group:
+        scalars = scalars.drop("product_type")
     parts = rows.groupBy(*group, "part_no").agg(
         F.min_by("part_name", F.struct("order_id", "position")).alias("part_name"),
         F.sum("quantity").cast("double").alias("total_part_qty"),
@@ -130,8 +156,8 @@ def process_analysis(
         (F.col("product_type") if group else F.lit(product_type)).alias("product_type"),
         "n_orders",
         "total_labour_units",
-        scalar.round2(F.try_divide(F.col("total_labour_units"), F.col("n_orders")), digits).alias("labour_units_per_order"),
-        scalar.round2(F.try_divide(F.col("wd").cast("double"), F.col("n_orders")), digits).alias("order_cycle"),
+        "labour_units_per_order",
+        "order_cycle",
         "part_seq",
         "part_no",
         "part_name",
@@ -141,7 +167,7 @@ def process_analysis(
 
 
 def part_ranking(process: DataFrame) -> DataFrame:
-    """Parts by total quantity, descending, with a global rank (O2)."""
+    """Parts (of ``process_analysis`` or ``part_totals``) by total quantity, descending, with a global rank (O2)."""
     return with_ordinal(
         process.select("product_type", "part_no", "part_name", "total_part_qty"),
         [F.col("total_part_qty").desc(), F.col("product_type"), F.col("part_no")],
@@ -153,7 +179,8 @@ KEY_FIGURES = ["n_orders", "total_labour_units", "labour_units_per_order", "orde
 
 
 def key_figures(process: DataFrame) -> DataFrame:
-    """The four order-level figures, one row each (R2)."""
+    """The four order-level figures, one row each (R2); takes ``order_figures``
+    or, as the original did, the rows of ``process_analysis``."""
     one = process.select("product_type", *[F.col(c).cast("double").alias(c) for c in KEY_FIGURES]).dropDuplicates(
         ["product_type"]
     )

@@ -88,14 +88,13 @@ def keep_repair_parts(merged: DataFrame, prefix: str = S.PART_PREFIX) -> DataFra
     """Keep part articles (F2), then drop parts that are also product
     articles of the surviving rows (F3, anti join).
 
-    The product-article set is small next to the fact table (one partial
-    aggregate); it is broadcast to the part rows after its row count is
-    checked, so the merged rows are not shuffled by part number.  Above the
-    limit the anti join shuffles instead.
+    The merged part rows are written once, so that the article set and the
+    result read the same rows; whether the set is broadcast is left to the
+    optimizer, which sees its size.
     """
-    kept = merged.where(F.col("part_no").startswith(prefix))
+    kept = physical.materialize(merged.where(F.col("part_no").startswith(prefix)), "merged")
     products = kept.select(F.col("product_article").alias("part_no")).distinct()
-    return kept.join(physical.broadcast_if_small(products), "part_no", "left_anti")
+    return kept.join(products, "part_no", "left_anti")
 
 
 # --------------------------------------------------------------------------
@@ -119,20 +118,6 @@ def split_address(headers: DataFrame) -> DataFrame:
     )
 
 
-def labour_units(positions: DataFrame, codes=S.LABOUR_CODES) -> DataFrame:
-    """Labour units per order (F6, A1): sum of quantity over labour codes.
-
-    Computed from *all* positions, before the part filter removes labour
-    lines (otherwise it would always be empty).  Hash aggregate with a
-    map-side partial sum, so a hot order costs one row per task.
-    """
-    return (
-        positions.where(F.col("part_no").isin(*codes))
-        .groupBy("order_id")
-        .agg(F.sum("quantity").alias("labour_units"))
-    )
-
-
 def header_features(headers: DataFrame, years: DataFrame) -> DataFrame:
     """Per-order features: address split and stage durations."""
     return workcal.with_stage_durations(split_address(headers), years)
@@ -178,6 +163,6 @@ def prepare(
     h = physical.materialize(h)
     products = h.where(F.col("__has_part")).select(F.col("product_article").alias("part_no")).distinct()
     part_lines = positions.where(F.col("part_no").startswith(prefix)).join(
-        physical.broadcast_if_small(products), "part_no", "left_anti"
+        products, "part_no", "left_anti"
     )
     return h.drop("__has_part").join(part_lines, "order_id", "inner")

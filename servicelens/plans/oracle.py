@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from servicelens import schema as S
 from servicelens.functions.dates import parse_arg_date, spark_pattern
+from servicelens.operators.demand import period_months
 from servicelens.plans import workload as W
 from servicelens.sources import driver_tables as _dt
 
@@ -474,9 +475,26 @@ FROM crit c LEFT JOIN {_translations()} ON c.part_name = t.part_name""",
     }
 )
 
+ORACLE["k_sweep_facts"] = (
+    CLUSTER_BASE
+    + "SELECT CAST(k AS INTEGER) AS k, true AS score_holds, CAST(1 AS BIGINT) AS n_chosen "
+    + f"FROM (SELECT unnest(generate_series({S.DEFAULT_K_RANGE[0]}, {S.DEFAULT_K_RANGE[1]})) AS k) WHERE k < (SELECT count(*) FROM pf)"
+)
+
+ORACLE["part_cluster_facts"] = (
+    CLUSTER_BASE
+    + f"""SELECT p.part_no, p.part_name, p.quantity, p.frequency, p.part_no IN (SELECT part_no FROM crit) AS is_critical,
+  coalesce(t.en, p.part_name) AS english_name, true AS own_centre_nearest, true AS centre_is_mean
+FROM pf p LEFT JOIN {_translations()} ON p.part_name = t.part_name"""
+)
+
 ORACLE["demand_pivot"] = (
     DEMAND_BASE
-    + "SELECT * FROM (PIVOT (SELECT strftime(month, '%Y-%m') AS month, part_no, qty FROM filled) ON part_no USING first(qty))"
+    + "SELECT part_no, "
+    + ", ".join(
+        f"coalesce(sum(qty) FILTER (WHERE strftime(month, '%Y-%m') = '{m}'), 0.0) AS \"{m}\"" for m in period_months(W.FULL_START, W.FULL_END)
+    )
+    + " FROM filled GROUP BY part_no"
 )
 
 

@@ -1,16 +1,11 @@
-"""Plan-shaping helpers: reliable materialisation and size-checked broadcast."""
+"""Plan-shaping helper: reliable materialisation."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from servicelens.session import scratch_path
 
-# Broadcast a side only when it has at most this many rows (checked at runtime).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in a fresh folder under the shared
     checkpoint folder (``spark.checkpoint.dir``) and read it back.
@@ -27,11 +22,3 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     w.parquet(path)
     out = spark.read.parquet(path)
     return out.select(*df.columns) if partition_by else out
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``
-    unchanged so the join falls back to a shuffle join.  The check reads at
-    most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

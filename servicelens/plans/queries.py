@@ -106,12 +106,13 @@ def process_analysis_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L9 (O2): parts of the process analysis by quantity."""
-    return descriptive.part_ranking(process_analysis(spark, sf_dir))
+    return descriptive.part_ranking(descriptive.part_totals(Workload(spark, sf_dir).featured, TYPE, START, END))
 
 
 def key_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L9 (R2): the four order-level figures as rows."""
-    return descriptive.key_figures(process_analysis(spark, sf_dir))
+    w = Workload(spark, sf_dir)
+    return descriptive.key_figures(descriptive.order_figures(w.featured, TYPE, START, END, w.years, digits=None))
 
 
 # ---------------------------------------------------------------------------
@@ -215,9 +216,8 @@ def demand_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demand_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month x part matrix of the gap-free series."""
-    wide = demand.demand_pivot(_filled(Workload(spark, sf_dir)))
-    return wide.withColumn("month", _month_label())
+    """Part x month matrix of the gap-free series."""
+    return demand.demand_pivot(_filled(Workload(spark, sf_dir)), FULL_START, FULL_END)
 
 
 def demand_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,6 +263,23 @@ def part_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.scatter_table(labelled)
 
 
+def k_sweep_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every k of the range is scored, the best one is chosen."""
+    scores = clusters.k_sweep(_features(Workload(spark, sf_dir)))
+    best = scores.agg(F.max("silhouette").alias("best"), F.count(F.when(F.col("chosen"), 1)).alias("n_chosen"))
+    ok = F.col("silhouette").between(-1.0, 1.0) & (~F.col("chosen") | (F.col("silhouette") == F.col("best")))
+    return scores.crossJoin(best).select("k", ok.alias("score_holds"), "n_chosen")
+
+
+def part_cluster_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of the labels whatever their numbers, with
+    the critical flag and the English name of every part."""
+    labelled, centres, _ = clusters.cluster_parts(_features(Workload(spark, sf_dir)))
+    facts = clusters.cluster_facts(labelled, centres).select("part_no", "own_centre_nearest", "centre_is_mean")
+    table = clusters.scatter_table(labelled).drop("cluster")
+    return table.join(facts, "part_no")
+
+
 def cluster_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centres of the chosen clustering."""
     _, centres, _ = clusters.cluster_parts(_features(Workload(spark, sf_dir)))
@@ -338,12 +355,13 @@ def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_ranking_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L9 (O2) grouped form: parts of every product type by quantity."""
-    return descriptive.part_ranking(process_analysis_by_type(spark, sf_dir))
+    return descriptive.part_ranking(descriptive.part_totals(Workload(spark, sf_dir).featured, None, START, END))
 
 
 def key_figures_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L9 (R2) grouped form: the four figures of every product type."""
-    return descriptive.key_figures(process_analysis_by_type(spark, sf_dir))
+    w = Workload(spark, sf_dir)
+    return descriptive.key_figures(descriptive.order_figures(w.featured, None, START, END, w.years, digits=None))
 
 
 def coverage_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,6 +404,8 @@ QUERIES: dict[str, Query] = {
     "k_sweep": k_sweep,
     "part_clusters": part_clusters,
     "cluster_centers": cluster_centers,
+    "k_sweep_facts": k_sweep_facts,
+    "part_cluster_facts": part_cluster_facts,
     "address_split": address_split,
     "decimal_comma": decimal_comma,
     "quantity_quarantine": quantity_quarantine,

@@ -39,9 +39,8 @@ def preprocessing(spark: SparkSession, kopf_path: str, pos_path: str, out: str,
     raw_p = csvio.read_csv(spark, pos_path, sep, encoding)
     headers, bad_h = prepare.clean_headers(raw_h)
     positions, bad_p = prepare.clean_positions(raw_p)
-    if not csvio.stage_exists(spark, p["quarantine"]):
-        cols = ["order_id", "reject_reason"]
-        bad_h.select(*cols).unionByName(bad_p.select(*cols)).write.parquet(p["quarantine"])
+    cols = ["order_id", "reject_reason"]
+    csvio.write_stage(bad_h.select(*cols).unionByName(bad_p.select(*cols)), p["quarantine"])
     csvio.write_stage(headers, p["preprocessed"] + "_headers")
     csvio.write_stage(positions, p["preprocessed"] + "_positions")
     parts = prepare.keep_repair_parts(
@@ -78,8 +77,8 @@ def descriptive_run(spark: SparkSession, out: str, typ: str, start: str, end: st
     res["time_bars"] = descriptive.time_waterfall(res["time_periods"])
     process = descriptive.process_analysis(featured, typ, start, end, years)
     res["process"] = process
-    res["part_ranking"] = descriptive.part_ranking(process)
-    res["key_figures"] = descriptive.key_figures(process)
+    res["part_ranking"] = descriptive.part_ranking(descriptive.part_totals(featured, typ, start, end))
+    res["key_figures"] = descriptive.key_figures(descriptive.order_figures(featured, typ, start, end, years))
     for name, df in res.items():
         csvio.write_csv(df, os.path.join(p["results"], "descriptive", name))
     return res
@@ -96,10 +95,10 @@ def diagnostic_run(spark: SparkSession, out: str, typ: str, start: str, end: str
     labelled, centres, scores = clusters.cluster_parts(features)
     sets, watched = rules.component_associations(rows, typ, min_support, metric, min_threshold, watch, item_col)
     res = {
-        "part_clusters": clusters.scatter_table(labelled),
+        "part_clusters": clusters.with_period(clusters.scatter_table(labelled), typ, start, end),
         "cluster_centers": centres,
         "k_sweep": scores,
-        "critical_parts": clusters.critical_parts(labelled),
+        "critical_parts": clusters.critical_list(labelled),
         "itemsets": sets,
         "component_rules": rules.with_labels(watched),
         "rule_edges": rules.rule_edges(watched),

@@ -4,7 +4,6 @@ Raw service-order exports come as two tables: order *headers* (one row per
 repair) and order *positions* (parts and labour lines).  Their original
 column names collide case-insensitively (``artikel`` vs ``ARTIKEL``), which
 Spark cannot hold in one plan, so every column gets an English name at ingest.
-``GERMAN_LABELS`` maps back for exports.
 """
 
 from __future__ import annotations
@@ -133,34 +132,3 @@ HEADER_SCHEMA = T.StructType(
 POSITION_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType(), True) for name in POSITION_SOURCE_COLUMNS]
 )
-
-# Export labels (our name -> original German label).
-GERMAN_LABELS = {
-    **{v: k for k, v in HEADER_SOURCE_COLUMNS.items() if v != "order_id"},
-    "order_id": "SERVICEAUFTRAG",
-    "position": "POSITION",
-    "part_no": "ARTIKEL",
-    "part_name": "NAME",
-    "quantity": "MENGE",
-    "customer_no": "Kundennummer",
-    "contact_no": "Ansprechpartner",
-    "wd_goods_in_repair_start": "waein_bis_repstart_arb",
-    "wd_repair_start_repair_quote": "repstart_bis_repkv_arb",
-    "wd_repair_quote_quote": "repkv_bis_kv_arb",
-    "wd_quote_order": "kv_bis_auftrag_arb",
-    "wd_order_repair_end": "auftrag_bis_repend_arb",
-    "wd_repair_end_goods_out": "repend_bis_wausgang_arb",
-    "wd_lead_time": "Durchlaufzeit_arb",
-    "labour_units": "Arbeitseinheit",
-    "start_date": "Startdatum",
-    "end_date": "Enddatum",
-    "product_type": "Typ",
-    "n_orders": "Serviceaufträge",
-    "total_labour_units": "Gesamte_Arbeitseinheiten",
-    "labour_units_per_order": "Arbeitseinheiten_pro_Serviceauftrag",
-    "order_cycle": "Serviceauftragzyklus",
-    "total_part_qty": "Gesamte_Bauteilmenge",
-    "part_qty_per_order": "Bauteilmenge_pro_Serviceauftrag",
-    "frequency": "Frequenz",
-    "cluster": "Cluster",
-}

@@ -23,10 +23,11 @@ def delimiter_profile(lines: DataFrame, candidates=CANDIDATE_DELIMITERS, col: st
     """Per candidate delimiter: occurrences per line (min, max, total) over
     all non-empty lines, whether the count is the same on every line, and the
     choice (S2): the consistent candidate with the most occurrences per line,
-    else the one with the highest mean.  One distributed aggregate; a
-    delimiter inside quoted fields is counted too.
+    else the one with the highest mean.  One distributed aggregate; quoted
+    cells are taken out first.
     """
-    text = lines.select(F.col(col).alias("line")).where(F.length("line") > 0)
+    bare = F.regexp_replace(F.col(col), '"(?:[^"]|"")*"', "")
+    text = lines.select(F.col(col).alias("whole"), bare.alias("line")).where(F.length("whole") > 0)
     aggs = []
     for i, ch in enumerate(candidates):
         n = _occurrences(F.col("line"), ch)
@@ -49,7 +50,7 @@ def delimiter_profile(lines: DataFrame, candidates=CANDIDATE_DELIMITERS, col: st
     prof = prof.withColumn("consistent", (F.col("min_count") == F.col("max_count")) & (F.col("min_count") > 0))
     # Rank: consistent first, then per-line count, then candidate order.  The
     # window spans only the candidate rows (four by default).
-    w = Window.orderBy(F.col("consistent").desc(), F.col("max_count").desc(), F.col("total_count").desc(), "candidate_ord")
+    w = Window.orderBy(F.col("consistent").desc(), F.col("total_count").desc(), "candidate_ord")
     return prof.withColumn("chosen", F.row_number().over(w) == 1)
 
 
@@ -68,26 +69,39 @@ def read_csv(
     sep: str | None = None,
     encoding: str = "UTF-8",
     schema: T.StructType | None = None,
+    multi_line: bool = False,
+    ragged: str | None = None,
 ) -> DataFrame:
     """Header CSV as all-string columns (S1, S3).  ``sep=None`` profiles the
     file for its delimiter first (S2).  Empty cells are kept as empty text so
-    the missing-marker rules (S4) see them; nothing is inferred."""
+    the missing-marker rules (S4) see them; nothing is inferred.
+
+    Quotes inside a quoted cell are doubled.  ``multi_line`` allows line
+    breaks in quoted cells, at the price of one task per file.  ``ragged``
+    names an extra column that holds the text of rows with too many or too
+    few cells (null for whole rows).  All files must have the first one's
+    header: another order or name is an error, not a shift of columns."""
     sep = sep or sniff_delimiter(spark, path, encoding=encoding)
     reader = (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    header = spark.read.option("encoding", encoding).text(path).first()
-    if header is None:
-        raise ValueError(f"empty file {path}")
-    names = [c.strip().strip('"') for c in header["value"].split(sep)]
-    return reader.schema(T.StructType([T.StructField(n, T.StringType(), True) for n in names])).csv(path)
+    if schema is None:
+        raw = reader.csv(path).columns  # all text: reads the header only
+        names = [c.removeprefix("\ufeff").strip().strip('"') for c in raw]
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        # a header with a byte-order mark or blanks cannot be held against the names
+        reader = reader.option("enforceSchema", names != raw)
+    if ragged:
+        schema = T.StructType([*schema.fields, T.StructField(ragged, T.StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", ragged)
+    return reader.schema(schema).csv(path)
 
 
 def render_for_csv(df: DataFrame, joiner: str = ",") -> DataFrame:
@@ -110,6 +124,7 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
         .write.mode(mode)
         .option("header", True)
         .option("sep", sep)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -117,20 +132,23 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
 
 
 def stage_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished stage stands at ``path``: a run that was killed
+    leaves a folder without the committer's ``_SUCCESS`` marker."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     return p.getFileSystem(conf).exists(p)
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> bool:
-    """Write-once stage table (S7): skipped when the target exists.  Parquet,
+    """Write-once stage table (S7): skipped when the target is complete, and
+    written anew over the rest of a run that was killed.  Parquet,
     optionally partitioned (e.g. by product type, so type filters prune
     whole folders).  Returns True when written."""
     spark = df.sparkSession
     if stage_exists(spark, path):
         return False
-    w = df.write.mode("ignore")
+    w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -6,8 +6,8 @@ import __spark_entry__ as E
 from oracle_compare import compare, duck
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from servicelens.plans.oracle import ORACLE
+from servicelens.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +26,10 @@ def test_every_query_has_oracle_or_is_ml():
     assert missing <= {"k_sweep", "part_clusters", "cluster_centers"}
 
 
+def test_registered_queries_include_the_library(spark):
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() == 1

@@ -2,6 +2,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from servicelens.operators import prepare
 from servicelens.sources import csv as csvio
 from servicelens.sources import driver_tables as dt
@@ -45,15 +47,49 @@ def test_delimiter_profile_prefers_consistent(spark):
     assert prof[";"].chosen and prof[";"].consistent and not prof[","].consistent
 
 
-def test_broadcast_only_below_limit(spark):
-    from servicelens.plans import physical
+def test_half_written_stage_is_written_anew(spark, tmp_path):
+    path = str(tmp_path / "s")
+    (tmp_path / "s" / "_temporary" / "0").mkdir(parents=True)
+    assert csvio.write_stage(spark.range(3), path) is True
+    assert csvio.read_stage(spark, path).count() == 3
+    assert csvio.write_stage(spark.range(9), path) is False
+
+
+def test_quotes_are_doubled_both_ways(spark, tmp_path):
+    df = spark.createDataFrame([('Ring "A";x', "1"), ("plain", "2"), ("a, b; c", '""')], "name string, n string")
+    csvio.write_csv(df, str(tmp_path / "q"), sep=";")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "q").glob("part-*")))
+    assert '"Ring ""A"";x"' in text
+    assert sorted(map(tuple, csvio.read_csv(spark, str(tmp_path / "q"), sep=";").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_line_breaks_in_cells_and_ragged_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('n;t\n1;"two\nlines"\n2;x\n')
+    got = csvio.read_csv(spark, str(tmp_path / "a.csv"), sep=";", multi_line=True).collect()
+    assert [tuple(r) for r in got] == [("1", "two\nlines"), ("2", "x")]
+    (tmp_path / "b.csv").write_text("n;t\n1;a\n2\n3;b;c\n")
+    got = csvio.read_csv(spark, str(tmp_path / "b.csv"), sep=";", ragged="bad").collect()
+    assert [r.bad for r in got] == [None, "2", "3;b;c"]
 
-    small = spark.range(10)
-    assert physical.broadcast_if_small(small, 5) is small  # over the limit: left as is
-    hinted = physical.broadcast_if_small(small, 100)
-    assert hinted is not small
-    plan = spark.range(1000).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+
+def test_header_with_byte_order_mark_and_quotes(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('\ufeff"n;1";t\n1;a\n', encoding="utf-8")
+    got = csvio.read_csv(spark, str(tmp_path / "c.csv"), sep=";")
+    assert got.columns == ["n;1", "t"] and got.count() == 1
+
+
+def test_swapped_header_is_an_error(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text("name;no\nx;1\n")
+    (tmp_path / "d" / "b.csv").write_text("no;name\n2;y\n")
+    with pytest.raises(Exception, match="header"):
+        csvio.read_csv(spark, str(tmp_path / "d"), sep=";").collect()
+
+
+def test_quoted_delimiters_are_not_counted(spark):
+    lines = spark.createDataFrame([('a;b;"Ring, 4,5 x 7, x, y, z"',), ('c;d;"e;f"',), ("g;h;i",)], "value string")
+    prof = {r.delimiter: r for r in csvio.delimiter_profile(lines).collect()}
+    assert prof[";"].chosen and prof[";"].consistent
 
 
 def test_materialize_keeps_columns_and_rows(spark):
