@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from servicelens.llm.text import KEY, keyed
-from servicelens.llm.tokenizing import byte_chunks, byte_table
+from servicelens.llm.tokenizing import byte_encoder, byte_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -36,6 +36,7 @@ SEGMENT_CHARS = 32_768
 FIRST_WINDOW = 64  # bytes on each side of a join
 AGREEING_TOKENS = 3
 AGREEING_BYTES = 16
+SLICE = 500  # rows that a worker turns around at once
 
 
 def joined(left: tuple[bytes, np.ndarray], right: tuple[bytes, np.ndarray], encode, lengths: np.ndarray):
@@ -76,23 +77,25 @@ def concatenated(parts: list[tuple[bytes, np.ndarray]], encode, lengths: np.ndar
     return parts[0][1]
 
 
-def _id_lists(ids: list[bytes]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)))
 
 
 def encoder(path: str, text_col: str):
     """Batches -> the same columns, the text replaced by its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = byte_chunks(path)
+        library = byte_encoder(path)
         for batch in batches:
-            ids = _id_lists([chunks.encode(t.as_py()) for t in batch.column(text_col)])
-            at = batch.schema.get_field_index(text_col)
-            yield pa.RecordBatch.from_arrays(
-                [ids if k == at else c for k, c in enumerate(batch.columns)],
-                ["ids" if k == at else c for k, c in enumerate(batch.schema.names)],
-            )
+            for first in range(0, batch.num_rows, SLICE):  # a bounded batch at a time
+                part = batch.slice(first, SLICE)
+                ids = _id_lists(library.encode_all(part.column(text_col).to_pylist()))
+                at = part.schema.get_field_index(text_col)
+                yield pa.RecordBatch.from_arrays(
+                    [ids if k == at else c for k, c in enumerate(part.columns)],
+                    ["ids" if k == at else c for k, c in enumerate(part.schema.names)],
+                )
 
     return run
 
@@ -101,16 +104,16 @@ def concatenator(path: str):
     """Batches of (__id, __text_hash, copies, parts) -> the rows with their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, table = byte_chunks(path), byte_table(path)
+        library, table = byte_encoder(path), byte_table(path)
         lengths = np.array([len(b) for b in table], np.int64)
-        encode = lambda text: np.frombuffer(chunks.encode(text), "<i4")
+        encode = lambda text: library.encode(text).view(np.int32)
         for batch in batches:
             for k, parts in enumerate(batch.column("parts")):
-                parts = [np.array(p["ids"].as_py(), np.int32) for p in parts]
+                parts = [p["ids"].values.to_numpy() for p in parts]
                 parts = [(b"".join(map(table.__getitem__, p.tolist())), p) for p in parts]
                 ids = concatenated(parts, encode, lengths)
                 row = [batch.column(c).slice(k, 1) for c in (*KEY, "copies")]
-                yield pa.RecordBatch.from_arrays([*row, _id_lists([ids.astype("<i4").tobytes()])], [*KEY, "copies", "ids"])
+                yield pa.RecordBatch.from_arrays([*row, _id_lists([ids])], [*KEY, "copies", "ids"])
 
     return run
 
@@ -121,10 +124,12 @@ def decoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = byte_table(path)
         for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            texts = [b"".join(map(table.__getitem__, x.values.to_pylist())).decode("utf-8", "replace") for x in batch.column("ids")]
+            ids = batch.column("ids")
+            flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+            lists = (flat[a:b].tolist() for a, b in zip(ends, ends[1:]))
+            texts = [b"".join(map(table.__getitem__, x)).decode("utf-8", "replace") for x in lists]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:at], *batch.columns[at:], pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
+                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
             )
 
     return run

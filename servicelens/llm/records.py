@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from servicelens.llm.text import keyed
-from servicelens.llm.tokenizing import word_chunks
+from servicelens.llm.tokenizing import word_encoder
 from servicelens.plans.physical import materialize
 from servicelens.session import scratch_path
 
@@ -51,6 +51,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FILE_BYTES = 16_000_000  # text bytes that go to one file
 END_ID = 1
+SLICE = 500  # rows that a worker turns around at once
 
 _HEAD, _HEAD_BYTES = "<QI", 12
 _CRC, _CRC_BYTES = "<I", 4
@@ -93,15 +94,18 @@ def record_maker(path: str, end_id: int):
     """Batches of (__id, __text) -> framed records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = word_chunks(path)
-        width = 2 if chunks.library.get_vocab_size() <= 1 << 16 else 4
+        library = word_encoder(path)
+        width = 2 if library.library.get_vocab_size() <= 1 << 16 else 4
         end = np.array([end_id], "<u4")
         for batch in batches:
-            records = []
-            for doc_id, text in zip(batch.column("__id").to_pylist(), batch.column("__text")):
-                ids = np.concatenate([np.frombuffer(chunks.encode(text.as_py()), "<u4"), end]).astype(f"<u{width}")
-                records.append(framed(struct.pack(_PAYLOAD, width, doc_id is not None, doc_id or 0) + ids.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
+            for first in range(0, batch.num_rows, SLICE):  # a bounded batch at a time
+                part = batch.slice(first, SLICE)
+                records = []
+                encoded = library.encode_all(part.column("__text").to_pylist())
+                for doc_id, ids in zip(part.column("__id").to_pylist(), encoded):
+                    ids = np.concatenate([ids, end]).astype(f"<u{width}")
+                    records.append(framed(struct.pack(_PAYLOAD, width, doc_id is not None, doc_id or 0) + ids.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
 
     return run
 
@@ -145,9 +149,9 @@ def record_reader():
         for batch in batches:
             for content, records in zip(batch.column("content"), batch.column("records").to_pylist()):
                 content = memoryview(content.as_buffer())
-                for first in range(0, len(records), 1000):  # a bounded batch at a time
+                for first in range(0, len(records), SLICE):  # a bounded batch at a time
                     rows = []
-                    for r in records[first : first + 1000]:
+                    for r in records[first : first + SLICE]:
                         doc_id, ids = payload_at(content, r["offset"], r["length"])
                         rows.append((doc_id, r["start"], len(ids), ids))
                     yield _id_batch(["doc_id", "start", "n_tokens", "ids"], rows)
@@ -163,8 +167,8 @@ def record_scanner():
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 content = memoryview(content.as_buffer())
                 places = list(frames(content))
-                for first in range(0, len(places), 1000):
-                    rows = [(offset, *payload_at(content, offset, length)) for offset, length in places[first : first + 1000]]
+                for first in range(0, len(places), SLICE):
+                    rows = [(offset, *payload_at(content, offset, length)) for offset, length in places[first : first + SLICE]]
                     out = _id_batch(["offset", "doc_id", "ids"], rows)
                     file = pa.array([path.rsplit("/", 1)[-1]] * len(rows), pa.string())
                     yield pa.RecordBatch.from_arrays([file, *out.columns], ["file", "offset", "doc_id", "ids"])
