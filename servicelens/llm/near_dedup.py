@@ -4,22 +4,29 @@
    64 coordinates.  Documents with equal sets share one *node*, so copies
    never meet each other in a join.
 2. Nodes are posted under their (coordinate, value) pairs.  Two nodes match
-   when they collide on at least ``MATCHES`` coordinates.  Pairs that occur
-   once are skipped, the others are ordered from rare to frequent, and a node
-   is posted only under the first ones: two nodes with ``MATCHES`` collisions
-   must meet in these prefixes (at a similarity of 0.8 a pair misses
-   the threshold with a probability of 2e-7).
-3. A posting list is not paired with itself.  In each round its first node
-   (the hub) is held against the others that are not yet in the hub's
-   component; then the hub leaves the list, and lists whose nodes are all in
-   one component are finished.  A group of near copies thus costs as many
-   pairs as it has nodes.  When the pairs left are few against the postings,
-   or after ``ROUNDS`` rounds, all pairs between different components of a
-   list are held against each other, so no link is lost.
-4. Surviving pairs are counted on the whole signatures and confirmed on the
+   when they collide on at least ``MATCHES`` coordinates (at a similarity of
+   0.8 a pair misses that with a probability of 2e-5).  Pairs that occur once
+   are skipped, the others are ordered from rare to frequent, and a node is
+   posted only under the first ones: two nodes with ``MATCHES`` collisions must
+   meet in these prefixes.
+3. A posting carries two bits of every coordinate.  Colliding coordinates agree
+   in them, so counting agreements skips nearly all chance pairs at the join.
+4. Lists of up to ``SMALL`` nodes are held against each other.  A longer list
+   is not: in each round its first node (the hub) is held against the others
+   that are not yet in the hub's component; then the hub leaves the list, and
+   lists whose nodes are all in one component are finished.  A group of near
+   copies thus costs as many pairs as it has nodes.  When the pairs left are
+   few against the postings, or after ``ROUNDS`` rounds, all pairs between
+   different components of a list are held against each other, so no link is
+   lost.
+5. Surviving pairs are counted on the whole signatures and confirmed on the
    whole sets.  Components come from alternating large-star and small-star
    steps.  All intermediate tables are Parquet in the shared folder.
 
+The sets are made for nodes with a surviving pair or in a long list.  Their
+ids are broadcast up to ``BROADCAST_IDS`` of them, beyond that the texts are
+shuffled to them.
+
 Defined results: null, empty and blank texts have an empty set and are linked
 with nothing (own component, kept); a text with fewer words than the shingle
 width is one shingle; repeated rows are copies of each other; of null ids
@@ -37,11 +44,15 @@ from servicelens.llm.text import keyed
 from servicelens.plans.physical import materialize
 
 COORDINATES = 64
-MATCHES = 32
+MATCHES = 36
 SIMILARITY = 80  # per cent
 WIDTH = 5  # words of a shingle
-ROUNDS = 6
-FEW = 2  # pairs for each posting
+SMALL = 16  # nodes of a list whose pairs are all held against each other
+ROUNDS = 2
+FEW = 2  # pairs for each posting of the long lists
+BROADCAST_IDS = 500_000
+
+POSTED = ["node", "n_shingles", "bits0", "bits1"]
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -52,8 +63,11 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
 
 
 def prefix_postings(nodes: DataFrame) -> DataFrame:
-    """(node, token): each node under the rarest of its shared tokens."""
-    tokens = nodes.select("node", F.explode("sig").alias("token"))
+    """(token, node, n_shingles, bits): each node under the rarest of its shared
+    tokens; a token is a coordinate's number and value."""
+    tokens = nodes.select("node", F.posexplode("sig").alias("at", "value")).select(
+        "node", (F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("value").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token")
+    )
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     by_node = (
         tokens.join(shared, "token")
@@ -62,35 +76,69 @@ def prefix_postings(nodes: DataFrame) -> DataFrame:
         .where(F.size("t") >= MATCHES)
     )
     prefix = F.slice("t", F.lit(1), F.size("t") - (MATCHES - 1))
-    return by_node.select("node", F.explode(prefix["token"]).alias("token"))
-
-
-def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) with enough collisions and a large enough overlap."""
-    sig = nodes.select("node", "sig", "n_shingles")
-    side = lambda df, at: df.select(*[F.col(c).alias(at if c == "node" else f"{c}_{at}") for c in df.columns])
-    size = lambda at: F.col(f"n_shingles_{at}")
-    pairs = pairs.join(side(sig, "a"), "a").join(side(sig, "b"), "b")
-    pairs = pairs.where(
-        (100 * F.least(size("a"), size("b")) >= similarity * F.greatest(size("a"), size("b")))
-        & (F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES)
-    ).select("a", "b")
-    pairs = pairs.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
-    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    union = F.size("shingles_a") + F.size("shingles_b") - both
+    posted = by_node.select("node", prefix["token"].alias("tokens")).join(nodes.select(*POSTED), "node")
+    return posted.select(F.explode("tokens").alias("token"), *POSTED)
+
+
+def plausible(a, b, similarity: int):
+    """Sizes and agreeing bit pairs allow the link; ``a`` and ``b`` give a posting's columns."""
+    differing = a("bits0").bitwiseXOR(b("bits0")).bitwiseOR(a("bits1").bitwiseXOR(b("bits1")))
+    return (
+        100 * F.least(a("n_shingles"), b("n_shingles")) >= similarity * F.greatest(a("n_shingles"), b("n_shingles"))
+    ) & (COORDINATES - F.bit_count(differing) >= MATCHES)
+
+
+def short_list_pairs(postings: DataFrame, similarity: int) -> DataFrame:
+    """Plausible pairs (a, b) of the lists of at most ``SMALL`` nodes; postings have the lists' ``size``."""
+    lists = postings.where(F.col("size") <= SMALL).groupBy("token").agg(F.collect_list(F.struct(*POSTED)).alias("list"))
+    each = lists.select("list", F.explode("list").alias("one"))
+    partners = F.filter(
+        "list", lambda p: (p["node"] > F.col("one.node")) & plausible(lambda c: F.col(f"one.{c}"), lambda c: p[c], similarity)
+    )
+    found = each.withColumn("partners", partners).select(F.col("one.node").alias("a"), F.col("partners.node").alias("bs"))
+    return found.select("a", F.explode("bs").alias("b")).distinct()
+
+
+def matching(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that collide on enough coordinates."""
+    pairs = pairs.join(nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+    pairs = pairs.join(nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+    collisions = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same))
+    return pairs.where(collisions >= MATCHES).select("a", "b")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets overlap enough."""
+    pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
+    pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - both
     return pairs.where(100 * both >= similarity * union).select("a", "b")
 
 
+def whole_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the wanted nodes; ``docs`` are keyed rows."""
+    ids = nodes.join(wanted, "node", "left_semi").select(F.col("least_id").alias("wanted_id")).distinct()
+    ids = materialize(ids, "wanted")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
+    texts = docs.join(ids, docs["__id"].eqNullSafe(F.col("wanted_id")), "left_semi").select("__text")
+    # an id may stand on several texts
+    sets = texts.mapInArrow(set_maker(width), SET_SCHEMA)
+    return materialize(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the least node
     that can be reached.  Alternating large-star and small-star steps."""
     edges = materialize(links.select(F.least("a", "b").alias("root"), F.greatest("a", "b").alias("node")).distinct(), "cc")
-    before = None
     while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(20,0)"))).first()
-        if state == before:
+        # finished when no node has two roots or is a root itself
+        ends = edges.select(F.col("node").alias("id"), F.lit(1).alias("roots"), F.lit(0).alias("nodes")).unionByName(
+            edges.select(F.col("root").alias("id"), F.lit(0).alias("roots"), F.lit(1).alias("nodes"))
+        )
+        ends = ends.groupBy("id").agg(F.sum("roots").alias("roots"), F.max("nodes").alias("nodes"))
+        if ends.where("roots > 1 or (roots = 1 and nodes = 1)").agg(F.count("*")).first()[0] == 0:
             return edges
-        before = state
         # large star: larger neighbours move to the least node around
         both = edges.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
             edges.select(F.col("root").alias("u"), F.col("node").alias("v"))
@@ -103,60 +151,66 @@ def components(links: DataFrame) -> DataFrame:
         edges = materialize(small.unionByName(least.select(F.col("u").alias("node"), F.col("m").alias("root"))).distinct(), "cc")
 
 
-def linked_nodes(nodes: DataFrame, postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """(node, root) of all nodes with a link."""
-    spark = nodes.sparkSession
-    links = spark.createDataFrame([], "a binary, b binary")
-    roots = spark.createDataFrame([], "node binary, root binary")
+def linked_nodes(links: DataFrame, postings: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(node, root) of all nodes with a link: those of ``links``, and those that
+    the long lists (``postings``) add as far as components need them."""
+    roots = components(links)
     total = postings.count()
-    for turn in range(ROUNDS + 1):
+    for turn in range(ROUNDS + 1 if total else 0):
+        at = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # lists that still join different components
-        at = postings.join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
-        split = at.groupBy("token", "root").agg(F.count("*").alias("k"))
-        split = split.groupBy("token").agg(
-            F.count("*").alias("n_roots"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs")
-        )
-        postings = materialize(at.join(split.where("n_roots > 1").select("token"), "token", "left_semi"), "postings")
-        left = split.where("n_roots > 1").agg(F.sum("pairs")).first()[0] or 0
+        k = at.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token")
+        pairs = (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2
+        main = F.max(F.struct("k", "root"))["root"]
+        open_lists = k.agg(F.count("*").alias("n_roots"), pairs.alias("pairs"), main.alias("main_root")).where("n_roots > 1")
+        left = open_lists.agg(F.sum("pairs")).first()[0] or 0
         if not left:
             break
+        at = at.join(open_lists.select("token", "main_root"), "token")
         last = turn == ROUNDS or left <= FEW * total
         if last:
-            other = postings.select("token", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = postings.withColumnRenamed("node", "a").join(other, "token").where("root < root_b")
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            # a pair is taken from the first of its common lists
+            lists = postings.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+            at = materialize(at.join(lists, "node"), "postings")
+            columns = [*POSTED, "root", "tokens"]
+            # nodes outside a list's largest component against all of the list
+            odd = at.where("root != main_root").select("token", *[F.col(c).alias(f"other_{c}") for c in columns])
+            first = F.array_min(F.array_intersect("tokens", "other_tokens")) == F.col("token")
+            held = at.join(odd, "token").where((F.col("root") != F.col("other_root")) & _plausible_rows(similarity) & first)
         else:
-            hubs = postings.groupBy("token").agg(F.min(F.struct("node", "root")).alias("h"))
-            hubs = hubs.select("token", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
-            held = postings.join(hubs, "token")
-            pairs = held.where("root != hub_root").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-            postings = held.where("node != hub").select("token", "node")
-        found = materialize(confirmed(pairs.distinct(), nodes, sets, similarity), "links")
-        links = links.unionByName(found)
-        roots = components(links)
+            at = materialize(at, "postings")
+            hubs = at.groupBy("token").agg(F.min(F.struct(*POSTED, "root")).alias("h"))
+            hubs = hubs.select("token", *[F.col(f"h.{c}").alias(f"other_{c}") for c in [*POSTED, "root"]])
+            both = at.join(hubs, "token")
+            held = both.where((F.col("root") != F.col("other_root")) & _plausible_rows(similarity))
+            postings = both.where("node != other_node").select("token", *POSTED)
+        pairs = held.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
+        found = confirmed(matching(pairs, nodes), sets, similarity)
+        roots = components(found.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
         if last:
             break
     return roots
 
 
+def _plausible_rows(similarity: int):
+    return plausible(F.col, lambda c: F.col(f"other_{c}"), similarity)
+
+
 def grouped_rows(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: int) -> DataFrame:
     """One row per input row: __id, __text_hash, n_shingles, component_id, kept."""
     sketch = materialize(sketches(docs, id_col, text_col, width), "sketches")
-    nodes = sketch.where("node is not null").groupBy("node").agg(
-        F.min("__id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")
-    )
+    one = [F.first(c).alias(c) for c in ("n_shingles", "sig", "bits0", "bits1")]
+    nodes = sketch.where("node is not null").groupBy("node").agg(F.min("__id").alias("least_id"), *one)
     nodes = materialize(nodes, "nodes")
     postings = materialize(prefix_postings(nodes), "postings")
-    # whole sets, only of nodes that have a candidate
-    lists = postings.groupBy("token").count().where("count > 1").select("token")
-    postings = postings.join(lists, "token", "left_semi")
-    wanted = postings.select("node").distinct()
-    ids = nodes.join(wanted, "node", "left_semi").select(F.col("least_id").alias("wanted_id"))
-    texts = keyed(docs, id_col, text_col)
-    texts = texts.join(ids.hint("shuffle_hash"), texts["__id"].eqNullSafe(F.col("wanted_id")), "left_semi").select("__text")
-    sets = texts.mapInArrow(set_maker(width), SET_SCHEMA)
-    sets = materialize(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    roots = linked_nodes(nodes, postings, sets, similarity)
+    sizes = postings.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    postings = postings.join(sizes, "token")
+    pairs = materialize(matching(short_list_pairs(postings, similarity), nodes), "pairs")
+    long_lists = materialize(postings.where(F.col("size") > SMALL).select("token", *POSTED), "postings")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long_lists.select("node")).distinct()
+    sets = whole_sets(keyed(docs, id_col, text_col), nodes, wanted, width)
+    links = confirmed(pairs, sets, similarity)
+    roots = linked_nodes(links, long_lists, nodes, sets, similarity)
     named = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.join(roots.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("least_id").alias("group_id"))
     named = named.join(least, "root", "left").select("node", F.coalesce("group_id", "least_id").alias("group_id"))

@@ -56,25 +56,30 @@ def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One ``coordinate << 32 | minimum`` per coordinate."""
+    """One 32-bit minimum per coordinate."""
     least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(hashes), CHUNK):
         part = hashes[start : start + CHUNK, None] * a
         part += b
         np.minimum(least, part.min(axis=0), out=least)
-    return (np.arange(len(a), dtype=np.int64) << 32) | (least >> np.uint64(32)).astype(np.int64)
+    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def bits(sig: np.ndarray, k: int) -> int:
+    """Bit ``k`` of every coordinate, as one signed 64-bit integer."""
+    return int(np.packbits((sig >> k) & 1, bitorder="little").view(np.int64)[0])
 
 
 def set_digest(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-SKETCH_SCHEMA = "__id long, __text_hash long, n_shingles long, node binary, sig array<bigint>"
+SKETCH_SCHEMA = "__id long, __text_hash long, n_shingles long, node binary, sig array<int>, bits0 long, bits1 long"
 SET_SCHEMA = "node binary, shingles array<bigint>"
 
 
 def sketcher(width: int, coordinates: int):
-    """Batches of (__id, __text_hash, __text) -> (__id, __text_hash, n_shingles, node, sig); documents
+    """Batches of (__id, __text_hash, __text) -> (__id, __text_hash, n_shingles, node, sig, bits0, bits1); documents
     with equal sets share a node, an empty set has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,9 +98,10 @@ def sketcher(width: int, coordinates: int):
                     batch.column("__text_hash"),
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.binary()),
-                    pa.array(sigs, pa.list_(pa.int64())),
+                    pa.array(sigs, pa.list_(pa.int32())),
+                    *[pa.array([None if s is None else bits(s, k) for s in sigs], pa.int64()) for k in (0, 1)],
                 ],
-                ["__id", "__text_hash", "n_shingles", "node", "sig"],
+                ["__id", "__text_hash", "n_shingles", "node", "sig", "bits0", "bits1"],
             )
 
     return run
