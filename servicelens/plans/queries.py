@@ -17,7 +17,7 @@ from servicelens.functions.scalar import itemset_label
 from servicelens.operators import clusters, demand, descriptive, prepare, rules
 from servicelens.plans import physical
 from servicelens.plans import workload as WL
-from servicelens.plans.workload import END, START, TYPE, Workload
+from servicelens.plans.workload import END, FULL_END, FULL_START, START, TYPE, Workload
 from servicelens.sources import csv as csvio
 from servicelens.sources import driver_tables as dt
 
