@@ -30,6 +30,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from servicelens.plans.physical import materialize
 from servicelens.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,6 +42,7 @@ RECORD_END = "\r\n\r\n"
 
 MIN_BYTES = 0  # smaller payloads are always written whole
 FILE_RECORDS = 2_000
+BROADCAST_REVISITS = 500_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -64,15 +66,20 @@ def record_id(page_id: Column, digest: Column) -> Column:
     return _uuid(F.concat_ws("/", F.coalesce(page_id.cast("string"), F.lit("none")), digest))
 
 
-def with_decisions(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+def with_decisions(pages: DataFrame, min_bytes: int = MIN_BYTES, broadcast_revisits: int = BROADCAST_REVISITS) -> DataFrame:
     """page_id, url, payload, digest, payload_bytes, original (null, or the
-    page id that a revisit refers to)."""
+    page id that a revisit refers to).  The payloads stay where they are while
+    there are at most ``broadcast_revisits`` revisits (counted first); beyond
+    that they are shuffled to their decisions."""
     headers = pages.select("page_id", "digest", "payload_bytes").where(F.col("payload_bytes") >= min_bytes)
     groups = headers.groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("k"))
     groups = groups.where("k > 1 and original is not null").select("digest", "original")
     revisits = headers.select("page_id", "digest").distinct().join(groups, "digest")
     revisits = revisits.where(~F.col("page_id").eqNullSafe(F.col("original")))
     revisits = revisits.select(F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "original")
+    revisits = materialize(revisits, "revisits")
+    if revisits.count() <= broadcast_revisits:
+        revisits = F.broadcast(revisits)
     match = F.col("page_id").eqNullSafe(F.col("r_page")) & (F.col("digest") == F.col("r_digest"))
     return pages.join(revisits, match, "left").drop("r_page", "r_digest")
 
@@ -183,6 +190,7 @@ def resolved(records: DataFrame) -> DataFrame:
     payload's size and digest come from the response that holds it."""
     records = records.withColumn("bytes", F.octet_length("payload").cast("bigint"))
     records = records.withColumn("digest", base32_sha1(F.col("payload"))).drop("payload")
+    records = materialize(records, "records")  # the archives are parsed once
     responses = records.where("record_type = 'response'")
     held = responses.groupBy(F.col("record_id").alias("held")).agg(F.first("bytes").alias("held_bytes"), F.first("digest").alias("held_digest"))
     revisits = records.where("record_type = 'revisit'").join(held, F.col("refers_to_record") == F.col("held"), "left")
