@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from servicelens.functions import workcal
 from servicelens.operators import prepare
 from servicelens.plans import physical
+from servicelens.session import input_version
 from servicelens.sources import driver_tables as dt
 
 TYPE = "BUILDING"
@@ -28,20 +29,20 @@ RULE_MIN_CONFIDENCE = 0.4
 RULE_WATCH = ("ECONOMY", "PROMO", "STANDARD")
 
 
-_SESSION_WORKLOADS: dict[tuple[int, str], "Workload"] = {}
+_SESSION_WORKLOADS: dict[tuple[int, str, tuple], "Workload"] = {}
 
 
 class Workload:
     """Views and stage tables of one input folder.
 
     Like the original's write-once stage files, the featured part table is
-    written once per session and input folder (Parquet, in the checkpoint
-    folder) and every analysis reads that stage; construct through
-    ``Workload.of(spark, sf_dir)`` to share it.
+    written once per session and state of the input folder (Parquet, in the
+    checkpoint folder) and every analysis reads that stage: ``Workload(spark,
+    sf_dir)`` gives the same object until a file of the folder changes.
     """
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
-        key = (id(spark), sf_dir)
+        key = (id(spark), sf_dir, input_version(spark, sf_dir))
         inst = _SESSION_WORKLOADS.get(key)
         if inst is None or inst.spark is not spark:
             inst = super().__new__(cls)

@@ -59,4 +59,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark)
-    return os.path.join(base, f"servicelens-{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"servicelens-{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+# Folders handed out by this driver, until release_scratch removes them.
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove the intermediate tables this driver has written; results that
+    still read them cannot be read any more.  Returns their number."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = list(_SCRATCH)
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+        _SCRATCH.remove(path)
+    return len(paths)
+
+
+def input_version(spark: SparkSession, folder: str) -> tuple:
+    """Name, length and modification time of everything in a folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    found = p.getFileSystem(conf).listStatus(p)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))

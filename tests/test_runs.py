@@ -23,3 +23,25 @@ def test_end_to_end_run(spark):
     assert int(time_row["n_orders"]) > 0
     # stages are write-once: a second run reuses them
     assert csvio.write_stage(spark.range(1), f"{out}/stages/featured") is False
+
+
+def test_scratch_is_released(spark):
+    from servicelens.plans import physical
+    from servicelens.session import _SCRATCH, release_scratch
+
+    others = list(_SCRATCH)
+    _SCRATCH.clear()
+    path = physical.materialize(spark.range(5), "t").inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    assert release_scratch(spark) == 1 and not os.path.exists(path) and not _SCRATCH
+    _SCRATCH.extend(others)
+
+
+def test_a_changed_input_is_seen(spark, tmp_path):
+    from servicelens.plans.workload import Workload
+
+    spark.range(1).write.parquet(str(tmp_path / "a.parquet"))
+    first = Workload(spark, str(tmp_path))
+    assert Workload(spark, str(tmp_path)) is first
+    spark.range(2).write.parquet(str(tmp_path / "b.parquet"))
+    assert Workload(spark, str(tmp_path)) is not first
