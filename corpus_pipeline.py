@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from servicelens.llm.bpe import digests
 from servicelens.llm.decontaminate import drop_leaks
 from servicelens.llm.near_dedup import drop_near_duplicates
-from servicelens.llm.quality import quality_scan
+from servicelens.llm.quality import drop_rejected
 from servicelens.plans.physical import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, columns unchanged."""
-    return quality_scan(docs).where("quality.kept").drop("quality")
+    return drop_rejected(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

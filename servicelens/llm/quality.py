@@ -103,8 +103,8 @@ def line_verdict(line: Column, words: Column, n_words: Column) -> Column:
     )
 
 
-def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LOST) -> DataFrame:
-    """The rows of ``docs`` with a struct column ``quality``: the counts, the
+def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LOST, out_col: str = "quality") -> DataFrame:
+    """The rows of ``docs`` with a struct column ``out_col``: the counts, the
     cleaned text (kept lines joined by line breaks) and the verdicts."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     df = docs.select(F.struct("*").alias("__row"), text.alias("__text"))
@@ -135,7 +135,12 @@ def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LO
     df = df.withColumn("base_failed", failed)
     df = df.withColumn("kept", ~failed & (100 * F.col("words_lost") <= max_lost * F.col("n_words")))
     df = fenced(df)
-    return df.select("__row.*", F.struct(*[c for c in df.columns if c != "__row"]).alias("quality"))
+    return df.select("__row.*", F.struct(*[c for c in df.columns if c != "__row"]).alias(out_col))
+
+
+def drop_rejected(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows that the rules keep, columns unchanged."""
+    return quality_scan(docs, text_col, out_col="__quality", **options).where("__quality.kept").drop("__quality")
 
 
 def op7_query(spark, sf_dir: str) -> DataFrame:
