@@ -34,7 +34,8 @@ def clean_headers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     Rows with any missing cell are dropped, over *all* columns of the file
     (extra columns included).  Dates that match none of the formats become
     NULL, as in the original; rows where that happens are also reported in
-    the quarantine frame with reason ``unparsed_date``.
+    the quarantine frame with reason ``unparsed_date``, and addresses of more
+    than two parts with ``bad_address`` (their parts become NULL, P4).
     """
     normalised = raw.select(*[scalar.na_to_null(F.col(c)).alias(c) for c in raw.columns]).na.drop("any")
     names = {k: v for k, v in S.HEADER_SOURCE_COLUMNS.items() if k in raw.columns}
@@ -51,15 +52,23 @@ def clean_headers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = F.lit(False)
     for c in S.STAGE_DATES:
         bad = bad | F.col(c).isNull()
-    quarantine = typed.where(bad).withColumn("reject_reason", F.lit("unparsed_date"))
+    reasons = F.array_compact(
+        F.array(
+            F.when(bad, "unparsed_date"),
+            F.when(F.size(scalar.address_parts(F.col("address_code"))) > 2, "bad_address"),
+        )
+    )
+    # each row with a reason appears once per reason
+    quarantine = typed.withColumn("reject_reason", F.explode(reasons))
     return typed, quarantine
 
 
 def clean_positions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Raw position strings -> (typed positions, quarantined rows).
 
-    A quantity that is not a decimal number raises in the original; here the
-    row moves to the quarantine frame with reason ``bad_quantity``.
+    A quantity that is not a decimal number raises in the original, and a
+    position that is no number cannot be sorted by; here the row moves to the
+    quarantine frame with reason ``bad_quantity`` or ``bad_position``.
     """
     normalised = raw.select(*[scalar.na_to_null(F.col(c)).alias(c) for c in raw.columns]).na.drop("any")
     names = {k: v for k, v in S.POSITION_SOURCE_COLUMNS.items() if k in raw.columns}
@@ -69,9 +78,10 @@ def clean_positions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
             "quantity": scalar.decimal_comma(F.col("quantity_raw")),
         }
     )
-    ok = F.col("quantity").isNotNull()
+    ok = F.col("quantity").isNotNull() & F.col("position").isNotNull()
     good = typed.where(ok).drop("quantity_raw")
-    quarantine = typed.where(~ok).withColumn("reject_reason", F.lit("bad_quantity"))
+    reason = F.when(F.col("quantity").isNull(), "bad_quantity").otherwise("bad_position")
+    quarantine = typed.where(~ok).withColumn("reject_reason", reason)
     return good, quarantine
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from servicelens import schema as S
-from servicelens.functions.scalar import itemset_label
+from servicelens.functions.scalar import itemset_label, round2
 from servicelens.operators.ordinal import dense_ordinal
 from servicelens.plans import physical
 
@@ -176,12 +176,13 @@ def sankey_nodes(rules: DataFrame) -> DataFrame:
     )
 
 
-def sankey_links(rules: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """Sankey links (M6, J7): source id, target id, value = confidence in %."""
+def sankey_links(rules: DataFrame, nodes: DataFrame | None = None, digits: int | None = 2) -> DataFrame:
+    """Sankey links (M6, J7): source id, target id, value = confidence in %,
+    rounded (P8; ``digits=None`` keeps full precision)."""
     nodes = nodes if nodes is not None else sankey_nodes(rules)
     lab = with_labels(rules)
     src = nodes.where(F.col("side") == "antecedent").select(F.col("label").alias("antecedent"), F.col("node_id").alias("source_id"))
     dst = nodes.where(F.col("side") == "consequent").select(F.col("label").alias("consequent"), F.col("node_id").alias("target_id"))
     return lab.join(src, "antecedent").join(dst, "consequent").select(
-        "source_id", "target_id", (F.col("confidence") * F.lit(100.0)).alias("value"), "antecedent", "consequent"
+        "source_id", "target_id", round2(F.col("confidence") * F.lit(100.0), digits).alias("value"), "antecedent", "consequent"
     )

@@ -152,7 +152,8 @@ def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _watched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.watched_rules(_rules(Workload(spark, sf_dir)), WL.RULE_WATCH)
+    """Written once: labels, nodes and links all read the rules."""
+    return physical.materialize(rules.watched_rules(_rules(Workload(spark, sf_dir)), WL.RULE_WATCH), "watched")
 
 
 def watched_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +173,7 @@ def sankey_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sankey_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sankey links."""
-    return rules.sankey_links(_watched(spark, sf_dir))
+    return rules.sankey_links(_watched(spark, sf_dir), digits=None)
 
 
 # ---------------------------------------------------------------------------

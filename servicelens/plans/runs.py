@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from servicelens import schema as S
 from servicelens.functions import dates, workcal
 from servicelens.operators import clusters, demand, descriptive, prepare, rules
+from servicelens.plans import physical
 from servicelens.sources import csv as csvio
 
 
@@ -94,6 +95,7 @@ def diagnostic_run(spark: SparkSession, out: str, typ: str, start: str, end: str
     features = clusters.part_features(rows)
     labelled, centres, scores = clusters.cluster_parts(features)
     sets, watched = rules.component_associations(rows, typ, min_support, metric, min_threshold, watch, item_col)
+    watched = physical.materialize(watched, "watched")  # four results read it
     res = {
         "part_clusters": clusters.with_period(clusters.scatter_table(labelled), typ, start, end),
         "cluster_centers": centres,

@@ -72,6 +72,23 @@ def test_quantity_quarantine(spark):
     assert [r.quantity_raw for r in bad.collect()] == ["1.234,5"]
 
 
+def test_bad_positions_and_addresses_are_reported(spark):
+    raw = spark.createDataFrame([("1", " 7 ", "K01", "n", "1,5"), ("1", "x", "K02", "n", "2")],
+                                "SERVICEAUFTRAG string, POSITION string, ARTIKEL string, NAME string, MENGE string")
+    good, bad = prepare.clean_positions(raw)
+    assert [r.position for r in good.collect()] == [7]
+    assert [(r.part_no, r.reject_reason) for r in bad.collect()] == [("K02", "bad_position")]
+    heads = spark.createDataFrame(
+        [("1", "12x1.2.3", "K1", "T", *["01.07.2017"] * 7), ("2", "12x1.2.3", "K1", "T", "soon", *["01.07.2017"] * 6),
+         ("3", "12x1.2", "K1", "T", *["01.07.2017"] * 7)],
+        "serviceauftrag string, adresse string, artikel string, typ string, datum_waein string, datum_repstart string,"
+        " datum_repkv string, datum_kv string, datum_auftrag string, datum_repend string, datum_wausgang string",
+    )
+    typed, bad = prepare.clean_headers(heads)
+    assert typed.count() == 3
+    assert sorted((r.order_id, r.reject_reason) for r in bad.collect()) == [("1", "bad_address"), ("2", "bad_address"), ("2", "unparsed_date")]
+
+
 def _first_format(value: str):
     from servicelens import schema as S
 

@@ -100,6 +100,27 @@ def test_watch_filter(spark):
     assert rules.watched_rules(r, ["w"]).count() == 0
 
 
+def test_one_order_under_two_types(spark):
+    from servicelens.operators import descriptive
+
+    day = "TIMESTAMP '2018-03-01 00:00:00'"
+    cols = ", ".join(f"{k} AS {c}" for k, c in enumerate(["wd_lead_time", *S.STAGE_DURATIONS]))
+    rows = spark.sql(
+        f"SELECT 1L AS order_id, t AS product_type, p AS position, {day} AS d_goods_in, {day} AS d_goods_out,"
+        f" part AS part_no, part AS part_name, 2.0D AS quantity, lu AS labour_units, {cols}"
+        " FROM VALUES ('A', 1, 'x', 3.0D), ('B', 2, 'y', 4.0D), ('B', 3, 'z', 4.0D) AS v(t, p, part, lu)"
+    )
+    from servicelens.functions import workcal
+
+    years = workcal.default_year_table(spark)
+    period = ("01.01.2018", "31.12.2018")
+    key = lambda r: tuple(str(x) for x in r)
+    for f in (descriptive.time_analysis, lambda *a: descriptive.process_analysis(*a, years).drop("part_seq"), lambda *a: descriptive.order_figures(*a, years)):
+        grouped = sorted(f(rows, None, *period).collect(), key=key)
+        single = sorted([*f(rows, "A", *period).collect(), *f(rows, "B", *period).collect()], key=key)
+        assert [r.asDict() for r in grouped] == [r.asDict() for r in single] and len(grouped) >= 2
+
+
 def test_sankey_ids(spark):
     b = _baskets(spark, [["a", "b"], ["a", "b"], ["a", "c"], ["a", "c"]])
     r = rules.association_rules(rules.frequent_itemsets(b, 0.5), "confidence", 0.0)
