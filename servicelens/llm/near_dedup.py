@@ -12,8 +12,8 @@
 3. A posting carries two bits of every coordinate.  Colliding coordinates agree
    in them, so counting agreements skips nearly all chance pairs at the join.
 4. Lists of up to ``SMALL`` nodes are held against each other.  A longer list
-   is not: in each round its first node (the hub) is held against the others
-   that are not yet in the hub's component; then the hub leaves the list, and
+   is not: in each round one node (the hub, the one in the most and longest
+   lists) is held against the others that are not yet in the hub's component; then the hub leaves the list, and
    lists whose nodes are all in one component are finished.  A group of near
    copies thus costs as many pairs as it has nodes.  When the pairs left are
    few against the postings, or after ``ROUNDS`` rounds, all pairs between
@@ -155,6 +155,10 @@ def linked_nodes(links: DataFrame, postings: DataFrame, nodes: DataFrame, sets:
     """(node, root) of all nodes with a link: those of ``links``, and those that
     the long lists (``postings``) add as far as components need them."""
     roots = components(links)
+    # the original of many copies stands in more and longer lists than they do
+    weights = postings.join(postings.groupBy("token").agg(F.count("*").alias("size")), "token")
+    weights = weights.groupBy("node").agg(F.sum("size").alias("weight"))
+    postings = materialize(postings.join(weights, "node"), "postings")
     total = postings.count()
     for turn in range(ROUNDS + 1 if total else 0):
         at = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -179,11 +183,11 @@ def linked_nodes(links: DataFrame, postings: DataFrame, nodes: DataFrame, sets:
             held = at.join(odd, "token").where((F.col("root") != F.col("other_root")) & _plausible_rows(similarity) & first)
         else:
             at = materialize(at, "postings")
-            hubs = at.groupBy("token").agg(F.min(F.struct(*POSTED, "root")).alias("h"))
+            hubs = at.groupBy("token").agg(F.max(F.struct("weight", *POSTED, "root")).alias("h"))
             hubs = hubs.select("token", *[F.col(f"h.{c}").alias(f"other_{c}") for c in [*POSTED, "root"]])
             both = at.join(hubs, "token")
             held = both.where((F.col("root") != F.col("other_root")) & _plausible_rows(similarity))
-            postings = both.where("node != other_node").select("token", *POSTED)
+            postings = both.where("node != other_node").select("token", *POSTED, "weight")
         pairs = held.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
         found = confirmed(matching(pairs, nodes), sets, similarity)
         roots = components(found.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
