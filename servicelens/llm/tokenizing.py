@@ -137,9 +137,9 @@ class WordEncoder(Encoder, dict):
         mark = self.WORD_END.encode()
         table = [b.removesuffix(b"</w>") + mark * b.endswith(b"</w>") for b in byte_table(path)]
         ranks, ids = {bytes([b]): b for b in range(256)}, [0] * 256
-        added = set(self.library.get_added_tokens_decoder())
-        made = merge_order(path)
-        first = [i for i in range(len(table)) if i not in added and i not in set(made)]
+        added, made = set(self.library.get_added_tokens_decoder()), merge_order(path)
+        merged = set(made) | added
+        first = [i for i in range(len(table)) if i not in merged]
         for i in [*first, *made]:  # single bytes, those that end a word, then the merges
             if len(table[i]) == 1:
                 ids[ranks[table[i]]] = i
