@@ -28,6 +28,8 @@ def _reader(spark: SparkSession, path: str, schema, sep: str, encoding: str) ->
         spark.readStream.schema(schema)
         .option("header", True)
         .option("sep", sep)
+        .option("escape", '"')
+        .option("enforceSchema", False)  # a file with other columns is an error
         .option("encoding", encoding)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

@@ -39,4 +39,4 @@ def test_header_stream_quarantines_unparsed_dates(spark):
     assert got.count() == want.count() > 0
     stream_bad = spark.read.parquet(f"{base}/stage/headers_quarantine")
     assert stream_bad.count() == bad.count() > 0
-    assert {r.reject_reason for r in stream_bad.select("reject_reason").distinct().collect()} == {"unparsed_date"}
+    assert {r.reject_reason for r in stream_bad.select("reject_reason").distinct().collect()} == {"unparsed_date", "bad_address"}
