@@ -103,6 +103,11 @@ def line_verdict(line: Column, words: Column, n_words: Column) -> Column:
     )
 
 
+def _lines_where(other: str, condition) -> Column:
+    """The lines whose partner in the list ``other`` meets the condition."""
+    return F.array_compact(F.zip_with("__lines", other, lambda line, x: F.when(condition(x), line)))
+
+
 def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LOST, out_col: str = "quality") -> DataFrame:
     """The rows of ``docs`` with a struct column ``out_col``: the counts, the
     cleaned text (kept lines joined by line breaks) and the verdicts."""
@@ -112,7 +117,9 @@ def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LO
     df = df.withColumn("__lw", F.transform("__lines", blank_words))
     df = df.withColumn("__words", F.flatten("__lw"))
     df = df.withColumn("__n", F.transform("__lw", F.size))
-    df = df.withColumn("__full", F.filter("__lines", lambda x, i: F.get(F.col("__n"), i) > 0))
+    # lists meet by zip_with: a list that a lambda only indexes could be moved
+    # into it, and then be built anew for every element
+    df = df.withColumn("__full", _lines_where("__n", lambda n: n > 0))
     df = df.withColumn("__why", F.transform("__lines", lambda x, i: line_verdict(x, F.get(F.col("__lw"), i), F.get(F.col("__n"), i))))
     # numbers and texts the later steps need, so that the lists are dropped here
     df = df.select(
@@ -124,11 +131,11 @@ def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LO
         (F.size("__full") - F.size(F.array_distinct("__full"))).cast("bigint").alias("n_dup_lines"),
         F.size(F.filter("__why", lambda w: w != "")).cast("bigint").alias("lines_removed"),
         F.aggregate(
-            F.transform("__n", lambda k, i: F.when(F.get(F.col("__why"), i) == "", 0).otherwise(k)),
+            F.zip_with("__n", "__why", lambda k, why: F.when(why == "", 0).otherwise(k)),
             F.lit(0).cast("bigint"),
             lambda a, x: a + x,
         ).alias("words_lost"),
-        F.array_join(F.filter("__lines", lambda x, i: F.get(F.col("__why"), i) == ""), "\n").alias("clean_text"),
+        F.array_join(_lines_where("__why", lambda why: why == ""), "\n").alias("clean_text"),
     )
     df = repeated_window_words(df, "__words", "n_repeat_words").drop("__words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
