@@ -49,7 +49,7 @@ from servicelens.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FILE_BYTES = 16_000_000  # text bytes that go to one file
+FILE_BYTES = 8_000_000  # text bytes that go to one file
 END_ID = 1
 SLICE = 500  # rows that a worker turns around at once
 
