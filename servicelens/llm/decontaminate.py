@@ -2,15 +2,18 @@
 
 Documents and benchmark items become sequences of canonical words: numbers,
 units and names turn into typed placeholders, other words are lower-cased and
-freed of outer punctuation.  Windows of five canonical words are hashed and
-joined, hits are gathered into alignments (document position minus item
-position, with a little drift), and an alignment is a leak when
+freed of outer punctuation.  Windows of five canonical words (templates) and of
+five lower-cased words (literal windows) are hashed and joined, hits are
+gathered into alignments (document position minus item position, with a little
+drift), and an alignment is a leak when
 
 * it covers at least ``min_cover`` of the item's windows, and
 * its slots are consistent: every number, unit or name of the item stands for
-  one value of the document throughout.
+  one value of the document throughout, case ignored; or its literal windows
+  alone cover that much.
 
-A leak is ``verbatim`` when all slots keep their values and
+Where the templates alone make the leak, its cover and place are theirs, else
+those of all hits.  A leak is ``verbatim`` when all slots keep their values (case ignored) and
 ``reparameterised`` otherwise.
 
 The item windows are broadcast while the benchmark's texts have at most
@@ -67,26 +70,37 @@ def canonical_word(word: Column, before: Column) -> Column:
 
 
 def with_windows(df: DataFrame, keep: list[str], width: int) -> DataFrame:
-    """keep + words, canon, n, grams (hashes of canonical windows) from ``__text``."""
+    """keep + words, canon, n_windows, grams (hashes of the canonical windows, then
+    of the literal ones, null where equal) from ``__text``."""
     df = df.select(*keep, blank_words(F.col("__text")).alias("raw"))
     df = df.withColumn("words", F.transform("raw", lambda w: F.btrim(w, F.lit(OUTER_MARKS))))
     df = df.withColumn(
         "canon",
         F.transform("words", lambda w, i: canonical_word(w, F.when(i > 0, F.get(F.col("raw"), F.greatest(i - 1, F.lit(0)))))),
     ).drop("raw")
-    df = df.withColumn("hashes", F.transform("canon", lambda w: F.xxhash64(w))).withColumn("n", F.size("words"))
-    grams = (
+    df = df.withColumn("n", F.size("words"))
+    df = df.withColumn("hashes", F.transform("canon", lambda w: F.xxhash64(w)))
+    df = df.withColumn("plain", F.transform("words", lambda w: F.xxhash64(F.lower(w))))
+    df = df.select(*keep, "words", "canon", _windows("hashes", width).alias("grams"), _windows("plain", width).alias("plain"))
+    # a literal window is named only where it differs from the template
+    literal = F.zip_with("plain", "grams", lambda x, y: F.when(x != y, x))
+    return df.select(*keep, "words", "canon", F.size("grams").alias("n_windows"), F.concat("grams", literal).alias("grams"))
+
+
+def _windows(hashes: str, width: int) -> Column:
+    """The hashes of the windows of ``width`` words; a shorter text is one window."""
+    n = F.col("n")
+    return (
         F.when(
-            F.col("n") >= width,
+            n >= width,
             F.transform(
-                F.sequence(F.lit(0), F.col("n") - width),
-                lambda i: F.xxhash64(*[F.get(F.col("hashes"), i + j) for j in range(width)]),
+                F.sequence(F.lit(0), n - width),
+                lambda i: F.xxhash64(*[F.get(F.col(hashes), i + j) for j in range(width)]),
             ),
         )
-        .when(F.col("n") > 0, F.array(F.xxhash64(*[F.get(F.col("hashes"), F.lit(j)) for j in range(width)])))
+        .when(n > 0, F.array(F.xxhash64(*[F.get(F.col(hashes), F.lit(j)) for j in range(width)])))
         .otherwise(F.array().cast("array<bigint>"))
     )
-    return df.select(*keep, "words", "canon", grams.alias("grams"))
 
 
 def item_windows(benchmark: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -94,8 +108,8 @@ def item_windows(benchmark: DataFrame, width: int, id_col: str, text_col: str) -
     items = keyed(benchmark, id_col, text_col).dropDuplicates(KEY)
     items = items.withColumnRenamed("__id", "item").withColumnRenamed("__text_hash", "item_hash")
     items = with_windows(items, ["item", "item_hash"], width)
-    items = items.withColumn("n_windows", F.size("grams"))
-    return items.select("item", "item_hash", "words", "canon", "n_windows", F.posexplode_outer("grams").alias("t_pos", "gram")).select(
+    items = items.select("item", "item_hash", "words", "canon", "n_windows", F.posexplode_outer("grams").alias("at", "gram"))
+    return items.where("gram is not null").withColumn("t_pos", (F.col("at") % F.col("n_windows")).cast("int")).select(
         "item",
         "item_hash",
         "n_windows",
@@ -111,26 +125,38 @@ def window_hits(docs: DataFrame, windows: DataFrame, small: bool, width: int) ->
     df = with_windows(docs, KEY, width)
     # outer: else the optimizer filters on the array's size first, below the
     # word list, and splits the text anew for every window
-    df = df.select(*KEY, "words", "canon", F.posexplode_outer("grams").alias("pos", "gram"))
+    df = df.select(*KEY, "words", "canon", "n_windows", F.posexplode_outer("grams").alias("at", "gram"))
+    df = df.withColumn("pos", (F.col("at") % F.col("n_windows")).cast("int")).drop("at", "n_windows")
     here = [F.slice(c, F.col("pos") + 1, width).alias(alias) for c, alias in (("words", "here"), ("canon", "here_canon"))]
     if small:  # the lists stand by for the few hits
         hits = df.join(F.broadcast(windows), "gram").select("*", *here)
     else:  # a window goes through the shuffle with its own words only
         hits = df.where("gram is not null").select(*KEY, "pos", "gram", *here).join(windows, "gram")
-    hits = hits.where(F.col("here_canon") == F.col("t_canon"))
-    paired = F.transform("t_canon", lambda c, j: F.struct(c.alias("kind"), F.get(F.col("t_words"), j).alias("theirs"), F.get(F.col("here"), j).alias("ours")))
+    # joined, not a lambda: a lambda in the join's condition takes the join out of
+    # generated code, and all windows of a text then wait with its whole lists
+    literal = F.lower(F.array_join("here", " ")) == F.lower(F.array_join("t_words", " "))
+    template = F.col("here_canon") == F.col("t_canon")
+    hits = hits.withColumn("literal", literal).withColumn("template", template).where("literal or template")
+    paired = F.transform(
+        "t_canon",
+        lambda c, j: F.struct(c.alias("kind"), F.lower(F.get(F.col("t_words"), j)).alias("theirs"), F.lower(F.get(F.col("here"), j)).alias("ours")),
+    )
     slots = F.filter(paired, lambda p: p["kind"].isin("<number>", "<unit>", "<name>"))
-    return hits.select(*KEY, "item", "item_hash", "n_windows", "t_pos", "pos", slots.alias("slots"))
+    return hits.select(*KEY, "item", "item_hash", "n_windows", "t_pos", "pos", "literal", "template", slots.alias("slots"))
 
 
 def alignments(hits: DataFrame, max_shift: int) -> DataFrame:
-    """One row per alignment: covered share of the item, its distinct slots."""
-    pair = [*KEY, "item", "item_hash", "n_windows"]
+    """One row per alignment, of the templates alone and of all hits: covered
+    share of the item, share covered literally, its distinct slots."""
+    pair = [*KEY, "item", "item_hash", "n_windows", "by_template"]
+    both = F.when(F.col("template"), F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))
+    hits = hits.select("*", F.explode(both).alias("by_template"))
     diagonals = (
         hits.repartition(*KEY)
         .groupBy(*pair, (F.col("pos") - F.col("t_pos")).alias("diagonal"))
         .agg(
             F.collect_set("t_pos").alias("covered"),
+            F.collect_set(F.when(F.col("literal"), F.col("t_pos"))).alias("same"),
             F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
             F.min("pos").alias("first"),
             F.max("pos").alias("last"),
@@ -146,11 +172,13 @@ def alignments(hits: DataFrame, max_shift: int) -> DataFrame:
         .groupBy(*pair, "span")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n_covered"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("same")))).alias("n_same"),
             F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),
         )
         .withColumn("cover", F.col("n_covered") / F.col("n_windows"))
+        .withColumn("same", F.col("n_same") / F.col("n_windows"))
     )
 
 
@@ -172,9 +200,9 @@ def find_leaks(
     windows = item_windows(benchmark, width, item_id_col, item_text_col)
     spans = alignments(window_hits(keyed(docs, id_col, text_col), windows, chars <= broadcast_chars, width), max_shift)
     consistent = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"])))) == F.size("slots")
-    leaks = spans.where((F.col("cover") >= min_cover) & consistent)
+    leaks = spans.where((F.col("same") >= min_cover) | (F.col("cover") >= min_cover) & consistent)
     verbatim = F.forall("slots", lambda s: s["theirs"] == s["ours"])
-    best = F.struct("cover", verbatim.cast("int").alias("verbatim"), (-F.col("first")).alias("from"), "last")
+    best = F.struct("by_template", "cover", verbatim.cast("int").alias("verbatim"), (-F.col("first")).alias("from"), "last")
     return (
         leaks.groupBy(*KEY, "item")
         .agg(F.max(best).alias("b"))

@@ -139,3 +139,9 @@ def test_first_word_positions(spark):
     found = decontaminate.find_leaks(docs(spark, [(1, "x y. " + ITEM)]), benchmark).first()
     assert (found.first_word, found.last_word, found.cover) == (2, 2 + len(ITEM.split()) - 1, 1.0)
     assert found["item"] == 1
+
+
+def test_leaks_in_another_case(spark):
+    rows = [(1, "x y " + ITEM.upper()), (2, "x y " + ITEM.title()), (3, ITEM.lower())]
+    assert leaks(spark, rows) == [(1, 1, "verbatim"), (2, 1, "verbatim"), (3, 1, "verbatim")]
+    assert leaks(spark, rows, broadcast_chars=0) == leaks(spark, rows)
