@@ -9,7 +9,8 @@ drift), and an alignment is a leak when
 
 * it covers at least ``min_cover`` of the item's windows, and
 * its slots are consistent: every number, unit or name of the item stands for
-  one value of the document throughout, case ignored; or its literal windows
+  one value of the document throughout, case ignored, where a window's value is
+  that of the longest run of windows on one diagonal; or its literal windows
   alone cover that much.
 
 Where the templates alone make the leak, its cover and place are theirs, else
@@ -142,7 +143,8 @@ def window_hits(docs: DataFrame, windows: DataFrame, small: bool, width: int) ->
         lambda c, j: F.struct(c.alias("kind"), F.lower(F.get(F.col("t_words"), j)).alias("theirs"), F.lower(F.get(F.col("here"), j)).alias("ours")),
     )
     slots = F.filter(paired, lambda p: p["kind"].isin("<number>", "<unit>", "<name>"))
-    return hits.select(*KEY, "item", "item_hash", "n_windows", "t_pos", "pos", "literal", "template", slots.alias("slots"))
+    hits = hits.withColumn("slots", slots).withColumn("ordinary", F.size("slots") < F.size("t_canon"))
+    return hits.select(*KEY, "item", "item_hash", "n_windows", "t_pos", "pos", "literal", "template", "ordinary", "slots")
 
 
 def alignments(hits: DataFrame, max_shift: int) -> DataFrame:
@@ -151,31 +153,49 @@ def alignments(hits: DataFrame, max_shift: int) -> DataFrame:
     pair = [*KEY, "item", "item_hash", "n_windows", "by_template"]
     both = F.when(F.col("template"), F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))
     hits = hits.select("*", F.explode(both).alias("by_template"))
-    diagonals = (
-        hits.repartition(*KEY)
-        .groupBy(*pair, (F.col("pos") - F.col("t_pos")).alias("diagonal"))
-        .agg(
-            F.collect_set("t_pos").alias("covered"),
-            F.collect_set(F.when(F.col("literal"), F.col("t_pos"))).alias("same"),
-            F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
-            F.min("pos").alias("first"),
-            F.max("pos").alias("last"),
-        )
+    one = [F.max(c).alias(c) for c in ("literal", "ordinary")]
+    hits = hits.repartition(*KEY).groupBy(*pair, (F.col("pos") - F.col("t_pos")).alias("diagonal"), "t_pos").agg(
+        *one, F.max("slots").alias("slots"), F.max("pos").alias("pos")
+    )
+    # runs: hits of consecutive windows on one diagonal
+    along = Window.partitionBy(*pair, "diagonal")
+    hits = hits.withColumn("run", F.col("t_pos") - F.row_number().over(along.orderBy("t_pos")))
+    run = Window.partitionBy(*pair, "diagonal", "run")
+    hits = hits.withColumn("length", F.count("*").over(run)).withColumn("anchored", F.max("ordinary").over(run))
+    diagonals = hits.groupBy(*pair, "diagonal").agg(
+        F.collect_list(F.struct("t_pos", "length", "anchored", "literal", "slots")).alias("hits"),
+        F.min("pos").alias("first"),
+        F.max("pos").alias("last"),
     )
     order = Window.partitionBy(*pair).orderBy("first", "diagonal")
     apart = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > max_shift) | (
         F.col("first") - F.lag("last").over(order) > F.col("n_windows")
     )
+    spans = diagonals.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("span", F.sum("apart").over(order))
+    span = [*pair, "span"]
+    # a window of slots alone also hits on neighbouring diagonals: for every
+    # window of the item the hit of the longest run counts, and where a run
+    # with an ordinary word stands, runs without one count only unchanged
+    unchanged = F.forall("hit.slots", lambda x: x["theirs"] == x["ours"])
+    of_span = Window.partitionBy(*span)
+    chosen = (
+        spans.withColumn("first", F.min("first").over(of_span))
+        .withColumn("last", F.max("last").over(of_span))
+        .select(*span, "first", "last", "diagonal", F.explode("hits").alias("hit"))
+        .withColumn("has_anchor", F.max("hit.anchored").over(of_span))
+        .where(F.col("hit.anchored") | ~F.col("has_anchor") | unchanged)
+        .groupBy(*span, "first", "last", F.col("hit.t_pos").alias("t_pos"))
+        .agg(
+            F.max(F.struct("hit.length", unchanged.cast("int").alias("unchanged"), -F.col("diagonal"), "hit.slots"))["slots"].alias("slots"),
+            F.max("hit.literal").alias("literal"),
+        )
+    )
     return (
-        diagonals.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int"))
-        .withColumn("span", F.sum("apart").over(order))
-        .groupBy(*pair, "span")
+        chosen.groupBy(*span, "first", "last")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n_covered"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("same")))).alias("n_same"),
+            F.count("*").alias("n_covered"),
+            F.count(F.when(F.col("literal"), 1)).alias("n_same"),
             F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
-            F.min("first").alias("first"),
-            F.max("last").alias("last"),
         )
         .withColumn("cover", F.col("n_covered") / F.col("n_windows"))
         .withColumn("same", F.col("n_same") / F.col("n_windows"))

@@ -145,3 +145,15 @@ def test_leaks_in_another_case(spark):
     rows = [(1, "x y " + ITEM.upper()), (2, "x y " + ITEM.title()), (3, ITEM.lower())]
     assert leaks(spark, rows) == [(1, 1, "verbatim"), (2, 1, "verbatim"), (3, 1, "verbatim")]
     assert leaks(spark, rows, broadcast_chars=0) == leaks(spark, rows)
+
+
+def test_leaks_with_placeholders_in_a_row(spark):
+    items = [
+        (1, "The numbers 3 7 12 5 9 11 are written on a board and each pupil adds two of them."),
+        (2, "The New York City Police Department Chief opened a small shop beside the old harbour last week."),
+    ]
+    other = items[0][1].replace("3 7 12 5 9 11", "8 4 6 2 1 10")
+    rows = [(1, items[0][1]), (2, "Before. " + items[1][1]), (3, other), (4, items[1][1].upper())]
+    wanted = [(1, 1, "verbatim"), (2, 2, "verbatim"), (3, 1, "reparameterised"), (4, 2, "verbatim")]
+    assert leaks(spark, rows, items) == wanted
+    assert leaks(spark, rows, items, broadcast_chars=0) == wanted
