@@ -7,13 +7,15 @@ five lower-cased words (literal windows) are hashed and joined, hits are
 gathered into alignments (document position minus item position, with a little
 drift), and an alignment is a leak when
 
-* it covers at least ``min_cover`` of the item's windows, and
+* it covers at least ``min_cover`` of the item's windows or words, or one run
+  of windows without drift holds ``run_words`` equal words, and
 * its slots are consistent: every number, unit or name of the item stands for
   one value of the document throughout, case ignored, where a window's value is
   that of the longest run of windows on one diagonal; or its literal windows
   alone cover that much.
 
-Where the templates alone make the leak, its cover and place are theirs, else
+``cover`` is the share of the item's windows, and below ``min_cover`` for a
+partial copy.  Where the templates alone cover enough windows, its cover and place are theirs, else
 those of all hits.  A leak is ``verbatim`` when all slots keep their values (case ignored) and
 ``reparameterised`` otherwise.
 
@@ -22,7 +24,9 @@ The item windows are broadcast while the benchmark's texts have at most
 shuffle-joined.  Only hits are shuffled by document.
 
 Defined results: null, empty and blank texts have no windows and no leaks; a
-text of fewer than five words is one window; equal rows (same id and text)
+text of fewer than five words is one window; an item of two to four words is
+also found literally inside a longer text, one of a single word only as the
+whole text; equal rows (same id and text)
 give one row per leak, as do repeated items; null ids are kept; an empty table
 on either side gives an empty result; other columns are ignored.
 """
@@ -37,6 +41,7 @@ from servicelens.llm.text import KEY, blank_words, keyed
 WINDOW = 5
 MIN_COVER = 0.8
 MAX_SHIFT = 3
+RUN_WORDS = 14  # equal words of one run that make a partial copy
 BROADCAST_CHARS = 4_000_000
 
 # Marks that may surround a word, marks that end a sentence,
@@ -54,12 +59,16 @@ UNITS = (
 ).split()
 
 
+def starts_upper(word: Column) -> Column:
+    return ((word >= "A") & (word < "[")) | ((word >= "À") & (word < "ß"))
+
+
 def canonical_word(word: Column, before: Column) -> Column:
     """The canonical form of a stripped ``word``; ``before`` is the raw word in
     front of it (null at the start).  A capital marks a name unless the word
     opens a sentence."""
     lower = F.lower(word)
-    capital = ((word >= "A") & (word < "[")) | ((word >= "À") & (word < "ß"))
+    capital = starts_upper(word)
     opens = before.isNull() | F.substring(before, -1, 1).isin(SENTENCE_MARKS)
     return (
         F.when((word >= "0") & (word < ":"), "<number>")
@@ -105,29 +114,50 @@ def _windows(hashes: str, width: int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per window of each distinct item."""
+    """One row per window of each distinct item; an item's capitalised first
+    word stands as a name as well, as it does inside a sentence."""
     items = keyed(benchmark, id_col, text_col).dropDuplicates(KEY)
     items = items.withColumnRenamed("__id", "item").withColumnRenamed("__text_hash", "item_hash")
-    items = with_windows(items, ["item", "item_hash"], width)
-    items = items.select("item", "item_hash", "words", "canon", "n_windows", F.posexplode_outer("grams").alias("at", "gram"))
-    return items.where("gram is not null").withColumn("t_pos", (F.col("at") % F.col("n_windows")).cast("int")).select(
-        "item",
-        "item_hash",
-        "n_windows",
-        "t_pos",
-        "gram",
-        F.slice("words", F.col("t_pos") + 1, width).alias("t_words"),
-        F.slice("canon", F.col("t_pos") + 1, width).alias("t_canon"),
+    items = with_windows(items, ["item", "item_hash"], width).withColumn("n_words", F.size("words"))
+    keep = ["item", "item_hash", "n_windows", "n_words", "t_pos", "gram", "inner"]
+    as_name = F.concat(F.array(F.lit("<name>")), F.slice("canon", 2, width - 1))
+    inner = items.where((F.col("n_words") >= width) & starts_upper(F.get(F.col("words"), F.lit(0)))).withColumn("canon", as_name)
+    inner = inner.select(
+        "*", F.lit(0).alias("t_pos"), F.xxhash64(*[F.xxhash64(F.get(F.col("canon"), F.lit(j))) for j in range(width)]).alias("gram")
+    )
+    items = items.select("*", F.posexplode_outer("grams").alias("at", "gram")).where("gram is not null")
+    items = items.withColumn("t_pos", (F.col("at") % F.col("n_windows")).cast("int")).drop("at")
+    rows = items.withColumn("inner", F.lit(False)).unionByName(inner.withColumn("inner", F.lit(True)))
+    return rows.select(
+        *keep, F.slice("words", F.col("t_pos") + 1, width).alias("t_words"), F.slice("canon", F.col("t_pos") + 1, width).alias("t_canon")
     )
 
 
-def window_hits(docs: DataFrame, windows: DataFrame, small: bool, width: int) -> DataFrame:
-    """One row per equal pair of windows, with the slot values of both sides."""
+def window_hits(docs: DataFrame, windows: DataFrame, small: bool, width: int, short: list[int]) -> DataFrame:
+    """One row per equal pair of windows, with the slot values of both sides.
+    ``short``: the lengths of the items with fewer than ``width`` words."""
     df = with_windows(docs, KEY, width)
     # outer: else the optimizer filters on the array's size first, below the
     # word list, and splits the text anew for every window
-    df = df.select(*KEY, "words", "canon", "n_windows", F.posexplode_outer("grams").alias("at", "gram"))
-    df = df.withColumn("pos", (F.col("at") % F.col("n_windows")).cast("int")).drop("at", "n_windows")
+    exploded = df.select(*KEY, "words", "canon", "n_windows", F.posexplode_outer("grams").alias("at", "gram"))
+    exploded = exploded.withColumn("pos", (F.col("at") % F.col("n_windows")).cast("int")).drop("at", "n_windows")
+    hits = compared(exploded, windows, small, width)
+    for n in short:  # such items inside a longer text, literally
+        wide = df.where(F.size("words") > n)
+        hashes = F.transform("words", lambda w: F.xxhash64(F.lower(w)))
+        wide = wide.select(*KEY, "words", "canon", hashes.alias("plain"))
+        grams = F.transform(
+            F.sequence(F.lit(0), F.size("plain") - n),
+            lambda i: F.xxhash64(*[F.get(F.col("plain"), i + j) for j in range(n)]),  # noqa: B023
+        )
+        wide = wide.select(*KEY, "words", "canon", F.posexplode_outer(grams).alias("pos", "gram"))
+        items = windows.where((F.size("t_words") == n) & (F.col("n_words") == n) & (F.size(F.array_remove("t_words", "")) > 1))
+        hits = hits.unionByName(compared(wide, items, small, n).where("literal"))
+    return hits
+
+
+def compared(df: DataFrame, windows: DataFrame, small: bool, width: int) -> DataFrame:
+    """The hits of exploded document windows of ``width`` words."""
     here = [F.slice(c, F.col("pos") + 1, width).alias(alias) for c, alias in (("words", "here"), ("canon", "here_canon"))]
     if small:  # the lists stand by for the few hits
         hits = df.join(F.broadcast(windows), "gram").select("*", *here)
@@ -136,34 +166,53 @@ def window_hits(docs: DataFrame, windows: DataFrame, small: bool, width: int) ->
     # joined, not a lambda: a lambda in the join's condition takes the join out of
     # generated code, and all windows of a text then wait with its whole lists
     literal = F.lower(F.array_join("here", " ")) == F.lower(F.array_join("t_words", " "))
-    template = F.col("here_canon") == F.col("t_canon")
-    hits = hits.withColumn("literal", literal).withColumn("template", template).where("literal or template")
+    alike = F.col("here_canon") == F.col("t_canon")
+    hits = hits.withColumn("literal", literal).withColumn("alike", alike).where("literal or alike")
     paired = F.transform(
         "t_canon",
         lambda c, j: F.struct(c.alias("kind"), F.lower(F.get(F.col("t_words"), j)).alias("theirs"), F.lower(F.get(F.col("here"), j)).alias("ours")),
     )
-    slots = F.filter(paired, lambda p: p["kind"].isin("<number>", "<unit>", "<name>"))
-    hits = hits.withColumn("slots", slots).withColumn("ordinary", F.size("slots") < F.size("t_canon"))
-    return hits.select(*KEY, "item", "item_hash", "n_windows", "t_pos", "pos", "literal", "template", "ordinary", "slots")
+    hits = hits.withColumn("paired", paired)
+    slots = F.filter("paired", lambda p: p["kind"].isin("<number>", "<unit>", "<name>"))
+    equal = F.transform("paired", lambda p: (p["theirs"] == p["ours"]).cast("int"))
+    return hits.select(
+        *KEY,
+        "item",
+        "item_hash",
+        "n_windows",
+        "n_words",
+        "t_pos",
+        "pos",
+        "literal",
+        (F.col("alike") & ~F.col("inner")).alias("template"),
+        (F.size(slots) < F.size("t_canon")).alias("ordinary"),
+        slots.alias("slots"),
+        equal.alias("equal"),
+    )
 
 
-def alignments(hits: DataFrame, max_shift: int) -> DataFrame:
+def alignments(hits: DataFrame, max_shift: int, width: int) -> DataFrame:
     """One row per alignment, of the templates alone and of all hits: covered
-    share of the item, share covered literally, its distinct slots."""
-    pair = [*KEY, "item", "item_hash", "n_windows", "by_template"]
+    share of the item's windows (cover) and words (word_cover), share covered
+    literally (same), equal words of its best run, its distinct slots."""
+    pair = [*KEY, "item", "item_hash", "n_windows", "n_words", "by_template"]
     both = F.when(F.col("template"), F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))
     hits = hits.select("*", F.explode(both).alias("by_template"))
     one = [F.max(c).alias(c) for c in ("literal", "ordinary")]
     hits = hits.repartition(*KEY).groupBy(*pair, (F.col("pos") - F.col("t_pos")).alias("diagonal"), "t_pos").agg(
-        *one, F.max("slots").alias("slots"), F.max("pos").alias("pos")
+        *one, F.max("slots").alias("slots"), F.max("equal").alias("equal"), F.max("pos").alias("pos")
     )
     # runs: hits of consecutive windows on one diagonal
     along = Window.partitionBy(*pair, "diagonal")
     hits = hits.withColumn("run", F.col("t_pos") - F.row_number().over(along.orderBy("t_pos")))
     run = Window.partitionBy(*pair, "diagonal", "run")
     hits = hits.withColumn("length", F.count("*").over(run)).withColumn("anchored", F.max("ordinary").over(run))
+    # equal words of a run: the first word of every window, and the rest of the last one
+    last = F.max(F.struct("t_pos", "equal")).over(run)["equal"]
+    equal = F.sum(F.get(F.col("equal"), F.lit(0))).over(run) + F.aggregate(F.slice(last, 2, width), F.lit(0), lambda a, x: a + x)
+    hits = hits.withColumn("equal", equal)
     diagonals = hits.groupBy(*pair, "diagonal").agg(
-        F.collect_list(F.struct("t_pos", "length", "anchored", "literal", "slots")).alias("hits"),
+        F.collect_list(F.struct("t_pos", "length", "anchored", "literal", "equal", "slots")).alias("hits"),
         F.min("pos").alias("first"),
         F.max("pos").alias("last"),
     )
@@ -188,17 +237,25 @@ def alignments(hits: DataFrame, max_shift: int) -> DataFrame:
         .agg(
             F.max(F.struct("hit.length", unchanged.cast("int").alias("unchanged"), -F.col("diagonal"), "hit.slots"))["slots"].alias("slots"),
             F.max("hit.literal").alias("literal"),
+            F.max("hit.equal").alias("equal"),
         )
     )
+    # words of a window up to the next covered one
+    wide = F.least(F.lit(width), F.col("n_words"))
+    reach = F.transform("covered", lambda p, j: F.least(wide, F.coalesce(F.get(F.col("covered"), j + 1) - p, wide)))
     return (
         chosen.groupBy(*span, "first", "last")
         .agg(
             F.count("*").alias("n_covered"),
             F.count(F.when(F.col("literal"), 1)).alias("n_same"),
+            F.max("equal").alias("run_words"),
+            F.sort_array(F.collect_list("t_pos")).alias("covered"),
             F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
         )
         .withColumn("cover", F.col("n_covered") / F.col("n_windows"))
         .withColumn("same", F.col("n_same") / F.col("n_windows"))
+        .withColumn("word_cover", F.aggregate(reach, F.lit(0), lambda a, x: a + x) / F.col("n_words"))
+        .drop("covered")
     )
 
 
@@ -213,16 +270,22 @@ def find_leaks(
     min_cover: float = MIN_COVER,
     max_shift: int = MAX_SHIFT,
     broadcast_chars: int = BROADCAST_CHARS,
+    run_words: int = RUN_WORDS,
 ) -> DataFrame:
     """One row per leaked item of a document: __id, __text_hash, item, cover,
     first and last word of the best alignment, kind."""
-    chars = benchmark.agg(F.sum(F.length(F.col(f"`{item_text_col}`").cast("string")))).first()[0] or 0
+    item_text = F.col(f"`{item_text_col}`").cast("string")
+    item_words = F.size(blank_words(item_text))
+    short = F.collect_set(F.when((item_words > 1) & (item_words < width), item_words))
+    chars, short = benchmark.agg(F.sum(F.length(item_text)), F.sort_array(short)).first()
     windows = item_windows(benchmark, width, item_id_col, item_text_col)
-    spans = alignments(window_hits(keyed(docs, id_col, text_col), windows, chars <= broadcast_chars, width), max_shift)
+    hits = window_hits(keyed(docs, id_col, text_col), windows, (chars or 0) <= broadcast_chars, width, short)
+    spans = alignments(hits, max_shift, width)
     consistent = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"])))) == F.size("slots")
-    leaks = spans.where((F.col("same") >= min_cover) | (F.col("cover") >= min_cover) & consistent)
+    partly = (F.col("by_template") == 0) & ((F.col("word_cover") >= min_cover) | (F.col("run_words") >= run_words))
+    leaks = spans.where((F.col("same") >= min_cover) | ((F.col("cover") >= min_cover) | partly) & consistent)
     verbatim = F.forall("slots", lambda s: s["theirs"] == s["ours"])
-    best = F.struct("by_template", "cover", verbatim.cast("int").alias("verbatim"), (-F.col("first")).alias("from"), "last")
+    best = F.struct("by_template", "cover", verbatim.cast("int").alias("verbatim"), (-F.col("first")).alias("from"), "last", "n_words")
     return (
         leaks.groupBy(*KEY, "item")
         .agg(F.max(best).alias("b"))
@@ -231,7 +294,7 @@ def find_leaks(
             "item",
             F.col("b.cover").alias("cover"),
             (-F.col("b.from")).cast("bigint").alias("first_word"),
-            (F.col("b.last") + width - 1).cast("bigint").alias("last_word"),
+            (F.col("b.last") + F.least(F.lit(width), F.col("b.n_words")) - 1).cast("bigint").alias("last_word"),
             F.when(F.col("b.verbatim") == 1, "verbatim").otherwise("reparameterised").alias("kind"),
         )
     )

@@ -157,3 +157,17 @@ def test_leaks_with_placeholders_in_a_row(spark):
     wanted = [(1, 1, "verbatim"), (2, 2, "verbatim"), (3, 1, "reparameterised"), (4, 2, "verbatim")]
     assert leaks(spark, rows, items) == wanted
     assert leaks(spark, rows, items, broadcast_chars=0) == wanted
+
+
+def test_leaks_partial_edited_short_and_inside_a_sentence(spark):
+    words = [a + b for a in "ba ce di fo gu ha je ki".split() for b in "ran len min sto var pel tis".split()]
+    edited = [" ".join([*words[:i], "other", *words[i + 1 : 23]]) for i in range(23)]
+    items = [(1, " ".join(words)), (2, " ".join(words[:23])), (3, "What is the capital of France today"), (4, "largest moon of Saturn"), (5, "Saturn")]
+    rows = [(100 + i, t) for i, t in enumerate(edited)]
+    found = leaks(spark, rows, items[1:])
+    assert found == [(100 + i, 2, "verbatim") for i in range(23)]
+    rows = [(1, "zu " + " ".join(words[9:49]) + " za zo"), (2, "tell me What is the capital of France today please"), (3, "tell me What is the capital of Spain today please")]
+    rows += [(4, "Titan is the Largest moon of Saturn by far, and cold."), (5, " ".join(words[30:42])), (6, "saturn"), (7, "largest moon of Jupiter is not it")]
+    wanted = [(1, 1, "verbatim"), (2, 3, "verbatim"), (3, 3, "reparameterised"), (4, 4, "verbatim"), (6, 5, "verbatim")]
+    assert leaks(spark, rows, [items[0], *items[2:]]) == wanted
+    assert leaks(spark, rows, [items[0], *items[2:]], broadcast_chars=0) == wanted
