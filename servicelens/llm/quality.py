@@ -10,7 +10,8 @@ Line rules (a line without a word is neither kept nor lost):
   that ends a sentence, clause or quotation;
 * navigation: at least one stand-alone separator (``| » › • · >``) for every
   four words;
-* boilerplate: a phrase of ``BOILERPLATE``.
+* boilerplate: phrases of ``BOILERPLATE``, between word borders, are at least
+  ``MIN_PHRASE`` per cent of its words.
 
 One row per input row.  Null text counts as empty: all counts 0, base_failed
 true.  Repeated rows and ids give repeated rows; empty tables an empty result;
@@ -43,12 +44,14 @@ BOILERPLATE = [
     "terms of use",
     "uses cookies",
 ]
+PHRASE = r"(?i)(?<![\p{L}\p{M}\p{N}_])(?:" + "|".join(BOILERPLATE) + r")(?![\p{L}\p{M}\p{N}_])"
 
 WINDOW = 8  # words of a window that counts as repeated
 MIN_WORDS = 20
 MAX_REPEAT = 30  # per cent of words in repeated windows
 MAX_NOISE = 30  # per cent of a line's words
 SHORT_LINE = 5  # words
+MIN_PHRASE = 20  # per cent of a line's words
 MAX_LOST = 50  # per cent of a document's words
 
 
@@ -94,11 +97,12 @@ def line_verdict(line: Column, words: Column, n_words: Column) -> Column:
     noise = _matches(line, SYMBOLS) + _matches(line, "!!+") + F.size(stutter)
     unended = (n_words < SHORT_LINE) & ~line.rlike(END_MARKS)
     separators = F.size(F.filter(words, lambda w: w.isin(SEPARATORS)))
+    phrase_words = F.size(F.split(F.array_join(F.regexp_extract_all(line, F.lit(PHRASE), F.lit(0)), " "), " "))
     return (
         F.when(n_words == 0, "")
         .when((separators > 0) & (4 * separators >= n_words), "navigation")
         .when((100 * noise > MAX_NOISE * n_words) | unended, "punctuation")
-        .when(line.rlike("(?i)" + "|".join(BOILERPLATE)), "boilerplate")
+        .when(line.rlike(PHRASE) & (100 * phrase_words >= MIN_PHRASE * n_words), "boilerplate")
         .otherwise("")
     )
 

@@ -171,3 +171,12 @@ def test_leaks_partial_edited_short_and_inside_a_sentence(spark):
     wanted = [(1, 1, "verbatim"), (2, 3, "verbatim"), (3, 3, "reparameterised"), (4, 4, "verbatim"), (6, 5, "verbatim")]
     assert leaks(spark, rows, [items[0], *items[2:]]) == wanted
     assert leaks(spark, rows, [items[0], *items[2:]], broadcast_chars=0) == wanted
+
+
+def test_quality_keeps_clean_lines_with_parts_of_phrases(spark):
+    rest = " and then many other clean words follow here one after the next until this long line is finally over, with thirty of them or so in all."
+    article = "The council spoke of its privacy policy for an hour" + rest
+    texts = ["We design interfaces" + rest, "They spread more" + rest, article, "Privacy Policy | x y z\nSign in\nRead more.\n" + article]
+    found = quality.quality_scan(docs(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [(r.quality.lines_removed, r.quality.kept) for r in found] == [(0, True), (0, True), (0, True), (3, True)]
+    assert [r.quality.words_lost for r in found] == [0, 0, 0, 10]
