@@ -194,14 +194,20 @@ def write_records(
         index_maker(), "file string, doc_id long, offset long, length long, n_tokens long, start_in_file long"
     )
     found = materialize(found, "record-index")
-    # one row per file; file names ascend with the ids
-    totals = found.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    before = F.coalesce(F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = totals.select("file", before.alias("base"))
-    index = found.join(bases, "file").withColumn("start", F.col("base") + F.col("start_in_file"))
+    index = found.join(file_bases(found), "file").withColumn("start", F.col("base") + F.col("start_in_file"))
     index.select("file", "doc_id", "offset", "length", "n_tokens", "start").write.parquet(f"{out}/index")
 
 
+def file_bases(found: DataFrame) -> DataFrame:
+    """file, base: the tokens in the files before it.  Part numbers ascend with
+    the ids; they are padded to five digits, so the names do so only up to 100,000 files."""
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("int")
+    # one row per file
+    totals = found.groupBy("file").agg(F.sum("n_tokens").alias("total")).withColumn("number", number)
+    before = F.coalesce(F.sum("total").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return totals.select("file", before.alias("base"))
+
+
 def _files(spark, out: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{out}/data")
 

@@ -177,3 +177,13 @@ def test_token_counts_rows(spark):
     key = lambda r: str(tuple(r))
     assert sorted(map(tuple, out), key=key) == sorted(want, key=key)
     assert token_count.count_tokens(frame(spark, []), WORD).count() == 0
+
+
+def test_starts_follow_part_numbers(spark):
+    numbers = [99_999, 100_000, 10_000, 10_001, 9]
+    found = spark.createDataFrame([(f"part-{k:05d}-x.txt", n) for k in numbers for n in (k, 1)], "file string, n_tokens long")
+    wanted, base = {}, 0
+    for k in sorted(numbers):
+        wanted[f"part-{k:05d}-x.txt"] = base
+        base += k + 1
+    assert {r.file: r.base for r in records.file_bases(found).collect()} == wanted
