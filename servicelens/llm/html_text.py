@@ -1,8 +1,11 @@
 """HTML extraction by layout-aware rendering.
 
 A page becomes a tree: end tags that HTML lets authors leave out are implied,
-and elements that are never shown are cut out (scripts, styles, templates,
-``hidden`` attributes, ``display:none``, ``visibility:hidden``).  The tree is rendered as text: blocks start new
+and elements that are never shown are cut out (head, scripts, styles, templates,
+``noscript``, the fallbacks of frames, objects, audio, video and canvas, data lists,
+definitions and descriptions in ``svg``, annotations in ``math``,
+``hidden`` attributes, ``display:none``, ``visibility:hidden``): they are opened and
+closed like all others, but hang on no parent.  The tree is rendered as text: blocks start new
 lines, paragraphs and headings stand between blank lines, list items have
 bullets or numbers and are indented by their depth, preformatted text keeps
 its blanks, and table cells are padded to the width of their column.
@@ -35,7 +38,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # HTML elements by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("head script style template noscript iframe object svg math select datalist noembed noframes audio video canvas".split())
+UNSEEN = set("head script style template noscript iframe object datalist noembed noframes audio video canvas".split())
+# What a head may hold (anything else ends it), and what is not shown inside svg and math.
+HEAD_CONTENT = set("base basefont bgsound head html link meta title script style template noscript noframes".split())
+FOREIGN = {"svg", "math"}
+FOREIGN_UNSEEN = set(
+    "annotation annotation-xml clippath defs desc lineargradient marker mask metadata pattern radialgradient symbol".split()
+)
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCK = SPACED | set(
     "address article aside body caption center dd details dialog dir div dt fieldset figcaption footer form header hgroup"
@@ -86,70 +95,75 @@ class Node:
 def tree(page: str) -> tuple[Node, str | None]:
     """The tree of shown elements, and the title."""
     root, title = Node("html"), None
-    stack, unseen, at = [root], 0, 0  # unseen: depth of open elements inside one that is not shown
+    stack, foreign, at = [root], 0, 0  # foreign: open svg and math elements
+
+    def leave(k: int) -> None:
+        nonlocal foreign
+        foreign -= sum(n.name in FOREIGN for n in stack[k:])
+        del stack[k:]
 
     def close(names: set[str], borders: set[str]) -> None:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].name in names:
-                del stack[k:]
+                leave(k)
                 return close(names, borders)
             if stack[k].name in borders:
                 return None
         return None
 
-    cut: list[str] = []  # open elements from the one that is not shown inwards
     while at < len(page):
         m = TAG.search(page, at)
-        if not cut and (upto := page[at : m.start() if m else len(page)]):
+        if upto := page[at : m.start() if m else len(page)]:
+            if stack[-1].name == "head" and upto.strip(" \t\n\r\f"):
+                leave(len(stack) - 1)
             stack[-1].children.append(html.unescape(upto))
         if not m:
             break
         at = m.end()
         if m["start"]:
             name, attributes = m["start"].lower(), m["attributes"]
+            if stack[-1].name == "head" and name not in HEAD_CONTENT:
+                leave(len(stack) - 1)
             if name in RAW and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 inside, at = page[at : end.start() if end else len(page)], end.end() if end else len(page)
                 if name == "title" and title is None:
                     title = " ".join(html.unescape(inside).split())
-                if name == "textarea" and not cut:
+                if name == "textarea":
                     stack[-1].children.append(html.unescape(inside))
+                elif name == "xmp" and not hidden(attributes):
+                    close({"p"}, SCOPE)
+                    stack[-1].children.append(Node("pre"))
+                    stack[-1].children[-1].children.append(inside)
                 continue
-            if cut:
-                if name == "body" and cut[0] == "head":
-                    cut.clear()
-                elif name not in VOID and name == cut[0]:
-                    cut.append(name)
-                if cut:
-                    continue
             if name in IMPLIED_ENDS:
                 close(*IMPLIED_ENDS[name])
             if name in BLOCK and name != "option":  # a block ends an open paragraph
                 close({"p"}, SCOPE)
             if name in ("html", "body"):
                 continue
-            if (name in UNSEEN or hidden(attributes)) and name not in VOID:
-                cut.append(name)
-                continue
+            unseen = (name in UNSEEN or foreign and name in FOREIGN_UNSEEN or hidden(attributes)) and name not in VOID
             number = re.search(r"\bstart\s*=\s*[\"']?(-?\d{1,9})", attributes) if name == "ol" else None
-            node = Node(name, int(number[1]) if number else 1)
-            if not (name == "input" and re.search(r"type\s*=\s*[\"']?hidden", attributes, re.IGNORECASE)):
+            # every text of a drawing stands on its own
+            node = Node("div" if foreign and name == "text" else name, int(number[1]) if number else 1)
+            if not unseen and not (name == "input" and re.search(r"type\s*=\s*[\"']?hidden", attributes, re.IGNORECASE)):
                 stack[-1].children.append(node)
-            if name not in VOID:
+            if name not in VOID and not (foreign and attributes.endswith("/")):
                 stack.append(node)
+                foreign += name in FOREIGN
         elif m["end"]:
             name = m["end"].lower()
-            if cut:
-                if name == cut[0]:
-                    cut.pop()
-                continue
+            if foreign and name == "text":
+                name = "div"
             if name == "p" and not any(n.name == "p" for n in stack):
                 stack[-1].children.append(Node("p"))
                 continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
-                    del stack[k:]
+                    leave(k)
                     break
+                if stack[k].name == "template":
+                    break  # nor out of a template
                 if name not in ("table", "td", "th", "tr", "tbody", "thead", "tfoot") and stack[k].name in ("td", "th", "table"):
                     break  # an end tag does not reach out of its cell
     return root, title

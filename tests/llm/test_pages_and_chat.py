@@ -191,3 +191,25 @@ def test_typed_parts(spark):
     assert first.formatted == "<|turn|>user\nsee <\\|x<|image:1|><|audio:2|> and <|document:3|><|video:4|><|end|>\n"
     assert [tuple(a) for a in first.attachments] == [("image", "img/1.png", 1024), ("audio", "a.wav", 250), ("document", "d.pdf", 600), ("video", "v.mp4", 1)]
     assert second.formatted == "<|turn|>assistant\n<|end|>\n" and second.loss_start == second.loss_end == second.start + 18
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<html><head><title>t</title><p>Hello", "Hello"),
+        ("<html><head><meta charset=x><title>t</title>\n Hello <b>you</b>", "Hello you"),
+        ("<head><script>x</script><noscript><p>no</noscript><link rel=y></head><p>yes", "yes"),
+        ("<ul><li hidden>a<li>b</ul>rest", "* b\n\nrest"),
+        ("<div><p hidden>x<p>y</div>rest", "y\n\nrest"),
+        ("<div><span hidden>x</div>rest", "rest"),
+        ("<table><tr hidden><td>a<tr><td>b</table>c", "b\n\nc"),
+        ("<div hidden>a<div>b</div>c</div>d", "d"),
+        ("<template><div>a</div></p></div>b</template>c", "c"),
+        ("x <math><mi>a</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> y", "x a=1 y"),
+        ("<svg><desc>no</desc><defs/><path d='M0 0'/><text>one</text><text>two</text></svg>z", "one\ntwo\nz"),
+        ("<p>Pick <select><option>red<option>blue</select></p>end", "Pick\nred\nblue\n\nend"),
+        ("<xmp>a <b> &amp;\n c</xmp>d", "a <b> &amp;\n c\n\nd"),
+    ],
+)
+def test_visible_text_around_cut_elements(page, text):
+    assert html_text.extracted(page)[1] == text
