@@ -192,12 +192,13 @@ def compared(df: DataFrame, windows: DataFrame, small: bool, width: int) -> Data
 
 
 def alignments(hits: DataFrame, max_shift: int, width: int) -> DataFrame:
-    """One row per alignment, of the templates alone and of all hits: covered
+    """One row per alignment, of the templates alone (by_template 1), of all hits
+    (0) and of all hits in a band around a strongest diagonal (-1): covered
     share of the item's windows (cover) and words (word_cover), share covered
     literally (same), equal words of its best run, its distinct slots."""
     pair = [*KEY, "item", "item_hash", "n_windows", "n_words", "by_template"]
-    both = F.when(F.col("template"), F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))
-    hits = hits.select("*", F.explode(both).alias("by_template"))
+    ways = F.when(F.col("template"), F.array(*map(F.lit, (1, 0, -1)))).otherwise(F.array(*map(F.lit, (0, -1))))
+    hits = hits.select("*", F.explode(ways).alias("by_template"))
     one = [F.max(c).alias(c) for c in ("literal", "ordinary")]
     hits = hits.repartition(*KEY).groupBy(*pair, (F.col("pos") - F.col("t_pos")).alias("diagonal"), "t_pos").agg(
         *one, F.max("slots").alias("slots"), F.max("equal").alias("equal"), F.max("pos").alias("pos")
@@ -220,7 +221,12 @@ def alignments(hits: DataFrame, max_shift: int, width: int) -> DataFrame:
     apart = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > max_shift) | (
         F.col("first") - F.lag("last").over(order) > F.col("n_windows")
     )
-    spans = diagonals.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("span", F.sum("apart").over(order))
+    # stray hits between two diagonals cut a chain, but not the band of a strongest one
+    near = Window.partitionBy(*pair).orderBy("diagonal").rangeBetween(-max_shift, max_shift)
+    strongest = F.max(F.struct(F.size("hits"), -F.col("diagonal"), "diagonal")).over(near)["diagonal"]
+    chain = F.sum("apart").over(order)
+    spans = diagonals.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int"))
+    spans = spans.withColumn("span", F.when(F.col("by_template") < 0, strongest.cast("bigint")).otherwise(chain))
     span = [*pair, "span"]
     # a window of slots alone also hits on neighbouring diagonals: for every
     # window of the item the hit of the longest run counts, and where a run
@@ -282,7 +288,7 @@ def find_leaks(
     hits = window_hits(keyed(docs, id_col, text_col), windows, (chars or 0) <= broadcast_chars, width, short)
     spans = alignments(hits, max_shift, width)
     consistent = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"])))) == F.size("slots")
-    partly = (F.col("by_template") == 0) & ((F.col("word_cover") >= min_cover) | (F.col("run_words") >= run_words))
+    partly = (F.col("by_template") < 1) & ((F.col("word_cover") >= min_cover) | (F.col("run_words") >= run_words))
     leaks = spans.where((F.col("same") >= min_cover) | ((F.col("cover") >= min_cover) | partly) & consistent)
     verbatim = F.forall("slots", lambda s: s["theirs"] == s["ours"])
     best = F.struct("by_template", "cover", verbatim.cast("int").alias("verbatim"), (-F.col("first")).alias("from"), "last", "n_words")

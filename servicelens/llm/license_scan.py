@@ -5,7 +5,8 @@ the same pair in the license templates.  A hit votes for the diagonal
 ``document position - template position``; the votes of one diagonal are one
 alignment of the template.  Neighbouring diagonals of the long templates are
 merged, so that a few inserted or missing words do not break a span, and a
-span counts when its votes cover enough of the template.
+span counts when its votes, or those of the diagonals within ``max_shift`` of
+one of its own, cover enough of the template.
 
 The template index is built from the constants below, so it is broadcast: its
 size is the number of their words, whatever the corpus.  Only hits are
@@ -122,12 +123,17 @@ def verified_spans(hits: DataFrame, min_cover: float = MIN_COVER, max_shift: int
         | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > max_shift)
         | (F.col("first") - F.lag("last").over(order) > max_shift + 1)
     )
+    # a stray vote between two diagonals cuts the chain, but not the band around
+    # one of them; a band cannot reach further than the template is long
+    near = Window.partitionBy(*KEY, "template").orderBy("diagonal").rangeBetween(-max_shift, max_shift)
+    band = F.when(F.col("passage"), F.size(F.array_distinct(F.flatten(F.collect_list("voted").over(near)))))
     spans = (
-        diagonals.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int"))
+        diagonals.withColumn("band", band)
+        .withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int"))
         .withColumn("span", F.sum("apart").over(order))
         .groupBy(*KEY, "n_words", "template", "t_votes", "label", "passage", "span")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("voted")))).alias("votes"),
+            F.greatest(F.size(F.array_distinct(F.flatten(F.collect_list("voted")))), F.max("band")).alias("votes"),
             F.min("diagonal").alias("start"),
             F.max("copies").alias("copies"),
         )

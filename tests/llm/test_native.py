@@ -180,3 +180,11 @@ def test_quality_keeps_clean_lines_with_parts_of_phrases(spark):
     found = quality.quality_scan(docs(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
     assert [(r.quality.lines_removed, r.quality.kept) for r in found] == [(0, True), (0, True), (0, True), (3, True)]
     assert [r.quality.words_lost for r in found] == [0, 0, 0, 10]
+
+
+@pytest.mark.parametrize("label", ["mit-text", "apache-text", "gpl-text", "bsd-text"])
+def test_license_passages_with_one_inserted_word(spark, label):
+    words = next(p for p, name in license_scan.PASSAGES.items() if name == label).split()
+    rows = [(i, " ".join([*words[:i], "really", *words[i:]])) for i in range(1, len(words))]
+    found = {r.doc_id: r.labels.split(",") for r in license_scan.license_scan(docs(spark, rows)).collect()}
+    assert [i for i, labels in found.items() if label not in labels] == []
