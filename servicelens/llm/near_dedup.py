@@ -118,7 +118,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(node, shingles) of the wanted nodes; ``docs`` are keyed rows."""
-    ids = nodes.join(wanted, "node", "left_semi").select(F.col("least_id").alias("wanted_id")).distinct()
+    ids = nodes.join(wanted, "node", "left_semi").select(F.col("least.__id").alias("wanted_id")).distinct()
     ids = materialize(ids, "wanted")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
     texts = docs.join(ids, docs["__id"].eqNullSafe(F.col("wanted_id")), "left_semi").select("__text")
@@ -204,7 +204,9 @@ def grouped_rows(docs: DataFrame, id_col: str, text_col: str, width: int, simila
     """One row per input row: __id, __text_hash, n_shingles, component_id, kept."""
     sketch = materialize(sketches(docs, id_col, text_col, width), "sketches")
     one = [F.first(c).alias(c) for c in ("n_shingles", "sig", "bits0", "bits1")]
-    nodes = sketch.where("node is not null").groupBy("node").agg(F.min("__id").alias("least_id"), *one)
+    # the least row stays: least id (null last), then least text hash
+    row = F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__text_hash")
+    nodes = sketch.where("node is not null").groupBy("node").agg(F.min(row).alias("least"), *one)
     nodes = materialize(nodes, "nodes")
     postings = materialize(prefix_postings(nodes), "postings")
     sizes = postings.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
@@ -215,12 +217,13 @@ def grouped_rows(docs: DataFrame, id_col: str, text_col: str, width: int, simila
     sets = whole_sets(keyed(docs, id_col, text_col), nodes, wanted, width)
     links = confirmed(pairs, sets, similarity)
     roots = linked_nodes(links, long_lists, nodes, sets, similarity)
-    named = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.join(roots.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("least_id").alias("group_id"))
-    named = named.join(least, "root", "left").select("node", F.coalesce("group_id", "least_id").alias("group_id"))
+    named = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.join(roots.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("least").alias("of_group"))
+    named = named.join(least, "root", "left").select("node", F.coalesce("of_group", "least").alias("least"))
     out = sketch.select("__id", "__text_hash", "n_shingles", "node").join(named, "node", "left")
-    out = out.withColumn("component_id", F.coalesce("group_id", "__id"))
-    kept = F.col("__id").eqNullSafe(F.col("component_id"))
+    out = out.withColumn("component_id", F.coalesce("least.__id", "__id"))
+    stays = F.col("__id").eqNullSafe(F.col("least.__id")) & (F.col("__text_hash") == F.col("least.__text_hash"))
+    kept = F.col("node").isNull() | stays
     return out.select("__id", "__text_hash", "n_shingles", "component_id", kept.alias("kept"))
 
 
@@ -228,7 +231,8 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: int = SIMILARITY
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (least id that can
-    be reached over links, its own included), kept (id = component_id)."""
+    be reached over links, its own included), kept (id = component_id; of several
+    texts with that id, the one with the least hash)."""
     rows = grouped_rows(docs, id_col, text_col, width, similarity)
     return rows.select(F.col("__id").alias(id_col), "n_shingles", "component_id", "kept")
 
@@ -237,7 +241,8 @@ def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: int = SIMILARITY
 ) -> DataFrame:
     """One row of each group of near-duplicates, columns unchanged: the one
-    with the least id, and one of several rows equal in id and text.  Rows
+    with the least id (of several texts with that id, the least text hash), and
+    one of several rows equal in id and text.  Rows
     without words all stay."""
     found = materialize(grouped_rows(docs, id_col, text_col, width, similarity).where("n_shingles > 0"), "grouped")
     here = docs.withColumn("__hash_here", F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))

@@ -101,3 +101,13 @@ def test_signature_estimates_similarity():
     one = shingles.shingle_set(" ".join(f"w{i}" for i in range(1000)), 2, memo)
     two = shingles.shingle_set(" ".join(f"w{i}" for i in range(100, 1000)), 2, memo)
     assert 44 <= (shingles.signature(one, a, b) == shingles.signature(two, a, b)).sum() <= 64
+
+
+def test_drop_keeps_one_where_ids_repeat_or_are_null(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, long), (1, long + " x"), (2, long + " y"), (None, other), (None, other + " x"), (None, other + " x"), (None, "Alone here now"), (1, "not like the others"), (None, long + " z"), (5, "Copy of it"), (5, "copy of it")]
+    out = near_dedup.drop_near_duplicates(frame(spark, rows), width=2).collect()
+    groups = [sum((r.text or "").lower().startswith(k) for r in out) for k in ("w0", "v0", "alone", "not", "copy")]
+    assert groups == [1] * 5 and len(out) == 5
+    assert next(r.doc_id for r in out if r.text.startswith("w0")) == 1
