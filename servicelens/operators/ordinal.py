@@ -45,3 +45,49 @@ def with_ordinal(df: DataFrame, order_by: list[Column | str], name: str = "rank"
 def dense_ordinal(df: DataFrame, key: str, name: str, base: int = 0) -> DataFrame:
     """Ordinal of each distinct ``key`` value in ascending order (dense rank)."""
     return with_ordinal(df.select(key).distinct(), [F.col(key)], name, base)
+
+
+# Entries (partition x segment) up to which the offsets are broadcast.
+BROADCAST_OFFSETS = 200_000
+
+
+def segmented_ordinal(
+    df: DataFrame, segments: list[str], order_by: list[Column | str], name: str = "rank", base: int = 0, total: str | None = None
+) -> DataFrame:
+    """Ordinal of every row inside its segment, without a window per segment.
+
+    One range sort by (segments, ordering keys) spreads a segment over as many
+    partitions as its rows need, however hot it is.  Counts are taken for each
+    (partition, segment); a running sum over the partitions of a segment gives
+    its offsets, so the one window spans at most the number of partitions.  The
+    offsets come back by an equi-join on (partition, segment), whose groups are
+    as even as the sort's partitions.  Null segments count as a segment.
+    ``total`` names a column for the segment's row count.
+    """
+    cols = df.columns
+    ordered = physical.materialize(
+        df.orderBy(*segments, *order_by).select(
+            *cols, F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid")
+        ),
+        "ordinal",
+    )
+    per = ordered.groupBy("__pid", *segments).agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    whole = Window.partitionBy(*segments)
+    earlier = whole.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select(
+        F.col("__pid").alias("__opid"),
+        *[F.col(s).alias(f"__o{i}") for i, s in enumerate(segments)],
+        "__first",
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"),
+        F.sum("__n").over(whole).alias("__total"),
+    )
+    offsets = physical.materialize(offsets, "offsets")
+    if offsets.count() <= BROADCAST_OFFSETS:
+        offsets = F.broadcast(offsets)
+    same = ordered["__pid"] == offsets["__opid"]
+    for i, s in enumerate(segments):
+        same = same & ordered[s].eqNullSafe(offsets[f"__o{i}"])
+    out = [*cols, (F.col("__off") + F.col("__mid") - F.col("__first") + F.lit(base)).cast("long").alias(name)]
+    if total:
+        out.append(F.col("__total").cast("long").alias(total))
+    return ordered.join(offsets, same).select(*out)
