@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from servicelens.llm import chat, decontaminate, license_scan, quality, warc
+from servicelens.llm import chat, decontaminate, embedding_dedup, license_scan, merkle, periodic, quality, warc
 
 # The same words as the operators': runs without ASCII blanks, lower case of A-Z alone.
 BLANK_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -221,6 +221,141 @@ FROM ranked WHERE place = 1
 """
 
 
+# Unsigned crc32 of an ASCII text, bit by bit (fixed value: the reversed polynomial).
+CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, zero: xor(c >> 1, (c & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"""
+
+PERIODIC = rf"""
+WITH d AS (
+    SELECT doc_id, {BLANK_WORDS.format("coalesce(text, '')")} AS w, {CRC32.format("doc_id::VARCHAR")} AS h FROM documents
+), g AS (
+    SELECT doc_id, w, len(w) AS n, h // 10 AS g, h % 10 = 0 AND len(w) > 0 AS planted FROM d
+), a AS (
+    SELECT *, CASE WHEN planted THEN g % n END AS a FROM g
+), p AS (
+    SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a
+), t AS (
+    SELECT doc_id, n, CASE WHEN planted
+        THEN list_transform(range(n), lambda i: w[1 + (CASE WHEN i < a THEN i ELSE a + (i - a) % p END)]) ELSE w END AS w FROM p
+), words AS (
+    SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS w FROM t
+), same AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i FROM words x JOIN words y
+    ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND y.i - x.i <= x.n // {periodic.LEAST_EXPONENT}
+), islands AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same
+), stretches AS (
+    SELECT doc_id, min(i) AS start, count(*) + q AS length, q FROM islands GROUP BY doc_id, q, island
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches
+    WHERE length >= greatest({periodic.LEAST_LENGTH}, {periodic.LEAST_EXPONENT} * q) GROUP BY doc_id, start, length
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY doc_id
+), longest AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+), dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+    SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+    (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM t LEFT JOIN listed USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+"""
+
+EMBEDDINGS = f"""
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), sizes AS (
+    SELECT len(e) AS dim FROM rows WHERE e IS NOT NULL GROUP BY dim ORDER BY count(*) DESC, dim DESC LIMIT 1
+), sound AS (
+    SELECT r, vec_id, e FROM rows WHERE len(e) = (SELECT dim FROM sizes)
+        AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.r, b.r AS other FROM sound a JOIN sound b ON a.r <> b.r AND list_cosine_similarity(a.e, b.e) >= {embedding_dedup.THRESHOLD}
+), reach AS (
+    SELECT r, vec_id AS root FROM rows
+    UNION
+    SELECT links.other, reach.root FROM reach JOIN links USING (r)
+), roots AS (
+    SELECT r, min(root) AS root FROM reach GROUP BY r
+), counts AS (
+    SELECT r, count(*) AS n FROM links GROUP BY r
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, root::BIGINT AS component_id, vec_id IS NOT DISTINCT FROM root AS kept
+FROM rows JOIN roots USING (r) LEFT JOIN counts USING (r)
+"""
+
+
+def _leaf(text: str) -> str:
+    coded = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(coded)})"
+
+
+def _levels(name: str, base: str) -> str:
+    """CTE of all nodes (seg, level, pos, digest, n) over ``base`` (seg, pos, digest, n)."""
+    k = merkle.ARITY
+    return f"""{name} AS (
+    SELECT seg, 0 AS level, pos, digest, n FROM {base}
+    UNION ALL
+    SELECT seg, level + 1, pos // {k}, sha256(string_agg(digest, '' ORDER BY pos)), (n + {k - 1}) // {k}
+    FROM {name} WHERE n > 1 GROUP BY seg, level, pos // {k}, n
+)"""
+
+
+def _steps(nodes: str) -> str:
+    """Per node of a level with more than one: the siblings before and after it."""
+    return f"""SELECT x.seg, x.level, x.pos, coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS before,
+        coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS after
+    FROM {nodes} x JOIN {nodes} y ON x.seg = y.seg AND x.level = y.level AND x.pos // {merkle.ARITY} = y.pos // {merkle.ARITY}
+    WHERE x.n > 1 GROUP BY ALL"""
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce('s' || source, 'null') AS seg, source, {_leaf("text")} AS leaf,
+        CASE WHEN {CRC32.format("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS claimed
+    FROM documents
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY seg ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY seg) AS n FROM d
+), base AS (
+    SELECT seg, pos, leaf AS digest, n FROM leaves
+), {_levels("nodes", "base")}, subroots AS (
+    SELECT seg AS name, 'all' AS seg, row_number() OVER (ORDER BY CASE WHEN seg = 'null' THEN 0 ELSE 1 END, seg) - 1 AS pos, digest, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+), top_base AS (
+    SELECT seg, pos, digest, n FROM subroots
+), {_levels("tops", "top_base")}, steps AS (
+    {_steps("nodes")}
+), top_steps AS (
+    {_steps("tops")}
+), powers AS (
+    SELECT range AS level, ({merkle.ARITY} ** range)::BIGINT AS power FROM range(40)
+), path AS (
+    SELECT l.seg, l.pos, s.level, s.before, s.after FROM leaves l JOIN steps s ON l.seg = s.seg
+        JOIN powers p ON p.level = s.level AND s.pos = l.pos // p.power
+    UNION ALL
+    SELECT l.seg, l.pos, 1000 + s.level, s.before, s.after FROM leaves l JOIN subroots r ON r.name = l.seg JOIN top_steps s ON true
+        JOIN powers p ON p.level = s.level AND s.pos = r.pos // p.power
+), proofs AS (
+    SELECT seg, pos, list({{'before': before, 'after': after}} ORDER BY level) AS steps FROM path GROUP BY seg, pos
+), folded AS (
+    SELECT l.seg, l.pos, l.claimed AS digest, 1 AS place, p.steps FROM leaves l LEFT JOIN proofs p USING (seg, pos)
+    UNION ALL
+    SELECT seg, pos, sha256(steps[place].before || digest || steps[place].after), place + 1, steps FROM folded WHERE place <= len(steps)
+), ended AS (
+    SELECT seg, pos, digest, coalesce(array_to_string(list_transform(steps, lambda s: s.before || s.after), ''), '') AS proof
+    FROM folded WHERE place > coalesce(len(steps), 0)
+), root AS (
+    SELECT digest AS root FROM tops WHERE n = 1
+)
+SELECT doc_id, leaf, r.digest AS subroot, root, sha256(proof) AS proof_sha256, e.digest AS folded_root, e.digest = root AS verified
+FROM leaves l JOIN ended e USING (seg, pos) JOIN subroots r ON r.name = l.seg, root
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_warc_revisits": WARC,
     "op3_license_scan": _license_scan(),
@@ -228,4 +363,7 @@ ORACLE: dict[str, str] = {
     "op7_quality_rules": QUALITY,
     "op9_decontamination": _decontamination(),
     "op10_chat_format": CHAT,
+    "op11_periodic_runs": PERIODIC,
+    "op12_embedding_duplicates": EMBEDDINGS,
+    "op13_merkle_manifest": MERKLE,
 }

@@ -19,8 +19,8 @@ def test_query_matches_oracle(spark, con, name):
     assert res["status"] == "match", res
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op3_license_scan", "op7_quality_rules", "op9_decontamination"])
