@@ -10,6 +10,13 @@ Everything stays in long form (month, part, qty): the grid is generated per
 part from the global month bounds, samples come from a window per part
 (bounded by the number of months), and sample indexes are month arithmetic,
 so no step gathers all parts or all months into one task.
+
+Every function takes ``by`` columns (F4): with ``by=("product_type",)`` all
+types are treated at once, each with its own shares, quantile, month bounds and
+split.  Group totals, quantiles and bounds are one row a group and
+come back by an equi-join; ranks inside a group come from one range sort of all
+groups (``segmented_ordinal``), so a group with a third of all parts is no
+heavier for any task.
 """
 
 from __future__ import annotations
@@ -19,43 +26,59 @@ from pyspark.sql import functions as F
 
 from servicelens import schema as S
 from servicelens.functions.dates import month_start, parse_arg_date
-from servicelens.operators.ordinal import with_ordinal
+from servicelens.operators.ordinal import segmented_ordinal, with_ordinal
 from servicelens.plans import physical
 
-def monthly_demand(rows: DataFrame, date_col: str = "d_goods_out", part_col: str = "part_no") -> DataFrame:
+
+def _with_group_rows(df: DataFrame, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``df`` with the columns of ``rows``, which has one row a group (one in
+    all without ``by``); whether it is broadcast follows from its size."""
+    return df.join(rows, list(by)) if by else df.crossJoin(F.broadcast(rows))
+
+
+def monthly_demand(
+    rows: DataFrame, date_col: str = "d_goods_out", part_col: str = "part_no", by: tuple[str, ...] = ()
+) -> DataFrame:
     """Quantity per (month, part) (T6, A10).  ``month`` is the first day."""
-    return rows.groupBy(month_start(F.col(date_col)).alias("month"), F.col(part_col).alias("part_no")).agg(
+    return rows.groupBy(*by, month_start(F.col(date_col)).alias("month"), F.col(part_col).alias("part_no")).agg(
         F.sum("quantity").cast("double").alias("qty")
     )
 
 
-def part_share(monthly: DataFrame) -> DataFrame:
-    """Total quantity per part and its share of the grand total."""
-    totals = monthly.groupBy("part_no").agg(F.sum("qty").alias("total_qty"))
-    grand = totals.agg(F.sum("total_qty").alias("grand_qty"))  # one row
-    return totals.crossJoin(F.broadcast(grand)).select(
-        "part_no", "total_qty", F.try_divide(F.col("total_qty"), F.col("grand_qty")).alias("share")
+def part_share(monthly: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Total quantity per part and its share of the (group's) grand total."""
+    totals = monthly.groupBy(*by, "part_no").agg(F.sum("qty").alias("total_qty"))
+    grand = totals.groupBy(*by).agg(F.sum("total_qty").alias("grand_qty"))
+    return _with_group_rows(totals, grand, by).select(
+        *by, "part_no", "total_qty", F.try_divide(F.col("total_qty"), F.col("grand_qty")).alias("share")
     )
 
 
-def exact_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
-    """Exact linearly interpolated quantile (A11), as one row ``quantile``.
+def exact_quantile(df: DataFrame, col: str, q: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """Exact linearly interpolated quantile (A11), as one row ``quantile`` (one
+    for each group of ``by``).
 
     position = (n - 1) q; value = v[floor] + (v[ceil] - v[floor]) * frac.
     The values are ranked with a distributed sort (no single-task collect);
-    only the two neighbouring ranks are read back.
+    only the two neighbouring ranks of a group are read back.
     """
     # A row hash breaks ties, so a value held by many rows still spreads over
     # several range partitions of the sort (only values enter the result).
-    vals = df.select(F.col(col).cast("double").alias("v"), F.xxhash64(*df.columns).alias("t")).where(
+    vals = df.select(*by, F.col(col).cast("double").alias("v"), F.xxhash64(*df.columns).alias("t")).where(
         F.col("v").isNotNull()
     )
-    ranked = with_ordinal(vals, [F.col("v"), F.col("t")], "r", base=0)
-    n = vals.agg(F.count(F.lit(1)).alias("n"))
-    pos = n.select(((F.col("n") - 1) * F.lit(q)).alias("pos"))
-    pos = pos.select("pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
-    picks = ranked.join(F.broadcast(pos), F.col("r").between(F.col("lo"), F.col("hi")))
-    return picks.groupBy().agg(
+    if by:
+        ranked = segmented_ordinal(vals, list(by), [F.col("v"), F.col("t")], "r", base=0, total="n")
+        pos = (F.col("n") - 1) * F.lit(q)
+        picks = ranked.select(*by, "v", "r", pos.alias("pos"), F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"))
+        picks = picks.where(F.col("r").between(F.col("lo"), F.col("hi")))
+    else:
+        ranked = with_ordinal(vals, [F.col("v"), F.col("t")], "r", base=0)
+        n = vals.agg(F.count(F.lit(1)).alias("n"))
+        pos = n.select(((F.col("n") - 1) * F.lit(q)).alias("pos"))
+        pos = pos.select("pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
+        picks = ranked.join(F.broadcast(pos), F.col("r").between(F.col("lo"), F.col("hi")))
+    return picks.groupBy(*by).agg(
         (
             F.max(F.when(F.col("r") == F.col("lo"), F.col("v")))
             + (F.max(F.when(F.col("r") == F.col("hi"), F.col("v"))) - F.max(F.when(F.col("r") == F.col("lo"), F.col("v"))))
@@ -64,33 +87,33 @@ def exact_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
     )
 
 
-def top_contributors(shares: DataFrame, q: float = S.DEFAULT_QUANTILE) -> DataFrame:
-    """Parts whose share is at least the ``q`` quantile of all shares (F8)."""
-    threshold = exact_quantile(shares, "share", q)
-    return shares.crossJoin(F.broadcast(threshold)).where(F.col("share") >= F.col("quantile")).withColumnRenamed(
+def top_contributors(shares: DataFrame, q: float = S.DEFAULT_QUANTILE, by: tuple[str, ...] = ()) -> DataFrame:
+    """Parts whose share is at least the ``q`` quantile of all shares (of their group) (F8)."""
+    threshold = exact_quantile(shares, "share", q, by)
+    return _with_group_rows(shares, threshold, by).where(F.col("share") >= F.col("quantile")).withColumnRenamed(
         "quantile", "threshold"
     )
 
 
-def selected_monthly(monthly: DataFrame, top: DataFrame) -> DataFrame:
+def selected_monthly(monthly: DataFrame, top: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Monthly rows of the selected parts (F9, semi join)."""
-    return monthly.join(top.select("part_no"), "part_no", "left_semi")
+    return monthly.join(top.select(*by, "part_no"), [*by, "part_no"], "left_semi")
 
 
-def fill_months(selected: DataFrame) -> DataFrame:
+def fill_months(selected: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Gap-free grid: every selected part x every month between the first and
-    last month of the selected rows, missing cells 0 (R4, T8).
+    last month of the selected rows (of its group), missing cells 0 (R4, T8).
 
-    The month bounds are one row; each part row expands to its months with a
+    The month bounds are one row a group; each part row expands to its months with a
     generator, then the observed quantities are left-joined on (part, month).
     """
-    bounds = selected.agg(F.min("month").alias("m0"), F.max("month").alias("m1"))
-    parts = selected.select("part_no").distinct()
-    grid = parts.crossJoin(F.broadcast(bounds)).select(
-        "part_no", F.explode(F.sequence("m0", "m1", F.expr("INTERVAL 1 MONTH"))).alias("month")
+    bounds = selected.groupBy(*by).agg(F.min("month").alias("m0"), F.max("month").alias("m1"))
+    parts = selected.select(*by, "part_no").distinct()
+    grid = _with_group_rows(parts, bounds, by).select(
+        *by, "part_no", F.explode(F.sequence("m0", "m1", F.expr("INTERVAL 1 MONTH"))).alias("month")
     )
-    return grid.join(selected, ["part_no", "month"], "left").select(
-        "month", "part_no", F.coalesce(F.col("qty"), F.lit(0.0)).alias("qty")
+    return grid.join(selected, [*by, "part_no", "month"], "left").select(
+        *by, "month", "part_no", F.coalesce(F.col("qty"), F.lit(0.0)).alias("qty")
     )
 
 
@@ -113,24 +136,26 @@ def sequences(
     filled: DataFrame,
     length: int = S.DEFAULT_SEQUENCE_LENGTH,
     train_fraction: float = S.DEFAULT_TRAIN_FRACTION,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Sliding samples: the ``length`` previous months in, this month out (W3),
-    with a chronological train/validation split (W4).
+    with a chronological train/validation split (W4) over the months (of the group).
 
     sample_idx = months since the first month - length; n samples = months -
     length; train when sample_idx < floor(train_fraction * n).  Columns:
     part_no, target_month, sample_idx, split, inputs (array, oldest first),
     target.
     """
-    w = Window.partitionBy("part_no").orderBy("month").rowsBetween(-length, -1)
-    bounds = filled.agg(F.min("month").alias("m0"), F.max("month").alias("m1"))
+    w = Window.partitionBy(*by, "part_no").orderBy("month").rowsBetween(-length, -1)
+    bounds = filled.groupBy(*by).agg(F.min("month").alias("m0"), F.max("month").alias("m1"))
     n_months = F.months_between("m1", "m0").cast("long") + 1
-    samples = filled.select("part_no", "month", "qty", F.collect_list("qty").over(w).alias("inputs")).where(
+    samples = filled.select(*by, "part_no", "month", "qty", F.collect_list("qty").over(w).alias("inputs")).where(
         F.size("inputs") == length
     )
     idx = F.months_between(F.col("month"), F.col("m0")).cast("long") - length
     n_samples = n_months - length
-    return samples.crossJoin(F.broadcast(bounds)).select(
+    return _with_group_rows(samples, bounds, by).select(
+        *by,
         "part_no",
         F.col("month").alias("target_month"),
         idx.alias("sample_idx"),
@@ -140,14 +165,19 @@ def sequences(
     )
 
 
-def demand_dataset(rows: DataFrame, q: float = S.DEFAULT_QUANTILE, length: int = S.DEFAULT_SEQUENCE_LENGTH) -> DataFrame:
+def demand_dataset(
+    rows: DataFrame, q: float = S.DEFAULT_QUANTILE, length: int = S.DEFAULT_SEQUENCE_LENGTH, by: tuple[str, ...] = ()
+) -> DataFrame:
     """The whole forecasting dataset from already type/period-filtered part
-    rows (M15).  The monthly aggregate (parts x months, small next to the
-    order lines) and the selected parts are written once each, so the share,
-    quantile, selection and grid branches do not recompute their inputs."""
-    monthly = physical.materialize(monthly_demand(rows), "monthly")
-    top = physical.materialize(top_contributors(part_share(monthly), q), "top")
-    return sequences(fill_months(selected_monthly(monthly, top)), length)
+    rows (M15), or of all groups of ``by`` at once.  The monthly aggregate
+    (parts x months, small next to the order lines) and the selected parts are
+    written once each, so the share, quantile, selection and grid branches do
+    not recompute their inputs."""
+    monthly = physical.materialize(monthly_demand(rows, by=by), "monthly")
+    shares = physical.materialize(part_share(monthly, by), "shares")
+    top = physical.materialize(top_contributors(shares, q, by), "top")
+    filled = physical.materialize(fill_months(selected_monthly(monthly, top, by), by), "filled")
+    return sequences(filled, length, by=by)
 
 
 def lag_columns(inputs: Column, length: int = S.DEFAULT_SEQUENCE_LENGTH) -> list[Column]:

@@ -2,12 +2,15 @@
 with multi-item consequents, watch-list filter, rule graph and Sankey tables
 (R5, M1-M6, F7, P10, J7).
 
-Itemsets come from MLlib's parallel FP-growth.  MLlib's own rule generator
-only emits single-item consequents, so rules are generated here: every
-frequent itemset is split into every (antecedent, consequent) pair of
-non-empty complementary subsets, by enumerating bit masks, and the subset
-supports are looked up by joining back to the itemset table (every subset of
-a frequent itemset is frequent, so the joins never miss).
+Itemsets of one type come from MLlib's parallel FP-growth, those of all types
+at once from ``itemsets.frequent_itemsets_by``.  MLlib's own rule generator
+only emits single-item consequents, so rules are generated here, by splitting
+itemsets into (antecedent, consequent) pairs and looking the subset supports
+up in the itemset table (every subset of a frequent itemset is frequent, so
+the joins never miss).  With a threshold on the confidence, consequents grow
+level by level: moving items to the consequent can only lower a rule's
+confidence, so a consequent is grown only from consequents that held.  For the
+other metrics, which have no such order, every split is enumerated by bit masks.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from servicelens import schema as S
 from servicelens.functions.scalar import itemset_label, round2
+from servicelens.operators.itemsets import frequent_itemsets_by
 from servicelens.operators.ordinal import dense_ordinal
 from servicelens.plans import physical
 
@@ -27,8 +31,8 @@ METRICS = ("support", "confidence", "lift", "leverage", "conviction", "zhang")
 MASK_CHUNK = 4096
 
 
-def baskets(parts: DataFrame, item_col: str = "part_no") -> DataFrame:
-    """One basket per order: sorted distinct items.
+def baskets(parts: DataFrame, item_col: str = "part_no", by: tuple[str, ...] = ()) -> DataFrame:
+    """One basket per order (of each group of ``by``): sorted distinct items.
 
     ``collect_set`` aggregates map-side first, so a hot order contributes at
     most its distinct items per task; a basket is bounded by the item
@@ -36,7 +40,7 @@ def baskets(parts: DataFrame, item_col: str = "part_no") -> DataFrame:
     """
     return (
         parts.where(F.col(item_col).isNotNull())
-        .groupBy("order_id")
+        .groupBy(*by, "order_id")
         .agg(F.array_sort(F.collect_set(F.col(item_col))).alias("items"))
     )
 
@@ -92,34 +96,87 @@ def rule_metrics(rules: DataFrame) -> DataFrame:
     )
 
 
-def association_rules(itemsets: DataFrame, metric: str = S.DEFAULT_METRIC, min_threshold: float = S.DEFAULT_MIN_THRESHOLD) -> DataFrame:
-    """Every rule A -> C with A, C non-empty, disjoint, A u C frequent, and
-    ``metric >= min_threshold`` (M3, M4).
-
-    Columns: antecedents, consequents (sorted arrays), antecedent_support,
-    consequent_support, support, confidence, lift, leverage, conviction, zhang.
-    """
-    if metric not in METRICS:
-        raise ValueError(f"metric must be one of {METRICS}")
-    multi = itemsets.where(F.col("size") >= 2).select("items", "size", "support")
+def _every_split(itemsets: DataFrame, by: list[str]) -> DataFrame:
+    """(by, antecedents, consequents, support) of every split, by bit masks."""
+    multi = itemsets.where(F.col("size") >= 2).select(*by, "items", "size", "support")
     total = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("size")) - 2  # proper, non-empty subsets
     chunked = multi.select(
-        "items", "support", total.alias("__total"),
+        *by, "items", "support", total.alias("__total"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((total - 1) / MASK_CHUNK).cast("long"))).alias("__chunk"),
     )
     lo = F.col("__chunk") * MASK_CHUNK + 1
     hi = F.least((F.col("__chunk") + 1) * MASK_CHUNK, F.col("__total"))
-    masks = chunked.select("items", "support", F.explode(F.sequence(lo, hi)).alias("__mask"))
-    splits = masks.select(
+    masks = chunked.select(*by, "items", "support", F.explode(F.sequence(lo, hi)).alias("__mask"))
+    return masks.select(
+        *by,
         _split(F.col("items"), F.col("__mask"), 1).alias("antecedents"),
         _split(F.col("items"), F.col("__mask"), 0).alias("consequents"),
         "support",
     )
-    sup = itemsets.select("items", "support")
-    ante = sup.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
-    cons = sup.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
-    rules = splits.join(ante, "antecedents").join(cons, "consequents").select(
-        "antecedents", "consequents", "antecedent_support", "consequent_support", "support"
+
+
+def _with_antecedents(splits: DataFrame, itemsets: DataFrame, by: list[str]) -> DataFrame:
+    known = itemsets.select(*by, F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
+    return splits.join(known, [*by, "antecedents"])
+
+
+def consequent_levels(itemsets: DataFrame, min_confidence: float, by: tuple[str, ...] = (), generated: list[int] | None = None) -> list[DataFrame]:
+    """Splits of every itemset with confidence >= ``min_confidence``, one
+    written table for each consequent size (M3, M4).
+
+    A consequent of m items comes from two held consequents of the same
+    itemset that share their first m - 1 items but the last; that all
+    its subsets hold too is left to the confidence test.  Columns: by, items,
+    antecedents, consequents, antecedent_support, support.  ``generated``
+    receives the number of splits that each level tested.
+    """
+    by = list(by)
+    multi = itemsets.where(F.col("size") >= 2).select(*by, "items", "support")
+    splits = multi.select(*by, "items", "support", F.explode("items").alias("__one"))
+    splits = splits.select(*by, "items", "support", F.array("__one").alias("consequents"))
+    levels, size = [], 1
+    while True:
+        splits = splits.withColumn("antecedents", F.array_except("items", "consequents"))
+        if generated is not None:
+            generated.append(splits.count())
+        tested = _with_antecedents(splits, itemsets, by).where(F.col("support") / F.col("antecedent_support") >= F.lit(min_confidence))
+        held = physical.materialize(tested, "consequents")
+        if held.isEmpty():
+            return levels
+        levels.append(held)
+        size += 1
+        prefix = F.slice("consequents", 1, size - 2)
+        # something must stay in the antecedent
+        left = held.where(F.size("items") > size).select(*by, "items", "support", prefix.alias("__prefix"), F.col("consequents").alias("a"))
+        right = held.select(*by, "items", prefix.alias("__prefix"), F.col("consequents").alias("b"))
+        grown = left.join(right, [*by, "items", "__prefix"]).where(F.element_at("a", -1) < F.element_at("b", -1))
+        splits = grown.select(*by, "items", "support", F.concat("a", F.slice("b", -1, 1)).alias("consequents"))
+
+
+def association_rules(
+    itemsets: DataFrame, metric: str = S.DEFAULT_METRIC, min_threshold: float = S.DEFAULT_MIN_THRESHOLD, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every rule A -> C with A, C non-empty, disjoint, A u C frequent, and
+    ``metric >= min_threshold`` (M3, M4), inside each group of ``by``.
+
+    Columns: by, antecedents, consequents (sorted arrays), antecedent_support,
+    consequent_support, support, confidence, lift, leverage, conviction, zhang.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+    by = list(by)
+    columns = [*by, "antecedents", "consequents", "antecedent_support", "support"]
+    if metric == "confidence":
+        levels = consequent_levels(itemsets, min_threshold, by)
+        none = _with_antecedents(_every_split(itemsets.limit(0), by), itemsets, by)
+        splits = (levels or [none])[0].select(*columns)
+        for level in levels[1:]:
+            splits = splits.unionByName(level.select(*columns))
+    else:
+        splits = _with_antecedents(_every_split(itemsets, by), itemsets, by).select(*columns)
+    cons = itemsets.select(*by, F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
+    rules = splits.join(cons, [*by, "consequents"]).select(
+        *by, "antecedents", "consequents", "antecedent_support", "consequent_support", "support"
     )
     return rule_metrics(rules).where(F.col(metric) >= F.lit(min_threshold))
 
@@ -132,14 +189,22 @@ def watched_rules(rules: DataFrame, watch=S.WATCH_ITEMS) -> DataFrame:
 
 def component_associations(
     parts: DataFrame,
-    product_type: str,
+    product_type: str | None,
     min_support: float = S.DEFAULT_MIN_SUPPORT,
     metric: str = S.DEFAULT_METRIC,
     min_threshold: float = S.DEFAULT_MIN_THRESHOLD,
     watch=S.WATCH_ITEMS,
     item_col: str = "part_no",
 ) -> tuple[DataFrame, DataFrame]:
-    """Type filter -> baskets -> itemsets -> rules -> watch filter (M1)."""
+    """Type filter -> baskets -> itemsets -> rules -> watch filter (M1).
+
+    ``product_type=None`` mines all types in one pass (F4): itemsets and rules
+    then have a ``product_type`` column, and supports refer to a type's own baskets."""
+    if product_type is None:
+        by = ("product_type",)
+        sets = physical.materialize(frequent_itemsets_by(baskets(parts, item_col, by), min_support, list(by)), "itemsets")
+        rules = association_rules(sets, metric, min_threshold, by)
+        return sets, watched_rules(rules, watch) if watch is not None else rules
     typed = parts.where(F.col("product_type") == F.lit(product_type))
     sets = frequent_itemsets(baskets(typed, item_col), min_support)
     rules = association_rules(sets, metric, min_threshold)

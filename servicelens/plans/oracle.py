@@ -372,6 +372,51 @@ nodes AS (
 """
 )
 
+
+
+def _combo_by_type(k: int) -> str:
+    alias = [f"x{i}" for i in range(k)]
+    frm = " JOIN ".join(
+        f"b {a}" + ("" if i == 0 else f" ON {a}.order_id = x0.order_id AND {a}.product_type = x0.product_type AND {alias[i - 1]}.item < {a}.item")
+        for i, a in enumerate(alias)
+    )
+    items = ", ".join(f"{a}.item" for a in alias)
+    return f"SELECT x0.product_type, [{items}] AS items, count(*) AS freq FROM {frm} GROUP BY x0.product_type, {items}"
+
+
+RULES_BY_TYPE = (
+    with_(VIEWS, PARTS)[:-1]
+    + f""",
+b AS (
+  SELECT DISTINCT product_type, order_id, part_type AS item FROM parts
+  WHERE d_goods_out >= {START} AND d_goods_out <= {END} AND part_type IS NOT NULL
+),
+nb AS (SELECT product_type, count(DISTINCT order_id) AS n FROM b GROUP BY product_type),
+fi AS (
+  SELECT s.product_type, items, len(items) AS size, freq, CAST(freq AS DOUBLE) / CAST(n AS DOUBLE) AS support
+  FROM ({" UNION ALL ".join(_combo_by_type(k) for k in range(1, 7))}) s JOIN nb USING (product_type)
+  WHERE CAST(freq AS DOUBLE) / CAST(n AS DOUBLE) >= {RULE_SUPPORT}
+),
+ru0 AS (
+  SELECT a.product_type, a.items AS antecedents, c.items AS consequents, a.support AS antecedent_support,
+    c.support AS consequent_support, u.support AS support
+  FROM fi a JOIN fi c ON a.product_type = c.product_type AND len(list_intersect(a.items, c.items)) = 0
+  JOIN fi u ON u.product_type = a.product_type AND u.items = list_sort(list_concat(a.items, c.items))
+)
+"""
+)
+
+_RULE_METRICS = """array_to_string(antecedents, '_und_') AS antecedent,
+    array_to_string(consequents, '_und_') AS consequent, antecedent_support, consequent_support, support,
+    support / antecedent_support AS confidence,
+    (support / antecedent_support) / consequent_support AS lift,
+    support - antecedent_support * consequent_support AS leverage,
+    CASE WHEN support / antecedent_support = 1.0 THEN 'inf'::DOUBLE
+      ELSE (1.0 - consequent_support) / (1.0 - support / antecedent_support) END AS conviction,
+    CASE WHEN greatest(support * (1.0 - antecedent_support), antecedent_support * (consequent_support - support)) = 0.0 THEN 0.0
+      ELSE (support - antecedent_support * consequent_support)
+        / greatest(support * (1.0 - antecedent_support), antecedent_support * (consequent_support - support)) END AS zhang"""
+
 _RULE_OUT = "antecedent, consequent, antecedent_support, consequent_support, support, confidence, lift, leverage, conviction, zhang"
 
 ORACLE.update(
@@ -381,6 +426,11 @@ ORACLE.update(
         "frequent_itemsets": RULE_BASE
         + "SELECT array_to_string(items, '_und_') AS items, CAST(size AS BIGINT) AS size, CAST(freq AS BIGINT) AS freq, support FROM fi",
         "association_rules": RULE_BASE + f"SELECT {_RULE_OUT} FROM ru",
+        "frequent_itemsets_by_type": RULES_BY_TYPE
+        + """SELECT product_type, array_to_string(items, '_und_') AS items, CAST(size AS BIGINT) AS size,
+  CAST(freq AS BIGINT) AS freq, support FROM fi""",
+        "association_rules_by_type": RULES_BY_TYPE
+        + f"SELECT product_type, {_RULE_METRICS} FROM ru0 WHERE support / antecedent_support >= {RULE_CONFIDENCE}",
         "watched_rules": RULE_BASE + f"SELECT {_RULE_OUT} FROM wr",
         "rule_edges": RULE_BASE + "SELECT antecedent AS source, consequent AS target, confidence FROM wr",
         "sankey_nodes": RULE_BASE + "SELECT * FROM nodes",
@@ -430,6 +480,36 @@ seq AS (
 """
 )
 
+DEMAND_BY_TYPE = (
+    with_(VIEWS, PARTS)[:-1]
+    + f""",
+mon AS (
+  SELECT product_type, CAST(date_trunc('month', d_goods_out) AS DATE) AS month, part_no, CAST(sum(quantity) AS DOUBLE) AS qty
+  FROM parts WHERE d_goods_out >= {FULL_START} AND d_goods_out <= {FULL_END} GROUP BY 1, 2, 3
+),
+tot AS (SELECT product_type, part_no, sum(qty) AS total_qty FROM mon GROUP BY ALL),
+grand AS (SELECT product_type, sum(total_qty) AS grand_qty FROM tot GROUP BY ALL),
+shr AS (SELECT product_type, part_no, total_qty, total_qty / grand_qty AS share FROM tot JOIN grand USING (product_type)),
+thr AS (SELECT product_type, quantile_cont(share, 0.9) AS threshold FROM shr GROUP BY ALL),
+top AS (SELECT product_type, part_no, total_qty, share, threshold FROM shr JOIN thr USING (product_type) WHERE share >= threshold),
+smon AS (SELECT mon.* FROM mon SEMI JOIN top USING (product_type, part_no)),
+months AS (
+  SELECT product_type, CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM smon GROUP BY product_type
+),
+filled AS (
+  SELECT m.product_type, m.month, p.part_no, coalesce(s.qty, 0.0) AS qty
+  FROM months m JOIN (SELECT DISTINCT product_type, part_no FROM smon) p USING (product_type)
+  LEFT JOIN smon s ON s.product_type = m.product_type AND s.month = m.month AND s.part_no = p.part_no
+),
+nm AS (SELECT product_type, count(*) AS n FROM months GROUP BY ALL),
+seq AS (
+  SELECT product_type, part_no, month, qty, {_LAGS}, row_number() OVER w AS rn FROM filled
+  WINDOW w AS (PARTITION BY product_type, part_no ORDER BY month)
+)
+"""
+)
+
 _SEQ_OUT = ", ".join(f"lag_{k:02d}" for k in range(12, 0, -1))
 
 CLUSTER_BASE = (
@@ -467,6 +547,12 @@ ORACLE.update(
   CASE WHEN rn - 13 < floor(0.8 * ((SELECT n FROM nm) - 12)) THEN 'train' ELSE 'validation' END AS split,
   {_SEQ_OUT}, qty AS target
 FROM seq WHERE rn > 12""",
+        "top_contributors_by_type": DEMAND_BY_TYPE + "SELECT * FROM top",
+        "demand_sequences_by_type": DEMAND_BY_TYPE
+        + f"""SELECT product_type, part_no, strftime(month, '%Y-%m') AS target_month, CAST(rn - 13 AS BIGINT) AS sample_idx,
+  CASE WHEN rn - 13 < floor(0.8 * (n - 12)) THEN 'train' ELSE 'validation' END AS split,
+  {_SEQ_OUT}, qty AS target
+FROM seq JOIN nm USING (product_type) WHERE rn > 12""",
         "part_features": CLUSTER_BASE + "SELECT * FROM pf",
         "critical_parts": CLUSTER_BASE + "SELECT part_name, part_no, quantity, frequency FROM crit",
         "translated_parts": CLUSTER_BASE

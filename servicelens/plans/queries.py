@@ -176,6 +176,25 @@ def sankey_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.sankey_links(_watched(spark, sf_dir), digits=None)
 
 
+def _grouped_rules(w: Workload) -> tuple[DataFrame, DataFrame]:
+    rows = descriptive.select_rows(w.parts, None, START, END)
+    return rules.component_associations(
+        rows, None, WL.RULE_MIN_SUPPORT, "confidence", WL.RULE_MIN_CONFIDENCE, watch=None, item_col=WL.RULE_ITEM
+    )
+
+
+def frequent_itemsets_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2, A15, F4 grouped form: every type's itemsets in one level-wise pass."""
+    sets, _ = _grouped_rules(Workload(spark, sf_dir))
+    return sets.select("product_type", itemset_label(F.col("items")).alias("items"), F.col("size").cast("long").alias("size"), "freq", "support")
+
+
+def association_rules_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M3, M4, F4 grouped form: every type's rules in one pass."""
+    _, found = _grouped_rules(Workload(spark, sf_dir))
+    return rules.with_labels(found).select("product_type", *_RULE_COLUMNS)
+
+
 # ---------------------------------------------------------------------------
 # Demand series (M15: A10-A12, F8, F9, R3, R4, T6, T8, W3, W4)
 # ---------------------------------------------------------------------------
@@ -230,6 +249,31 @@ def demand_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BY_TYPE = ("product_type",)
+
+
+def _monthly_by_type(w: Workload) -> DataFrame:
+    rows = descriptive.select_rows(w.parts, None, WL.FULL_START, WL.FULL_END)
+    return physical.materialize(demand.monthly_demand(rows, by=BY_TYPE), "monthly")
+
+
+def top_contributors_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11, A12, F8, F4 grouped form: every type's parts from its own quantile on."""
+    shares = demand.part_share(_monthly_by_type(Workload(spark, sf_dir)), BY_TYPE)
+    top = demand.top_contributors(physical.materialize(shares, "shares"), by=BY_TYPE)
+    return top.select("product_type", "part_no", "total_qty", "share", "threshold")
+
+
+def demand_sequences_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15, R4, W3, W4, F4 grouped form: every type's samples in one pass."""
+    rows = descriptive.select_rows(Workload(spark, sf_dir).parts, None, WL.FULL_START, WL.FULL_END)
+    seq = demand.demand_dataset(rows, by=BY_TYPE)
+    return seq.select(
+        "product_type", "part_no", _month_label("target_month").alias("target_month"), "sample_idx", "split",
+        *demand.lag_columns(F.col("inputs")), "target",
+    )
+
+
 # ---------------------------------------------------------------------------
 # Part clusters
 # ---------------------------------------------------------------------------
@@ -389,6 +433,8 @@ QUERIES: dict[str, Query] = {
     "baskets": baskets,
     "frequent_itemsets": frequent_itemsets,
     "association_rules": association_rules,
+    "frequent_itemsets_by_type": frequent_itemsets_by_type,
+    "association_rules_by_type": association_rules_by_type,
     "watched_rules": watched_rules,
     "rule_edges": rule_edges,
     "sankey_nodes": sankey_nodes,
@@ -399,6 +445,8 @@ QUERIES: dict[str, Query] = {
     "demand_filled": demand_filled,
     "demand_pivot": demand_pivot,
     "demand_sequences": demand_sequences,
+    "top_contributors_by_type": top_contributors_by_type,
+    "demand_sequences_by_type": demand_sequences_by_type,
     "part_features": part_features,
     "critical_parts": critical_parts,
     "translated_parts": translated_parts,
