@@ -1,138 +1,96 @@
 """Part clustering by quantity and frequency, critical parts.
 
 Per part: total quantity and number of orders using it (one hash aggregate).
-k-means (MLlib) is fitted for k = 2..10 on the unscaled two features, each
-fit to its tolerance and scored with MLlib's silhouette (squared Euclidean,
-linear cost: the original's Euclidean silhouette needs all point pairs); the
-first k with the best score wins, and its model gives the labels.  All fits
-read one cached table of a fixed layout.
+k-means runs for k = 2..10 on the unscaled two features, all k (and, grouped, all
+product types) in the same passes (``operators.kmeans``); each run ends by
+its tolerance and is scored by the squared-Euclidean silhouette in its linear
+form (the original's Euclidean one needs all point pairs).  The first k with the
+best score wins, and its centres give the labels.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from servicelens import schema as S
 from servicelens.functions.dates import parse_arg_date
+from servicelens.operators import kmeans
 from servicelens.plans import physical
 
 FEATURES = ("quantity", "frequency")
-SEED = 42
+TOLERANCE = 1e-4
 
 
-def part_features(rows: DataFrame) -> DataFrame:
-    """Quantity, frequency (distinct orders) and first-seen name per part (M7,
-    A6, A8, A9)."""
-    return rows.groupBy("part_no").agg(
-        F.min_by("part_name", F.struct("order_id", "position")).alias("part_name"),
+def part_features(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Quantity, frequency (distinct orders) and first-seen name per part (of
+    each group of ``by``) (M7, A6, A8, A9).  Where one position of an order
+    names a part twice, the least name is the first."""
+    return rows.groupBy(*by, "part_no").agg(
+        F.min_by("part_name", F.struct("order_id", "position", "part_name")).alias("part_name"),
         F.sum("quantity").cast("double").alias("quantity"),
         F.countDistinct("order_id").cast("long").alias("frequency"),
     )
 
 
-def _vectors(features: DataFrame) -> DataFrame:
-    """Feature vectors (M8), unscaled like the original."""
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        features.withColumn("frequency", F.col("frequency").cast("double"))
-    )
-
-
-# The fit's layout never depends on the row count or the input's layout: the
-# parts are hashed to so many partitions and sorted there.
-FIT_PARTITIONS = 16
-TOLERANCE = 1e-4
-FIRST_ITERATIONS = 20
-
-
-def _fit_table(features: DataFrame) -> DataFrame:
-    vec = _vectors(features).select("part_no", "features")
-    return vec.repartition(FIT_PARTITIONS, "part_no").sortWithinPartitions("part_no")
-
-
-def converged_fit(vec: DataFrame, k: int, seed: int = SEED, tolerance: float = TOLERANCE):
-    """A k-means model that stopped by its tolerance: the iteration limit is
-    doubled until it is not what ended the fit."""
-    limit = FIRST_ITERATIONS
-    while True:
-        model = KMeans(k=k, seed=seed, featuresCol="features", tol=tolerance, maxIter=limit).fit(vec)
-        if model.summary.numIter < limit:
-            return model
-        limit *= 2
-
-
-def _sweep(features: DataFrame, k_range, seed: int, tolerance: float, parallelism: int | None) -> list[tuple]:
-    """(k, silhouette, model) for every k; the models are fitted on one cached
-    table, as concurrent Spark jobs."""
-    spark = features.sparkSession
-    vec = _fit_table(features).cache()
-    try:
-        n = vec.count()
-        if n < 3:
-            raise ValueError("clustering needs at least 3 parts")
-        lo, hi = k_range[0], min(k_range[1], n - 1)
-        evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
-
-        def score(k: int) -> tuple:
-            model = converged_fit(vec, k, seed, tolerance)
-            return k, float(evaluator.evaluate(model.transform(vec))), model
-
-        parallelism = parallelism or spark.sparkContext.defaultParallelism
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, hi - lo + 1))) as pool:
-            return list(pool.map(inheritable_thread_target(spark)(score), range(lo, hi + 1)))
-    finally:
-        vec.unpersist()
-
-
-def _best(scores: list[tuple]) -> tuple:
-    return max(scores, key=lambda t: (t[1], -t[0]))
-
-
-def _score_table(spark, scores: list[tuple]) -> DataFrame:
-    best = _best(scores)[0]
-    return spark.createDataFrame([(k, s, k == best) for k, s, _ in scores], "k int, silhouette double, chosen boolean")
-
-
-def k_sweep(
-    features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, tolerance: float = TOLERANCE, parallelism: int | None = None
+def swept_runs(
+    features: DataFrame, k_range=S.DEFAULT_K_RANGE, tolerance: float = TOLERANCE, by: tuple[str, ...] = ()
 ) -> DataFrame:
+    """Finished runs (by, k, centres, silhouette, chosen) of every k of the
+    range that is below the (group's) number of parts; ``chosen`` marks the
+    first k of the best score (M9-M11, O4)."""
+    points = physical.materialize(kmeans.weighted_points(features, by), "points")
+    out = None
+    for some in kmeans.group_slices(points, k_range[1], by):
+        runs, _ = kmeans.fit(some, kmeans.starting_runs(some, tuple(k_range), by), tolerance, by)
+        scores = kmeans.silhouettes(some, runs, by)
+        best: dict[tuple, tuple] = {}
+        for (group, k), score in scores.items():
+            best[group] = max(best.get(group, (float("-inf"), 0)), (score, -k))
+        table = kmeans.run_table(some, runs, by)
+        verdicts = [(*r.group, r.k, scores[r.group, r.k], best[r.group] == (scores[r.group, r.k], -r.k)) for r in runs]
+        fields = [*[some.schema[c] for c in by], table.schema["k"], T.StructField("silhouette", T.DoubleType()), T.StructField("chosen", T.BooleanType())]
+        table = table.join(kmeans.local_rows(points.sparkSession, verdicts, T.StructType(fields)), [*by, "k"])
+        out = table if out is None else out.unionByName(table)
+    if out is None:  # no group
+        out = kmeans.run_table(points, [], by).select("*", F.lit(0.0).alias("silhouette"), F.lit(True).alias("chosen"))
+    return physical.materialize(out, "runs")
+
+
+def _runs(features: DataFrame, k_range, tolerance: float, by: tuple[str, ...]) -> DataFrame:
+    runs = swept_runs(features, k_range, tolerance, by)
+    if not by and runs.isEmpty():
+        raise ValueError("clustering needs at least 3 parts")
+    return runs
+
+
+def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, tolerance: float = TOLERANCE, by: tuple[str, ...] = ()) -> DataFrame:
     """Silhouette per k (M10, M11) with a ``chosen`` flag on the first k of
-    the best score (O4).  k ends at parts - 1, the largest that a silhouette is
-    defined for; fewer than 3 parts is an error (no k >= 2 can be scored)."""
-    return _score_table(features.sparkSession, _sweep(features, k_range, seed, tolerance, parallelism))
-
-
-def labelled_parts(features: DataFrame, model) -> tuple[DataFrame, DataFrame]:
-    """(parts with ``cluster``, centres) of a fitted model."""
-    labelled = model.transform(_vectors(features)).drop("features").withColumnRenamed("prediction", "cluster")
-    centres = features.sparkSession.createDataFrame(
-        [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())],
-        "cluster int, quantity double, frequency double",
-    )
-    return labelled, centres
+    the best score (O4), for each group of ``by``.  k ends at parts - 1, the largest that a
+    silhouette is defined for, and at the number of different feature rows.
+    Fewer than 3 parts is an error (no k >= 2 can be scored); grouped, such a
+    group has no row."""
+    return _runs(features, k_range, tolerance, by).select(*by, "k", "silhouette", "chosen")
 
 
-def fit_clusters(features: DataFrame, k: int, seed: int = SEED, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
+def fit_clusters(features: DataFrame, k: int, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
     """Fit k-means with ``k`` clusters: (parts with ``cluster``, centres)."""
-    return labelled_parts(features, converged_fit(_fit_table(features), k, seed, tolerance))
+    runs = _runs(features, (k, k), tolerance, ())
+    return kmeans.labelled(features, runs), kmeans.centre_rows(runs)
 
 
-def cluster_parts(features: DataFrame, k_range=S.DEFAULT_K_RANGE, seed: int = SEED, tolerance: float = TOLERANCE):
+def cluster_parts(features: DataFrame, k_range=S.DEFAULT_K_RANGE, tolerance: float = TOLERANCE, by: tuple[str, ...] = ()):
     """Sweep and pick k (M11, M12): (labelled parts, centres, scores).  The
-    labels are those of the very model that won the sweep.
+    labels are those of the very centres that won the sweep.
 
     The part table is written to the checkpoint folder once and shared by the
     sweep and the labelling."""
     features = physical.materialize(features)
-    scores = _sweep(features, k_range, seed, tolerance, None)
-    labelled, centres = labelled_parts(features, _best(scores)[2])
-    return labelled, centres, _score_table(features.sparkSession, scores)
+    runs = _runs(features, k_range, tolerance, by)
+    chosen = runs.where("chosen")
+    labelled = physical.materialize(kmeans.labelled(features, chosen, by), "labelled")
+    return labelled, kmeans.centre_rows(chosen, by), runs.select(*by, "k", "silhouette", "chosen")
 
 
 def cluster_facts(labelled: DataFrame, centres: DataFrame, tolerance: float = 1e-6) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from servicelens import schema as S
 from servicelens.functions.dates import parse_arg_date, spark_pattern
+from servicelens.operators.clusters import TOLERANCE
 from servicelens.operators.demand import period_months
 from servicelens.plans import workload as W
 from servicelens.sources import driver_tables as _dt
@@ -561,10 +562,112 @@ FROM crit c LEFT JOIN {_translations()} ON c.part_name = t.part_name""",
     }
 )
 
-ORACLE["k_sweep_facts"] = (
-    CLUSTER_BASE
-    + "SELECT CAST(k AS INTEGER) AS k, true AS score_holds, CAST(1 AS BIGINT) AS n_chosen "
-    + f"FROM (SELECT unnest(generate_series({S.DEFAULT_K_RANGE[0]}, {S.DEFAULT_K_RANGE[1]})) AS k) WHERE k < (SELECT count(*) FROM pf)"
+# k-means by recursion: first centres drawn one by one, then Lloyd's iterations of
+# every run (g, k) until no centre moves farther than the tolerance.
+_LO, _HI = S.DEFAULT_K_RANGE
+_MOVED = "list_max(list_transform(range(1, k + 1), lambda i: (old[i].x - centres[i].x) * (old[i].x - centres[i].x) + (old[i].y - centres[i].y) * (old[i].y - centres[i].y)))"
+_NEAR = "list_transform(centres, lambda c: (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y))"
+
+
+def _draw(step: str) -> str:
+    return f"-ln((CAST('0x' || substr(md5(name || ':' || {step}), 1, 12) AS BIGINT) + 0.5) / 281474976710656.0)"
+
+
+def _kmeans(features: str) -> str:
+    """CTEs over ``features`` (g, part_no, quantity, frequency): ``runs`` (g, k,
+    centres) and ``scores`` (g, k, silhouette, chosen)."""
+    square = f"{TOLERANCE!r}::DOUBLE * {TOLERANCE!r}::DOUBLE"
+    total = "(c.n * (p.x * p.x + p.y * p.y) - 2 * (p.x * c.sx + p.y * c.sy) + c.sq)"
+    return f"""
+pts AS (
+  SELECT g, CAST(quantity AS DOUBLE) AS x, CAST(frequency AS DOUBLE) AS y, CAST(count(*) AS DOUBLE) AS weight, min(part_no) AS name
+  FROM {features} GROUP BY 1, 2, 3
+),
+seeds AS (
+  SELECT g, 1 AS step, [first({{'x': x, 'y': y}} ORDER BY {_draw("0")} / weight, name)] AS centres FROM pts GROUP BY g
+  UNION ALL
+  SELECT g, step + 1, list_append(centres, first({{'x': x, 'y': y}} ORDER BY {_draw("step")} / (weight * near), name))
+  FROM (SELECT s.g, s.step, s.centres, p.x, p.y, p.weight, p.name, list_min({_NEAR}) AS near FROM seeds s JOIN pts p USING (g)) t
+  WHERE weight * near > 0 AND step < {_HI} GROUP BY g, step, centres
+),
+sizes AS (SELECT g, sum(weight) AS n FROM pts GROUP BY g),
+lloyd AS (
+  SELECT g, step AS k, centres, CAST(NULL AS STRUCT(x DOUBLE, y DOUBLE)[]) AS old FROM seeds JOIN sizes USING (g) WHERE step >= {_LO} AND step < n
+  UNION ALL
+  SELECT g, k, list_transform(range(1, k + 1), lambda i: coalesce(means[i], centres[i])), centres
+  FROM (
+    SELECT g, k, centres, map(list(cluster), list({{'x': sx / n, 'y': sy / n}})) AS means
+    FROM (
+      SELECT g, k, centres, cluster, sum(weight * x) AS sx, sum(weight * y) AS sy, sum(weight) AS n
+      FROM (
+        SELECT r.g, r.k, r.centres, p.x, p.y, p.weight, list_position({_NEAR}, list_min({_NEAR})) AS cluster
+        FROM lloyd r JOIN pts p USING (g) WHERE r.old IS NULL OR {_MOVED} > {square}
+      ) a GROUP BY g, k, centres, cluster
+    ) b GROUP BY g, k, centres
+  ) c
+),
+runs AS (SELECT g, k, centres FROM lloyd WHERE old IS NOT NULL AND {_MOVED} <= {square}),
+assigned AS (
+  SELECT r.g, r.k, p.x, p.y, p.weight, list_position({_NEAR}, list_min({_NEAR})) AS cluster FROM runs r JOIN pts p USING (g)
+),
+stats AS (
+  SELECT g, k, cluster, sum(weight) AS n, sum(weight * x) AS sx, sum(weight * y) AS sy, sum(weight * (x * x + y * y)) AS sq
+  FROM assigned GROUP BY g, k, cluster
+),
+ab AS (
+  SELECT p.g, p.k, p.weight, p.x, p.y,
+    max(CASE WHEN c.cluster = p.cluster AND c.n > 1 THEN {total} / (c.n - 1) END) AS a,
+    min(CASE WHEN c.cluster <> p.cluster THEN {total} / c.n END) AS b
+  FROM assigned p JOIN stats c ON c.g = p.g AND c.k = p.k GROUP BY ALL
+),
+scored AS (
+  SELECT g, k, sum(weight * CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) / sum(weight) AS silhouette
+  FROM ab GROUP BY g, k
+),
+scores AS (
+  SELECT g, CAST(k AS INTEGER) AS k, silhouette, row_number() OVER (PARTITION BY g ORDER BY silhouette DESC, k) = 1 AS chosen FROM scored
+)
+"""
+
+
+CLUSTERS = (
+    CLUSTER_BASE.replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", pg AS (SELECT 'all' AS g, * FROM pf),"
+    + _kmeans("pg")
+    + f""",
+best AS (SELECT runs.* FROM runs JOIN scores USING (g, k) WHERE chosen),
+labelled AS (
+  SELECT p.part_no, p.part_name, p.quantity, p.frequency, {_NEAR.replace("p.x", "CAST(p.quantity AS DOUBLE)").replace("p.y", "CAST(p.frequency AS DOUBLE)")} AS ds
+  FROM pf p, best
+)
+"""
+)
+
+CLUSTERS_BY_TYPE = (
+    with_(VIEWS, PARTS)[:-1].replace("WITH ", "WITH RECURSIVE ", 1)
+    + f""",
+pg AS (
+  SELECT product_type AS g, part_no, CAST(sum(quantity) AS DOUBLE) AS quantity, CAST(count(DISTINCT order_id) AS BIGINT) AS frequency
+  FROM parts WHERE d_goods_out >= {START} AND d_goods_out <= {END} GROUP BY 1, 2
+),"""
+    + _kmeans("pg")
+)
+
+ORACLE["k_sweep"] = CLUSTERS + "SELECT k, silhouette, chosen FROM scores"
+ORACLE["k_sweep_by_type"] = CLUSTERS_BY_TYPE + "SELECT g AS product_type, k, silhouette, chosen FROM scores"
+ORACLE["cluster_centers"] = CLUSTERS + (
+    "SELECT CAST(i - 1 AS INTEGER) AS cluster, centres[i].x AS quantity, centres[i].y AS frequency "
+    "FROM (SELECT centres, unnest(range(1, len(centres) + 1)) AS i FROM best)"
+)
+ORACLE["part_clusters"] = (
+    CLUSTERS
+    + f"""SELECT l.part_no, l.part_name, l.quantity, l.frequency, CAST(list_position(ds, list_min(ds)) - 1 AS INTEGER) AS cluster,
+  l.part_no IN (SELECT part_no FROM crit) AS is_critical, coalesce(t.en, l.part_name) AS english_name
+FROM labelled l LEFT JOIN {_translations()} ON l.part_name = t.part_name"""
+)
+# What must hold of any clustering, with the scores as the recursion gives them.
+ORACLE["k_sweep_facts"] = CLUSTERS + (
+    "SELECT k, silhouette BETWEEN -1 AND 1 AS score_holds, (SELECT count(*) FROM scores WHERE chosen) AS n_chosen FROM scores"
 )
 
 ORACLE["part_cluster_facts"] = (

@@ -298,10 +298,16 @@ def translated_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silhouette per k (k-means is seeded; rows-only check)."""
+    """Silhouette per k, the best one chosen."""
     return clusters.k_sweep(_features(Workload(spark, sf_dir)))
 
 
+def k_sweep_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9-M11, O4, F4 grouped form: the sweeps of all types in the same passes."""
+    rows = descriptive.select_rows(Workload(spark, sf_dir).parts, None, START, END)
+    return clusters.k_sweep(clusters.part_features(rows, BY_TYPE), by=BY_TYPE)
+
+
 def part_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with cluster, critical flag, English name."""
     labelled, _, _ = clusters.cluster_parts(_features(Workload(spark, sf_dir)))
@@ -451,6 +457,7 @@ QUERIES: dict[str, Query] = {
     "critical_parts": critical_parts,
     "translated_parts": translated_parts,
     "k_sweep": k_sweep,
+    "k_sweep_by_type": k_sweep_by_type,
     "part_clusters": part_clusters,
     "cluster_centers": cluster_centers,
     "k_sweep_facts": k_sweep_facts,

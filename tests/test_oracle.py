@@ -21,9 +21,8 @@ def test_query_matches_oracle(spark, con, name):
     assert res["status"] == "match", res
 
 
-def test_every_query_has_oracle_or_is_ml():
-    missing = set(QUERIES) - set(ORACLE)
-    assert missing <= {"k_sweep", "part_clusters", "cluster_centers"}
+def test_every_query_has_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_registered_queries_include_the_library(spark):
