@@ -46,54 +46,51 @@ def spark_pattern(fmt: str) -> tuple[str, str]:
     return "".join(pattern), "".join(regex)
 
 
-def _signature(fmt: str) -> tuple[str, bool]:
-    """Literal (non-directive) characters of a format, and whether it starts
-    with a four-digit year.  Every directive matches digits only, so a string
-    can match ``fmt`` only if its non-digit characters are exactly these."""
-    literals, i = [], 0
-    while i < len(fmt):
-        if fmt[i : i + 2] in _DIRECTIVES:
-            i += 2
-        else:
-            literals.append(fmt[i])
-            i += 1
-    return "".join(literals), fmt.startswith("%Y")
-
-
-def _parse_one(s: Column, formats) -> Column:
-    """Dispatch on the string's separator signature (digits removed) and on a
-    leading four-digit year, then run only the candidate formats' guarded
-    parsers, in their original order.  Same result as trying every format in
-    order (shapes that cannot match are skipped), at one regex per value."""
-    sig = F.translate(s, "0123456789", "")
-    head = F.substring(s, 1, 4)
-    year_first = (F.length(head) == 4) & (F.translate(head, "0123456789", "") == "")
-    groups: dict[tuple[str, bool], list[str]] = {}
+_DAY_FIRST = re.compile(r"%d([-./])%m\1%Y( %H:%M(:%S([.]%f)?)?)?")
+_YEAR_FIRST = re.compile(r"%Y([-./])%m\1%d( %H:%M(:%S([.]%f)?)?)?")
+
+
+def _numeric_family(formats) -> bool:
+    """Whether all formats are day-month-year or year-month-day with one
+    separator, and a time at most."""
+    return all(_DAY_FIRST.fullmatch(f) or _YEAR_FIRST.fullmatch(f) for f in formats)
+
+
+def _parse_family(s: Column, formats) -> Column:
+    """One anchored pattern of all formats guards one cast: the date's fields
+    are put into year-month-day order, the time follows as it is.  No two of
+    the formats read one text differently, so their order does not matter."""
+    # as strptime, a blank of a format stands for any number of them
+    pattern = "|".join(spark_pattern(f)[1].replace(re.escape(" "), "[ ]+") for f in formats)
+    date = F.translate(F.substring_index(s, " ", 1), "./", "--")
+    time = F.substring_index(s, " ", -1)  # the date itself where there is no time
+    first, last = F.substring_index(date, "-", 1), F.substring_index(date, "-", -1)
+    month = F.substring_index(F.substring_index(date, "-", 2), "-", -1)
+    year_first = F.length(first) == 4
+    iso = F.when(year_first, date).otherwise(F.concat_ws("-", last, month, first))
+    iso = F.when(F.contains(s, F.lit(" ")), F.concat_ws(" ", iso, time)).otherwise(iso)
+    no_year = F.when(year_first, first).otherwise(last) == "0000"
+    return F.when(s.rlike(pattern) & ~no_year, iso).try_cast(T.TimestampNTZType())
+
+
+def _parse_in_order(s: Column, formats) -> Column:
+    """The first format whose guard matches and that parses."""
+    tries = []
     for fmt in formats:
-        groups.setdefault(_signature(fmt), []).append(fmt)
-    out = None
-    for (literals, yf), fmts in groups.items():
-        tries = []
-        for fmt in fmts:
-            pattern, regex = spark_pattern(fmt)
-            tries.append(F.when(s.rlike(regex), F.try_to_timestamp(s, F.lit(pattern))))
-        cond = (sig == F.lit(literals)) & (year_first if yf else ~year_first)
-        branch = tries[0] if len(tries) == 1 else F.coalesce(*tries)
-        out = F.when(cond, branch) if out is None else out.when(cond, branch)
-    return out.cast(T.TimestampNTZType())
+        pattern, regex = spark_pattern(fmt)
+        tries.append(F.when(s.rlike(regex), F.try_to_timestamp(s, F.lit(pattern))))
+    return F.coalesce(*tries).cast(T.TimestampNTZType())
 
 
 def parse_timestamp(c: Column, formats=S.DATE_FORMATS) -> Column:
     """First format that matches wins; NULL when none does.
 
-    Result type is TIMESTAMP_NTZ (wall-clock, no zone).  The per-value parse
-    runs inside a one-element ``transform``: ten guarded parsers per column
-    would otherwise be inlined into the generated code of the whole stage,
-    and several date columns push it past the JVM's 64 KB method limit
-    (slow compile, then fallback for the whole stage).
+    Result type is TIMESTAMP_NTZ (wall-clock, no zone).  Numeric formats of
+    the usual two orders are read by one guarded cast, in generated code;
+    other formats one after the other.
     """
     s = F.trim(c.cast("string"))
-    return F.get(F.transform(F.array(s), lambda x: _parse_one(x, formats)), 0)
+    return _parse_family(s, formats) if _numeric_family(formats) else _parse_in_order(s, formats)
 
 
 def parse_arg_date(value: str, formats=S.ARG_DATE_FORMATS) -> _dt.date:

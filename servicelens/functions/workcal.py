@@ -11,12 +11,13 @@ Instead of walking day by day, every date ``d`` gets a *working-day index*
 
 * weekdays up to ``d`` - plain integer arithmetic from the origin
   0001-01-01 (a Monday), and
-* weekday holidays up to ``d`` - holidays before ``d``'s year (a running
-  count per year) plus the holidays of ``d``'s own year on or before ``d``.
+* weekday holidays up to ``d`` - a year's holidays are six 64-bit words with
+  one bit a day, each with the number of holidays before it (those of earlier years
+  included); a date adds the bits of its own word up to its own day.
 
-The per-year part is a *year table* with one row per calendar year (at most
+The words are a *year table* with one row per calendar year (at most
 9,999 rows whatever the data size), so it is broadcast to every task and each
-date costs one hash lookup.  Holidays are a table argument: any region or
+date costs one hash lookup and one bit count, all in generated code.  Holidays are a table argument: any region or
 company calendar works without code changes.
 """
 
@@ -59,25 +60,6 @@ RLP_ONE_OFF_HOLIDAYS = (
 _ORIGIN_SQL = "0001-01-01"
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter Sunday (anonymous algorithm), pure integer SQL."""
-    y = year.cast("int")
-    a = y % 19
-    b = F.floor(y / 100)
-    c = y % 100
-    d = F.floor(b / 4)
-    e = b % 4
-    f = F.floor((b + 8) / 25)
-    g = F.floor((b - f + 1) / 3)
-    h = (19 * a + b - d - g + 15) % 30
-    i = F.floor(c / 4)
-    k = c % 4
-    ll = (32 + 2 * e + 2 * i - h - k) % 7
-    m = F.floor((a + 11 * h + 22 * ll) / 451)
-    n = h + ll - 7 * m + 114
-    return F.make_date(y, F.floor(n / 31).cast("int"), (n % 31 + 1).cast("int"))
-
-
 def _easter_date(y: int) -> _dt.date:
     """Gregorian Easter Sunday (anonymous algorithm) for one year."""
     a, b, c = y % 19, y // 100, y % 100
@@ -108,63 +90,59 @@ def rhineland_palatinate_dates(first_year: int = FIRST_YEAR, last_year: int = LA
             yield h
 
 
-def rhineland_palatinate_holidays(
-    spark: SparkSession, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR
-) -> DataFrame:
-    """Holiday table (column ``holiday`` DATE) generated from the rules."""
-    years = spark.range(first_year, last_year + 1).select(
-        F.col("id").cast("int").alias("year")
-    )
-    easter = easter_sunday(F.col("year"))
-    days = [F.make_date(F.col("year"), F.lit(m), F.lit(d)) for m, d in RLP_FIXED_HOLIDAYS]
-    days += [F.date_add(easter, off) for off in RLP_EASTER_OFFSETS]
-    rules = years.select(F.explode(F.array(*days)).alias("holiday"))
-    one_off = spark.createDataFrame([(d,) for d in RLP_ONE_OFF_HOLIDAYS], "holiday date")
-    one_off = one_off.filter(F.year("holiday").between(first_year, last_year))
-    return rules.unionByName(one_off)
-
-
 def weekday_index(d: Column) -> Column:
     """Number of Mondays-to-Fridays in ``[0001-01-01, d]``."""
     n = F.datediff(d, F.lit(_ORIGIN_SQL).cast("date"))
     return 5 * F.floor(n / 7) + F.least(n % 7 + 1, F.lit(5))
 
 
-_YEAR_TABLE_SCHEMA = "year int, holidays array<date>, holidays_before long"
+_YEAR_TABLE_SCHEMA = "year int, words array<long>, holidays_before array<long>"
+_WORDS = 6  # of 64 days
 
 
 def _year_rows(holiday_dates, first_year: int, last_year: int):
     per_year: dict[int, set] = {}
     for h in holiday_dates:
         if h is not None and h.weekday() < 5 and first_year <= h.year <= last_year:
-            per_year.setdefault(h.year, set()).add(h)
-    rows, before = [], 0
+            per_year.setdefault(h.year, set()).add(h.timetuple().tm_yday - 1)
+    rows, total = [], 0
     for y in range(first_year, last_year + 1):
-        hs = sorted(per_year.get(y, ()))
-        rows.append((y, hs, before))
-        before += len(hs)
+        words, before = [0] * _WORDS, [0] * _WORDS
+        for day in per_year.get(y, ()):
+            words[day // 64] |= 1 << day % 64
+        for i, word in enumerate(words):
+            before[i] = total
+            total += word.bit_count()
+        # signed, as Spark's 64-bit integers are
+        rows.append((y, [w - (1 << 64) if w >> 63 else w for w in words], before))
     return rows
 
 
 def year_table(holidays: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
-    """One row per year: sorted weekday holidays of the year, and the count of
-    weekday holidays in all earlier years.
+    """One row per year: its weekday holidays as bits of six words, and for
+    every word the number of weekday holidays before it.
 
-    Columns: ``year`` INT, ``holidays`` ARRAY<DATE>, ``holidays_before`` BIGINT.
-    Built by Spark from any holiday table: distinct weekday dates grouped by
-    year, then a running count over the years (at most 9,999 rows).
+    Columns: ``year`` INT, ``words`` and ``holidays_before`` ARRAY<BIGINT>.
+    Built by Spark from any holiday table: distinct weekday dates as bits by
+    year and word, then a running count over the words (at most 59,994 rows).
     """
     spark = holidays.sparkSession
     day = F.col("holiday").cast("date")
     distinct = holidays.select(day.alias("h"), F.year(day).alias("year")).where(
         F.col("h").isNotNull() & (F.weekday("h") < 5) & F.col("year").between(first_year, last_year)
     ).distinct()
-    per_year = distinct.groupBy("year").agg(F.sort_array(F.collect_list("h")).alias("holidays"))
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
-    table = years.join(per_year, "year", "left").withColumn("holidays", F.coalesce("holidays", F.array().cast("array<date>")))
-    earlier = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.size("holidays")).over(earlier), F.lit(0)).cast("long")
-    return table.select("year", "holidays", before.alias("holidays_before")).cache()
+    at = F.dayofyear("h") - 1
+    bits = distinct.groupBy("year", F.expr("(dayofyear(h) - 1) div 64").cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at % 64)).alias("bits"), F.count(F.lit(1)).alias("n")
+    )
+    places = spark.range(first_year * _WORDS, (last_year + 1) * _WORDS).select(
+        F.expr(f"int(id div {_WORDS})").alias("year"), (F.col("id") % _WORDS).cast("int").alias("word")
+    )
+    earlier = Window.orderBy("year", "word").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.coalesce("n", F.lit(0))).over(earlier), F.lit(0)).cast("long")
+    words = places.join(bits, ["year", "word"], "left").select("year", "word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"), before.alias("before"))
+    table = words.groupBy("year").agg(F.sort_array(F.collect_list(F.struct("word", "bits", "before"))).alias("w"))
+    return table.select("year", F.col("w.bits").alias("words"), F.col("w.before").alias("holidays_before")).cache()
 
 
 def _local_table(spark: SparkSession, rows) -> DataFrame:
@@ -172,7 +150,7 @@ def _local_table(spark: SparkSession, rows) -> DataFrame:
     driver; no Python worker), cached because every stage date joins it."""
     import pandas as pd
 
-    pdf = pd.DataFrame(rows, columns=["year", "holidays", "holidays_before"])
+    pdf = pd.DataFrame(rows, columns=["year", "words", "holidays_before"])
     df = spark.createDataFrame(pdf, _YEAR_TABLE_SCHEMA).cache()
     df.count()
     return df
@@ -197,13 +175,17 @@ def _join_year(df: DataFrame, d: Column, tag: str, years: DataFrame) -> tuple[Da
     yt = F.broadcast(
         years.select(
             F.col("year").alias(f"{tag}_y"),
-            F.col("holidays").alias(f"{tag}_h"),
+            F.col("words").alias(f"{tag}_w"),
             F.col("holidays_before").alias(f"{tag}_b"),
         )
     )
     joined = df.join(yt, F.year(d) == F.col(f"{tag}_y"), "left")
-    hol_upto = F.col(f"{tag}_b") + F.size(F.filter(F.col(f"{tag}_h"), lambda h: h <= d))
-    return joined, (weekday_index(d) - hol_upto).cast("long")
+    at = F.dayofyear(d) - 1
+    word = F.call_function("shiftright", at, F.lit(6))
+    # the bits of the date's word up to its own day
+    mask = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), F.lit(63) - at.bitwiseAND(F.lit(63)))
+    own = F.bit_count(F.get(f"{tag}_w", word).bitwiseAND(mask))
+    return joined, (weekday_index(d) - F.get(f"{tag}_b", word) - own).cast("long")
 
 
 def _with_indexes(df: DataFrame, date_cols, years: DataFrame):
@@ -214,7 +196,7 @@ def _with_indexes(df: DataFrame, date_cols, years: DataFrame):
         tag = f"__wc{i}"
         df, expr = _join_year(df, F.col(c).cast("date"), tag, years)
         idx.append(expr)
-        helpers += [f"{tag}_y", f"{tag}_h", f"{tag}_b"]
+        helpers += [f"{tag}_y", f"{tag}_w", f"{tag}_b"]
     return df, idx, helpers
 
 

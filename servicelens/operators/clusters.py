@@ -65,13 +65,17 @@ def _runs(features: DataFrame, k_range, tolerance: float, by: tuple[str, ...]) -
     return runs
 
 
+def _scores(runs: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    return runs.select(*by, "k", "silhouette", "chosen").orderBy(*by, "k")
+
+
 def k_sweep(features: DataFrame, k_range=S.DEFAULT_K_RANGE, tolerance: float = TOLERANCE, by: tuple[str, ...] = ()) -> DataFrame:
     """Silhouette per k (M10, M11) with a ``chosen`` flag on the first k of
     the best score (O4), for each group of ``by``.  k ends at parts - 1, the largest that a
     silhouette is defined for, and at the number of different feature rows.
     Fewer than 3 parts is an error (no k >= 2 can be scored); grouped, such a
     group has no row."""
-    return _runs(features, k_range, tolerance, by).select(*by, "k", "silhouette", "chosen")
+    return _scores(_runs(features, k_range, tolerance, by), by)
 
 
 def fit_clusters(features: DataFrame, k: int, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +94,7 @@ def cluster_parts(features: DataFrame, k_range=S.DEFAULT_K_RANGE, tolerance: flo
     runs = _runs(features, k_range, tolerance, by)
     chosen = runs.where("chosen")
     labelled = physical.materialize(kmeans.labelled(features, chosen, by), "labelled")
-    return labelled, kmeans.centre_rows(chosen, by), runs.select(*by, "k", "silhouette", "chosen")
+    return labelled, kmeans.centre_rows(chosen, by), _scores(runs, by)
 
 
 def cluster_facts(labelled: DataFrame, centres: DataFrame, tolerance: float = 1e-6) -> DataFrame:
@@ -115,7 +119,9 @@ def cluster_facts(labelled: DataFrame, centres: DataFrame, tolerance: float = 1e
 
 def critical_parts(features: DataFrame, n: int = S.DEFAULT_TOP_N) -> DataFrame:
     """Parts whose *name* is among the names of the top ``n`` parts by
-    (quantity, frequency) (M13: O3, F10); may return more than ``n``."""
+    (quantity, frequency) (M13: O3, F10); may return more than ``n``.  The
+    features are written once: the top list and the result both read them."""
+    features = physical.materialize(features, "features")
     top = features.orderBy(F.col("quantity").desc(), F.col("frequency").desc(), F.col("part_no")).limit(n)
     return features.join(top.select("part_name").distinct(), "part_name", "left_semi")
 

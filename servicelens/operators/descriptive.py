@@ -140,7 +140,7 @@ def process_analysis(
     if not group:
         scalars = scalars.drop("product_type")
     parts = rows.groupBy(*group, "part_no").agg(
-        F.min_by("part_name", F.struct("order_id", "position")).alias("part_name"),
+        F.min_by("part_name", F.struct("order_id", "position", "part_name")).alias("part_name"),
         F.sum("quantity").cast("double").alias("total_part_qty"),
         F.min(F.struct("order_id", "position")).alias("__first"),
     )
@@ -149,7 +149,7 @@ def process_analysis(
         parts, [*[F.col(g) for g in group], F.col("__first"), F.col("part_no")], "part_seq"
     ).drop("__first")
     joined = (
-        parts.join(F.broadcast(scalars), group, "inner") if group else parts.crossJoin(F.broadcast(scalars))
+        parts.join(scalars, group, "inner") if group else parts.crossJoin(F.broadcast(scalars))
     )
     return joined.select(
         *_period_columns(start, end),

@@ -8,10 +8,12 @@ typed forms have the columns of ``schema``:
 
 Plan shape: stage durations and labour units are per *order*, so they are
 computed on the header side (one row per order) before the header x position
-join instead of once per position row.  Headers and the per-order aggregate
-of the positions are joined co-partitioned by ``order_id``; that per-order
-table is written once (see ``prepare``), and the part lines are shuffled once,
-by ``order_id``, for the final join.
+join instead of once per position row.  The positions are read once: the lines
+that are parts or labour are written, and the per-order aggregate and the part
+lines both come from that table.  Headers and the aggregate are joined
+co-partitioned by ``order_id``; that per-order table is written once as well
+(see ``prepare``), and the part lines are shuffled once, by ``order_id``, for
+the final join.
 """
 
 from __future__ import annotations
@@ -158,21 +160,21 @@ def prepare(
     address split and calendar features (parts with header columns and
     labour units only).
 
-    Plan: headers and the per-order aggregate of the positions are both
-    hash-partitioned by ``order_id`` and joined co-partitioned.  That
+    Plan: the part and labour lines of the positions are written once to the
+    checkpoint folder.  Headers and the per-order aggregate of those lines are
+    both hash-partitioned by ``order_id`` and joined co-partitioned.  That
     per-order table (one row per order, with the stage durations) is written
-    once to the checkpoint folder: the product-article set of F3 is read off
-    it (orders with a repair part), and it feeds the final join.  The article
-    set is broadcast to the part lines only after its row count is checked;
-    above the limit the anti join shuffles instead.  Part lines are shuffled
-    once, by ``order_id``, for the final join.
+    as well: the product-article set of F3 is read off it (orders with a repair
+    part), and it feeds the final join.  Whether the article set is broadcast to
+    the part lines is left to the optimizer, which sees its size.  Part lines are
+    shuffled once, by ``order_id``, for the final join.
     """
-    h = headers.repartition("order_id").join(order_flags(positions, prefix, labour_codes), "order_id", "left")
+    is_part = F.col("part_no").startswith(prefix)
+    lines = physical.materialize(positions.where(is_part | F.col("part_no").isin(*labour_codes)), "lines")
+    h = headers.repartition("order_id").join(order_flags(lines, prefix, labour_codes), "order_id", "left")
     if years is not None:
         h = header_features(h, years)
     h = physical.materialize(h)
     products = h.where(F.col("__has_part")).select(F.col("product_article").alias("part_no")).distinct()
-    part_lines = positions.where(F.col("part_no").startswith(prefix)).join(
-        products, "part_no", "left_anti"
-    )
+    part_lines = lines.where(is_part).join(products, "part_no", "left_anti")
     return h.drop("__has_part").join(part_lines, "order_id", "inner")

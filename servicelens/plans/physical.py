@@ -16,6 +16,9 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if partition_by:
+        # one task's worth of a folder per file; a folder larger than that is split
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("error")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -31,17 +31,32 @@ def _paths(out: str) -> dict[str, str]:
     }
 
 
+RAGGED = "__ragged_row"
+
+
+def _whole_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with all cells, quarantine rows of the others); the order of a
+    ragged row is its first cell."""
+    ragged = F.col(RAGGED).isNotNull()
+    first = raw.columns[0]
+    bad = raw.where(ragged).select(F.col(f"`{first}`").alias("order_id"), F.lit("ragged_row").alias("reject_reason"), RAGGED)
+    return raw.where(~ragged).drop(RAGGED), bad.drop(RAGGED)
+
+
 def preprocessing(spark: SparkSession, kopf_path: str, pos_path: str, out: str,
-                  sep: str | None = None, encoding: str = "UTF-8") -> DataFrame:
+                  sep: str | None = None, encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """L4: read both exports (S1-S3), clean (L1), merge (L2), keep repair parts
-    (L3); rows with unusable cells go to the quarantine stage (S5)."""
+    (L3); rows with unusable cells go to the quarantine stage (S5), and rows
+    with too many or too few cells as ``ragged_row``.  ``multi_line`` allows line
+    breaks in quoted cells."""
     p = _paths(out)
-    raw_h = csvio.read_csv(spark, kopf_path, sep, encoding)
-    raw_p = csvio.read_csv(spark, pos_path, sep, encoding)
+    raw_h, ragged_h = _whole_rows(csvio.read_csv(spark, kopf_path, sep, encoding, multi_line=multi_line, ragged=RAGGED))
+    raw_p, ragged_p = _whole_rows(csvio.read_csv(spark, pos_path, sep, encoding, multi_line=multi_line, ragged=RAGGED))
     headers, bad_h = prepare.clean_headers(raw_h)
     positions, bad_p = prepare.clean_positions(raw_p)
     cols = ["order_id", "reject_reason"]
-    csvio.write_stage(bad_h.select(*cols).unionByName(bad_p.select(*cols)), p["quarantine"])
+    rejected = bad_h.select(*cols).unionByName(bad_p.select(*cols)).unionByName(ragged_h).unionByName(ragged_p)
+    csvio.write_stage(rejected, p["quarantine"])
     csvio.write_stage(headers, p["preprocessed"] + "_headers")
     csvio.write_stage(positions, p["preprocessed"] + "_positions")
     parts = prepare.keep_repair_parts(

@@ -105,7 +105,8 @@ def test_parse_matches_formats_in_order(spark):
         "1-10-2017", "01-10-2017", "1.10.2017", "10/1/2017", "2017-1-10", "2017.01.10", "2017/1/1",
         "2017-07-01 10:00:00.123456", "2017-07-01 9:05:07", "2017-07-01 9:5", "01.07.2017 10:00",
         " 01.07.2017 ", "2017-07-01T10:00", "29.02.2019", "29.02.2020", "2017-13-01", "17-07-01",
-        "01.07.2017 10:00:00", "2017-07-01 10", "", "abc",
+        "01.07.2017 10:00:00", "2017-07-01 10", "", "abc", "0000-01-01", "01.01.0000", "0001-01-01", "2017-07/01",
+        "2017-07-01  10:00", "2017-07-01 24:00", "2017-07-01 10:00:60", "2017-07-01 10:00:00.1234567", "1.1.2017 1:2", "+2017-07-01",
     ]
     got = col_values(spark, samples, dates.parse_timestamp)
     assert got == [_first_format(v) for v in samples]

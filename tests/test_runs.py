@@ -25,6 +25,26 @@ def test_end_to_end_run(spark):
     assert csvio.write_stage(spark.range(1), f"{out}/stages/featured") is False
 
 
+def test_ragged_rows_and_line_breaks_in_a_run(spark, tmp_path):
+    """An export with long and short rows and a line break in a part's name:
+    the odd rows are in quarantine, the others all arrive."""
+    from servicelens import schema as S
+
+    heads, lines = list(S.HEADER_SOURCE_COLUMNS), list(S.POSITION_SOURCE_COLUMNS)
+    day = ["01.07.2017"] * 7
+    kopf = [["1", "12.345.1", "A1", "T", *day], ["2", "12.345.1", "A2", "T", *day], ["3", "12.345.1", "A3", "T", *day, "extra"], ["4", "12.345.1"]]
+    pos = [["1", "1", "K0001", '"pump\nlong"', "1,5"], ["2", "1", "K0002", "seal", "2"], ["2", "2", "K0003", "nut", "1", "extra"], ["2", "3"]]
+    for name, head, rows in (("kopf.csv", heads, kopf), ("pos.csv", lines, pos)):
+        (tmp_path / name).write_text("\n".join(";".join(r) for r in [head, *rows]) + "\n")
+    out = str(tmp_path / "out")
+    parts = runs.preprocessing(spark, str(tmp_path / "kopf.csv"), str(tmp_path / "pos.csv"), out, sep=";", multi_line=True)
+    assert sorted((r.order_id, r.part_no, r.part_name, r.quantity) for r in parts.collect()) == [
+        ("1", "K0001", "pump\nlong", 1.5), ("2", "K0002", "seal", 2.0)
+    ]
+    bad = csvio.read_stage(spark, f"{out}/stages/quarantine").collect()
+    assert sorted(map(tuple, bad)) == [("2", "ragged_row"), ("2", "ragged_row"), ("3", "ragged_row"), ("4", "ragged_row")]
+
+
 def test_scratch_is_released(spark):
     from servicelens.plans import physical
     from servicelens.session import _SCRATCH, release_scratch

@@ -98,3 +98,39 @@ def test_materialize_keeps_columns_and_rows(spark):
     df = spark.range(20).withColumn("g", F.col("id") % 3).select("g", "id")
     out = physical.materialize(df, "t", partition_by=["g"])
     assert out.columns == ["g", "id"] and out.count() == 20
+
+
+def test_records_across_splits_equal_the_whole_file_read(spark, tmp_path):
+    """One file in many splits, with breaks inside cells at all places of them."""
+    import random
+
+    rng = random.Random(2)
+    cells = ["plain", "", 'a "quoted" word', "two\nlines", "\n", "x;y", 'end "\n"', "many\n\n\nlines;" * 20, " NA", '""', "\n" * 90]
+    rows = [[str(i), rng.choice(cells), rng.choice(cells)] for i in range(700)]
+    quote = lambda c: '"' + c.replace('"', '""') + '"' if any(x in c for x in ';"\n') else c
+    (tmp_path / "in").mkdir()
+    for name, part in (("a.csv", rows[:500]), ("b.csv", rows[500:]), ("c.csv", [])):
+        text = "\n".join(";".join(map(quote, r)) for r in [["no", "one cell", "two"], *part])
+        (tmp_path / "in" / name).write_text(text + "\n" * (name != "b.csv"))
+    whole = spark.read.options(header=True, sep=";", escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    whole = [tuple(x or "" for x in r) for r in whole.csv(str(tmp_path / "in")).collect()]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for splits in ("300b", "4k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", splits)
+            got = csvio.read_csv(spark, str(tmp_path / "in"), sep=";", multi_line=True)
+            assert got.columns == ["no", "one cell", "two"]
+            assert sorted(tuple(x or "" for x in r) for r in got.collect()) == sorted(whole) == sorted(map(tuple, rows))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_ragged_rows_among_records_with_line_breaks(spark, tmp_path):
+    (tmp_path / "b.csv").write_text('n;t\n1;"a\nb"\n2\n3;b;c\n4;"x\ny";z\n')
+    got = csvio.read_csv(spark, str(tmp_path / "b.csv"), sep=";", multi_line=True, ragged="bad").collect()
+    assert sorted((r.n, r.bad) for r in got) == [("1", None), ("2", "2"), ("3", "3;b;c"), ("4", '4;"x\ny";z')]
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text("n;t\n1;2\n")
+    (tmp_path / "d" / "b.csv").write_text("t;n\n1;2\n")
+    with pytest.raises(ValueError, match="header"):
+        csvio.read_csv(spark, str(tmp_path / "d"), sep=";", multi_line=True)

@@ -41,13 +41,29 @@ def test_fixture_cases(spark, years):
     assert got == cases
 
 
-def test_easter_dates(spark):
-    df = spark.createDataFrame([(y,) for y in (2016, 2017, 2021, 2024, 2025)], "y int")
-    got = {r.y: r.e for r in df.select("y", workcal.easter_sunday(F.col("y")).alias("e")).collect()}
+def test_easter_dates():
+    got = {y: workcal._easter_date(y) for y in (2016, 2017, 2021, 2024, 2025)}
     assert got == {2016: D(2016, 3, 27), 2017: D(2017, 4, 16), 2021: D(2021, 4, 4),
                    2024: D(2024, 3, 31), 2025: D(2025, 4, 20)}
 
 
+def test_holiday_table_as_argument(spark, years):
+    """The table built by Spark equals the local one; days of every word of
+    the year, the last of a leap year included, and repeated and null holidays."""
+    rows = [(h,) for h in sorted(HOLIDAYS)] + [(None,), (D(2017, 10, 31),)]
+    made = workcal.year_table(spark.createDataFrame(rows, "holiday date"), 1990, 2030)
+    row = lambda t: {r.year: (list(r.words), [n - r.holidays_before[0] for n in r.holidays_before]) for r in t.where("year between 1990 and 2030").collect()}
+    assert row(made) == row(years)
+    own = {D(2024, 3, 4), D(2024, 3, 5), D(2024, 5, 7), D(2024, 7, 10), D(2024, 12, 30), D(2024, 12, 31), D(2025, 1, 1), D(2024, 3, 9)}
+    table = workcal.year_table(spark.createDataFrame([(h,) for h in own], "holiday date"))
+    days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(0, 372)]
+    got = wd(spark, table, [(D(2023, 12, 29), d) for d in days])
+    n = 0
+    for d in days:
+        n += d.weekday() < 5 and d not in own
+        assert got[D(2023, 12, 29), d] == n
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.dates(D(1995, 1, 1), D(2025, 12, 31)), st.dates(D(1995, 1, 1), D(2025, 12, 31))),
                 min_size=1, max_size=40))
@@ -78,3 +94,10 @@ def test_calendar_join_is_broadcast(spark, years):
     plan = workcal.with_working_days(df, "a", "b", "wd", years)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_index_is_in_generated_code(spark, years):
+    """No lambda over a year's holidays: the plan is generated code throughout."""
+    df = spark.createDataFrame([(D(2017, 1, 2), D(2017, 2, 2))], "a date, b date")
+    plan = workcal.with_working_days(df, "a", "b", "wd", years)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
