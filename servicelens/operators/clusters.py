@@ -139,14 +139,14 @@ def with_period(df: DataFrame, product_type: str, start, end) -> DataFrame:
 
 def translate_names(df: DataFrame, translations=None, name_col: str = "part_name") -> DataFrame:
     """English part names, falling back to the original (P11, J6).  The
-    lookup is a literal table of a few entries (broadcast)."""
+    lookup is a literal table; its size decides whether it is broadcast."""
     translations = translations if translations is not None else S.PART_NAME_TRANSLATIONS
     import pandas as pd
 
     spark = df.sparkSession
     pairs = pd.DataFrame(list(translations.items()) or [("", "")], columns=[name_col, "__en"])
     lookup = spark.createDataFrame(pairs, f"{name_col} string, __en string")
-    return df.join(F.broadcast(lookup), name_col, "left").withColumn(
+    return df.join(lookup, name_col, "left").withColumn(
         "english_name", F.coalesce(F.col("__en"), F.col(name_col))
     ).drop("__en")
 

@@ -132,6 +132,17 @@ def demand_pivot(filled: DataFrame, start, end) -> DataFrame:
     return wide.agg(F.first("qty")).na.fill(0.0)
 
 
+def demand_matrix(monthly: DataFrame, parts: list[str]) -> DataFrame:
+    """Month x part matrix (R3) over a given part list: one row per month from
+    the first to the last with any of the parts, one column per part, missing
+    cells 0.  The columns follow from the argument."""
+    chosen = monthly.where(F.col("part_no").isin(*parts))
+    bounds = chosen.agg(F.min("month").alias("m0"), F.max("month").alias("m1")).where("m0 is not null")
+    months = bounds.select(F.explode(F.sequence("m0", "m1", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    wide = chosen.groupBy("month").pivot("part_no", list(parts)).agg(F.sum("qty"))
+    return months.join(wide, "month", "left").na.fill(0.0, list(parts))
+
+
 def sequences(
     filled: DataFrame,
     length: int = S.DEFAULT_SEQUENCE_LENGTH,

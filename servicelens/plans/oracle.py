@@ -941,3 +941,29 @@ SELECT product_type, stage_ord, stage, days,
   coalesce(sum(days) OVER (PARTITION BY product_type ORDER BY stage_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS bar_start
 FROM bars"""
 )
+
+ORACLE["translated_names"] = (
+    CLUSTER_BASE
+    + """SELECT p.part_name, p.part_no, p.quantity, p.frequency, coalesce(t.en, p.part_name) AS english_name
+FROM pf p LEFT JOIN (VALUES ('red plate', 'Plate, red'), ('small widget', 'Widget, small'), ('hot ring', 'Ring, hot'),
+  ('large rod', 'Rod, large'), ('blue ring', 'Ring, blue'), ('hot bolt', 'Bolt, hot')) AS t(name, en) ON t.name = p.part_name"""
+)
+
+_MATRIX = ("K0000003", "K0000004", "K0000010", "K0000011", "K0000077", "K0000150", "K0000199", "K0999999")
+
+ORACLE["demand_matrix"] = (
+    DEMAND_BASE[:-1]
+    + ", mx AS (SELECT * FROM mon WHERE part_no IN ("
+    + ", ".join(f"'{p}'" for p in _MATRIX)
+    + ")),\nmm AS (SELECT CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM mx)\n"
+    + "SELECT strftime(mm.month, '%Y-%m') AS month, "
+    + ", ".join(f"coalesce(sum(qty) FILTER (WHERE part_no = '{p}'), 0.0) AS {p}" for p in _MATRIX)
+    + " FROM mm LEFT JOIN mx ON mm.month = mx.month GROUP BY mm.month"
+)
+
+# Cells without a line break and markers survive the CSV round trip unchanged.
+ORACLE["csv_round_trip"] = ORACLE["decimal_comma"].rsplit("SELECT \"SERVICEAUFTRAG\" AS order_id", 1)[0] + """, q AS (
+  SELECT "SERVICEAUFTRAG" AS order_id, CAST("POSITION" AS BIGINT) AS position, "ARTIKEL" AS part_no,
+    TRY_CAST(replace("MENGE", ',', '.') AS DOUBLE) AS quantity FROM rawp
+)
+SELECT order_id, position, part_no, round_even(quantity / 8, 2) AS eighth FROM q WHERE quantity IS NOT NULL"""

@@ -17,6 +17,7 @@ from servicelens.functions.scalar import itemset_label
 from servicelens.operators import clusters, demand, descriptive, prepare, rules
 from servicelens.plans import physical
 from servicelens.plans import workload as WL
+from servicelens.session import scratch_path
 from servicelens.plans.workload import END, FULL_END, FULL_START, START, TYPE, Workload
 from servicelens.sources import csv as csvio
 from servicelens.sources import driver_tables as dt
@@ -240,6 +241,12 @@ def demand_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demand.demand_pivot(_filled(Workload(spark, sf_dir)), FULL_START, FULL_END)
 
 
+def demand_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month x part matrix of a given part list."""
+    wide = demand.demand_matrix(_monthly(Workload(spark, sf_dir)), list(WL.MATRIX_PARTS))
+    return wide.select(_month_label().alias("month"), *WL.MATRIX_PARTS)
+
+
 def demand_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """12-month samples with their target and split."""
     seq = demand.sequences(_filled(Workload(spark, sf_dir)))
@@ -297,6 +304,11 @@ def translated_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.translate_names(clusters.critical_parts(_features(Workload(spark, sf_dir))))
 
 
+def translated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of all parts, by a lookup that holds some of them."""
+    return clusters.translate_names(_features(Workload(spark, sf_dir)), WL.NAME_LOOKUP)
+
+
 def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silhouette per k, the best one chosen."""
     return clusters.k_sweep(_features(Workload(spark, sf_dir)))
@@ -362,6 +374,16 @@ def decimal_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position export written sorted as CSV, read
+    back with a sniffed delimiter, cleaned and rounded to two digits (half-even)."""
+    raw = dt.raw_position_view(spark, sf_dir)
+    path = scratch_path(spark, "csv")
+    csvio.write_csv(raw.orderBy("SERVICEAUFTRAG", "POSITION"), path, sep=";")
+    good, _ = prepare.clean_positions(csvio.read_csv(spark, path))
+    return good.select("order_id", F.col("position").cast("long").alias("position"), "part_no", scalar.round2(F.col("quantity") / 8, 2).alias("eighth"))
+
+
 def quantity_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position rows whose quantity is not a number, with the reason."""
     _, bad = prepare.clean_positions(dt.raw_position_view(spark, sf_dir))
@@ -450,12 +472,14 @@ QUERIES: dict[str, Query] = {
     "top_contributors": top_contributors,
     "demand_filled": demand_filled,
     "demand_pivot": demand_pivot,
+    "demand_matrix": demand_matrix,
     "demand_sequences": demand_sequences,
     "top_contributors_by_type": top_contributors_by_type,
     "demand_sequences_by_type": demand_sequences_by_type,
     "part_features": part_features,
     "critical_parts": critical_parts,
     "translated_parts": translated_parts,
+    "translated_names": translated_names,
     "k_sweep": k_sweep,
     "k_sweep_by_type": k_sweep_by_type,
     "part_clusters": part_clusters,
@@ -464,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "part_cluster_facts": part_cluster_facts,
     "address_split": address_split,
     "decimal_comma": decimal_comma,
+    "csv_round_trip": csv_round_trip,
     "quantity_quarantine": quantity_quarantine,
     "parse_dates": parse_dates,
     "na_drop": na_drop,

@@ -28,6 +28,19 @@ RULE_MIN_SUPPORT = 0.1
 RULE_MIN_CONFIDENCE = 0.4
 RULE_WATCH = ("ECONOMY", "PROMO", "STANDARD")
 
+# Part names of the driver tables with a name to show instead,
+# and parts whose months stand side by side.
+NAME_LOOKUP = {
+    "red plate": "Plate, red",
+    "small widget": "Widget, small",
+    "hot ring": "Ring, hot",
+    "large rod": "Rod, large",
+    "blue ring": "Ring, blue",
+    "hot bolt": "Bolt, hot",
+    "no such part": "None",
+}
+MATRIX_PARTS = ("K0000003", "K0000004", "K0000010", "K0000011", "K0000077", "K0000150", "K0000199", "K0999999")
+
 
 _SESSION_WORKLOADS: dict[tuple[int, str, tuple], "Workload"] = {}
 
