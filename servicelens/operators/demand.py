@@ -14,9 +14,9 @@ so no step gathers all parts or all months into one task.
 Every function takes ``by`` columns (F4): with ``by=("product_type",)`` all
 types are treated at once, each with its own shares, quantile, month bounds and
 split.  Group totals, quantiles and bounds are one row a group and
-come back by an equi-join; ranks inside a group come from one range sort of all
-groups (``segmented_ordinal``), so a group with a third of all parts is no
-heavier for any task.
+come back by an equi-join; quantiles come from counts by digits of all groups at
+once (``selection``), so a group with a third of all parts is no heavier
+for any task.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from servicelens import schema as S
 from servicelens.functions.dates import month_start, parse_arg_date
-from servicelens.operators.ordinal import segmented_ordinal, with_ordinal
+from servicelens.operators.selection import exact_quantile
 from servicelens.plans import physical
 
 
@@ -54,39 +54,6 @@ def part_share(monthly: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, by: tuple[str, ...] = ()) -> DataFrame:
-    """Exact linearly interpolated quantile (A11), as one row ``quantile`` (one
-    for each group of ``by``).
-
-    position = (n - 1) q; value = v[floor] + (v[ceil] - v[floor]) * frac.
-    The values are ranked with a distributed sort (no single-task collect);
-    only the two neighbouring ranks of a group are read back.
-    """
-    # A row hash breaks ties, so a value held by many rows still spreads over
-    # several range partitions of the sort (only values enter the result).
-    vals = df.select(*by, F.col(col).cast("double").alias("v"), F.xxhash64(*df.columns).alias("t")).where(
-        F.col("v").isNotNull()
-    )
-    if by:
-        ranked = segmented_ordinal(vals, list(by), [F.col("v"), F.col("t")], "r", base=0, total="n")
-        pos = (F.col("n") - 1) * F.lit(q)
-        picks = ranked.select(*by, "v", "r", pos.alias("pos"), F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"))
-        picks = picks.where(F.col("r").between(F.col("lo"), F.col("hi")))
-    else:
-        ranked = with_ordinal(vals, [F.col("v"), F.col("t")], "r", base=0)
-        n = vals.agg(F.count(F.lit(1)).alias("n"))
-        pos = n.select(((F.col("n") - 1) * F.lit(q)).alias("pos"))
-        pos = pos.select("pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
-        picks = ranked.join(F.broadcast(pos), F.col("r").between(F.col("lo"), F.col("hi")))
-    return picks.groupBy(*by).agg(
-        (
-            F.max(F.when(F.col("r") == F.col("lo"), F.col("v")))
-            + (F.max(F.when(F.col("r") == F.col("hi"), F.col("v"))) - F.max(F.when(F.col("r") == F.col("lo"), F.col("v"))))
-            * (F.max("pos") - F.max("lo"))
-        ).alias("quantile")
-    )
-
-
 def top_contributors(shares: DataFrame, q: float = S.DEFAULT_QUANTILE, by: tuple[str, ...] = ()) -> DataFrame:
     """Parts whose share is at least the ``q`` quantile of all shares (of their group) (F8)."""
     threshold = exact_quantile(shares, "share", q, by)

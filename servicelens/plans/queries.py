@@ -205,9 +205,14 @@ def _monthly(w: Workload) -> DataFrame:
     return physical.materialize(demand.monthly_demand(rows), "monthly")
 
 
+def _shares(monthly: DataFrame) -> DataFrame:
+    """Written once: the quantile's rounds and the selection read it."""
+    return physical.materialize(demand.part_share(monthly), "shares")
+
+
 def _filled(w: Workload) -> DataFrame:
     monthly = _monthly(w)
-    top = physical.materialize(demand.top_contributors(demand.part_share(monthly)), "top")
+    top = physical.materialize(demand.top_contributors(_shares(monthly)), "top")
     return physical.materialize(demand.fill_months(demand.selected_monthly(monthly, top)), "filled")
 
 
@@ -227,7 +232,7 @@ def part_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with share >= the exact 0.9 quantile."""
-    top = demand.top_contributors(demand.part_share(_monthly(Workload(spark, sf_dir))))
+    top = demand.top_contributors(_shares(_monthly(Workload(spark, sf_dir))))
     return top.select("part_no", "total_qty", "share")
 
 
