@@ -32,11 +32,8 @@ HEADLINE = [
     "part_features",
     "critical_parts",
     "k_sweep",
-    "k_sweep_by_type",
-    "association_rules_by_type",
     "top_contributors",
     "demand_sequences",
-    "demand_sequences_by_type",
     "parse_dates",
     "decimal_comma",
     "delimiter_profile",

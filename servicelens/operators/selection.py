@@ -1,9 +1,9 @@
 """Order statistics without a sort: radix refinement on the values' bits.
 
 A double's 64 bits, read as a signed whole number (negative values mirrored),
-order like the values.  Each of four rounds counts the rows by their next 16
+order like the values.  Each of three rounds counts the rows by their next 20 or 22
 bits, as one aggregate with map-side partial counts, finds the digit that holds
-the wanted rank by a running sum over at most 65,536 counts a group, and
+the wanted rank by a running sum over at most 4,194,304 counts a group, and
 goes on with the rows of that digit only.  After the last round the digit is the
 value.  Nothing is sorted, written or collected, and a value held by a third of
 all rows is one counter.
@@ -14,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIGIT_BITS = 16
-ROUNDS = 64 // DIGIT_BITS
+SHIFTS = (44, 22, 0)  # bits to the right of each round's digit
+DIGIT_BITS = 22  # of all digits but the first, which has the rest
+ROUNDS = len(SHIFTS)
 
 
 def ordered_bits(v: Column) -> Column:
@@ -38,7 +39,7 @@ def ordered_bits(v: Column) -> Column:
 
 def _digit(bits: Column, turn: int) -> Column:
     """The ``turn``-th digit from the left; the first one carries the sign."""
-    shifted = F.shiftright(bits, 64 - DIGIT_BITS * (turn + 1))
+    shifted = F.shiftright(bits, SHIFTS[turn])
     return shifted if turn == 0 else shifted.bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
 
 
@@ -74,7 +75,7 @@ def exact_quantile(df: DataFrame, col: str, q: float, by: tuple[str, ...] = ())
     for turn in range(ROUNDS):
         if turn:
             # a row belongs to the ranks whose digits so far it has
-            prefix = F.shiftright(F.col("bits"), 64 - DIGIT_BITS * turn)
+            prefix = F.shiftright(F.col("bits"), SHIFTS[turn - 1])
             matched = _beside(rows.withColumn("prefix", prefix), found, [*by, "prefix"], by)
             counts = matched.groupBy(*by, "part", "end", "rank", "prefix", _digit(F.col("bits"), turn).alias("digit"))
             counts = counts.agg(F.count(F.lit(1)).alias("k"), F.min("v").alias("v"))
