@@ -33,15 +33,16 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 LOCAL_CENTRES = 100_000
-MAX_ITERATIONS = 10_000  # a stop for non-finite input, not a tuning knob
+MAX_ITERATIONS = 10_000  # Lloyd ends long before; a stop for rounding that circles
 
 POINT = ("quantity", "frequency")
 
 
 def weighted_points(features: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by, x, y, weight, name): distinct feature rows; ``name`` is the least part
-    number among them."""
+    number among them.  Rows with a missing or non-finite feature are left out."""
     rows = features.select(*by, *[F.col(c).cast("double").alias(n) for c, n in zip(POINT, ("x", "y"))], "part_no")
+    rows = rows.where("abs(x) < double('inf') AND abs(y) < double('inf')")  # false for NaN too
     return rows.groupBy(*by, "x", "y").agg(F.count(F.lit(1)).cast("double").alias("weight"), F.min("part_no").alias("name"))
 
 

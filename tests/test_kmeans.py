@@ -97,3 +97,9 @@ def test_equal_parts_are_one_point(spark):
     assert [r.k for r in clusters.k_sweep(frame).collect()] == [2]
     labelled, centres, _ = clusters.cluster_parts(frame)
     assert labelled.groupBy("cluster").count().select("count").collect() == [(50,), (50,)] and centres.count() == 2
+
+
+def test_missing_and_non_finite_features_are_left_out(spark):
+    rows = [("T", f"p{i}", "n", float(i), 1) for i in range(6)] + [("T", "a", "n", None, 1), ("T", "b", "n", float("nan"), 1), ("T", "c", "n", float("inf"), 1)]
+    points = kmeans.weighted_points(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(r.x for r in points.collect()) == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
