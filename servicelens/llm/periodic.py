@@ -240,11 +240,11 @@ def _finder(id_type: pa.DataType, run_digests: bool):
     struct = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 
     def whole(ids, texts):
-        for i, words, runs in zip(ids, texts, runs_of_texts(texts)):
-            kept = b" ".join(collapsed_words(words, runs)).decode("utf-8", "replace")
-            rows = [{"start": s, "length": n, "period": q} for s, n, q in runs.tolist()]
-            columns = [pa.array([i.as_py()], id_type), pa.array([len(words)], pa.int64()), pa.array([rows], pa.list_(struct)), pa.array([kept])]
-            yield pa.RecordBatch.from_arrays(columns, ["__id", "n_words", "runs", "collapsed"])
+        runs = runs_of_texts(texts)
+        kept = [b" ".join(collapsed_words(words, r)).decode("utf-8", "replace") for words, r in zip(texts, runs)]
+        lists = [[{"start": s, "length": n, "period": q} for s, n, q in r.tolist()] for r in runs]
+        columns = [pa.array([i.as_py() for i in ids], id_type), pa.array(list(map(len, texts)), pa.int64()), pa.array(lists, pa.list_(struct)), pa.array(kept, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["__id", "n_words", "runs", "collapsed"])
 
     def digests(ids, texts):
         rows = []
