@@ -19,8 +19,10 @@ of data that hold checksums stays useful.  Spark's text writer puts the
 records down (a record is one row, the line feed its line end), so the files
 appear by Spark's commit protocol on whatever file system the path names.
 
-The index is a Parquet table: file, doc_id, offset, length, n_tokens and
-start, the number of ids in all records before it.  ``read_records`` takes any
+The index is a Parquet table: file, doc_id, offset, length, n_tokens,
+start, the number of ids in all records before it, and ids_crc32, the CRC-32 of the ids
+as 32-bit integers.  It comes from one pass over the written files, in which every
+record's checksums are verified.  ``read_records`` takes any
 rows of the index, in any order, and gives back ids checked by both checksums.
 
 Defined results: null and empty texts hold the end id only; documents with a
@@ -111,7 +113,8 @@ def record_maker(path: str, end_id: int):
 
 
 def index_maker():
-    """Batches of (path, content) -> one row per record, offsets from the file itself."""
+    """Batches of (path, content) -> one row per record: its place and the
+    number and checksum of its ids, all read from the file itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,16 +122,16 @@ def index_maker():
                 content = memoryview(content.as_buffer())
                 rows = []
                 for offset, length in frames(content):
-                    width, has_id, doc_id = struct.unpack_from(_PAYLOAD, content, offset + _HEAD_BYTES)
-                    rows.append((doc_id if has_id else None, offset, length, (length - _PAYLOAD_BYTES) // width))
-                doc_ids, offsets, lengths, counts = zip(*rows) if rows else ((),) * 4
+                    doc_id, ids = payload_at(content, offset, length)
+                    rows.append((doc_id, offset, length, len(ids), zlib.crc32(ids.astype("<u4"))))
+                doc_ids, offsets, lengths, counts, sums = zip(*rows) if rows else ((),) * 5
                 before = np.cumsum([0, *counts])[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([path.rsplit("/", 1)[-1]] * len(rows), pa.string()),
-                        *[pa.array(x, pa.int64()) for x in (doc_ids, offsets, lengths, counts, before)],
+                        *[pa.array(x, pa.int64()) for x in (doc_ids, offsets, lengths, counts, before, sums)],
                     ],
-                    ["file", "doc_id", "offset", "length", "n_tokens", "start_in_file"],
+                    ["file", "doc_id", "offset", "length", "n_tokens", "start_in_file", "ids_crc32"],
                 )
 
     return run
@@ -191,11 +194,11 @@ def write_records(
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{out}/data")
     spark = docs.sparkSession
     found = _files(spark, out).select("path", "content").mapInArrow(
-        index_maker(), "file string, doc_id long, offset long, length long, n_tokens long, start_in_file long"
+        index_maker(), "file string, doc_id long, offset long, length long, n_tokens long, start_in_file long, ids_crc32 long"
     )
     found = materialize(found, "record-index")
     index = found.join(file_bases(found), "file").withColumn("start", F.col("base") + F.col("start_in_file"))
-    index.select("file", "doc_id", "offset", "length", "n_tokens", "start").write.parquet(f"{out}/index")
+    index.select("file", "doc_id", "offset", "length", "n_tokens", "start", "ids_crc32").write.parquet(f"{out}/index")
 
 
 def file_bases(found: DataFrame) -> DataFrame:
@@ -230,25 +233,9 @@ def scan_records(spark, out: str) -> DataFrame:
     return files.mapInArrow(record_scanner(), "file string, offset long, doc_id long, ids array<int>")
 
 
-def crc_of_ids():
-    """The ids become their number and the CRC-32 of them as little-endian 32-bit integers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [x.values.to_numpy().astype("<u4") for x in batch.column("ids")]
-            kept = ["file", "offset", "doc_id"]
-            sums = [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *sums], [*kept, "n_tokens", "ids_crc32"])
-
-    return run
-
-
 def op5_query(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     out = scratch_path(spark, "records")
     write_records(spark.read.parquet(f"{sf_dir}/documents.parquet"), out, public_tokenizers.path("word_bpe_49k.json"))
-    sums = "file string, offset long, doc_id long, n_tokens long, ids_crc32 long"
-    read = scan_records(spark, out).mapInArrow(crc_of_ids(), sums)
-    starts = read_index(spark, out).select("file", "offset", "start")
-    return read.join(starts, ["file", "offset"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_index(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")

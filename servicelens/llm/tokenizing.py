@@ -33,6 +33,15 @@ TURN_CHARS = 1_000_000  # texts of so many characters are split into chunks at a
 # composition touches and whose lower case is among them.
 USUAL = "\x00\x03-\x1b\x20-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u02ff\u2010-\u2027\u2030-\u205e\u20ac"
 UNUSUAL = re.compile(f"[^{USUAL}]")
+UNUSUAL_ASCII = [chr(c) for c in range(128) if UNUSUAL.match(chr(c))]
+
+
+def usual(text: str) -> bool:
+    """Whether all characters are ``USUAL``; searching a few characters in ASCII
+    texts is quicker than looking at each."""
+    if text.isascii():
+        return not any(c in text for c in UNUSUAL_ASCII)
+    return not UNUSUAL.search(text)
 
 
 def byte_table(path: str) -> list[bytes]:
@@ -81,11 +90,11 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
     def chunks(self, text: str) -> list[str] | None:
-        """The text split at white space, or None if the library must encode it whole."""
-        if UNUSUAL.search(text) or any(t in text for t in self.added):
+        """The text split at white space, or None if its characters or added tokens
+        make the library encode it whole."""
+        if not usual(text) or any(t in text for t in self.added):
             return None
-        chunks = text.split()
-        return None if max(map(len, chunks), default=0) >= LONG_RUN else chunks
+        return text.split()
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         return [self.encode(t) for t in texts]
@@ -108,8 +117,10 @@ class ByteEncoder(Encoder):
 
     def encode(self, text: str) -> np.ndarray:
         chunks = self.chunks(text)
+        if chunks is None or max(map(len, chunks), default=0) >= LONG_RUN:
+            return self.whole(text)
         # white space beyond one character for each chunk could be one long run
-        if chunks is None or len(text) - sum(map(len, chunks)) - len(chunks) >= LONG_RUN:
+        if len(text) - sum(map(len, chunks)) - len(chunks) >= LONG_RUN:
             return self.whole(text)
         return np.array(self.merges.encode_ordinary(text), "<u4")
 
@@ -169,10 +180,14 @@ class WordEncoder(Encoder, dict):
             if chars < TURN_CHARS and k + 1 < len(texts):
                 continue
             new = set(filterfalse(self.__contains__, chain.from_iterable(chunks for _, chunks in waiting if chunks)))
+            # remembered chunks are never long, so only new ones are looked at
+            long = {chunk for chunk in new if len(chunk) >= LONG_RUN}
+            new -= long
             if new:
                 self.learn(list(new))
             for text, chunks in waiting:
-                ids = self.whole(text) if chunks is None else np.frombuffer(b"".join(map(self.__getitem__, chunks)), "<u4")
+                whole = chunks is None or (long and not long.isdisjoint(chunks))
+                ids = self.whole(text) if whole else np.frombuffer(b"".join(map(self.__getitem__, chunks)), "<u4")
                 out.append(ids)
             self.forget(new)
             waiting, chars = [], 0
