@@ -1,10 +1,11 @@
-"""Plan-shaping helper: reliable materialisation."""
+"""Plan-shaping helpers: reliable materialisation."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from servicelens.session import scratch_path
+from servicelens.session import remove_scratch, scratch_path
+
 
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in a fresh folder under the shared
@@ -25,3 +26,11 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     w.parquet(path)
     out = spark.read.parquet(path)
     return out.select(*df.columns) if partition_by else out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove materialised tables that nothing reads any more: the caller has
+    written or counted everything that was made from them."""
+    for df in tables:
+        folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+        remove_scratch(df.sparkSession, folders)

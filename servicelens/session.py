@@ -71,8 +71,18 @@ _SCRATCH: list[str] = []
 def release_scratch(spark: SparkSession) -> int:
     """Remove the intermediate tables this driver has written; results that
     still read them cannot be read any more.  Returns their number."""
+    return _remove(spark, list(_SCRATCH))
+
+
+def remove_scratch(spark: SparkSession, folders: set[str]) -> int:
+    """Remove those of the folders that ``scratch_path`` has given out; other
+    folders stay.  Their names are unique, so a URI's scheme does not matter."""
+    names = {folder.rsplit("/", 1)[-1] for folder in folders}
+    return _remove(spark, [path for path in _SCRATCH if os.path.basename(path) in names])
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> int:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    paths = list(_SCRATCH)
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
