@@ -5,23 +5,27 @@
    never meet each other in a join.
 2. Nodes are posted under their (coordinate, value) pairs.  Two nodes match
    when they collide on at least ``MATCHES`` coordinates (at a similarity of
-   0.8 a pair misses that with a probability of 2e-5).  Pairs that occur once
+   0.8 a pair misses that with a probability of 4e-6).  Pairs that occur once
    are skipped, the others are ordered from rare to frequent, and a node is
    posted only under the first ones: two nodes with ``MATCHES`` collisions must
    meet in these prefixes.
 3. A posting carries two bits of every coordinate.  Colliding coordinates agree
    in them, so counting agreements skips nearly all chance pairs at the join.
 4. Lists of up to ``SMALL`` nodes are held against each other.  A longer list
-   is not: in each round one node (the hub, the one in the most and longest
-   lists) is held against the others that are not yet in the hub's component; then the hub leaves the list, and
-   lists whose nodes are all in one component are finished.  A group of near
-   copies thus costs as many pairs as it has nodes.  When the pairs left are
-   few against the postings, or after ``ROUNDS`` rounds, all pairs between
-   different components of a list are held against each other, so no link is
-   lost.
+   is not: its hub, the node in the most and longest lists, is held against
+   the nodes that are not yet in the hub's component, and a list whose nodes are then all
+   in one component is finished.  A group of near copies thus costs as many
+   pairs as it has nodes.
+   In the lists left over, every node is described by its differences from the hub, D(x),
+   the shingles that only one of the two has.  With |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|, a link of x and y
+   asks for a number of common differences, and if x is not linked with the hub that number is never
+   zero.  So nodes are posted under their rarest differences only
+   (as many as the number asked for needs) and meet there: nodes that differ from the
+   hub in other places never do, and no link is lost.
 5. Surviving pairs are counted on the whole signatures and confirmed on the
    whole sets.  Components come from alternating large-star and small-star
-   steps.  All intermediate tables are Parquet in the shared folder.
+   steps.  All intermediate tables are Parquet in the shared folder, and each is
+   removed when the tables made from it stand.
 
 The sets are made for nodes with a surviving pair or in a long list.  Their
 ids are broadcast up to ``BROADCAST_IDS`` of them, beyond that the texts are
@@ -41,15 +45,14 @@ from pyspark.sql import functions as F
 
 from servicelens.llm.shingles import SET_SCHEMA, SKETCH_SCHEMA, set_maker, sketcher
 from servicelens.llm.text import keyed
-from servicelens.plans.physical import materialize
+from servicelens.plans.physical import discard, materialize
 
 COORDINATES = 64
 MATCHES = 36
 SIMILARITY = 80  # per cent
 WIDTH = 5  # words of a shingle
 SMALL = 16  # nodes of a list whose pairs are all held against each other
-ROUNDS = 2
-FEW = 2  # pairs for each posting of the long lists
+SALTS = 16  # pieces of the nodes that are compared with one hub
 BROADCAST_IDS = 500_000
 
 POSTED = ["node", "n_shingles", "bits0", "bits1"]
@@ -148,7 +151,86 @@ def components(links: DataFrame) -> DataFrame:
         # small star: smaller neighbours and the node itself do the same
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v > m").select(F.col("v").alias("node"), F.col("m").alias("root"))
+        done = edges
         edges = materialize(small.unionByName(least.select(F.col("u").alias("node"), F.col("m").alias("root"))).distinct(), "cc")
+        discard(done)
+
+
+def hub_links(lists: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) between the lists' hubs and the nodes outside their components."""
+    held = lists.where((F.col("root") != F.col("hub.root")) & plausible(F.col, lambda c: F.col(f"hub.{c}"), similarity))
+    pairs = held.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    return confirmed(matching(pairs, nodes), sets, similarity)
+
+
+def differences(lists: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """One row per (hub, node) with the node's differences from the hub.
+
+    With s = ``similarity``, x and y are linked if (100 + s) |x ^ y| <= (100 - s) (|x| + |y|).  ``excess`` is
+    (100 + s) |D(x)| - (100 - s) |x|, so a link asks for 2 (100 + s) |D(x) & D(y)| >= excess(x) + excess(y), and x is
+    linked with the hub itself (``near``) if its excess is at most (100 - s) |hub|.
+    """
+    own = [*POSTED, "root"]
+    members = lists.select(F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"), *own).distinct()
+    members = members.join(sets.select("node", "shingles"), "node").withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS)))
+    # a hub may belong to a third of all nodes: its set goes to every salt
+    hubs = lists.select(F.col("hub.node").alias("hub")).distinct()
+    hubs = hubs.join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("of_hub")), "hub")
+    hubs = hubs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = members.join(hubs, ["hub", "salt"])
+    differing = F.concat(F.array_except("shingles", "of_hub"), F.array_except("of_hub", "shingles"))
+    found = found.select("hub", "hub_root", *own, F.size("of_hub").cast("bigint").alias("n_hub"), differing.alias("diff"))
+    found = found.withColumn("n_diff", F.size("diff").cast("bigint"))
+    found = found.withColumn("excess", (100 + similarity) * F.col("n_diff") - (100 - similarity) * F.col("n_shingles"))
+    near = F.col("excess") <= (100 - similarity) * F.col("n_hub")
+    return found.withColumn("near", near).withColumn("odd", ~near & (F.col("root") != F.col("hub_root")))
+
+
+def difference_postings(found: DataFrame, similarity: int) -> DataFrame:
+    """(hub, element, node, at, ...): nodes under their rarest differences, ``at`` counted from the rarest.
+
+    A node that may have to share k differences with a partner shares one of the
+    first n_diff - k + 1.  Partners of odd nodes have an excess of at least -(100 - s) |hub|, and have k differences
+    themselves; partners of the others are odd, with an excess of more than (100 - s) |hub|.
+    """
+    s, hub = similarity, (100 - similarity) * F.col("n_hub")
+    of_odd = F.greatest(
+        F.ceil((F.col("excess") - hub) / (2 * (100 + s))),
+        F.ceil((F.col("excess") - F.floor((100 - s) * 100 * F.col("n_shingles") / s)) / (100 + s)),
+    )
+    asked = F.when(F.col("odd"), of_odd).otherwise(F.ceil((F.col("excess") + hub + 1) / (2 * (100 + s))))
+    found = found.withColumn("n_posted", F.col("n_diff") + 1 - F.greatest(F.lit(1), asked))
+    open_hubs = found.groupBy("hub").agg(F.max("odd").alias("any")).where("any").select("hub")
+    elements = found.join(open_hubs, "hub", "left_semi").where("n_posted > 0")
+    elements = elements.select("hub", "node", F.explode("diff").alias("element"))
+    shared = elements.groupBy("hub", "element").agg(F.count("*").alias("df")).where("df > 1")
+    # differences that nobody shares come first and need no posting
+    order = elements.join(shared, ["hub", "element"]).groupBy("hub", "node")
+    order = order.agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("order"))
+    facts = ["hub", *POSTED, "root", "odd", "n_diff", "excess", "n_posted"]
+    posted = found.select(*facts).join(order, ["hub", "node"])
+    alone = F.col("n_diff") - F.size("order")
+    posted = posted.where(alone < F.col("n_posted"))
+    first = F.slice("order", F.lit(1), F.least(F.size("order"), (F.col("n_posted") - alone).cast("int")))
+    posted = posted.withColumn("alone", alone).select(*facts, "alone", F.posexplode(first).alias("k", "difference"))
+    at = (F.col("alone") + F.col("k")).alias("at")
+    return posted.select("hub", F.col("difference.element").alias("element"), at, *[c for c in facts if c != "hub"])
+
+
+def difference_pairs(postings: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of different components, one of them odd, that can share as many differences as a link asks for."""
+    key = ["hub", "element"]
+    odd = postings.where("odd").select(*key, *[F.col(c).alias(f"other_{c}") for c in postings.columns if c not in key])
+    asked = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.col("other_excess")) / (2 * (100 + similarity))))
+    held = (
+        (F.col("root") != F.col("other_root"))
+        & (~F.col("odd") | (F.col("node") < F.col("other_node")))
+        & (F.col("at") + asked <= F.col("n_diff"))
+        & (F.col("other_at") + asked <= F.col("other_n_diff"))
+        & plausible(F.col, lambda c: F.col(f"other_{c}"), similarity)
+    )
+    pairs = postings.join(odd, (postings["hub"] == odd["hub"]) & (postings["element"] == odd["element"]) & held)
+    return pairs.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
 
 
 def linked_nodes(links: DataFrame, postings: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -156,48 +238,38 @@ def linked_nodes(links: DataFrame, postings: DataFrame, nodes: DataFrame, sets:
     the long lists (``postings``) add as far as components need them."""
     roots = components(links)
     # the original of many copies stands in more and longer lists than they do
-    weights = postings.join(postings.groupBy("token").agg(F.count("*").alias("size")), "token")
-    weights = weights.groupBy("node").agg(F.sum("size").alias("weight"))
-    postings = materialize(postings.join(weights, "node"), "postings")
-    total = postings.count()
-    for turn in range(ROUNDS + 1 if total else 0):
-        at = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # lists that still join different components
-        k = at.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token")
-        pairs = (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2
-        main = F.max(F.struct("k", "root"))["root"]
-        open_lists = k.agg(F.count("*").alias("n_roots"), pairs.alias("pairs"), main.alias("main_root")).where("n_roots > 1")
-        left = open_lists.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
-            break
-        at = at.join(open_lists.select("token", "main_root"), "token")
-        last = turn == ROUNDS or left <= FEW * total
-        if last:
-            # a pair is taken from the first of its common lists
-            lists = postings.groupBy("node").agg(F.collect_list("token").alias("tokens"))
-            at = materialize(at.join(lists, "node"), "postings")
-            columns = [*POSTED, "root", "tokens"]
-            # nodes outside a list's largest component against all of the list
-            odd = at.where("root != main_root").select("token", *[F.col(c).alias(f"other_{c}") for c in columns])
-            first = F.array_min(F.array_intersect("tokens", "other_tokens")) == F.col("token")
-            held = at.join(odd, "token").where((F.col("root") != F.col("other_root")) & _plausible_rows(similarity) & first)
-        else:
-            at = materialize(at, "postings")
-            hubs = at.groupBy("token").agg(F.max(F.struct("weight", *POSTED, "root")).alias("h"))
-            hubs = hubs.select("token", *[F.col(f"h.{c}").alias(f"other_{c}") for c in [*POSTED, "root"]])
-            both = at.join(hubs, "token")
-            held = both.where((F.col("root") != F.col("other_root")) & _plausible_rows(similarity))
-            postings = both.where("node != other_node").select("token", *POSTED, "weight")
-        pairs = held.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
-        found = confirmed(matching(pairs, nodes), sets, similarity)
-        roots = components(found.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
-        if last:
-            break
-    return roots
-
-
-def _plausible_rows(similarity: int):
-    return plausible(F.col, lambda c: F.col(f"other_{c}"), similarity)
+    weights = postings.groupBy("node").agg(F.sum("size").alias("weight"))
+
+    def joined(found: DataFrame, roots: DataFrame) -> DataFrame:
+        return components(found.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+
+    def rooted(df: DataFrame) -> DataFrame:
+        return df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    # lists that join different components, with their hubs
+    at = rooted(postings.drop("size").join(weights, "node"))
+    hubs = at.groupBy("token").agg(
+        F.max(F.struct("weight", *POSTED, "root")).alias("hub"), F.min("root").alias("one"), F.max("root").alias("two")
+    )
+    lists = materialize(at.join(hubs.where("one != two").select("token", "hub"), "token"), "lists")
+    if lists.isEmpty():
+        return roots
+    before, roots = roots, joined(hub_links(lists, nodes, sets, similarity), roots)
+    # lists whose other nodes still belong to different components
+    own = lists.where("node != hub.node").select("token", F.col("hub.node").alias("hub"), *POSTED)
+    at = rooted(own).join(
+        roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root")), "hub", "left"
+    ).withColumn("hub", F.struct(F.col("hub").alias("node"), F.coalesce("hub_root", "hub").alias("root")))
+    still = at.groupBy("token").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one != two")
+    found = materialize(differences(at.join(still.select("token"), "token", "left_semi"), sets, similarity), "differences")
+    discard(lists, before)
+    near = found.where("near and root != hub_root").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    posted = materialize(difference_postings(found, similarity), "postings")
+    pairs = materialize(difference_pairs(posted, similarity), "pairs")
+    links = confirmed(matching(pairs, nodes), sets, similarity)
+    out = joined(links.unionByName(near), roots)
+    discard(found, posted, pairs, roots)
+    return out
 
 
 def grouped_rows(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: int) -> DataFrame:
@@ -208,19 +280,23 @@ def grouped_rows(docs: DataFrame, id_col: str, text_col: str, width: int, simila
     row = F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__text_hash")
     nodes = sketch.where("node is not null").groupBy("node").agg(F.min(row).alias("least"), *one)
     nodes = materialize(nodes, "nodes")
-    postings = materialize(prefix_postings(nodes), "postings")
-    sizes = postings.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    postings = postings.join(sizes, "token")
+    rows = materialize(sketch.select("__id", "__text_hash", "n_shingles", "node"), "rows")
+    discard(sketch)
+    prefixes = materialize(prefix_postings(nodes), "postings")
+    sizes = prefixes.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    postings = prefixes.join(sizes, "token")
     pairs = materialize(matching(short_list_pairs(postings, similarity), nodes), "pairs")
-    long_lists = materialize(postings.where(F.col("size") > SMALL).select("token", *POSTED), "postings")
+    long_lists = materialize(postings.where(F.col("size") > SMALL).select("token", "size", *POSTED), "postings")
+    discard(prefixes)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long_lists.select("node")).distinct()
     sets = whole_sets(keyed(docs, id_col, text_col), nodes, wanted, width)
     links = confirmed(pairs, sets, similarity)
     roots = linked_nodes(links, long_lists, nodes, sets, similarity)
+    discard(pairs, long_lists, sets)
     named = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.join(roots.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("least").alias("of_group"))
     named = named.join(least, "root", "left").select("node", F.coalesce("of_group", "least").alias("least"))
-    out = sketch.select("__id", "__text_hash", "n_shingles", "node").join(named, "node", "left")
+    out = rows.join(named, "node", "left")
     out = out.withColumn("component_id", F.coalesce("least.__id", "__id"))
     stays = F.col("__id").eqNullSafe(F.col("least.__id")) & (F.col("__text_hash") == F.col("least.__text_hash"))
     kept = F.col("node").isNull() | stays

@@ -63,9 +63,7 @@ def test_components_equal_brute_force(spark, width, groups, copies):
 
 
 def test_long_lists_of_different_texts(spark, monkeypatch):
-    """Rounds run out before the lists are finished: the rest is compared in full."""
-    monkeypatch.setattr(near_dedup, "ROUNDS", 1)
-    monkeypatch.setattr(near_dedup, "FEW", 0)
+    """Hubs leave lists open: the rest meets under differences from the hubs."""
     monkeypatch.setattr(near_dedup, "SMALL", 2)
     monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
     rows = corpus(9, 3, 25, words=25)
@@ -73,6 +71,32 @@ def test_long_lists_of_different_texts(spark, monkeypatch):
     assert got == brute(rows, 2)
 
 
+def test_differences_find_all_links_with_few_pairs(spark):
+    """One list of near copies, most of them not linked with the hub or each other."""
+    rng = random.Random(4)
+    base = list(range(1000, 1100))
+    sets = {bytes([0, 0]): base}
+    for n in range(1, 160):
+        one = set(rng.sample(base, 100 - rng.randint(2, 22))) | set(rng.choices(range(n * 40), k=rng.randint(2, 18)))
+        sets[bytes([n // 100, n % 100 + 1])] = sorted(one)
+    sets[bytes([9, 1])] = sorted(sets[bytes([1, 30])][1:] + [77_777])  # linked with an odd one
+    similar = lambda x, y: 100 * len(set(x) & set(y)) >= 80 * len(set(x) | set(y))
+    hub = bytes([0, 0])
+    root = {n: hub if similar(s, base) else n for n, s in sets.items()}
+    whole = spark.createDataFrame([(n, s) for n, s in sets.items()], "node binary, shingles array<bigint>")
+    rows = [((hub, hub), n, len(s), 0, 0, root[n]) for n, s in sets.items() if n != hub]
+    schema = "hub struct<node: binary, root: binary>, node binary, n_shingles bigint, bits0 bigint, bits1 bigint, root binary"
+    found = near_dedup.differences(spark.createDataFrame(rows, schema), whole, 80)
+    assert {bytes(r.node) for r in found.where("near").collect()} == {n for n in sets if n != hub and root[n] == hub}
+    pairs = near_dedup.difference_pairs(near_dedup.difference_postings(found, 80), 80)
+    got = {(bytes(r.a), bytes(r.b)) for r in pairs.collect()}
+    names = sorted(n for n in sets if n != hub)
+    across = [(x, y) for k, x in enumerate(names) for y in names[k + 1 :] if root[x] != root[y]]
+    links = {(x, y) for x, y in across if similar(sets[x], sets[y])}
+    assert links and links <= got
+    assert len(got) < len(across) / 10
+
+
 def test_edge_rows(spark):
     long = " ".join(f"x{i % 977}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, long), (7, long + " y"), (8, "É a b"), (9, "é a b"), (None, "one")]
