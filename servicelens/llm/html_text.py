@@ -8,11 +8,17 @@ definitions and descriptions in ``svg``, annotations in ``math``,
 closed like all others, but hang on no parent.  The tree is rendered as text: blocks start new
 lines, paragraphs and headings stand between blank lines, list items have
 bullets or numbers and are indented by their depth, preformatted text keeps
-its blanks, and table cells are padded to the width of their column.
+its blanks, and table cells are padded to the width of their column; a cell
+over several columns or rows (``colspan``, ``rowspan``) moves the others as on a page.
+
+Attributes are read as HTML reads them: a quote opens a value only right after
+the ``=``, an unquoted value ends at a blank or ``>``, and any other quote is
+a character like others, so a stray one hides no text.
 
 The tree is kept on explicit stacks, so that deeply nested pages need no
 recursion.  Pages are independent of each other: one input row, one output
-row.
+row.  A page is read in one piece inside its task, whatever its length: memory grows with the
+longest page of a batch, time with its length.
 
 Defined results: null and empty pages give an empty text and a null title;
 repeated rows give repeated rows; broken markup is read as far as it goes (an
@@ -25,7 +31,9 @@ from __future__ import annotations
 import html
 import re
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -43,7 +51,7 @@ UNSEEN = set("head script style template noscript iframe object datalist noembed
 HEAD_CONTENT = set("base basefont bgsound head html link meta title script style template noscript noframes".split())
 FOREIGN = {"svg", "math"}
 FOREIGN_UNSEEN = set(
-    "annotation annotation-xml clippath defs desc lineargradient marker mask metadata pattern radialgradient symbol".split()
+    "annotation annotation-xml clippath defs desc lineargradient marker mask metadata pattern radialgradient symbol title".split()
 )
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCK = SPACED | set(
@@ -66,30 +74,65 @@ IMPLIED_ENDS = {
 }
 SCOPE = {"table", "td", "th", "caption", "object", "template", "html", "body"}
 
+# Attributes as the HTML tokenizer reads them.
+BLANK = r"[ \t\n\r\f]"
+ATTRIBUTE = (
+    r"(?P<name>[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)"
+    rf"(?:{BLANK}*+={BLANK}*+(?:\"(?P<double>[^\"]*+)(?:\"|\Z)|'(?P<single>[^']*+)(?:'|\Z)|(?P<bare>[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+))?+)?+"
+)
+ATTRIBUTES = re.compile(ATTRIBUTE + r"|(?P<slash>[ \t\n\r\f/]++)")
+_ANY = rf"(?:[ \t\n\r\f/]++|{re.sub('[?]P<[a-z]+>', '?:', ATTRIBUTE)})*+"
 TAG = re.compile(
-    r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|[!?](?P<declaration>[^>]*)(?:>|\Z)"
-    r"|/(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|(?P<start>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))",
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)"
+    rf"|/(?P<end>[a-zA-Z][^ \t\n\r\f/>]*+){_ANY}(?:>|\Z)"
+    rf"|(?P<start>[a-zA-Z][^ \t\n\r\f/>]*+)(?P<attributes>{_ANY})(?:>|\Z))",
     re.DOTALL,
 )
-HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.IGNORECASE)
-HIDING_STYLE = re.compile(r"style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
-QUOTED = re.compile(r"\"[^\"]*\"?|'[^']*'?")
+# Declarations that hide an element, and the most rows and columns of a cell.
+HIDING = {"display": {"none"}, "visibility": {"hidden", "collapse"}}
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 COLUMN_GAP = "  "
 
 
-def hidden(attributes: str) -> bool:
+def read_attributes(text: str) -> tuple[dict[str, str], bool]:
+    """Values by lower-case name (the first of a name counts), and whether the tag closes itself."""
+    found, closed = {}, False
+    for m in ATTRIBUTES.finditer(text):
+        closed = bool(m["slash"]) and m["slash"].endswith("/")
+        if m["name"]:
+            value = m["double"] or m["single"] or m["bare"] or ""
+            found.setdefault(m["name"].lower(), html.unescape(value) if "&" in value else value)
+    return found, closed
+
+
+def hidden(attributes: dict[str, str]) -> bool:
     """The element is not shown, by its own attributes."""
-    if "hidden" not in attributes.lower() and "none" not in attributes.lower():
-        return False
-    return bool(HIDDEN.search(QUOTED.sub('""', attributes)) or HIDING_STYLE.search(attributes))
+    if "hidden" in attributes:
+        return True
+    last = {}
+    for declaration in attributes.get("style", "").lower().split(";"):
+        name, _, value = declaration.partition(":")
+        last[name.strip()] = value.partition("!")[0].strip()
+    return any(last.get(name) in values for name, values in HIDING.items())
+
+
+def number(text: str | None, default: int = 1) -> int:
+    """A leading whole number of up to nine digits."""
+    m = re.match(r"\s*([-+]?[0-9]{1,9})", text or "")
+    return int(m[1]) if m else default
 
 
 class Node:
-    __slots__ = ("name", "children", "start")
+    __slots__ = ("name", "children", "start", "columns", "rows")
 
-    def __init__(self, name: str, start: int = 1):
-        self.name, self.children, self.start = name, [], start
+    def __init__(self, name: str, attributes: dict[str, str] | None = None):
+        self.name, self.children, self.start, self.columns, self.rows = name, [], 1, 1, 1
+        if attributes and name == "ol":
+            self.start = number(attributes.get("start"))
+        elif attributes and name in ("td", "th"):
+            self.columns = min(max(number(attributes.get("colspan")), 1), MOST_COLUMNS)
+            rows = number(attributes.get("rowspan"))  # 0: all further rows
+            self.rows = min(rows, MOST_ROWS) if rows > 0 else MOST_ROWS if rows == 0 else 1
 
 
 def tree(page: str) -> tuple[Node, str | None]:
@@ -121,10 +164,17 @@ def tree(page: str) -> tuple[Node, str | None]:
             break
         at = m.end()
         if m["start"]:
-            name, attributes = m["start"].lower(), m["attributes"]
+            name = m["start"].lower()
+            attributes, closed = read_attributes(m["attributes"])
             if stack[-1].name == "head" and name not in HEAD_CONTENT:
                 leave(len(stack) - 1)
-            if name in RAW and not attributes.endswith("/"):
+            if name == "plaintext" and not foreign:  # no markup after it
+                close({"p"}, SCOPE)
+                if not hidden(attributes):
+                    stack[-1].children.append(Node("pre"))
+                    stack[-1].children[-1].children.append(page[at:])
+                break
+            if name in RAW and not (foreign and (closed or name == "title")):
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 inside, at = page[at : end.start() if end else len(page)], end.end() if end else len(page)
                 if name == "title" and title is None:
@@ -143,12 +193,11 @@ def tree(page: str) -> tuple[Node, str | None]:
             if name in ("html", "body"):
                 continue
             unseen = (name in UNSEEN or foreign and name in FOREIGN_UNSEEN or hidden(attributes)) and name not in VOID
-            number = re.search(r"\bstart\s*=\s*[\"']?(-?\d{1,9})", attributes) if name == "ol" else None
             # every text of a drawing stands on its own
-            node = Node("div" if foreign and name == "text" else name, int(number[1]) if number else 1)
-            if not unseen and not (name == "input" and re.search(r"type\s*=\s*[\"']?hidden", attributes, re.IGNORECASE)):
+            node = Node("div" if foreign and name == "text" else name, attributes)
+            if not unseen:
                 stack[-1].children.append(node)
-            if name not in VOID and not (foreign and attributes.endswith("/")):
+            if name not in VOID and not (foreign and closed):
                 stack.append(node)
                 foreign += name in FOREIGN
         elif m["end"]:
@@ -233,7 +282,7 @@ def rendered(root: Node) -> str:
     renders its cells into lines of their own and then lays them out."""
     out = Lines()
     outs = [out]
-    tables: list[list[list[str]]] = []
+    tables: list[list] = []  # rows of (text, columns, rows); None where a group of rows begins
     lists: list[list] = []  # (kind, next number)
     pre = 0
     todo: list[tuple[object, bool]] = [(root, False)]
@@ -248,7 +297,7 @@ def rendered(root: Node) -> str:
             if name in ("td", "th"):
                 if len(outs) > 1:
                     outs.pop()
-                    tables[-1][-1].append(out.text())
+                    tables[-1][-1].append((out.text(), node.columns, node.rows))
                 continue
             if name in BLOCK:
                 out.end()
@@ -274,7 +323,7 @@ def rendered(root: Node) -> str:
                 out.gap = True
             continue
         if name in ("td", "th") and tables:
-            if not tables[-1]:
+            if not tables[-1] or tables[-1][-1] is None:
                 tables[-1].append([])
             outs.append(Lines())
         elif name in BLOCK:
@@ -298,20 +347,62 @@ def rendered(root: Node) -> str:
                 tables.append([])
             elif name == "tr" and tables:
                 tables[-1].append([])
+            elif name in ("tbody", "thead", "tfoot") and tables:
+                tables[-1].append(None)
         todo.append((node, True))
         todo.extend((child, False) for child in reversed(node.children))
     return outs[0].text()
 
 
-def laid_out(rows: list[list[str]]) -> Iterator[str]:
-    """The lines of a table: columns as wide as their widest cell."""
-    cells = [[cell.split("\n") for cell in row] for row in rows if row]
-    columns = max(map(len, cells), default=0)
-    widths = [max((len(line) for row in cells if c < len(row) for line in row[c]), default=0) for c in range(columns)]
+def placed(rows: list) -> list[list[tuple[int, int, list[str]]]]:
+    """(first column, column after the last, lines) of every cell, by row."""
+    grid, over = [], []  # over: (first column, column after, rows left) of cells from rows above
+    for row in rows:
+        if row is None:
+            over = []
+            continue
+        at, taken, cells, below = 0, 0, [], []
+        for text, columns, height in row:
+            while taken < len(over) and over[taken][0] <= at:
+                at = max(at, over[taken][1])
+                taken += 1
+            cells.append((at, at + columns, text.split("\n")))
+            if height > 1:
+                below.append((at, at + columns, height - 1))
+            at += columns
+        over = sorted([(a, b, left - 1) for a, b, left in over if left > 1] + below)
+        grid.append(cells)
+    return grid
+
+
+def laid_out(rows: list) -> Iterator[str]:
+    """The lines of a table: columns as wide as their widest cell.  Only columns
+    in which some cell begins take room."""
+    grid = placed(rows)
+    begins = sorted({a for row in grid for a, _, _ in row})
+    cells = [[(bisect_left(begins, a), bisect_left(begins, b), lines) for a, b, lines in row] for row in grid]
+    widths = [0] * len(begins)
+    wide = []
+    for row in cells:
+        for a, b, lines in row:
+            longest = max(map(len, lines))
+            if b - a == 1:
+                widths[a] = max(widths[a], longest)
+            else:
+                wide.append((a, b, longest))
+    for a, b, longest in wide:  # the last column makes room
+        widths[b - 1] += max(0, longest - sum(widths[a:b]) - len(COLUMN_GAP) * (b - a - 1))
+    offsets = [w + k * len(COLUMN_GAP) for k, w in enumerate(accumulate(widths, initial=0))]
     for row in cells:
-        for k in range(max(map(len, row))):
-            line = [(cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, widths)]
-            if text := COLUMN_GAP.join(line).rstrip():
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            parts, length = [], 0
+            for a, _, lines in row:
+                if k < len(lines) and lines[k]:
+                    room = offsets[a] - length  # cells may overlap
+                    blanks = " " * room if room > 0 else COLUMN_GAP if length else ""
+                    parts += blanks, lines[k]
+                    length += len(blanks) + len(lines[k])
+            if text := "".join(parts).rstrip():
                 yield text
 
 

@@ -86,6 +86,44 @@ def test_extraction_edge_rows(spark):
     assert html_text.extract_text(pages(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<p>a <td width=50%\">visible one</td> middle \"quoted\" end</p>", "a visible one middle \"quoted\" end"),
+        ("<a href=/it's>link text</a> rest of page", "link text rest of page"),
+        ("<i data-style=\"display:none\">shown</i> <i style=\"color:red; DISPLAY: none !important\">no</i>yes", "shown yes"),
+        ("<i style='display:none;display:inline'>a</i><i title='x hidden y' Hidden>b</i><i title=\"a > b\"c>d</i>", "ad"),
+        ("<!-->a<!-- b -->c<!--->d<!-- e --!>f", "acdf"),
+        ("<plaintext><b>x</b> &amp; y", "<b>x</b> &amp; y"),
+        ("<table><tr><td rowspan=2>A<td>b<td>c<tr><td>d<td>e</table>", "A  b  c\n   d  e"),
+        ("<table><tr><td colspan=2>wide cell here<td>c<tr><td>d<td>e<td>f</table>", "wide cell here  c\nd  e            f"),
+        ("<table><thead><tr><th rowspan=0>H<th>I<tbody><tr><td>1<td>2</table>", "H  I\n1  2"),
+        ("<table><tr><td colspan=99999999>x<td>y<tr><td>z</table>", "x  y\nz"),
+        ("<table><tr><td>a<td rowspan=3>b<tr><td colspan=3>over<tr><td>c</table>", "a  b\nover\nc"),
+        ("<table><tr><td>a<td><td>c</table>", "a    c"),
+    ],
+)
+def test_attributes_and_spans(page, text):
+    assert html_text.extracted(page)[1] == text
+
+
+def test_title_of_a_drawing_is_not_the_page_title():
+    page = "<svg><title>drawing</title><text>in</text></svg><title>page</title>out"
+    assert html_text.extracted(page) == ("page", "in\nout")
+
+
+STRAY = ["x=a'b", 'y=50%"', "z'", '"', "w=\"a > 'b\"", "v='c\" > d'", "u = it's", "/", "'t'", 's=""r', "\n"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["b", "/b", "a", "p", "td", "br"]), st.lists(st.sampled_from(STRAY), max_size=4)), max_size=12))
+def test_stray_quotes_hide_no_text(tags):
+    """Quotes in tags, none of them an open value: all text between the tags is shown."""
+    page = "".join(f"<{name} {' '.join(attributes)} >word{k} 'and' \"more\" " for k, (name, attributes) in enumerate(tags))
+    shown = "".join(html_text.extracted(page)[1].split())
+    assert shown == "".join(f"word{k}'and'\"more\"" for k in range(len(tags)))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<li>", "<ul>", "</ul>", "<table>", "<tr>", "<td>", "</td>", "</table>", "x", " y ", "<b", ">", "<!--", "-->", "<script>", "</script>", "&amp;", "<div hidden>", "</div>", "<pre>", "\n", "'", '"']), max_size=25).map("".join))
 def test_broken_markup_never_fails(page):
