@@ -11,9 +11,13 @@ drift), and an alignment is a leak when
   of windows without drift holds ``run_words`` equal words, and
 * its slots are consistent: every number, unit or name of the item stands for
   one value of the document throughout, case ignored, where a window's value is
-  that of the longest run of windows on one diagonal; or its literal windows
+  that of the longest run of windows on one diagonal; and one of its windows holds an
+  ordinary word, one that is neither a slot nor made of marks; or its literal windows
   alone cover that much.
 
+A word of arithmetic marks only (``+``, ``=``) stands for itself, so sums are told apart by them, and
+lists of numbers are leaks only where they are literally equal.
+
 ``cover`` is the share of the item's windows, and below ``min_cover`` for a
 partial copy.  Where the templates alone cover enough windows, its cover and place are theirs, else
 those of all hits.  A leak is ``verbatim`` when all slots keep their values (case ignored) and
@@ -26,7 +30,9 @@ shuffle-joined.  Only hits are shuffled by document.
 Defined results: null, empty and blank texts have no windows and no leaks; a
 text of fewer than five words is one window; an item of two to four words is
 also found literally inside a longer text, one of a single word only as the
-whole text; equal rows (same id and text)
+whole text, all in the same pass over the texts; ``drop_leaks`` drops a document for a hit of at least
+``min_words`` words, or one that is the whole document: a shorter one is reported only; a text of any length is cut into windows inside its task, and
+hits are gathered by document and item; equal rows (same id and text)
 give one row per leak, as do repeated items; null ids are kept; an empty table
 on either side gives an empty result; other columns are ignored.
 """
@@ -41,12 +47,14 @@ from servicelens.llm.text import KEY, blank_words, keyed
 WINDOW = 5
 MIN_COVER = 0.8
 MAX_SHIFT = 3
+MIN_WORDS = 5  # words of a hit that drops a longer document
 RUN_WORDS = 14  # equal words of one run that make a partial copy
 BROADCAST_CHARS = 4_000_000
 
-# Marks that may surround a word, marks that end a sentence,
-# number words and units.
+# Marks that may surround a word, marks that are kept where they
+# are a word of their own, marks that end a sentence, number words and units.
 OUTER_MARKS = ".,;:!?\"'`()[]{}<>*_|/\\#$€£%+-=~^&…“”„‘’«»–—"
+ARITHMETIC_MARKS = "+-*/=<>%^"
 SENTENCE_MARKS = [".", "!", "?", ":", "…"]
 NUMBER_WORDS = (
     "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
@@ -59,6 +67,15 @@ UNITS = (
 ).split()
 
 
+KINDS = ["<number>", "<unit>", "<name>"]
+
+
+def stripped(word: Column) -> Column:
+    """The word without outer marks; words of arithmetic marks stay as they are."""
+    bare = F.btrim(word, F.lit(OUTER_MARKS))
+    return F.when((bare == "") & (F.btrim(word, F.lit(ARITHMETIC_MARKS)) == ""), word).otherwise(bare)
+
+
 def starts_upper(word: Column) -> Column:
     return ((word >= "A") & (word < "[")) | ((word >= "À") & (word < "ß"))
 
@@ -79,11 +96,12 @@ def canonical_word(word: Column, before: Column) -> Column:
     )
 
 
-def with_windows(df: DataFrame, keep: list[str], width: int) -> DataFrame:
+def with_windows(df: DataFrame, keep: list[str], width: int, short: list[int] = ()) -> DataFrame:
     """keep + words, canon, n_windows, grams (hashes of the canonical windows, then
-    of the literal ones, null where equal) from ``__text``."""
+    of the literal ones, null where equal, then of the literal windows of each length
+    of ``short`` in texts longer than it) from ``__text``."""
     df = df.select(*keep, blank_words(F.col("__text")).alias("raw"))
-    df = df.withColumn("words", F.transform("raw", lambda w: F.btrim(w, F.lit(OUTER_MARKS))))
+    df = df.withColumn("words", F.transform("raw", stripped))
     df = df.withColumn(
         "canon",
         F.transform("words", lambda w, i: canonical_word(w, F.when(i > 0, F.get(F.col("raw"), F.greatest(i - 1, F.lit(0)))))),
@@ -91,10 +109,22 @@ def with_windows(df: DataFrame, keep: list[str], width: int) -> DataFrame:
     df = df.withColumn("n", F.size("words"))
     df = df.withColumn("hashes", F.transform("canon", lambda w: F.xxhash64(w)))
     df = df.withColumn("plain", F.transform("words", lambda w: F.xxhash64(F.lower(w))))
-    df = df.select(*keep, "words", "canon", _windows("hashes", width).alias("grams"), _windows("plain", width).alias("plain"))
+    shorter = [F.when(F.col("n") > k, _windows("plain", k)).otherwise(F.array().cast("array<bigint>")).alias(f"short{k}") for k in short]
+    df = df.select(*keep, "words", "canon", _windows("hashes", width).alias("grams"), _windows("plain", width).alias("same"), *shorter)
     # a literal window is named only where it differs from the template
-    literal = F.zip_with("plain", "grams", lambda x, y: F.when(x != y, x))
-    return df.select(*keep, "words", "canon", F.size("grams").alias("n_windows"), F.concat("grams", literal).alias("grams"))
+    literal = F.zip_with("same", "grams", lambda x, y: F.when(x != y, x))
+    grams = F.concat("grams", literal, *[f"short{k}" for k in short])
+    return df.select(*keep, "words", "canon", F.size("grams").alias("n_windows"), grams.alias("grams"))
+
+
+def place_and_width(width: int, short: list[int]) -> tuple[Column, Column]:
+    """The first word and the width of window ``at`` of the list of ``with_windows``."""
+    at, begin = F.col("at"), 2 * F.col("n_windows")
+    place, wide = at % F.col("n_windows"), F.lit(width)
+    for k in short:
+        place, wide = F.when(at >= begin, at - begin).otherwise(place), F.when(at >= begin, k).otherwise(wide)
+        begin = begin + F.greatest(F.when(F.size("words") > k, F.size("words") - k + 1).otherwise(0), F.lit(0))
+    return place.cast("int"), wide
 
 
 def _windows(hashes: str, width: int) -> Column:
@@ -136,44 +166,35 @@ def item_windows(benchmark: DataFrame, width: int, id_col: str, text_col: str) -
 def window_hits(docs: DataFrame, windows: DataFrame, small: bool, width: int, short: list[int]) -> DataFrame:
     """One row per equal pair of windows, with the slot values of both sides.
     ``short``: the lengths of the items with fewer than ``width`` words."""
-    df = with_windows(docs, KEY, width)
+    df = with_windows(docs, KEY, width, short)
     # outer: else the optimizer filters on the array's size first, below the
     # word list, and splits the text anew for every window
     exploded = df.select(*KEY, "words", "canon", "n_windows", F.posexplode_outer("grams").alias("at", "gram"))
-    exploded = exploded.withColumn("pos", (F.col("at") % F.col("n_windows")).cast("int")).drop("at", "n_windows")
-    hits = compared(exploded, windows, small, width)
-    for n in short:  # such items inside a longer text, literally
-        wide = df.where(F.size("words") > n)
-        hashes = F.transform("words", lambda w: F.xxhash64(F.lower(w)))
-        wide = wide.select(*KEY, "words", "canon", hashes.alias("plain"))
-        grams = F.transform(
-            F.sequence(F.lit(0), F.size("plain") - n),
-            lambda i: F.xxhash64(*[F.get(F.col("plain"), i + j) for j in range(n)]),  # noqa: B023
-        )
-        wide = wide.select(*KEY, "words", "canon", F.posexplode_outer(grams).alias("pos", "gram"))
-        items = windows.where((F.size("t_words") == n) & (F.col("n_words") == n) & (F.size(F.array_remove("t_words", "")) > 1))
-        hits = hits.unionByName(compared(wide, items, small, n).where("literal"))
-    return hits
+    pos, wide = place_and_width(width, short)
+    return compared(exploded.withColumn("pos", pos).withColumn("wide", wide).drop("at", "n_windows"), windows, small, width)
 
 
 def compared(df: DataFrame, windows: DataFrame, small: bool, width: int) -> DataFrame:
-    """The hits of exploded document windows of ``width`` words."""
-    here = [F.slice(c, F.col("pos") + 1, width).alias(alias) for c, alias in (("words", "here"), ("canon", "here_canon"))]
+    """The hits of exploded document windows of ``wide`` words; those of fewer than ``width`` are hits of items of that length."""
+    here = [F.slice(c, F.col("pos") + 1, F.col("wide")).alias(alias) for c, alias in (("words", "here"), ("canon", "here_canon"))]
     if small:  # the lists stand by for the few hits
         hits = df.join(F.broadcast(windows), "gram").select("*", *here)
     else:  # a window goes through the shuffle with its own words only
-        hits = df.where("gram is not null").select(*KEY, "pos", "gram", *here).join(windows, "gram")
+        hits = df.where("gram is not null").select(*KEY, "pos", "wide", "gram", *here).join(windows, "gram")
     # joined, not a lambda: a lambda in the join's condition takes the join out of
     # generated code, and all windows of a text then wait with its whole lists
     literal = F.lower(F.array_join("here", " ")) == F.lower(F.array_join("t_words", " "))
     alike = F.col("here_canon") == F.col("t_canon")
     hits = hits.withColumn("literal", literal).withColumn("alike", alike).where("literal or alike")
+    whole = (F.col("n_words") == F.col("wide")) & (F.size(F.array_remove("t_words", "")) > 1)
+    hits = hits.where((F.col("wide") == width) | (F.col("literal") & whole))
     paired = F.transform(
         "t_canon",
         lambda c, j: F.struct(c.alias("kind"), F.lower(F.get(F.col("t_words"), j)).alias("theirs"), F.lower(F.get(F.col("here"), j)).alias("ours")),
     )
     hits = hits.withColumn("paired", paired)
-    slots = F.filter("paired", lambda p: p["kind"].isin("<number>", "<unit>", "<name>"))
+    slots = F.filter("paired", lambda p: p["kind"].isin(KINDS))
+    ordinary = F.exists("t_canon", lambda c: ~c.isin(KINDS) & (F.btrim(c, F.lit(OUTER_MARKS)) != ""))
     equal = F.transform("paired", lambda p: (p["theirs"] == p["ours"]).cast("int"))
     return hits.select(
         *KEY,
@@ -185,7 +206,7 @@ def compared(df: DataFrame, windows: DataFrame, small: bool, width: int) -> Data
         "pos",
         "literal",
         (F.col("alike") & ~F.col("inner")).alias("template"),
-        (F.size(slots) < F.size("t_canon")).alias("ordinary"),
+        ordinary.alias("ordinary"),
         slots.alias("slots"),
         equal.alias("equal"),
     )
@@ -239,7 +260,7 @@ def alignments(hits: DataFrame, max_shift: int, width: int) -> DataFrame:
         .select(*span, "first", "last", "diagonal", F.explode("hits").alias("hit"))
         .withColumn("has_anchor", F.max("hit.anchored").over(of_span))
         .where(F.col("hit.anchored") | ~F.col("has_anchor") | unchanged)
-        .groupBy(*span, "first", "last", F.col("hit.t_pos").alias("t_pos"))
+        .groupBy(*span, "first", "last", "has_anchor", F.col("hit.t_pos").alias("t_pos"))
         .agg(
             F.max(F.struct("hit.length", unchanged.cast("int").alias("unchanged"), -F.col("diagonal"), "hit.slots"))["slots"].alias("slots"),
             F.max("hit.literal").alias("literal"),
@@ -250,7 +271,7 @@ def alignments(hits: DataFrame, max_shift: int, width: int) -> DataFrame:
     wide = F.least(F.lit(width), F.col("n_words"))
     reach = F.transform("covered", lambda p, j: F.least(wide, F.coalesce(F.get(F.col("covered"), j + 1) - p, wide)))
     return (
-        chosen.groupBy(*span, "first", "last")
+        chosen.groupBy(*span, "first", "last", "has_anchor")
         .agg(
             F.count("*").alias("n_covered"),
             F.count(F.when(F.col("literal"), 1)).alias("n_same"),
@@ -289,7 +310,7 @@ def find_leaks(
     spans = alignments(hits, max_shift, width)
     consistent = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"])))) == F.size("slots")
     partly = (F.col("by_template") < 1) & ((F.col("word_cover") >= min_cover) | (F.col("run_words") >= run_words))
-    leaks = spans.where((F.col("same") >= min_cover) | ((F.col("cover") >= min_cover) | partly) & consistent)
+    leaks = spans.where((F.col("same") >= min_cover) | ((F.col("cover") >= min_cover) | partly) & consistent & F.col("has_anchor"))
     verbatim = F.forall("slots", lambda s: s["theirs"] == s["ours"])
     best = F.struct("by_template", "cover", verbatim.cast("int").alias("verbatim"), (-F.col("first")).alias("from"), "last", "n_words")
     return (
@@ -306,14 +327,19 @@ def find_leaks(
     )
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without a leak, columns unchanged."""
-    found = find_leaks(docs, benchmark, id_col, text_col, **options).select(*KEY).distinct()
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, **options
+) -> DataFrame:
+    """The rows of ``docs`` without a leak of at least ``min_words`` words (or of all
+    words of a shorter text), columns unchanged."""
+    found = find_leaks(docs, benchmark, id_col, text_col, **options)
+    found = found.groupBy(*KEY).agg(F.max(F.col("last_word") - F.col("first_word") + 1).alias("__words_hit"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     # rows without any id and text twin on the right stay; null ids compare equal
     rows = docs.withColumn("__hash_here", F.xxhash64(text))
     match = rows[f"`{id_col}`"].eqNullSafe(found["__id"]) & (rows["__hash_here"] == found["__text_hash"])
-    return rows.join(found, match, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    enough = (found["__words_hit"] >= min_words) | (found["__words_hit"] >= F.size(blank_words(rows[f"`{text_col}`"].cast("string"))))
+    return rows.join(found, match & enough, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_query(spark, sf_dir: str) -> DataFrame:

@@ -177,7 +177,8 @@ def _decontamination() -> str:
         SELECT *, unnest(range(1, n + 1)) AS i FROM (
             SELECT id, words, {canon} AS canon, CASE WHEN len(words) = 0 THEN 0 ELSE greatest(1, len(words) - {width - 1}) END AS n
             FROM (
-                SELECT id, raw, list_transform(raw, lambda w: trim(w, {_quoted(d.OUTER_MARKS)})) AS words
+                SELECT id, raw, list_transform(raw, lambda w: CASE WHEN trim(w, {_quoted(d.ARITHMETIC_MARKS)}) = '' THEN w
+                    ELSE trim(w, {_quoted(d.OUTER_MARKS)}) END) AS words
                 FROM (SELECT {key} AS id, {BLANK_WORDS.format("coalesce(text, '')")} AS raw FROM {table})
             )
         )
@@ -189,11 +190,12 @@ hits AS (
     SELECT dw.id AS doc_id, bw.id AS item_id, bw.n AS n_windows, dw.pos AS pos, bw.pos AS t_pos,
         list_filter(
             list_transform(bw.canon, lambda c, j: {{'kind': c, 'theirs': bw.words[j], 'ours': dw.words[j]}}),
-            lambda x: x.kind IN ('<number>', '<unit>', '<name>')
-        ) AS slots
+            lambda x: x.kind IN ({values(d.KINDS)})
+        ) AS slots,
+        len(list_filter(bw.canon, lambda c: c NOT IN ({values(d.KINDS)}) AND trim(c, {_quoted(d.OUTER_MARKS)}) <> '')) > 0 AS ordinary
     FROM dw JOIN bw USING (gram)
 ), diagonals AS (
-    SELECT doc_id, item_id, n_windows, pos - t_pos AS diagonal, list(DISTINCT t_pos) AS covered, flatten(list(slots)) AS slots,
+    SELECT doc_id, item_id, n_windows, pos - t_pos AS diagonal, list(DISTINCT t_pos) AS covered, flatten(list(slots)) AS slots, bool_or(ordinary) AS ordinary,
         min(pos) AS first, max(pos) AS last
     FROM hits GROUP BY ALL
 ), marked AS (
@@ -204,13 +206,13 @@ hits AS (
     SELECT *, sum(apart) OVER (PARTITION BY doc_id, item_id ORDER BY first, diagonal) AS span FROM marked
 ), spans AS (
     SELECT doc_id, item_id, n_windows, span, len(list_distinct(flatten(list(covered)))) AS k,
-        list_distinct(flatten(list(slots))) AS slots, min(first) AS first, max(last) AS last
+        list_distinct(flatten(list(slots))) AS slots, min(first) AS first, max(last) AS last, bool_or(ordinary) AS ordinary
     FROM spanned GROUP BY ALL
 ), leaks AS (
     SELECT doc_id, item_id, k / n_windows AS cover, first, last,
         len(list_filter(slots, lambda x: x.theirs <> x.ours)) = 0 AS verbatim
     FROM spans
-    WHERE k / n_windows >= {d.MIN_COVER}
+    WHERE k / n_windows >= {d.MIN_COVER} AND (ordinary OR len(list_filter(slots, lambda x: x.theirs <> x.ours)) = 0)
         AND len(list_distinct(list_transform(slots, lambda x: {{'kind': x.kind, 'theirs': x.theirs}}))) = len(slots)
 ), ranked AS (
     SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY cover DESC, verbatim DESC, first, last DESC) AS place FROM leaks

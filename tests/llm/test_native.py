@@ -134,6 +134,26 @@ def test_canonical_words(spark, text, canon):
     assert decontaminate.with_windows(row, ["k"], 5).select("canon").first()[0] == canon
 
 
+def test_sums_and_lists_of_numbers_are_no_templates(spark):
+    numbers = " ".join(str(7 * k % 101) for k in range(40))
+    items = [(1, "12 + 7 - 3 = 16"), (2, numbers), (3, "Add 12 + 7 and then take 3 - 1 from it")]
+    rows = [(1, "99 * 1 / 5 = 95"), (2, "99 + 1 - 5 = 95"), (3, "x 12 + 7 - 3 = 16 y"), (4, " ".join(str(k) for k in range(300, 340)))]
+    rows += [(5, "so " + numbers), (6, "Add 9 + 8 and then take 2 - 1 from it"), (7, "Add 9 * 8 and then take 2 / 1 from it")]
+    assert leaks(spark, rows, items) == [(3, 1, "verbatim"), (5, 2, "verbatim"), (6, 3, "reparameterised")]
+
+
+def test_short_items_in_one_pass_and_in_dropping(spark):
+    items = [(1, ITEM), (2, "New York"), (3, "red green blue"), (4, "one"), (5, "a b c d")]
+    rows = [(1, "We saw new york, and Red green blue!"), (2, "New York."), (3, "x " + ITEM), (4, "one"), (5, "one more"), (6, "a b c d e a b c d"), (7, "a b c")]
+    want = [(1, 2, "verbatim"), (1, 3, "verbatim"), (2, 2, "verbatim"), (3, 1, "verbatim"), (4, 4, "verbatim"), (6, 5, "verbatim")]
+    assert leaks(spark, rows, items) == want == leaks(spark, rows, items, broadcast_chars=0)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.drop_leaks(docs(spark, rows), benchmark).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 5, 6, 7]
+    scans = decontaminate.find_leaks(docs(spark, rows), benchmark)._jdf.queryExecution().optimizedPlan().toString()
+    assert scans.count("posexplode") <= 2  # the documents once, the items once
+
+
 def test_first_word_positions(spark):
     benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     found = decontaminate.find_leaks(docs(spark, [(1, "x y. " + ITEM)]), benchmark).first()
