@@ -42,7 +42,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from servicelens.llm.text import KEY, blank_words, keyed
+from servicelens.llm.text import KEY, blank_words, free_name, keyed
 
 WINDOW = 5
 MIN_COVER = 0.8
@@ -336,8 +336,9 @@ def drop_leaks(
     found = found.groupBy(*KEY).agg(F.max(F.col("last_word") - F.col("first_word") + 1).alias("__words_hit"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     # rows without any id and text twin on the right stay; null ids compare equal
-    rows = docs.withColumn("__hash_here", F.xxhash64(text))
-    match = rows[f"`{id_col}`"].eqNullSafe(found["__id"]) & (rows["__hash_here"] == found["__text_hash"])
+    hashed = free_name(docs, "__hash_here")
+    rows = docs.withColumn(hashed, F.xxhash64(text))
+    match = rows[f"`{id_col}`"].eqNullSafe(found["__id"]) & (rows[hashed] == found["__text_hash"])
     enough = (found["__words_hit"] >= min_words) | (found["__words_hit"] >= F.size(blank_words(rows[f"`{text_col}`"].cast("string"))))
     return rows.join(found, match & enough, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -35,7 +35,8 @@ Defined results: null, empty and blank texts have an empty set and are linked
 with nothing (own component, kept); a text with fewer words than the shingle
 width is one shingle; repeated rows are copies of each other; of null ids
 another member's id names the component, if there is one; empty tables give an
-empty result; other columns are ignored.
+empty result; other columns are ignored.  A text of any length is hashed whole, in pieces; its set must
+fit a task's memory.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from servicelens.llm.shingles import SET_SCHEMA, SKETCH_SCHEMA, set_maker, sketcher
-from servicelens.llm.text import keyed
+from servicelens.llm.text import free_name, keyed
 from servicelens.plans.physical import discard, materialize
 
 COORDINATES = 64
@@ -321,10 +322,11 @@ def drop_near_duplicates(
     one of several rows equal in id and text.  Rows
     without words all stay."""
     found = materialize(grouped_rows(docs, id_col, text_col, width, similarity).where("n_shingles > 0"), "grouped")
-    here = docs.withColumn("__hash_here", F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
+    hashed = free_name(docs, "__hash_here")
+    here = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
 
     def among(df, keys, how):
-        match = df[f"`{id_col}`"].eqNullSafe(keys["__id"]) & (df["__hash_here"] == keys["__text_hash"])
+        match = df[f"`{id_col}`"].eqNullSafe(keys["__id"]) & (df[hashed] == keys["__text_hash"])
         return df.join(keys, match, how)
 
     key = ["__id", "__text_hash"]
@@ -332,9 +334,9 @@ def drop_near_duplicates(
     copies = found.where("kept").groupBy(*key).agg(F.count("*").alias("k")).where("k > 1").select(*key)
     if not copies.isEmpty():
         copies = materialize(copies, "copies")
-        one = among(stays, copies, "left_semi").dropDuplicates([id_col, "__hash_here"])
+        one = among(stays, copies, "left_semi").dropDuplicates([id_col, hashed])
         stays = among(stays, copies, "left_anti").unionByName(one)
-    return stays.drop("__hash_here")
+    return stays.drop(hashed)
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ Line rules (a line without a word is neither kept nor lost):
 
 One row per input row.  Null text counts as empty: all counts 0, base_failed
 true.  Repeated rows and ids give repeated rows; empty tables an empty result;
-other columns are ignored, whatever their names.
+other columns are ignored, whatever their names, but one named as the result is replaced by it (as
+``withColumn`` does).  A text is judged whole, in one row's memory, whatever its length.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.llm.text import blank_words, fenced
+from servicelens.llm.text import blank_words, fenced, free_name
 
 # Fixed values of the rules.
 SYMBOLS = "[#*$%&|<>]"
@@ -116,7 +117,8 @@ def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LO
     """The rows of ``docs`` with a struct column ``out_col``: the counts, the
     cleaned text (kept lines joined by line breaks) and the verdicts."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    df = docs.select(F.struct("*").alias("__row"), text.alias("__text"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out_col.lower()]
+    df = docs.select((F.struct(*others) if others else F.struct(F.lit(0).alias("__none"))).alias("__row"), text.alias("__text"))
     df = df.withColumn("__lines", F.split("__text", "\n"))
     df = df.withColumn("__lw", F.transform("__lines", blank_words))
     df = df.withColumn("__words", F.flatten("__lw"))
@@ -146,12 +148,13 @@ def quality_scan(docs: DataFrame, text_col: str = "text", max_lost: int = MAX_LO
     df = df.withColumn("base_failed", failed)
     df = df.withColumn("kept", ~failed & (100 * F.col("words_lost") <= max_lost * F.col("n_words")))
     df = fenced(df)
-    return df.select("__row.*", F.struct(*[c for c in df.columns if c != "__row"]).alias(out_col))
+    return df.select(*(["__row.*"] if others else []), F.struct(*[c for c in df.columns if c != "__row"]).alias(out_col))
 
 
 def drop_rejected(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows that the rules keep, columns unchanged."""
-    return quality_scan(docs, text_col, out_col="__quality", **options).where("__quality.kept").drop("__quality")
+    name = free_name(docs, "__quality")
+    return quality_scan(docs, text_col, out_col=name, **options).where(f"{name}.kept").drop(name)
 
 
 def op7_query(spark, sf_dir: str) -> DataFrame:

@@ -41,6 +41,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(text).alias("__text_hash"), text.alias("__text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fenced(df: DataFrame) -> DataFrame:
     """``df`` behind a filter that the optimizer cannot move.  A later filter on
     a column computed from lists would otherwise be pushed below them, and

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from servicelens.llm import decontaminate, license_scan, quality
+from servicelens.llm import decontaminate, license_scan, near_dedup, quality
 
 DOCS = "doc_id long, text string, words string, label string, raw int"
 LONG = "alpha beta gamma delta. " * 20_000
@@ -154,6 +154,18 @@ def test_short_items_in_one_pass_and_in_dropping(spark):
     assert scans.count("posexplode") <= 2  # the documents once, the items once
 
 
+def test_clashing_column_names(spark):
+    """Columns named as the operators' own are kept, or replaced where the docstring says so."""
+    text = "Every word of this line is plain and ends with a mark, as twenty words or more in clean documents of this kind do."
+    frame = spark.createDataFrame([(1, text, "q", "x", "h", "g")], "doc_id long, text string, quality string, `__quality` string, `__hash_here` string, gram string")
+    scanned = quality.quality_scan(frame)
+    assert scanned.columns.count("quality") == 1 and scanned.first()["quality"]["kept"] is True
+    assert quality.drop_rejected(frame).collect() == frame.collect()
+    benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert decontaminate.drop_leaks(frame, benchmark).collect() == frame.collect()
+    assert near_dedup.drop_near_duplicates(frame).collect() == frame.collect()
+
+
 def test_first_word_positions(spark):
     benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     found = decontaminate.find_leaks(docs(spark, [(1, "x y. " + ITEM)]), benchmark).first()
