@@ -13,6 +13,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# A phrase between word borders: marks and blanks are doubled first, so that
+# two phrases never need the same character as their border.
+_BORDER = r"[^\p{L}\p{M}\p{N}_]"
+_PHRASES = "(?i)(?:^|{0})({1})(?:$|{0})".format(_BORDER, "|".join(p.replace(" ", "  ") for p in quality.BOILERPLATE))
+
 QUALITY = rf"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS text, {BLANK_WORDS.format("coalesce(text, '')")} AS words FROM documents
@@ -30,14 +35,16 @@ WITH d AS (
     SELECT *, len(lw) AS n,
         len(list_filter(lw, lambda w: w IN ({", ".join(map(_quoted, quality.SEPARATORS))}))) AS seps,
         len(regexp_extract_all(line, '{quality.SYMBOLS}')) + len(regexp_extract_all(line, '!!+'))
-            + len(list_filter(range(2, len(lw) + 1), lambda i: lw[i] = lw[i - 1])) AS noise
+            + len(list_filter(range(2, len(lw) + 1), lambda i: lw[i] = lw[i - 1])) AS noise,
+        list_sum(list_transform(regexp_extract_all(regexp_replace(line, '({_BORDER})', '\1\1', 'g'), {_quoted(_PHRASES)}, 1),
+            lambda phrase: len(string_split(phrase, '  ')))) AS phrase_words
     FROM lines
 ), verdicts AS (
     SELECT *, n > 0 AND (
         (seps > 0 AND 4 * seps >= n)
         OR 100 * noise > {quality.MAX_NOISE} * n
         OR (n < {quality.SHORT_LINE} AND NOT regexp_matches(line, {_quoted(quality.END_MARKS)}))
-        OR regexp_matches(line, {_quoted("(?i)" + "|".join(quality.BOILERPLATE))})
+        OR coalesce(100 * phrase_words >= {quality.MIN_PHRASE} * n, false)
     ) AS removed
     FROM judged
 ), by_lines AS (
@@ -136,15 +143,18 @@ d AS (
 ), diagonals AS (
     SELECT doc_id, template, t_votes, label, passage, pos - t_pos AS diagonal, list(DISTINCT t_pos) AS voted, min(pos) AS first, max(pos) AS last
     FROM p JOIN t USING (w0, w1) GROUP BY ALL
+), banded AS (
+    SELECT *, list(voted) OVER (PARTITION BY doc_id, template ORDER BY diagonal
+        RANGE BETWEEN {license_scan.MAX_SHIFT} PRECEDING AND {license_scan.MAX_SHIFT} FOLLOWING) AS band FROM diagonals
 ), marked AS (
     SELECT *, CASE WHEN coalesce(NOT passage OR abs(diagonal - lag(diagonal) OVER o) > {license_scan.MAX_SHIFT}
         OR first - lag(last) OVER o > {license_scan.MAX_SHIFT + 1}, true) THEN 1 ELSE 0 END AS apart
-    FROM diagonals WINDOW o AS (PARTITION BY doc_id, template ORDER BY first, diagonal)
+    FROM banded WINDOW o AS (PARTITION BY doc_id, template ORDER BY first, diagonal)
 ), spanned AS (
     SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY first, diagonal) AS span FROM marked
 ), spans AS (
     SELECT doc_id, t_votes, label, passage, template, span, min(diagonal) AS start,
-        len(list_distinct(flatten(list(voted)))) AS votes
+        greatest(len(list_distinct(flatten(list(voted)))), max(CASE WHEN passage THEN len(list_distinct(flatten(band))) ELSE 0 END)) AS votes
     FROM spanned GROUP BY ALL
 ), found AS (
     SELECT *, votes / t_votes AS cover FROM spans WHERE CASE WHEN passage THEN votes / t_votes >= {license_scan.MIN_COVER} ELSE votes = t_votes END
