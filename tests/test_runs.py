@@ -57,6 +57,20 @@ def test_scratch_is_released(spark):
     _SCRATCH.extend(others)
 
 
+def test_discard_removes_only_materialised_tables(spark, tmp_path):
+    from servicelens.plans import physical
+    from servicelens.session import _SCRATCH
+
+    one, two = (physical.materialize(spark.range(k), "t") for k in (5, 6))
+    spark.range(3).write.parquet(str(tmp_path / "input"))
+    before = len(_SCRATCH)
+    physical.discard(one, spark.read.parquet(str(tmp_path / "input")))
+    assert len(_SCRATCH) == before - 1 and two.count() == 6
+    assert spark.read.parquet(str(tmp_path / "input")).count() == 3
+    assert not os.path.exists(one.inputFiles()[0].removeprefix("file://"))
+    physical.discard(two)
+
+
 def test_a_changed_input_is_seen(spark, tmp_path):
     from servicelens.plans.workload import Workload
 
