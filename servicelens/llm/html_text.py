@@ -235,7 +235,7 @@ class Lines:
                 self.blank = True
             if word:
                 self._open()
-                if self.blank and self.line[1:]:
+                if self.blank and len(self.line) > 1:
                     self.line.append(" ")
                 self.blank = False
                 self.line.append(word)
