@@ -80,10 +80,10 @@ class Workload:
 
     @cached_property
     def featured(self) -> DataFrame:
-        """Featured part rows (L5), materialised once as a stage table."""
-        return physical.materialize(
-            prepare.prepare(self.headers, self.positions, self.years), "featured", partition_by=["product_type"]
-        )
+        """Featured part rows (L5), materialised once as a stage table, as the
+        join gives them: folders by product type would cost a shuffle and a
+        sort of the widest rows there are."""
+        return physical.materialize(prepare.prepare(self.headers, self.positions, self.years), "featured")
 
     @property
     def parts(self) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from servicelens import schema as S
 from servicelens.functions.scalar import drop_third_char
+from servicelens.plans import physical
 
 # Day offsets from the order key for the six stage transitions (cumulative).
 STAGE_OFFSET_MODULI = (5, 7, 3, 11, 13, 4)
@@ -63,7 +64,7 @@ def raw_address(custkey: Column) -> Column:
 def header_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed, cleaned header table (state after L1): one row per order."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    c = physical.lookup(read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     d = F.col("o_orderdate").cast("date")
     offsets = []
@@ -88,7 +89,7 @@ def position_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"
     )
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    p = physical.lookup(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"))
     pk = F.col("l_partkey")
     part_no = (
         F.when(pk % 20 == 0, F.lit(S.LABOUR_CODES[0]))
@@ -152,7 +153,7 @@ def raw_header_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header export as text: German names, dates in mixed formats, some
     addresses replaced by missing-value markers or given a third part."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    c = physical.lookup(read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     d = F.col("o_orderdate").cast("date")
     markers = F.array(*[F.lit(x) for x in S.NA_MARKERS])
