@@ -38,7 +38,10 @@ def clean_headers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     the quarantine frame with reason ``unparsed_date``, and addresses of more
     than two parts with ``bad_address`` (their parts become NULL, P4).
     """
-    normalised = raw.select(*[scalar.na_to_null(F.col(c)).alias(c) for c in raw.columns]).na.drop("any")
+    # one row of one struct: the cells are worked out here once, where a filter
+    # on plain columns would work them out again, twice each, below the join they come from
+    row = F.struct(*[scalar.na_to_null(F.col(c)).alias(c) for c in raw.columns])
+    normalised = raw.select(F.inline(F.array(row))).na.drop("any")
     names = {k: v for k, v in S.HEADER_SOURCE_COLUMNS.items() if k in raw.columns}
 
     def typed_col(src: str) -> Column:

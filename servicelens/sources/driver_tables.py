@@ -140,6 +140,40 @@ def render_date(d: Column, key: Column, shift: int = 0) -> Column:
 
 
 def _render_date(d: Column, key: Column, shift: int) -> Column:
+    # a year of four digits and a key that is not negative (all there are in
+    # practice) are put together from the pieces of the date's own text
+    usual = (key >= 0) & F.year(d).between(1, 9999)
+    return F.when(usual, _put_together(d, key, shift)).otherwise(_formatted(d, key, shift))
+
+
+def _put_together(d: Column, key: Column, shift: int) -> Column:
+    iso = d.cast("string")
+    year, month, day = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    minutes = F.concat(two(key % 24), F.lit(":"), two(key % 60))
+    seconds = F.concat(minutes, F.lit(":"), two(F.floor(key / 7) % 60))
+    joined = lambda sep, *parts: F.concat_ws(sep, *parts)
+    forms = (  # in the order of RENDER_PATTERNS
+        joined("-", day, month, year),
+        joined(".", F.dayofmonth(d), F.month(d), year),
+        joined("/", day, month, year),
+        iso,
+        joined(".", year, month, day),
+        joined("/", year, month, day),
+        F.concat(iso, F.lit(" "), seconds, F.lit("."), F.lpad((key % 1000000).cast("string"), 6, "0")),
+        F.concat(iso, F.lit(" "), seconds),
+        F.concat(iso, F.lit(" "), minutes),
+        F.concat(joined(".", day, month, year), F.lit(" "), minutes),
+        joined(".", day, month, F.substring(year, 3, 2)),
+    )
+    k = (key + shift) % DATE_RENDER_CYCLE
+    out = F.when(k == len(forms), F.concat(F.lit("31.02."), F.year(d).cast("string")))
+    for i, form in enumerate(forms):
+        out = out.when(k == i, form)
+    return out
+
+
+def _formatted(d: Column, key: Column, shift: int) -> Column:
     secs = ((F.floor(key / 7) % 60) * 1000000 + key % 1000000).cast("decimal(18,0)") / F.lit(1000000).cast("decimal(18,0)")
     ts = d.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (key % 24).cast("int"), (key % 60).cast("int"), secs)
     k = (key + shift) % DATE_RENDER_CYCLE

@@ -85,3 +85,23 @@ def test_the_article_set_is_a_written_table(spark, capsys):
     # a small set is broadcast to the part rows, which stay where they are
     text = plan(kept, capsys)
     assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+def test_header_cells_are_worked_out_once(spark, capsys):
+    typed, _ = prepare.clean_headers(driver_tables.raw_header_view(spark, SF_SMALL))
+    text = plan(typed, capsys, "extended").split("== Physical Plan ==")[0].split("== Optimized Logical Plan ==")[1]
+    assert text.count("transform(") == 7  # one a date
+
+
+def test_a_date_put_together_equals_the_formatted_one(spark):
+    days = spark.range(600).select(
+        F.when(F.col("id") % 7 > 0, (F.col("id") - 100) * 7919).alias("key"),
+        F.expr("date_add(date'1996-02-27', cast((id - 300) * 9973 as int))").alias("day"),
+    ).unionByName(spark.sql("SELECT 5L AS key, CAST(NULL AS date) AS day"))
+    held = F.array("day")
+    for shift in range(driver_tables.DATE_RENDER_CYCLE):
+        new = driver_tables.render_date(F.col("day"), F.col("key"), shift)
+        old = F.get(F.transform(held, lambda x: driver_tables._formatted(x, F.col("key"), shift)), 0)
+        usual = (F.col("key") >= 0) & F.year("day").between(1, 9999)
+        fast = F.get(F.transform(held, lambda x: driver_tables._put_together(x, F.col("key"), shift)), 0)
+        assert days.where(~new.eqNullSafe(old) | (usual & ~fast.eqNullSafe(old))).count() == 0
