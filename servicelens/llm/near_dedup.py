@@ -17,7 +17,8 @@
    in one component is finished.  A group of near copies thus costs as many
    pairs as it has nodes.
    In the lists left over, every node is described by its differences from the hub, D(x),
-   the shingles that only one of the two has.  With |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|, a link of x and y
+   the shingles that only one of the two has.  Where a hub stands in another one's list and is like it, the
+   other one takes its place (``leading_hubs``), so that a node is described about once and not for every hub.  With |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|, a link of x and y
    asks for a number of common differences, and if x is not linked with the hub that number is never
    zero.  So nodes are posted under their rarest differences only
    (as many as the number asked for needs) and meet there: nodes that differ from the
@@ -164,6 +165,18 @@ def hub_links(lists: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: i
     return confirmed(matching(pairs, nodes), sets, similarity)
 
 
+def leading_hubs(lists: DataFrame, similarity: int) -> DataFrame:
+    """(hub, leader) for every hub: the greatest hub of the lists that it stands in itself and that is plausibly like it.
+
+    A group of near copies has many hubs, more of them the larger it is, and its nodes stand in lists of several.
+    Differences from any one set tell two nodes apart, so these lists all take theirs from the leader.
+    """
+    alike = lists.where(plausible(F.col, lambda c: F.col(f"hub.{c}"), similarity))
+    # every hub stands in its own lists
+    greatest = alike.groupBy("node").agg(F.max(F.struct("hub.weight", "hub.node")).alias("greatest"))
+    return greatest.select(F.col("node").alias("hub"), F.col("greatest.node").alias("leader"))
+
+
 def differences(lists: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """One row per (hub, node) with the node's differences from the hub.
 
@@ -256,13 +269,12 @@ def linked_nodes(links: DataFrame, postings: DataFrame, nodes: DataFrame, sets:
     if lists.isEmpty():
         return roots
     before, roots = roots, joined(hub_links(lists, nodes, sets, similarity), roots)
-    # lists whose other nodes still belong to different components
-    own = lists.where("node != hub.node").select("token", F.col("hub.node").alias("hub"), *POSTED)
-    at = rooted(own).join(
-        roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root")), "hub", "left"
-    ).withColumn("hub", F.struct(F.col("hub").alias("node"), F.coalesce("hub_root", "hub").alias("root")))
-    still = at.groupBy("token").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one != two")
-    found = materialize(differences(at.join(still.select("token"), "token", "left_semi"), sets, similarity), "differences")
+    # lists whose other nodes still belong to different components, with their hubs' leading hubs
+    own = rooted(lists.where("node != hub.node").select("token", F.col("hub.node").alias("hub"), *POSTED))
+    still = own.groupBy("token").agg(F.first("hub").alias("hub"), F.min("root").alias("one"), F.max("root").alias("two"))
+    led = still.where("one != two").join(leading_hubs(lists, similarity), "hub").select("token", F.col("leader").alias("node"))
+    led = rooted(led).select("token", F.struct("node", "root").alias("hub"))
+    found = materialize(differences(own.drop("hub").join(led, "token"), sets, similarity), "differences")
     discard(lists, before)
     near = found.where("near and root != hub_root").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
     posted = materialize(difference_postings(found, similarity), "postings")

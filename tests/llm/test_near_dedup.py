@@ -97,6 +97,40 @@ def test_differences_find_all_links_with_few_pairs(spark):
     assert len(got) < len(across) / 10
 
 
+def test_one_set_of_differences_a_node(spark, monkeypatch):
+    """A group of near copies has many hubs; the differences are taken from one of them."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for at in rng.sample(range(60), rng.randint(0, 6)):
+            text[at] = f"v{rng.randrange(90)}"
+        rows.append((i, " ".join(text)))
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    differences, described = near_dedup.differences, []
+
+    def seen(lists, *more):
+        found = differences(lists, *more)
+        described.append((found.count(), found.select("node").distinct().count()))
+        return found
+
+    monkeypatch.setattr(near_dedup, "differences", seen)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows), width=2).collect()}
+    assert got == brute(rows, 2)
+    [(described, nodes)] = described
+    assert nodes > 60 and described <= 1.1 * nodes
+
+
+def test_leading_hubs(spark):
+    """Hub 3 stands in the list of hub 1 and of hub 2, hub 4 in that of hub 1 without being like it."""
+    one, two, three, four = ((w, bytes([w]), n, 0, 0, bytes([w])) for w, n in ((9, 100), (8, 95), (7, 90), (6, 10)))
+    rows = [(i, x[1], x[2], 0, 0, hub) for i, hub, xs in ((1, one, (one, three, four)), (2, two, (two, three)), (3, three, (three,)), (4, four, (four,))) for x in xs]
+    schema = "token int, node binary, n_shingles bigint, bits0 bigint, bits1 bigint, hub struct<weight: int, node: binary, n_shingles: bigint, bits0: bigint, bits1: bigint, root: binary>"
+    found = near_dedup.leading_hubs(spark.createDataFrame(rows, schema), 80).collect()
+    assert {r.hub[0]: r.leader[0] for r in found} == {9: 9, 8: 8, 7: 9, 6: 6}
+
+
 def test_edge_rows(spark):
     long = " ".join(f"x{i % 977}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, long), (7, long + " y"), (8, "É a b"), (9, "é a b"), (None, "one")]
