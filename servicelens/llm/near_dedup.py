@@ -1,13 +1,15 @@
-"""MinHash near-duplicates by an inverted join on signature coordinates.
+"""MinHash near-duplicates by an inverted join on pairs of signature coordinates.
 
 1. Every document becomes its set of word shingles and a MinHash signature of
    64 coordinates.  Documents with equal sets share one *node*, so copies
    never meet each other in a join.
-2. Nodes are posted under their (coordinate, value) pairs.  Two nodes match
-   when they collide on at least ``MATCHES`` coordinates (at a similarity of
-   0.8 a pair misses that with a probability of 4e-6).  Pairs that occur once
+2. Two nodes match when they collide on at least ``MATCHES`` coordinates (at a similarity of
+   0.8 a pair misses that with a probability of 4e-6).  Nodes are posted under tokens, the values of two
+   neighbouring coordinates: two nodes that match have at least ``SHARED`` of them in common.  One value alone
+   is that of a common shingle in many unlike texts, and the lists of these grow with
+   the number of documents; two values at once seldom are.  Tokens that occur once
    are skipped, the others are ordered from rare to frequent, and a node is
-   posted only under the first ones: two nodes with ``MATCHES`` collisions must
+   posted only under the first ones: two nodes with ``SHARED`` common tokens must
    meet in these prefixes.
 3. A posting carries two bits of every coordinate.  Colliding coordinates agree
    in them, so counting agreements skips nearly all chance pairs at the join.
@@ -51,6 +53,7 @@ from servicelens.plans.physical import discard, materialize
 
 COORDINATES = 64
 MATCHES = 36
+SHARED = MATCHES - COORDINATES // 2  # pairs of neighbouring coordinates on which two matching nodes collide at least
 SIMILARITY = 80  # per cent
 WIDTH = 5  # words of a shingle
 SMALL = 16  # nodes of a list whose pairs are all held against each other
@@ -67,20 +70,23 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
     return rows.mapInArrow(sketcher(width, COORDINATES), schema)
 
 
+def pair_tokens(sig):
+    """A signature's tokens: the values of two neighbouring coordinates, hashed with the pair's number."""
+    pairs = F.sequence(F.lit(0), F.lit(COORDINATES // 2 - 1))
+    return F.transform(pairs, lambda at: F.xxhash64(at, F.get(sig, 2 * at), F.get(sig, 2 * at + 1)))
+
+
 def prefix_postings(nodes: DataFrame) -> DataFrame:
-    """(token, node, n_shingles, bits): each node under the rarest of its shared
-    tokens; a token is a coordinate's number and value."""
-    tokens = nodes.select("node", F.posexplode("sig").alias("at", "value")).select(
-        "node", (F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("value").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token")
-    )
+    """(token, node, n_shingles, bits): each node under the rarest of its shared tokens."""
+    tokens = nodes.select("node", F.explode(pair_tokens("sig")).alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     by_node = (
         tokens.join(shared, "token")
         .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-        .where(F.size("t") >= MATCHES)
+        .where(F.size("t") >= SHARED)
     )
-    prefix = F.slice("t", F.lit(1), F.size("t") - (MATCHES - 1))
+    prefix = F.slice("t", F.lit(1), F.size("t") - (SHARED - 1))
     posted = by_node.select("node", prefix["token"].alias("tokens")).join(nodes.select(*POSTED), "node")
     return posted.select(F.explode("tokens").alias("token"), *POSTED)
 

@@ -122,6 +122,45 @@ def test_one_set_of_differences_a_node(spark, monkeypatch):
     assert nodes > 60 and described <= 1.1 * nodes
 
 
+def test_unlike_texts_of_common_words_are_not_described(spark, monkeypatch):
+    """Single coordinates agree by chance in long lists of such texts; pairs of coordinates seldom do."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(14)]
+    rows = [(i, " ".join(rng.choices(words, k=45))) for i in range(500)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(5)]
+    described, differences = [], near_dedup.differences
+
+    def seen(*args):
+        found = differences(*args)
+        described.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "differences", seen)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows), width=2).collect()}
+    assert got == brute(rows, 2) and [got[1000 + i][1] for i in range(5)] == list(range(5))
+    assert sum(described) <= 50
+
+
+def test_matching_signatures_share_tokens(spark):
+    """Wherever the equal coordinates stand; and equal values of other pairs are other tokens."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(200):
+        one = [rng.choice([0, -1, rng.getrandbits(31)]) for _ in range(64)]
+        other = [rng.getrandbits(31) for _ in range(64)]
+        for at in rng.sample(range(64), 36):
+            other[at] = one[at]
+        rows.append((one, other))
+    rows.append(([2 * (k // 2) for k in range(64)], list(range(64))))
+    # the worst case: every pair has an equal coordinate, and only four have both
+    rows.append((list(range(64)), [k if k % 2 or k < 8 else -k for k in range(64)]))
+    tokens = near_dedup.pair_tokens
+    found = spark.createDataFrame(rows, "one array<int>, other array<int>").select(tokens("one").alias("a"), tokens("other").alias("b")).collect()
+    shared = [len(set(r.a) & set(r.b)) for r in found]
+    assert min(shared[:200]) >= near_dedup.SHARED == 4 and shared[200] == 0 and shared[201] == 4
+    assert len(found) == 202 and all(len(set(r.a)) == 32 for r in found)
+
+
 def test_leading_hubs(spark):
     """Hub 3 stands in the list of hub 1 and of hub 2, hub 4 in that of hub 1 without being like it."""
     one, two, three, four = ((w, bytes([w]), n, 0, 0, bytes([w])) for w, n in ((9, 100), (8, 95), (7, 90), (6, 10)))
